@@ -112,6 +112,10 @@ mart AS (
 
 MODELS = [STG, DIM, UNIONED, FACT]
 
+JUNE = "CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '1996-06-01' AND DATE '1996-06-30'"
+LONG_RANGE = "CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '1996-06-01' AND DATE '1997-12-31'"
+COUNT_V1 = f"SELECT count(*) AS trips FROM yellow WHERE {LONG_RANGE} AND VendorID = 1"
+
 ORACLE: dict[str, str] = {
     "stg_green_trips": with_ctes(STG) + "\nSELECT * FROM stg_green",
     "stg_yellow_trips": with_ctes(STG) + "\nSELECT * FROM stg_yellow",
@@ -119,4 +123,18 @@ ORACLE: dict[str, str] = {
     "trips_unioned": with_ctes(STG, UNIONED) + "\nSELECT * FROM trips_unioned",
     "fact_trips": with_ctes(*MODELS) + "\nSELECT * FROM fact_trips",
     "monthly_zone_revenue": with_ctes(*MODELS, MART) + "\nSELECT * FROM mart",
+    "distinct_vendors_unpartitioned": with_ctes() + f"\nSELECT DISTINCT VendorID FROM yellow WHERE {JUNE}",
+    "distinct_vendors_june": with_ctes() + f"\nSELECT DISTINCT VendorID FROM yellow WHERE {JUNE}",
+    "partition_stats": with_ctes() + """
+SELECT 'yellow_tripdata_partitioned' AS table_name,
+       strftime(CAST(tpep_pickup_datetime AS DATE), '%Y%m%d') AS partition_id,
+       count(*) AS total_rows
+FROM yellow GROUP BY 2 ORDER BY total_rows DESC, partition_id""",
+    "count_trips_vendor_range": with_ctes() + "\n" + COUNT_V1,
+    "clustered_count": with_ctes() + "\n" + COUNT_V1,
+    "dropoff_clustered_count": with_ctes() + "\n" + COUNT_V1,
+    "trip_extent": with_ctes() + """
+SELECT max(tpep_pickup_datetime) AS max_pickup, min(tpep_pickup_datetime) AS min_pickup,
+       max(total_amount) AS max_total_amount FROM yellow""",
+    "zone_count": with_ctes() + "\nSELECT count(1) AS row_count FROM zones",
 }

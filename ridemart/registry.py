@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import stage_trips
+from ridemart.operators.tables import materialize, partition_stats
+from ridemart.operators.warehouse import count_trips, distinct_vendors, row_count, trip_extent
+from ridemart.session import scratch_path
 from ridemart.sources import testbed
 from ridemart.specs import GREEN, YELLOW, Config
 
@@ -67,6 +70,63 @@ def q_monthly_zone_revenue(spark, sf_dir):
     return round_doubles(monthly_zone_revenue(fact(spark, sf_dir)))
 
 
+# Date windows inside the test data (orders span 1995-01 .. 2001-08).
+JUNE = ("1996-06-01", "1996-06-30")
+LONG_RANGE = ("1996-06-01", "1997-12-31")
+PICKUP = YELLOW.pickup
+_LAYOUTS: dict[tuple, tuple[str, str | None]] = {}
+
+
+def yellow_layout(spark: SparkSession, sf_dir: str, day_of_col: str | None = None,
+                  cluster_by: tuple[str, ...] = ()) -> tuple[DataFrame, str | None]:
+    """Yellow raw trips written once per session in the requested layout (T3-T5), read back."""
+    k = (spark.sparkContext.applicationId, sf_dir, day_of_col, cluster_by)
+    if k not in _LAYOUTS:
+        path = scratch_path(spark, "yellow_layout")
+        day = materialize(testbed.yellow(spark, sf_dir), path, day_of_col, list(cluster_by) or None)
+        _LAYOUTS[k] = (path, day)
+    path, day = _LAYOUTS[k]
+    return spark.read.parquet(path), day
+
+
+def q_distinct_vendors_unpartitioned(spark, sf_dir):
+    df, _ = yellow_layout(spark, sf_dir)
+    return distinct_vendors(df, PICKUP, *JUNE)
+
+
+def q_distinct_vendors_partitioned(spark, sf_dir):
+    df, _ = yellow_layout(spark, sf_dir, PICKUP)
+    return distinct_vendors(df, PICKUP, *JUNE)
+
+
+def q_partition_stats(spark, sf_dir):
+    df, day = yellow_layout(spark, sf_dir, PICKUP)
+    return partition_stats(df, day, "yellow_tripdata_partitioned")
+
+
+def q_count_trips_vendor_range(spark, sf_dir):
+    df, _ = yellow_layout(spark, sf_dir, PICKUP)
+    return count_trips(df, PICKUP, *LONG_RANGE, vendor=1)
+
+
+def q_clustered_count(spark, sf_dir):
+    df, _ = yellow_layout(spark, sf_dir, PICKUP, ("VendorID",))
+    return count_trips(df, PICKUP, *LONG_RANGE, vendor=1)
+
+
+def q_dropoff_clustered_count(spark, sf_dir):
+    df, _ = yellow_layout(spark, sf_dir, YELLOW.dropoff, ("VendorID",))
+    return count_trips(df, PICKUP, *LONG_RANGE, vendor=1)
+
+
+def q_trip_extent(spark, sf_dir):
+    return trip_extent(testbed.yellow(spark, sf_dir), PICKUP)
+
+
+def q_zone_count(spark, sf_dir):
+    return row_count(testbed.zone_seed(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_green_trips": q_stg_green_trips,
     "stg_yellow_trips": q_stg_yellow_trips,
@@ -74,4 +134,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trips_unioned": q_trips_unioned,
     "fact_trips": q_fact_trips,
     "monthly_zone_revenue": q_monthly_zone_revenue,
+    "distinct_vendors_unpartitioned": q_distinct_vendors_unpartitioned,
+    "distinct_vendors_june": q_distinct_vendors_partitioned,
+    "partition_stats": q_partition_stats,
+    "count_trips_vendor_range": q_count_trips_vendor_range,
+    "clustered_count": q_clustered_count,
+    "dropoff_clustered_count": q_dropoff_clustered_count,
+    "trip_extent": q_trip_extent,
+    "zone_count": q_zone_count,
 }
