@@ -18,8 +18,11 @@ def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+def read_target(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a target; with ``schema`` an empty (just created) path target reads as zero rows."""
+    if not is_path(target):
+        return spark.table(target)
+    return spark.read.schema(schema).parquet(target) if schema is not None else spark.read.parquet(target)
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
@@ -134,7 +137,8 @@ def stamp_rows(df: DataFrame, spec: ServiceSpec, filename: str, variant: str = "
 
 
 def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "unique_row_id",
-              prune: tuple[str, str] | None = None, partition_by: list[str] | None = None) -> int:
+              prune: tuple[str, str] | None = None, partition_by: list[str] | None = None,
+              schema: T.StructType | None = None) -> int:
     """Insert-only MERGE: append the batch rows whose key is not in the target.
 
     Existing rows are never changed; duplicates inside the batch are all
@@ -149,7 +153,7 @@ def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "un
     pruning skips every other day. With NULL pickups in the batch the whole
     target is compared. Returns the number of rows inserted.
     """
-    existing = read_target(spark, target)
+    existing = read_target(spark, target, schema)
     if prune is not None:
         ts_col, day_col = prune
         lo, hi, nulls = batch.agg(F.min(day_of(ts_col)), F.max(day_of(ts_col)),

@@ -116,6 +116,49 @@ JUNE = "CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '1996-06-01' AND DATE '1
 LONG_RANGE = "CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '1996-06-01' AND DATE '1997-12-31'"
 COUNT_V1 = f"SELECT count(*) AS trips FROM yellow WHERE {LONG_RANGE} AND VendorID = 1"
 
+YCOLS = ", ".join(YELLOW.raw_columns)
+GCOLS = ", ".join(GREEN.raw_columns)
+
+
+def _rid(parts: list[str]) -> str:
+    return "md5(concat(" + ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts) + "))"
+
+
+RID5 = _rid(YELLOW.warehouse_id_columns)
+RID7 = _rid(YELLOW.database_id_columns)
+
+
+def _between(lo: str, hi: str) -> str:
+    return f"CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
+
+
+MERGE = f"""
+b1 AS (SELECT {RID5} AS unique_row_id, 'batch_1.parquet' AS filename, {YCOLS}
+       FROM yellow WHERE {_between('1996-01-01', '1996-06-30')}),
+b2 AS (SELECT {RID5} AS unique_row_id, 'batch_2.parquet' AS filename, {YCOLS}
+       FROM yellow WHERE {_between('1996-04-01', '1996-09-30')}),
+b2_new AS (SELECT * FROM b2 WHERE unique_row_id NOT IN (SELECT unique_row_id FROM b1)),
+merged AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2_new)"""
+
+def _check(col: str, check: str, failures: str, severity: str = "warn") -> str:
+    return (f"SELECT 'stg_green_tripdata' AS model, '{col}' AS column_name, '{check}' AS check_name, "
+            f"'{severity}' AS severity, CAST(({failures}) AS BIGINT) AS failures")
+
+
+CHK_UNIQUE = _check("tripid", "unique",
+                    "SELECT count(*) FROM (SELECT tripid FROM stg_green WHERE tripid IS NOT NULL "
+                    "GROUP BY tripid HAVING count(*) > 1)")
+CHK_NOT_NULL = _check("tripid", "not_null", "SELECT count(*) FROM stg_green WHERE tripid IS NULL")
+CHK_REL = "\nUNION ALL\n".join(
+    _check(c, "relationships", f"SELECT count(*) FROM stg_green WHERE {c} IS NOT NULL "
+                                f"AND {c} NOT IN (SELECT locationid FROM zones WHERE locationid IS NOT NULL)")
+    for c in ("pickup_locationid", "dropoff_locationid"))
+CHK_ACCEPTED = _check("payment_type", "accepted_values",
+                      "SELECT count(DISTINCT payment_type) FROM stg_green WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6)")
+CHK_MART = ("SELECT 'dm_monthly_zone_revenue' AS model, 'revenue_monthly_total_amount' AS column_name, "
+            "'not_null' AS check_name, 'error' AS severity, "
+            "CAST((SELECT count(*) FROM mart WHERE revenue_monthly_total_amount IS NULL) AS BIGINT) AS failures")
+
 ORACLE: dict[str, str] = {
     "stg_green_trips": with_ctes(STG) + "\nSELECT * FROM stg_green",
     "stg_yellow_trips": with_ctes(STG) + "\nSELECT * FROM stg_yellow",
@@ -137,4 +180,40 @@ FROM yellow GROUP BY 2 ORDER BY total_rows DESC, partition_id""",
 SELECT max(tpep_pickup_datetime) AS max_pickup, min(tpep_pickup_datetime) AS min_pickup,
        max(total_amount) AS max_total_amount FROM yellow""",
     "zone_count": with_ctes() + "\nSELECT count(1) AS row_count FROM zones",
+    "row_id_warehouse": with_ctes() + f"\nSELECT {RID5} AS unique_row_id, "
+                        f"'yellow_tripdata_1996-01.parquet' AS filename, {YCOLS} FROM yellow",
+    "row_id_database": with_ctes() + f"\nSELECT {RID7} AS unique_row_id, "
+                       f"'yellow_tripdata_1996-01.csv' AS filename, {YCOLS} FROM yellow",
+    "merge_new_rows": with_ctes(MERGE) + "\nSELECT * FROM merged",
+    "merge_rerun_count": with_ctes(MERGE) + """
+SELECT CAST((SELECT count(*) FROM b1) AS BIGINT) AS first_insert,
+       CAST((SELECT count(*) FROM b2_new) AS BIGINT) AS second_insert,
+       CAST(0 AS BIGINT) AS rerun_insert""",
+    "merge_batch_duplicates": with_ctes(MERGE) + """
+SELECT unique_row_id, count(*) AS copies FROM merged GROUP BY unique_row_id HAVING count(*) > 1""",
+    "backfill_months": with_ctes() + f"""
+SELECT {RID5} AS unique_row_id,
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS}
+FROM yellow WHERE {_between('1996-01-01', '1996-03-31')}""",
+    "check_unique": with_ctes(STG) + "\n" + CHK_UNIQUE,
+    "check_not_null": with_ctes(STG) + "\n" + CHK_NOT_NULL,
+    "check_relationships": with_ctes(STG) + "\n" + CHK_REL,
+    "check_accepted_values": with_ctes(STG) + "\n" + CHK_ACCEPTED,
+    "run_checks": with_ctes(*MODELS, MART) + "\n" + "\nUNION ALL\n".join(
+        [CHK_UNIQUE, CHK_NOT_NULL, CHK_REL, CHK_ACCEPTED, CHK_MART]),
+    "csv_roundtrip": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
+    "gzip_scan": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
+    "parquet_glob": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) = 1996",
+    "csv_glob_list": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) IN (1996, 1997)",
+    "raw_zone": with_ctes() + f"\nSELECT {YCOLS}, strftime(tpep_pickup_datetime, '%Y-%m') AS month FROM yellow",
+    "csv_to_parquet": with_ctes() + f"\nSELECT {GCOLS} FROM green",
+    "copy_in_columns": with_ctes() + f"""
+SELECT CAST(NULL AS VARCHAR) AS unique_row_id, CAST(NULL AS VARCHAR) AS filename, {YCOLS},
+       CAST(NULL AS DATE) AS tpep_pickup_datetime_day FROM yellow""",
+    "row_index": with_ctes() + "\nSELECT row_number() OVER (ORDER BY " +
+                 ", ".join(f"{c} ASC NULLS FIRST" for c in YELLOW.raw_columns) +
+                 f") - 1 AS \"index\", {YCOLS} FROM yellow",
+    "load_seed": with_ctes() + "\nSELECT * FROM zones",
+    "ingest_table": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
+    "stg_green_dev_limit": with_ctes(STG) + "\nSELECT * FROM stg_green ORDER BY tripid LIMIT 100",
 }

@@ -15,7 +15,11 @@ from pyspark.sql import types as T
 
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import stage_trips
-from ridemart.operators.tables import materialize, partition_stats
+from ridemart.operators import checks as Q
+from ridemart.operators.staging import preview
+from ridemart.operators.tables import day_column, ensure_table, materialize, merge_new, partition_stats, stamp_rows
+from ridemart.plans.pipeline import backfill, build, model_checks, target_schema
+from ridemart.sources import files as io
 from ridemart.operators.warehouse import count_trips, distinct_vendors, row_count, trip_extent
 from ridemart.session import scratch_path
 from ridemart.sources import testbed
@@ -127,6 +131,187 @@ def q_zone_count(spark, sf_dir):
     return row_count(testbed.zone_seed(spark, sf_dir))
 
 
+# ---- monthly load: row ids, insert-only merge, backfill --------------------------------
+
+BATCH_1 = ("1996-01-01", "1996-06-30")
+BATCH_2 = ("1996-04-01", "1996-09-30")
+BACKFILL = ("1996-01", "1996-03")
+_RUNS: dict[tuple, object] = {}
+
+
+def _memo(spark, key, fn):
+    k = (spark.sparkContext.applicationId,) + key
+    if k not in _RUNS:
+        _RUNS[k] = fn()
+    return _RUNS[k]
+
+
+def q_row_id_warehouse(spark, sf_dir):
+    return stamp_rows(testbed.yellow(spark, sf_dir), YELLOW, YELLOW.file_name("1996-01", "parquet"), "warehouse")
+
+
+def q_row_id_database(spark, sf_dir):
+    return stamp_rows(testbed.yellow(spark, sf_dir), YELLOW, YELLOW.file_name("1996-01", "csv"), "database")
+
+
+def _batch(spark, sf_dir, rng, name):
+    day = day_column(PICKUP)
+    y = testbed.yellow(spark, sf_dir)
+    y = y.where(F.to_date(PICKUP).between(F.to_date(F.lit(rng[0])), F.to_date(F.lit(rng[1]))))
+    return stamp_rows(y, YELLOW, name).withColumn(day, F.to_date(PICKUP))
+
+
+def merge_runs(spark, sf_dir):
+    """Two overlapping batches merged into an empty target, then the first batch again."""
+    def run():
+        day = day_column(PICKUP)
+        target = scratch_path(spark, "merge_target")
+        ensure_table(spark, target, target_schema(YELLOW), partition_by=[day])
+        b1 = _batch(spark, sf_dir, BATCH_1, "batch_1.parquet")
+        b2 = _batch(spark, sf_dir, BATCH_2, "batch_2.parquet")
+        kw = dict(prune=(PICKUP, day), partition_by=[day], schema=target_schema(YELLOW))
+        n1 = merge_new(spark, target, b1, **kw)
+        n2 = merge_new(spark, target, b2, **kw)
+        n3 = merge_new(spark, target, b1, **kw)
+        return target, (n1, n2, n3)
+    return _memo(spark, ("merge", sf_dir), run)
+
+
+def q_merge_new_rows(spark, sf_dir):
+    target, _ = merge_runs(spark, sf_dir)
+    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+
+
+def q_merge_rerun_count(spark, sf_dir):
+    _, (n1, n2, n3) = merge_runs(spark, sf_dir)
+    return spark.createDataFrame([(n1, n2, n3)], "first_insert bigint, second_insert bigint, rerun_insert bigint")
+
+
+def q_merge_batch_duplicates(spark, sf_dir):
+    target, _ = merge_runs(spark, sf_dir)
+    t = spark.read.schema(target_schema(YELLOW)).parquet(target)
+    return t.groupBy("unique_row_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def raw_zone(spark, sf_dir, fmt="parquet"):
+    """Yellow raw trips landed once per session in the raw zone, one folder per month."""
+    def run():
+        root = scratch_path(spark, f"raw_{fmt}")
+        io.land_raw(testbed.yellow(spark, sf_dir), root, YELLOW, fmt=fmt)
+        return root
+    return _memo(spark, ("raw", sf_dir, fmt), run)
+
+
+def q_backfill_months(spark, sf_dir):
+    def run():
+        target = scratch_path(spark, "backfill_target")
+        backfill(spark, YELLOW, *BACKFILL, raw_zone(spark, sf_dir), target)
+        return target
+    target = _memo(spark, ("backfill", sf_dir), run)
+    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+
+
+# ---- data-quality checks ----------------------------------------------------------------
+
+def _green_stg(spark, sf_dir):
+    return q_stg_green_trips(spark, sf_dir)
+
+
+def q_check_unique(spark, sf_dir):
+    return Q.check_unique(_green_stg(spark, sf_dir), "tripid", "stg_green_tripdata")
+
+
+def q_check_not_null(spark, sf_dir):
+    return Q.check_not_null(_green_stg(spark, sf_dir), "tripid", "stg_green_tripdata")
+
+
+def q_check_relationships(spark, sf_dir):
+    g, seed = _green_stg(spark, sf_dir), testbed.zone_seed(spark, sf_dir)
+    return (Q.check_relationships(g, "pickup_locationid", seed, "locationid", "stg_green_tripdata")
+            .unionByName(Q.check_relationships(g, "dropoff_locationid", seed, "locationid", "stg_green_tripdata")))
+
+
+def q_check_accepted_values(spark, sf_dir):
+    return Q.check_accepted_values(_green_stg(spark, sf_dir), "payment_type", list(FULL.payment_type_values),
+                                   "stg_green_tripdata")
+
+
+def q_run_checks(spark, sf_dir):
+    def run():
+        out = scratch_path(spark, "build")
+        b = build(spark, {GREEN: testbed.green(spark, sf_dir), YELLOW: testbed.yellow(spark, sf_dir)},
+                  testbed.zone_seed(spark, sf_dir), out, FULL)
+        return b.checks.collect()
+    rows = _memo(spark, ("build", sf_dir), run)
+    return spark.createDataFrame(rows, Q.RESULT_SCHEMA)
+
+
+# ---- scans, sinks, conversions ----------------------------------------------------------
+
+def _yellow_files(spark, sf_dir, gzip=False):
+    def run():
+        path = scratch_path(spark, "yellow_csv_gz" if gzip else "yellow_csv")
+        io.write_csv(testbed.yellow(spark, sf_dir), path, gzip=gzip)
+        return path
+    return _memo(spark, ("csv", sf_dir, gzip), run)
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    return io.read_trips_csv(spark, _yellow_files(spark, sf_dir), YELLOW)
+
+
+def q_gzip_scan(spark, sf_dir):
+    return io.read_trips_csv(spark, _yellow_files(spark, sf_dir, True) + "/*.csv.gz", YELLOW, repartition=8)
+
+
+def q_parquet_glob(spark, sf_dir):
+    return io.read_trips_parquet(spark, raw_zone(spark, sf_dir) + "/yellow/month=1996-*", YELLOW)
+
+
+def q_csv_glob_list(spark, sf_dir):
+    root = raw_zone(spark, sf_dir, "csv") + "/yellow"
+    return io.read_trips_csv(spark, [root + "/month=1996-*", root + "/month=1997-*"], YELLOW)
+
+
+def q_raw_zone(spark, sf_dir):
+    return spark.read.parquet(raw_zone(spark, sf_dir) + "/yellow")
+
+
+def q_csv_to_parquet(spark, sf_dir):
+    src = scratch_path(spark, "green_csv")
+    io.write_csv(testbed.green(spark, sf_dir), src)
+    out = io.csv_to_parquet(spark, src, scratch_path(spark, "green_parquet"))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in GREEN.raw_schema.fields])
+
+
+def q_copy_in_columns(spark, sf_dir):
+    return io.copy_in(spark, _yellow_files(spark, sf_dir), YELLOW.raw_columns, target_schema(YELLOW))
+
+
+def q_row_index(spark, sf_dir):
+    y = testbed.yellow(spark, sf_dir)
+    return io.with_row_index(y, y.columns)
+
+
+def q_load_seed(spark, sf_dir):
+    path = scratch_path(spark, "zone_seed_csv")
+    testbed.zone_seed(spark, sf_dir).write.option("header", True).option("quoteAll", True).csv(path)
+    return io.load_seed(spark, path)
+
+
+def q_ingest_table(spark, sf_dir):
+    src = _yellow_files(spark, sf_dir)
+    text = spark.read.option("header", True).csv(src)  # every column as text
+    target = scratch_path(spark, "ingest")
+    io.ingest_table(text, target, ts_cols=(YELLOW.pickup, YELLOW.dropoff))
+    t = spark.read.parquet(target)
+    return t.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in YELLOW.raw_schema.fields])
+
+
+def q_stg_green_dev_limit(spark, sf_dir):
+    return preview(q_stg_green_trips(spark, sf_dir).orderBy("tripid"), FULL.dev_limit)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_green_trips": q_stg_green_trips,
     "stg_yellow_trips": q_stg_yellow_trips,
@@ -142,4 +327,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropoff_clustered_count": q_dropoff_clustered_count,
     "trip_extent": q_trip_extent,
     "zone_count": q_zone_count,
+    "row_id_warehouse": q_row_id_warehouse,
+    "row_id_database": q_row_id_database,
+    "merge_new_rows": q_merge_new_rows,
+    "merge_rerun_count": q_merge_rerun_count,
+    "merge_batch_duplicates": q_merge_batch_duplicates,
+    "backfill_months": q_backfill_months,
+    "check_unique": q_check_unique,
+    "check_not_null": q_check_not_null,
+    "check_relationships": q_check_relationships,
+    "check_accepted_values": q_check_accepted_values,
+    "run_checks": q_run_checks,
+    "csv_roundtrip": q_csv_roundtrip,
+    "gzip_scan": q_gzip_scan,
+    "parquet_glob": q_parquet_glob,
+    "csv_glob_list": q_csv_glob_list,
+    "raw_zone": q_raw_zone,
+    "csv_to_parquet": q_csv_to_parquet,
+    "copy_in_columns": q_copy_in_columns,
+    "row_index": q_row_index,
+    "load_seed": q_load_seed,
+    "ingest_table": q_ingest_table,
+    "stg_green_dev_limit": q_stg_green_dev_limit,
 }

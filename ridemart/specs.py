@@ -40,9 +40,12 @@ def _schema(cols: list[tuple[str, T.DataType]]) -> T.StructType:
 
 _L, _D, _S, _TS = T.LongType(), T.DoubleType(), T.StringType(), T.TimestampType()
 
+# passenger_count is DOUBLE: newer monthly files carry it as a float ("1.0");
+# staging safe-casts it to an integer.
+
 YELLOW_RAW = _schema([
     ("VendorID", _L), ("tpep_pickup_datetime", _TS), ("tpep_dropoff_datetime", _TS),
-    ("passenger_count", _L), ("trip_distance", _D), ("RatecodeID", _L), ("store_and_fwd_flag", _S),
+    ("passenger_count", _D), ("trip_distance", _D), ("RatecodeID", _L), ("store_and_fwd_flag", _S),
     ("PULocationID", _L), ("DOLocationID", _L), ("payment_type", _L), ("fare_amount", _D),
     ("extra", _D), ("mta_tax", _D), ("tip_amount", _D), ("tolls_amount", _D),
     ("improvement_surcharge", _D), ("total_amount", _D), ("congestion_surcharge", _D),
@@ -51,7 +54,7 @@ YELLOW_RAW = _schema([
 GREEN_RAW = _schema([
     ("VendorID", _L), ("lpep_pickup_datetime", _TS), ("lpep_dropoff_datetime", _TS),
     ("store_and_fwd_flag", _S), ("RatecodeID", _L), ("PULocationID", _L), ("DOLocationID", _L),
-    ("passenger_count", _L), ("trip_distance", _D), ("fare_amount", _D), ("extra", _D),
+    ("passenger_count", _D), ("trip_distance", _D), ("fare_amount", _D), ("extra", _D),
     ("mta_tax", _D), ("tip_amount", _D), ("tolls_amount", _D), ("ehail_fee", _D),
     ("improvement_surcharge", _D), ("total_amount", _D), ("payment_type", _L), ("trip_type", _L),
     ("congestion_surcharge", _D),
@@ -90,7 +93,7 @@ REVENUE_SUMS = [
 ]
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class ServiceSpec:
     name: str                      # lower-case service name: "green" / "yellow"
     label: str                     # service_type value in the fact table
