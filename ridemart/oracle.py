@@ -159,6 +159,84 @@ CHK_MART = ("SELECT 'dm_monthly_zone_revenue' AS model, 'revenue_monthly_total_a
             "'not_null' AS check_name, 'error' AS severity, "
             "CAST((SELECT count(*) FROM mart WHERE revenue_monthly_total_amount IS NULL) AS BIGINT) AS failures")
 
+FEATURES = """
+features AS (
+  SELECT TRY_CAST(round(passenger_count) AS BIGINT) AS passenger_count,
+         CAST(trip_distance AS DOUBLE) AS trip_distance,
+         CAST(PULocationID AS VARCHAR) AS PULocationID,
+         CAST(DOLocationID AS VARCHAR) AS DOLocationID,
+         CAST(payment_type AS VARCHAR) AS payment_type,
+         CAST(fare_amount AS DOUBLE) AS fare_amount,
+         CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+         CAST(tip_amount AS DOUBLE) AS tip_amount
+  FROM yellow WHERE fare_amount != 0
+),
+labelled AS (SELECT * FROM features WHERE tip_amount IS NOT NULL)"""
+
+FEATURE_COLS = ["passenger_count", "trip_distance", "PULocationID", "DOLocationID", "payment_type",
+                "fare_amount", "tolls_amount", "tip_amount"]
+
+
+def _num_info(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{c}' AS input, round(min({x}), {R}) AS min, round(max({x}), {R}) AS max, "
+            f"round(avg({x}), {R}) AS mean, round(quantile_disc({x}, 0.5), {R}) AS median, "
+            f"round(stddev_samp({x}), {R}) AS stddev, CAST(NULL AS BIGINT) AS category_count, "
+            f"count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM features")
+
+
+def _cat_info(c: str) -> str:
+    return (f"SELECT '{c}' AS input, NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS mean, "
+            f"NULL::DOUBLE AS median, NULL::DOUBLE AS stddev, count(DISTINCT {c}) AS category_count, "
+            f"count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM features")
+
+
+FEATURE_INFO = "\nUNION ALL\n".join(
+    [_num_info(c) for c in ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")]
+    + [_cat_info(c) for c in ("PULocationID", "DOLocationID", "payment_type")])
+
+BUCKET = ("(('0x' || substr(md5(concat_ws('|', " +
+          ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in FEATURE_COLS) +
+          ")), 1, 8))::BIGINT % 10)")
+
+# Fixed model used by the evaluate / explain checks (same constants as the Spark side).
+FX_TERMS = [
+    ("passenger_count", "0.00001 * (coalesce(CAST(passenger_count AS DOUBLE), 25.0) - 25.0)"),
+    ("trip_distance", "0.05 * (coalesce(trip_distance, 0.05) - 0.05)"),
+    ("fare_amount", "1e-7 * (coalesce(fare_amount, 50000.0) - 50000.0)"),
+    ("tolls_amount", "-2e-7 * (coalesce(tolls_amount, 4500.0) - 4500.0)"),
+    ("payment_type", "(coalesce(CASE payment_type WHEN '1' THEN 0.002 WHEN '2' THEN -0.001 WHEN '3' THEN 0.0005 "
+                     "WHEN '4' THEN -0.0015 END, 0.0) - 0.0001)"),
+]
+FX_BASELINE = "(0.03 + 0.00001 * 25.0 + 0.05 * 0.05 + 1e-7 * 50000.0 + -2e-7 * 4500.0 + 0.0001)"
+FX_SUM = " + ".join(f"CAST({e} AS DOUBLE)" for _, e in FX_TERMS)
+FIXED = f"""
+fx AS (
+  SELECT *, row_number() OVER () AS rid, {FX_BASELINE} + ({FX_SUM}) AS predicted_tip_amount FROM labelled
+),
+fx_attr AS (
+  {" UNION ALL ".join(f"SELECT rid, '{n}' AS feature, CAST({e} AS DOUBLE) AS attribution FROM fx" for n, e in FX_TERMS)}
+),
+fx_rank AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY abs(attribution) DESC, feature ASC) AS rk FROM fx_attr
+),
+fx_top AS (
+  SELECT rid,
+    max(CASE WHEN rk = 1 THEN feature END) AS top1_feature, max(CASE WHEN rk = 1 THEN attribution END) AS a1,
+    max(CASE WHEN rk = 2 THEN feature END) AS top2_feature, max(CASE WHEN rk = 2 THEN attribution END) AS a2,
+    max(CASE WHEN rk = 3 THEN feature END) AS top3_feature, max(CASE WHEN rk = 3 THEN attribution END) AS a3
+  FROM fx_rank GROUP BY rid
+)"""
+
+EVAL = f"""
+SELECT round(avg(abs(p - y)), {R}) AS mean_absolute_error,
+       round(avg((p - y) * (p - y)), {R}) AS mean_squared_error,
+       round(avg(pow(ln(1 + p) - ln(1 + y), 2)), {R}) AS mean_squared_log_error,
+       round(quantile_disc(abs(p - y), 0.5), {R}) AS median_absolute_error,
+       round(1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)), {R}) AS r2_score,
+       round(1 - var_pop(y - p) / var_pop(y), {R}) AS explained_variance
+FROM (SELECT predicted_tip_amount AS p, tip_amount AS y FROM fx)"""
+
 ORACLE: dict[str, str] = {
     "stg_green_trips": with_ctes(STG) + "\nSELECT * FROM stg_green",
     "stg_yellow_trips": with_ctes(STG) + "\nSELECT * FROM stg_yellow",
@@ -216,4 +294,24 @@ SELECT CAST(NULL AS VARCHAR) AS unique_row_id, CAST(NULL AS VARCHAR) AS filename
     "load_seed": with_ctes() + "\nSELECT * FROM zones",
     "ingest_table": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "stg_green_dev_limit": with_ctes(STG) + "\nSELECT * FROM stg_green ORDER BY tripid LIMIT 100",
+    "ml_feature_table": with_ctes(FEATURES) + "\nSELECT * FROM features",
+    "feature_info": with_ctes(FEATURES) + "\n" + FEATURE_INFO,
+    "auto_split_counts": with_ctes(FEATURES) + f"""
+SELECT CASE WHEN {BUCKET} >= 2 THEN 'train' ELSE 'eval' END AS split, count(*) AS "rows"
+FROM labelled GROUP BY 1""",
+    "tip_regression_one_feature": with_ctes(FEATURES) + """
+SELECT round(regr_slope(tip_amount, trip_distance), 10) AS slope,
+       round(regr_intercept(tip_amount, trip_distance), 10) AS intercept,
+       round(regr_r2(tip_amount, trip_distance), 10) AS r2
+FROM labelled WHERE trip_distance IS NOT NULL""",
+    "evaluate_fixed_model": with_ctes(FEATURES, FIXED) + EVAL,
+    "explain_fixed_model": with_ctes(FEATURES, FIXED) + """
+SELECT fx.passenger_count, fx.trip_distance, fx.PULocationID, fx.DOLocationID, fx.payment_type,
+       fx.fare_amount, fx.tolls_amount, fx.tip_amount, round(fx.predicted_tip_amount, 9) AS predicted_tip_amount,
+       t.top1_feature, round(t.a1, 9) AS top1_attribution, t.top2_feature, round(t.a2, 9) AS top2_attribution,
+       t.top3_feature, round(t.a3, 9) AS top3_attribution, round(""" + FX_BASELINE + """, 9) AS baseline_prediction_value
+FROM fx JOIN fx_top t USING (rid)""",
+    "read_instances": with_ctes(FEATURES) + """
+SELECT passenger_count, trip_distance, PULocationID, DOLocationID, payment_type, fare_amount, tolls_amount
+FROM labelled""",
 }

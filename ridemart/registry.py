@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import stage_trips
 from ridemart.operators import checks as Q
+from ridemart.operators import ml
 from ridemart.operators.staging import preview
 from ridemart.operators.tables import day_column, ensure_table, materialize, merge_new, partition_stats, stamp_rows
 from ridemart.plans.pipeline import backfill, build, model_checks, target_schema
@@ -312,6 +313,104 @@ def q_stg_green_dev_limit(spark, sf_dir):
     return preview(q_stg_green_trips(spark, sf_dir).orderBy("tripid"), FULL.dev_limit)
 
 
+# ---- regression --------------------------------------------------------------------------
+
+def features(spark, sf_dir):
+    return ml.ml_table(testbed.yellow(spark, sf_dir))
+
+
+def q_ml_feature_table(spark, sf_dir):
+    return features(spark, sf_dir)
+
+
+def q_feature_info(spark, sf_dir):
+    return round_doubles(ml.feature_info(features(spark, sf_dir)))
+
+
+def q_auto_split_counts(spark, sf_dir):
+    train, ev = ml.auto_split(features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull()))
+    return (train.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("train").alias("split"), "rows")
+            .unionByName(ev.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("eval").alias("split"), "rows")))
+
+
+def q_tip_regression_one_feature(spark, sf_dir):
+    """OLS of tip on fare over all labelled rows: slope, intercept, R²."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull() & F.col("trip_distance").isNotNull())
+    v = VectorAssembler(inputCols=["trip_distance"], outputCol="f").transform(x)
+    m = LinearRegression(featuresCol="f", labelCol=ml.LABEL, solver="normal").fit(v)
+    row = [(float(m.coefficients[0]), float(m.intercept), float(m.summary.r2))]
+    return round_doubles(spark.createDataFrame(row, "slope double, intercept double, r2 double"), 10)
+
+
+# Fixed coefficients for the oracle-checked evaluation and explanation.
+FIXED_INTERCEPT = 0.03
+FIXED_NUMERIC = {"trip_distance": (0.05, 0.05), "fare_amount": (1e-7, 50000.0),
+                 "tolls_amount": (-2e-7, 4500.0), "passenger_count": (1e-5, 25.0)}
+FIXED_PAYMENT = {"1": 0.002, "2": -0.001, "3": 0.0005, "4": -0.0015}
+FIXED_PAYMENT_BASE, FIXED_PAYMENT_UNSEEN = 0.0001, 0.0
+
+
+def fixed_terms() -> ml.LinearTerms:
+    return ml.LinearTerms(FIXED_INTERCEPT, dict(FIXED_NUMERIC),
+                          {"payment_type": (dict(FIXED_PAYMENT), FIXED_PAYMENT_BASE, FIXED_PAYMENT_UNSEEN)})
+
+
+def q_evaluate_fixed_model(spark, sf_dir):
+    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
+    pred = ml.explain_predict(fixed_terms(), x)
+    return round_doubles(ml.evaluate(pred))
+
+
+def q_explain_fixed_model(spark, sf_dir):
+    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
+    e = ml.explain_predict(fixed_terms(), x, top_k_features=3)
+    top = F.col("top_feature_attributions")
+    cols = [*x.columns, ml.PREDICTION]
+    for i in range(3):
+        cols += [top[i]["feature"].alias(f"top{i + 1}_feature"), top[i]["attribution"].alias(f"top{i + 1}_attribution")]
+    return round_doubles(e.select(*cols, "baseline_prediction_value"), 9)
+
+
+def trained_model(spark, sf_dir):
+    return _memo(spark, ("model", sf_dir), lambda: ml.train_tip_model(features(spark, sf_dir)))
+
+
+def q_tip_model_predict(spark, sf_dir):
+    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
+    return ml.predict(trained_model(spark, sf_dir), x)
+
+
+def q_tip_model_explain(spark, sf_dir):
+    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
+    train, _ = ml.auto_split(ml._numeric_inputs(x))
+    terms = ml.linear_terms(trained_model(spark, sf_dir), train)
+    return ml.explain_predict(terms, x, top_k_features=3)
+
+
+def q_tip_model_tuned(spark, sf_dir):
+    _, trials = ml.tune_tip_model(features(spark, sf_dir), num_trials=5, max_parallel_trials=2)
+    return trials
+
+
+def requests(spark, sf_dir):
+    """One score request per labelled trip: {"instances": [{features}]}."""
+    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
+    inst = F.struct(*[F.col(c) for c in ml.FEATURE_SCHEMA.fieldNames()])
+    return x.select(F.to_json(F.struct(F.array(inst).alias("instances"))).alias("request"))
+
+
+def q_read_instances(spark, sf_dir):
+    return io.read_instances(requests(spark, sf_dir), "request", ml.FEATURE_SCHEMA)
+
+
+def q_score_instances(spark, sf_dir):
+    path = scratch_path(spark, "tip_model")
+    ml.save_model(trained_model(spark, sf_dir), path)
+    return ml.score_instances(ml.load_model(path), requests(spark, sf_dir), "request")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_green_trips": q_stg_green_trips,
     "stg_yellow_trips": q_stg_yellow_trips,
@@ -349,4 +448,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_seed": q_load_seed,
     "ingest_table": q_ingest_table,
     "stg_green_dev_limit": q_stg_green_dev_limit,
+    "ml_feature_table": q_ml_feature_table,
+    "feature_info": q_feature_info,
+    "auto_split_counts": q_auto_split_counts,
+    "tip_regression_one_feature": q_tip_regression_one_feature,
+    "evaluate_fixed_model": q_evaluate_fixed_model,
+    "explain_fixed_model": q_explain_fixed_model,
+    "read_instances": q_read_instances,
+    "tip_model_predict": q_tip_model_predict,
+    "tip_model_explain": q_tip_model_explain,
+    "tip_model_tuned": q_tip_model_tuned,
+    "score_instances": q_score_instances,
 }
