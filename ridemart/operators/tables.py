@@ -125,15 +125,18 @@ def partition_stats(df: DataFrame, partition_col: str, table_name: str) -> DataF
               .orderBy(F.col("total_rows").desc(), F.col("partition_id")))
 
 
-def stamp_rows(df: DataFrame, spec: ServiceSpec, filename: str, variant: str = "warehouse",
-               as_bytes: bool = False) -> DataFrame:
+def stamp_rows(df: DataFrame, spec: ServiceSpec, filename: str | Column, variant: str = "warehouse",
+               as_bytes: bool = False, columns: list[str] | None = None) -> DataFrame:
     """Put ``unique_row_id`` and ``filename`` in front of every row.
 
     ``variant='warehouse'`` hashes five parts, ``'database'`` seven.
+    ``filename`` is a constant or a per-row column; ``columns`` (default: all of
+    ``df``) are the data columns kept after the two stamps.
     """
     parts = spec.warehouse_id_columns if variant == "warehouse" else spec.database_id_columns
-    return df.select(row_id(parts, as_bytes).alias("unique_row_id"),
-                     F.lit(filename).alias("filename"), *df.columns)
+    name = F.lit(filename) if isinstance(filename, str) else filename
+    return df.select(row_id(parts, as_bytes).alias("unique_row_id"), name.alias("filename"),
+                     *(columns or df.columns))
 
 
 def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "unique_row_id",

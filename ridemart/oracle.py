@@ -311,6 +311,10 @@ SELECT fx.passenger_count, fx.trip_distance, fx.PULocationID, fx.DOLocationID, f
        t.top1_feature, round(t.a1, 9) AS top1_attribution, t.top2_feature, round(t.a2, 9) AS top2_attribution,
        t.top3_feature, round(t.a3, 9) AS top3_attribution, round(""" + FX_BASELINE + """, 9) AS baseline_prediction_value
 FROM fx JOIN fx_top t USING (rid)""",
+    "stream_months": with_ctes() + f"""
+SELECT {RID5} AS unique_row_id,
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS}
+FROM yellow""",
     "read_instances": with_ctes(FEATURES) + """
 SELECT passenger_count, trip_distance, PULocationID, DOLocationID, payment_type, fare_amount, tolls_amount
 FROM labelled""",

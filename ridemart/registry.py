@@ -411,6 +411,22 @@ def q_score_instances(spark, sf_dir):
     return ml.score_instances(ml.load_model(path), requests(spark, sf_dir), "request")
 
 
+# ---- streaming -----------------------------------------------------------------------------
+
+def q_stream_months(spark, sf_dir):
+    """Drain the landed raw zone through the file stream into a fresh target."""
+    from ridemart.streaming.months import stream_months
+
+    def run():
+        target = scratch_path(spark, "stream_target")
+        q = stream_months(spark, YELLOW, raw_zone(spark, sf_dir), target, scratch_path(spark, "stream_ckpt"),
+                          files_per_trigger=64)
+        q.awaitTermination()
+        return target
+    target = _memo(spark, ("stream", sf_dir), run)
+    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_green_trips": q_stg_green_trips,
     "stg_yellow_trips": q_stg_yellow_trips,
@@ -459,4 +475,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tip_model_explain": q_tip_model_explain,
     "tip_model_tuned": q_tip_model_tuned,
     "score_instances": q_score_instances,
+    "stream_months": q_stream_months,
 }
