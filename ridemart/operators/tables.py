@@ -81,19 +81,24 @@ def day_column(ts_col: str) -> str:
 
 
 def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
-                cluster_by: list[str] | None = None, num_partitions: int | None = None) -> str:
+                cluster_by: list[str] | None = None, num_partitions: int | None = None) -> str | None:
     """Create-or-replace a table from ``df`` (T3), partitioned by day (T4), clustered (T5).
 
     * ``day_of_col``: a timestamp column; a ``<col>_day`` DATE column is added
       and used as the directory partition, so date filters prune directories.
+      Without clustering the write is a ``REBALANCE`` on the day: AQE cuts
+      the shuffle output into advisory-sized tasks, so a hot day is split
+      over several tasks and small days share one.
     * ``cluster_by``: columns to cluster within each day. Rows are
-      range-partitioned on (day, cluster..., row hash) and sorted the same way
-      inside each task, so every file and row group covers a narrow range of
-      the cluster columns and Parquet min/max statistics skip the rest.
+      range-partitioned on (day, cluster..., row hash) into ``num_partitions``
+      ranges (default ``spark.sql.shuffle.partitions``; size it to the data,
+      e.g. bytes / 256 MB) and sorted the same way inside each task, so each
+      file and row group covers a narrow range of the cluster columns and
+      Parquet min/max statistics skip the rest.
 
     The trailing deterministic row hash lets the range partitioner split a
-    hot day or (day, cluster) group across many tasks; being deterministic, a
-    recomputed task after an executor loss sends every row to the same place.
+    hot (day, cluster) group across tasks; being deterministic, a task rerun
+    after an executor loss sends every row to the same place.
     Returns the derived day column name (or None).
     """
     partition_by = None
@@ -102,16 +107,14 @@ def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
         day = day_column(day_of_col)
         df = df.withColumn(day, day_of(day_of_col))
         partition_by = [day]
+    order = ([day] if day else []) + list(cluster_by or [])
+    if cluster_by:
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        keys: list[Column] = [F.col(day)] + [F.col(c) for c in (cluster_by or [])] + [spread]
-        df = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-        df = df.sortWithinPartitions(day, *(cluster_by or []))
-    elif cluster_by:
-        spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        keys = [F.col(c) for c in cluster_by] + [spread]
+        keys: list[Column] = [F.col(c) for c in order] + [spread]
         df = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-        df = df.sortWithinPartitions(*cluster_by)
+        df = df.sortWithinPartitions(*order)
+    elif day:
+        df = df.hint("rebalance", day).sortWithinPartitions(day)
     write_target(df, target, "overwrite", partition_by)
     return day
 

@@ -273,6 +273,15 @@ SELECT unique_row_id, count(*) AS copies FROM merged GROUP BY unique_row_id HAVI
 SELECT {RID5} AS unique_row_id,
        'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS}
 FROM yellow WHERE {_between('1996-01-01', '1996-03-31')}""",
+    "load_month_database": with_ctes() + f"""
+SELECT {RID7} AS unique_row_id,
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.csv' AS filename, {YCOLS}
+FROM yellow WHERE {_between('1996-01-01', '1996-02-29')}""",
+    "backfill_yearly": with_ctes() + f"""
+SELECT {RID5} AS unique_row_id,
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS},
+       'yellow_' || strftime(tpep_pickup_datetime, '%Y') AS target_table
+FROM yellow WHERE {_between('1996-12-01', '1997-01-31')}""",
     "check_unique": with_ctes(STG) + "\n" + CHK_UNIQUE,
     "check_not_null": with_ctes(STG) + "\n" + CHK_NOT_NULL,
     "check_relationships": with_ctes(STG) + "\n" + CHK_REL,
@@ -284,6 +293,7 @@ FROM yellow WHERE {_between('1996-01-01', '1996-03-31')}""",
     "parquet_glob": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) = 1996",
     "csv_glob_list": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) IN (1996, 1997)",
     "raw_zone": with_ctes() + f"\nSELECT {YCOLS}, strftime(tpep_pickup_datetime, '%Y-%m') AS month FROM yellow",
+    "parquet_to_csv": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) = 1997",
     "csv_to_parquet": with_ctes() + f"\nSELECT {GCOLS} FROM green",
     "copy_in_columns": with_ctes() + f"""
 SELECT CAST(NULL AS VARCHAR) AS unique_row_id, CAST(NULL AS VARCHAR) AS filename, {YCOLS},

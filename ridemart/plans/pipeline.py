@@ -17,16 +17,26 @@ from ridemart.functions import day_of
 from ridemart.operators import checks as Q
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue
 from ridemart.operators.staging import stage_trips
-from ridemart.operators.tables import day_column, ensure_table, merge_new, stamp_rows, write_target
-from ridemart.sources.files import raw_month_path, read_trips_csv, read_trips_parquet
+from ridemart.operators.tables import (
+    day_column,
+    ensure_table,
+    merge_new,
+    read_target,
+    stamp_rows,
+    target_name,
+    truncate,
+    with_comments,
+    write_target,
+)
+from ridemart.sources.files import copy_in, raw_month_path, read_trips_csv, read_trips_parquet
 from ridemart.specs import Config, ServiceSpec
 
 
 def target_schema(spec: ServiceSpec) -> T.StructType:
-    """Load target: row id and file name in front of the raw columns, plus the pickup day."""
+    """Load target: row id and file name in front of the raw columns, plus the pickup day."""
     head = [T.StructField("unique_row_id", T.StringType(), True), T.StructField("filename", T.StringType(), True)]
     tail = [T.StructField(day_column(spec.pickup), T.DateType(), True)]
-    return T.StructType(head + list(spec.raw_schema.fields) + tail)
+    return with_comments(T.StructType(head + list(spec.raw_schema.fields) + tail), spec.comments)
 
 
 def read_month(spark: SparkSession, spec: ServiceSpec, src: str, fmt: str = "parquet") -> DataFrame:
@@ -49,6 +59,33 @@ def load_month(spark: SparkSession, spec: ServiceSpec, month: str, src: str, tar
                      schema=target_schema(spec))
 
 
+def staging_schema(spec: ServiceSpec) -> T.StructType:
+    """Staging table of the database flow: row id and file name, then the raw columns (no day)."""
+    head = [T.StructField("unique_row_id", T.StringType(), True), T.StructField("filename", T.StringType(), True)]
+    return T.StructType(head + list(spec.raw_schema.fields))
+
+
+def load_month_staged(spark: SparkSession, spec: ServiceSpec, month: str, src_csv: str, staging: str,
+                      target: str) -> int:
+    """Database-style monthly load.
+
+    Truncate the one staging table, COPY the month's CSV into it by column
+    list (other columns NULL), stamp every staging row with the seven-part
+    row id and the file name, then insert-only merge into the target. The
+    single staging table means months load one at a time, as in the flow
+    this follows.
+    """
+    day = day_column(spec.pickup)
+    ensure_table(spark, staging, staging_schema(spec))
+    ensure_table(spark, target, target_schema(spec), partition_by=[day])
+    truncate(spark, staging)
+    copy_in(spark, src_csv, spec.raw_columns, staging_schema(spec)).write.mode("overwrite").parquet(staging)
+    staged = read_target(spark, staging, staging_schema(spec))
+    stamped = stamp_rows(staged, spec, spec.file_name(month, "csv"), "database", columns=spec.raw_columns)
+    return merge_new(spark, target, stamped.withColumn(day, day_of(spec.pickup)),
+                     prune=(spec.pickup, day), partition_by=[day], schema=target_schema(spec))
+
+
 def months_between(start: str, end: str) -> list[str]:
     """Inclusive list of ``yyyy-MM`` months."""
     y, m = int(start[:4]), int(start[5:7])
@@ -61,14 +98,19 @@ def months_between(start: str, end: str) -> list[str]:
 
 
 def backfill(spark: SparkSession, spec: ServiceSpec, start: str, end: str, raw_root: str, target: str,
-             fmt: str = "parquet") -> dict[str, int]:
-    """Load a month range in order, one month at a time, from the raw zone.
+             fmt: str = "parquet", per: str | None = None) -> dict[str, int]:
+    """Load a month range in order, one month at a time, from the raw zone.
 
     One writer per target: months are merged sequentially, as the single
-    staging table of the original flow required.
+    staging table of the original flow required. With ``per='year'`` (or
+    ``'month'``) ``target`` is a root folder and each month goes to the
+    consolidated table named from it, e.g. ``<root>/yellow_1996``.
     """
-    return {m: load_month(spark, spec, m, raw_month_path(raw_root, spec, m), target, fmt)
-            for m in months_between(start, end)}
+    out = {}
+    for m in months_between(start, end):
+        dest = f"{target.rstrip('/')}/{target_name(spec, m, per)}" if per else target
+        out[m] = load_month(spark, spec, m, raw_month_path(raw_root, spec, m), dest, fmt)
+    return out
 
 
 @dataclass

@@ -19,9 +19,9 @@ from ridemart.operators import checks as Q
 from ridemart.operators import ml
 from ridemart.operators.staging import preview
 from ridemart.operators.tables import day_column, ensure_table, materialize, merge_new, partition_stats, stamp_rows
-from ridemart.plans.pipeline import backfill, build, model_checks, target_schema
+from ridemart.plans.pipeline import backfill, build, load_month_staged, target_schema
 from ridemart.sources import files as io
-from ridemart.operators.warehouse import count_trips, distinct_vendors, row_count, trip_extent
+from ridemart.operators.warehouse import count_trips, distinct_vendors, sql, trip_extent
 from ridemart.session import scratch_path
 from ridemart.sources import testbed
 from ridemart.specs import GREEN, YELLOW, Config
@@ -129,7 +129,10 @@ def q_trip_extent(spark, sf_dir):
 
 
 def q_zone_count(spark, sf_dir):
-    return row_count(testbed.zone_seed(spark, sf_dir))
+    """count(1) over the named zone source, through SQL."""
+    from ridemart.sources.catalog import testbed_sources
+    testbed_sources(sf_dir).register_views(spark)
+    return sql(spark, "SELECT count(1) AS row_count FROM taxi_zone_lookup")
 
 
 # ---- monthly load: row ids, insert-only merge, backfill --------------------------------
@@ -212,6 +215,30 @@ def q_backfill_months(spark, sf_dir):
     return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
 
 
+def q_backfill_yearly(spark, sf_dir):
+    """Months across a year boundary into per-year consolidated targets."""
+    def run():
+        root = scratch_path(spark, "yearly")
+        backfill(spark, YELLOW, "1996-12", "1997-01", raw_zone(spark, sf_dir), root, per="year")
+        return root
+    root = _memo(spark, ("yearly", sf_dir), run)
+    parts = [spark.read.schema(target_schema(YELLOW)).parquet(f"{root}/yellow_{y}")
+             .drop(day_column(PICKUP)).withColumn("target_table", F.lit(f"yellow_{y}")) for y in (1996, 1997)]
+    return parts[0].unionByName(parts[1])
+
+
+def q_load_month_database(spark, sf_dir):
+    """Two months through the staging-table flow (COPY, 7-part id), the first month twice."""
+    def run():
+        root = raw_zone(spark, sf_dir, "csv")
+        staging, target = scratch_path(spark, "staging"), scratch_path(spark, "db_target")
+        for m in ("1996-01", "1996-02", "1996-01"):
+            load_month_staged(spark, YELLOW, m, f"{root}/yellow/month={m}", staging, target)
+        return target
+    target = _memo(spark, ("db_load", sf_dir), run)
+    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+
+
 # ---- data-quality checks ----------------------------------------------------------------
 
 def _green_stg(spark, sf_dir):
@@ -274,6 +301,11 @@ def q_csv_glob_list(spark, sf_dir):
     return io.read_trips_csv(spark, [root + "/month=1996-*", root + "/month=1997-*"], YELLOW)
 
 
+def q_parquet_to_csv(spark, sf_dir):
+    out = io.parquet_to_csv(spark, raw_zone(spark, sf_dir) + "/yellow/month=1997-*", scratch_path(spark, "to_csv"))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in YELLOW.raw_schema.fields])
+
+
 def q_raw_zone(spark, sf_dir):
     return spark.read.parquet(raw_zone(spark, sf_dir) + "/yellow")
 
@@ -448,6 +480,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_rerun_count": q_merge_rerun_count,
     "merge_batch_duplicates": q_merge_batch_duplicates,
     "backfill_months": q_backfill_months,
+    "load_month_database": q_load_month_database,
+    "backfill_yearly": q_backfill_yearly,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "check_relationships": q_check_relationships,
@@ -458,6 +492,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_glob": q_parquet_glob,
     "csv_glob_list": q_csv_glob_list,
     "raw_zone": q_raw_zone,
+    "parquet_to_csv": q_parquet_to_csv,
     "csv_to_parquet": q_csv_to_parquet,
     "copy_in_columns": q_copy_in_columns,
     "row_index": q_row_index,

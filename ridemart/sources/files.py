@@ -118,7 +118,8 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
 
     With ``month`` the frame is one month and overwrites that month only.
     Without it, all months are landed in one job, split by the pickup month
-    (dynamic partition overwrite: months not in ``df`` are left alone).
+    (dynamic partition overwrite: months not in ``df`` are left alone). Only
+    the landed months' folders are rewritten.
     """
     base = f"{root.rstrip('/')}/{spec.name}"
     if month is not None:
@@ -129,7 +130,9 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
             df.write.mode("overwrite").parquet(path)
         return path
     x = df.withColumn("month", F.date_format(F.col(spec.pickup), "yyyy-MM"))
-    w = (x.repartition("month", F.xxhash64(*[F.col(c) for c in df.columns]) % 8)
+    # REBALANCE: AQE sizes the write tasks from real data, splitting a hot
+    # month over several tasks and packing small months into one file.
+    w = (x.hint("rebalance", "month")
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month"))
     if fmt == "csv":
         w.option("header", True).option("timestampFormat", CSV_TS_FORMAT).csv(base)
@@ -138,15 +141,23 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
     return base
 
 
-def ingest_table(df: DataFrame, target: str, ts_cols: tuple[str, ...] = (), mode: str = "overwrite") -> DataFrame:
+def ingest_table(df: DataFrame, target: str, ts_cols: tuple[str, ...] = (), mode: str = "overwrite",
+                 jdbc_properties: dict[str, str] | None = None) -> DataFrame:
     """Bulk table load (S15, F3): parse timestamp columns, write all chunks in one job.
 
     The schema-only create and the chunk appends of a row-by-row sink are one
-    distributed write here; Spark's scan splits are the chunks.
+    distributed write here; Spark's scan splits are the chunks. A ``jdbc:``
+    target ``"jdbc:...url...#table"`` is written with ``DataFrameWriter.jdbc``
+    in batches of 100,000 rows from every task in parallel.
     """
     for c in ts_cols:
         if c in df.columns and not isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType)):
             df = df.withColumn(c, to_ts(c))
+    if target.startswith("jdbc:"):
+        url, table = target.rsplit("#", 1)
+        props = {"batchsize": "100000", **(jdbc_properties or {})}
+        df.write.jdbc(url, table, mode=mode, properties=props)
+        return df
     w = df.write.mode(mode).format("parquet")
     if "/" in target or ":" in target:
         w.save(target)
