@@ -14,6 +14,7 @@ from __future__ import annotations
 import random
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -95,9 +96,18 @@ def _numeric_inputs(df: DataFrame) -> DataFrame:
 
 def train_tip_model(df: DataFrame, reg_param: float = 0.0, elastic_net: float = 0.0,
                     eval_fraction: float = 0.2) -> PipelineModel:
-    """Fit on the train split of rows with a label (M2, M3)."""
+    """Fit on the train split of rows with a label (M2, M3).
+
+    The eight-column training projection is persisted for the few passes of
+    the fit (indexer, imputer, solver) and released afterwards; lost blocks
+    are recomputed from lineage.
+    """
     train, _ = auto_split(_numeric_inputs(df.where(F.col(LABEL).isNotNull())), eval_fraction)
-    return tip_pipeline(reg_param, elastic_net).fit(train)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return tip_pipeline(reg_param, elastic_net).fit(train)
+    finally:
+        train.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -221,26 +231,28 @@ def explain_predict(terms: LinearTerms, df: DataFrame, top_k_features: int = 3)
     """Prediction with the ``top_k_features`` largest attributions (M7, L4).
 
     attribution(input) = term(input) - mean term(input); for a linear model
-    the attributions sum exactly to prediction - baseline.
+    the attributions sum exactly to prediction - baseline. Ranking sorts
+    (-|attribution|, feature) structs with ``sort_array``, so ties break by
+    feature name and no comparator lambda runs per row.
     """
-    attrs = []
+    named: list[tuple[str, Column]] = []
     for c, (w, m) in terms.numeric.items():
         x = F.coalesce(F.col(c).cast(T.DoubleType()), F.lit(m))
-        attrs.append(F.struct(F.lit(c).alias("feature"), (F.lit(w) * (x - F.lit(m))).alias("attribution")))
+        named.append((c, F.lit(w) * (x - F.lit(m))))
     for c, (_, base, _) in terms.categorical.items():
-        term = _category_term(terms, c)
-        attrs.append(F.struct(F.lit(c).alias("feature"), (term - F.lit(base)).alias("attribution")))
-    arr = F.array(*attrs)
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, s: acc + s["attribution"])
-    ranked = F.array_sort(arr, lambda a, b: F.when(F.abs(a["attribution"]) > F.abs(b["attribution"]), -1)
-                          .when(F.abs(a["attribution"]) < F.abs(b["attribution"]), 1)
-                          .when(a["feature"] < b["feature"], -1)
-                          .when(a["feature"] > b["feature"], 1).otherwise(0))
+        named.append((c, _category_term(terms, c) - F.lit(base)))
+    total = F.lit(0.0)
+    for _, a in named:
+        total = total + a
+    keyed = F.sort_array(F.array(*[F.struct((-F.abs(a)).alias("k"), F.lit(n).alias("feature"),
+                                            a.alias("attribution")) for n, a in named]))
+    top = F.transform(F.slice(keyed, 1, top_k_features),
+                      lambda s: F.struct(s["feature"].alias("feature"), s["attribution"].alias("attribution")))
     baseline = terms.baseline
     return df.select(
         *df.columns,
         (F.lit(baseline) + total).alias(PREDICTION),
-        F.slice(ranked, 1, top_k_features).alias("top_feature_attributions"),
+        top.alias("top_feature_attributions"),
         F.lit(baseline).alias("baseline_prediction_value"),
         (F.lit(baseline) + total).alias("prediction_value"),
         F.lit(0.0).alias("approximation_error"),
@@ -269,7 +281,7 @@ def tune_tip_model(df: DataFrame, num_trials: int = 5, max_parallel_trials: int
     Returns ``(best PipelineModel, trials DataFrame)``; trials has one row per
     trial with its l1/l2, Spark parameters, validation R² and the best flag.
     """
-    data = _numeric_inputs(df.where(F.col(LABEL).isNotNull()))
+    data = _numeric_inputs(df.where(F.col(LABEL).isNotNull())).persist(StorageLevel.MEMORY_AND_DISK)
     pipe = tip_pipeline()
     lr = pipe.getStages()[-1]
     trials = sample_trials(num_trials, seed=seed)
@@ -279,7 +291,10 @@ def tune_tip_model(df: DataFrame, num_trials: int = 5, max_parallel_trials: int
                                evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION,
                                                              metricName="r2"),
                                trainRatio=train_ratio, parallelism=max_parallel_trials, seed=seed)
-    fitted = tvs.fit(data)
+    try:
+        fitted = tvs.fit(data)
+    finally:
+        data.unpersist()
     best = max(range(len(trials)), key=lambda i: fitted.validationMetrics[i])
     rows = [(i + 1, float(l1), float(l2), *map(float, to_spark_reg(l1, l2)), float(fitted.validationMetrics[i]),
              i == best) for i, (l1, l2) in enumerate(trials)]
