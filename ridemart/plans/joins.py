@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default row bound for a broadcast dimension. A zone lookup has a few hundred
-# rows; 1M rows of a handful of columns stays well under executor memory.
-BROADCAST_MAX_ROWS = 1_000_000
+# rows; 200k narrow rows stay a few MB in every executor.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check itself is bounded even
-    when the side turns out to be large.
+    ``take`` scans partitions incrementally and stops as soon as
+    ``max_rows + 1`` rows are seen, and only a constant column is fetched, so
+    the check stays cheap and bounded even when the side turns out large
+    (unlike ``limit(n).count()``, which funnels every task's rows to one reducer).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
