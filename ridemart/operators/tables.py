@@ -167,6 +167,10 @@ def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "un
         if nulls == 0 and lo is not None:
             existing = existing.where(F.col(day_col).between(lo, hi) | F.col(day_col).isNull())
     new_rows = batch.join(existing.select(key), on=key, how="left_anti").select(*existing.columns)
+    if partition_by:
+        # one writer per day instead of every task writing into every day it saw;
+        # AQE still splits a hot day into several advisory-sized tasks
+        new_rows = new_rows.hint("rebalance", *partition_by)
     obs = Observation("merge_new")
     new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("inserted"))
     if is_path(target):

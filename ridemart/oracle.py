@@ -134,7 +134,10 @@ def _between(lo: str, hi: str) -> str:
 
 MERGE = f"""
 b1 AS (SELECT {RID5} AS unique_row_id, 'batch_1.parquet' AS filename, {YCOLS}
-       FROM yellow WHERE {_between('1996-01-01', '1996-06-30')}),
+       FROM yellow WHERE {_between('1996-01-01', '1996-06-30')}
+       UNION ALL
+       SELECT {RID5} AS unique_row_id, 'batch_1.parquet' AS filename, {YCOLS}
+       FROM yellow WHERE {_between('1996-03-01', '1996-03-31')}),
 b2 AS (SELECT {RID5} AS unique_row_id, 'batch_2.parquet' AS filename, {YCOLS}
        FROM yellow WHERE {_between('1996-04-01', '1996-09-30')}),
 b2_new AS (SELECT * FROM b2 WHERE unique_row_id NOT IN (SELECT unique_row_id FROM b1)),

@@ -138,6 +138,7 @@ def q_zone_count(spark, sf_dir):
 # ---- monthly load: row ids, insert-only merge, backfill --------------------------------
 
 BATCH_1 = ("1996-01-01", "1996-06-30")
+BATCH_1_REPEAT = ("1996-03-01", "1996-03-31")
 BATCH_2 = ("1996-04-01", "1996-09-30")
 BACKFILL = ("1996-01", "1996-03")
 _RUNS: dict[tuple, object] = {}
@@ -171,7 +172,9 @@ def merge_runs(spark, sf_dir):
         day = day_column(PICKUP)
         target = scratch_path(spark, "merge_target")
         ensure_table(spark, target, target_schema(YELLOW), partition_by=[day])
-        b1 = _batch(spark, sf_dir, BATCH_1, "batch_1.parquet")
+        # batch 1 carries March twice (a month delivered in two files): every copy is inserted
+        b1 = (_batch(spark, sf_dir, BATCH_1, "batch_1.parquet")
+              .unionByName(_batch(spark, sf_dir, BATCH_1_REPEAT, "batch_1.parquet")))
         b2 = _batch(spark, sf_dir, BATCH_2, "batch_2.parquet")
         kw = dict(prune=(PICKUP, day), partition_by=[day], schema=target_schema(YELLOW))
         n1 = merge_new(spark, target, b1, **kw)
@@ -452,7 +455,7 @@ def q_stream_months(spark, sf_dir):
     def run():
         target = scratch_path(spark, "stream_target")
         q = stream_months(spark, YELLOW, raw_zone(spark, sf_dir), target, scratch_path(spark, "stream_ckpt"),
-                          files_per_trigger=64)
+                          files_per_trigger=256)
         q.awaitTermination()
         return target
     target = _memo(spark, ("stream", sf_dir), run)
