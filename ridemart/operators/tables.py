@@ -96,9 +96,11 @@ def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
       file and row group covers a narrow range of the cluster columns and
       Parquet min/max statistics skip the rest.
 
-    The trailing deterministic row hash lets the range partitioner split a
-    hot (day, cluster) group across tasks; being deterministic, a task rerun
-    after an executor loss sends every row to the same place.
+    The trailing row hash and per-row id let the range partitioner split a
+    hot (day, cluster) group, identical rows included, across tasks. The id
+    is not a pure function of the row; after a lost executor Spark reruns
+    such an indeterminate shuffle stage as a whole, so no row is lost or
+    written twice.
     Returns the derived day column name (or None).
     """
     partition_by = None
@@ -109,10 +111,12 @@ def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
         partition_by = [day]
     order = ([day] if day else []) + list(cluster_by or [])
     if cluster_by:
-        spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        keys: list[Column] = [F.col(c) for c in order] + [spread]
+        cols = df.columns
+        # row hash, then a per-row id so even identical rows of a hot group spread out
+        df = df.withColumn("_spread", F.monotonically_increasing_id())
+        keys: list[Column] = [F.col(c) for c in order] + [F.xxhash64(*[F.col(c) for c in cols]), F.col("_spread")]
         df = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-        df = df.sortWithinPartitions(*order)
+        df = df.sortWithinPartitions(*order).drop("_spread")
     elif day:
         df = df.hint("rebalance", day).sortWithinPartitions(day)
     write_target(df, target, "overwrite", partition_by)

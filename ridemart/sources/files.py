@@ -178,8 +178,11 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
     x = df
     if order_by:
         rest = [c for c in df.columns if c not in order_by]
-        x = (x.repartitionByRange(*[F.col(c) for c in order_by], F.xxhash64(*[F.col(c) for c in df.columns]))
-              .sortWithinPartitions(*order_by, *rest))
+        # hash, then a per-row id: identical rows (a hot "key" of raw duplicates) still spread out
+        x = x.withColumn("_spread", F.monotonically_increasing_id())
+        x = (x.repartitionByRange(*[F.col(c) for c in order_by], F.xxhash64(*[F.col(c) for c in df.columns]),
+                                  F.col("_spread"))
+              .sortWithinPartitions(*order_by, *rest).drop("_spread"))
     x = x.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))

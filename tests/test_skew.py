@@ -60,3 +60,18 @@ def test_merge_hot_key(spark, scratch):
     assert merge_new(spark, target, batch, **kw) == 3000  # all in-batch copies of a new key
     assert merge_new(spark, target, batch, **kw) == 0
     assert read_target(spark, target, target_schema(YELLOW)).count() == 3000
+
+
+def test_identical_rows_spread_over_range_tasks(spark):
+    from ridemart.sources.files import with_row_index
+    df = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # measure the partitioner itself
+    try:
+        out = with_row_index(df, ["v"])
+        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in per_task) < 3000  # the 3000 identical rows do not share one task
+    got = out.orderBy("index").collect()
+    assert [r["index"] for r in got] == list(range(9000))
+    assert [r.v for r in got] == sorted(r.v for r in df.collect())
