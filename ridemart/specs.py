@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(38, 9)  # warehouse NUMERIC: precision 38, scale 9
 
-# Fixed values that must equal the reference's for right results.
+# Fixed values that must equal the original pipeline's for right results.
 # Payment type codes and their descriptions; anything else (NULL, 0, unknown) is 'EMPTY'.
 PAYMENT_TYPE_DESCRIPTIONS = {
     1: "Credit card",
