@@ -161,7 +161,9 @@ def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "un
     side's pickup is NULL, so when the batch has no NULL pickup the target is
     restricted to the batch's day range plus NULL-day rows, and directory
     pruning skips every other day. With NULL pickups in the batch the whole
-    target is compared. Returns the number of rows inserted.
+    target is compared. Like the row ids themselves (timestamp text), this
+    assumes every load runs in the same session time zone (UTC here).
+    Returns the number of rows inserted.
     """
     existing = read_target(spark, target, schema)
     if prune is not None:

@@ -124,10 +124,11 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
     base = f"{root.rstrip('/')}/{spec.name}"
     if month is not None:
         path = raw_month_path(root, spec, month)
+        sized = df.hint("rebalance")  # file count follows the data size, not the input splits
         if fmt == "csv":
-            write_csv(df, path)
+            write_csv(sized, path)
         else:
-            df.write.mode("overwrite").parquet(path)
+            sized.write.mode("overwrite").parquet(path)
         return path
     x = df.withColumn("month", F.date_format(F.col(spec.pickup), "yyyy-MM"))
     # REBALANCE: AQE sizes the write tasks from real data, splitting a hot
