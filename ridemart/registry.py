@@ -292,7 +292,7 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 def q_gzip_scan(spark, sf_dir):
-    return io.read_trips_csv(spark, _yellow_files(spark, sf_dir, True) + "/*.csv.gz", YELLOW, repartition=8)
+    return io.read_trips_csv(spark, _yellow_files(spark, sf_dir, True) + "/*.csv.gz", YELLOW)
 
 
 def q_parquet_glob(spark, sf_dir):

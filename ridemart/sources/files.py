@@ -29,18 +29,25 @@ def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
-                   repartition: int | None = None) -> DataFrame:
+                   repartition: int | str | None = "auto") -> DataFrame:
     """CSV scan with the declared raw schema.
 
     Columns map by position, one header row is skipped, extra trailing
     columns are dropped (PERMISSIVE), values are cast with ANSI casts.
     ``path`` may be a file, a glob or a list of globs; ``.csv.gz`` is read
-    through the codec picked from the extension.
+    through the codec picked from the extension. A gzip file cannot be
+    split, so one large file is one scan task; with ``repartition='auto'``
+    gzip input is rebalanced right after the scan (a ``REBALANCE`` that AQE
+    cuts into advisory-sized partitions), so every later stage runs wide.
     """
     df = (spark.read.schema(_as_text_schema(spec.raw_schema))
           .option("header", True).option("mode", "PERMISSIVE").csv(path))
-    if repartition:
-        df = df.repartition(repartition)
+    paths = [path] if isinstance(path, str) else list(path)
+    if repartition == "auto":
+        if any(".gz" in p for p in paths):
+            df = df.hint("rebalance")
+    elif repartition:
+        df = df.repartition(int(repartition))
     return _cast_to(df, spec.raw_schema)
 
 
