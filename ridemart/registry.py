@@ -13,16 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
-from ridemart.operators.staging import stage_trips
 from ridemart.operators import checks as Q
 from ridemart.operators import ml
-from ridemart.operators.staging import preview
+from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
+from ridemart.operators.staging import preview, stage_trips
 from ridemart.operators.tables import day_column, ensure_table, materialize, merge_new, partition_stats, stamp_rows
-from ridemart.plans.pipeline import backfill, build, load_month_staged, target_schema
-from ridemart.sources import files as io
 from ridemart.operators.warehouse import count_trips, distinct_vendors, sql, trip_extent
+from ridemart.plans.pipeline import backfill, build, load_month_staged, target_schema
 from ridemart.session import scratch_path
+from ridemart.sources import files as io
 from ridemart.sources import testbed
 from ridemart.specs import GREEN, YELLOW, Config
 
