@@ -79,18 +79,24 @@ JUNE = ("1996-06-01", "1996-06-30")
 LONG_RANGE = ("1996-06-01", "1997-12-31")
 PICKUP = YELLOW.pickup
 _LAYOUTS: dict[tuple, tuple[str, str | None]] = {}
+_LAYOUT_FRAMES: dict[tuple, DataFrame] = {}
 
 
 def yellow_layout(spark: SparkSession, sf_dir: str, day_of_col: str | None = None,
                   cluster_by: tuple[str, ...] = ()) -> tuple[DataFrame, str | None]:
-    """Yellow raw trips written once per session in the requested layout (T3-T5), read back."""
+    """Yellow raw trips written once per session in the requested layout (T3-T5), read back.
+
+    The read-back frame is kept too: its file index holds the listing of the
+    (thousands of) day folders, so later queries on the same table prune from
+    that index instead of listing the folders again, as a warehouse table would.
+    """
     k = (spark.sparkContext.applicationId, sf_dir, day_of_col, cluster_by)
     if k not in _LAYOUTS:
         path = scratch_path(spark, "yellow_layout")
         day = materialize(testbed.yellow(spark, sf_dir), path, day_of_col, list(cluster_by) or None)
         _LAYOUTS[k] = (path, day)
-    path, day = _LAYOUTS[k]
-    return spark.read.parquet(path), day
+        _LAYOUT_FRAMES[k] = spark.read.parquet(path)
+    return _LAYOUT_FRAMES[k], _LAYOUTS[k][1]
 
 
 def q_distinct_vendors_unpartitioned(spark, sf_dir):
