@@ -115,7 +115,10 @@ def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
         # row hash, then a per-row id so even identical rows of a hot group spread out
         df = df.withColumn("_spread", F.monotonically_increasing_id())
         keys: list[Column] = [F.col(c) for c in order] + [F.xxhash64(*[F.col(c) for c in cols]), F.col("_spread")]
-        df = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+        # an explicit count: AQE would otherwise merge neighbouring ranges of a small
+        # table into a couple of tasks, each writing thousands of day folders serially
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *keys)
         df = df.sortWithinPartitions(*order).drop("_spread")
     elif day:
         df = df.hint("rebalance", day).sortWithinPartitions(day)
