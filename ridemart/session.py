@@ -24,12 +24,16 @@ def session_conf(task_slots: int, shuffle_partitions: int) -> dict[str, str]:
     ``task_slots`` is the number of executor cores. Partition discovery of a
     table with thousands of day folders otherwise launches one listing task
     per folder; a bound of a few waves over the cores lists the same folders
-    with far fewer tasks.
+    with far fewer tasks. A small coalescing floor keeps a modest batch that
+    feeds a day-partitioned write spread over the cores: every writer task
+    opens one file per day it holds, and that per-file cost, not the bytes,
+    dominates such writes.
     """
     return {
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(max(2 * task_slots, 8)),
