@@ -75,3 +75,23 @@ def test_identical_rows_spread_over_range_tasks(spark):
     got = out.orderBy("index").collect()
     assert [r["index"] for r in got] == list(range(9000))
     assert [r.v for r in got] == sorted(r.v for r in df.collect())
+
+
+def test_clustered_write_splits_hot_day_over_requested_ranges(spark, scratch):
+    import glob
+    from datetime import datetime
+
+    from ridemart.operators.tables import materialize
+    from ridemart.session import local_dir
+    from ridemart.specs import YELLOW
+    from tests.test_models import raw
+
+    hot = [dict(VendorID=1, **{YELLOW.pickup: datetime(2019, 6, 1), "trip_distance": float(i)}) for i in range(3000)]
+    cold = [dict(VendorID=2, **{YELLOW.pickup: datetime(2019, 6, d)}) for d in range(2, 12)]
+    target = scratch("clustered")
+    day = materialize(raw(spark, YELLOW, hot + cold), target, YELLOW.pickup, ["VendorID"], num_partitions=4)
+    files = glob.glob(f"{local_dir(target)}/*/*.parquet")
+    hot_files = [f for f in files if f"/{day}=2019-06-01/" in f]
+    assert len(hot_files) > 1                 # the hot (day, vendor) group is split over tasks
+    assert len(files) <= 11 + 4               # one file per day, plus at most one split per range
+    assert spark.read.parquet(target).count() == 3010
