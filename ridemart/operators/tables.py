@@ -48,11 +48,19 @@ def with_comments(schema: T.StructType, comments: dict[str, str]) -> T.StructTyp
 
 
 def ensure_table(spark: SparkSession, target: str, schema: T.StructType,
-                 partition_by: list[str] | None = None) -> None:
-    """Create an empty typed table if it does not exist yet (T1). Existing data is kept."""
+                 partition_by: list[str] | None = None, location: str | None = None) -> None:
+    """Create an empty typed table if it does not exist yet (T1). Existing data is kept.
+
+    A catalog table (``target`` without '/') may be given a ``location``, e.g. a
+    folder under the shared ``spark.checkpoint.dir``; its day partitions are
+    then tracked by the catalog, so a day-restricted read (the merge) lists
+    only the selected day folders instead of the whole table.
+    """
     empty = spark.createDataFrame([], schema)
     if is_path(target):
         _writer(empty, "ignore", partition_by).save(target)
+    elif location:
+        _writer(empty, "ignore", partition_by).option("path", location).saveAsTable(target)
     else:
         _writer(empty, "ignore", partition_by).saveAsTable(target)
 

@@ -85,3 +85,28 @@ def test_names_and_months():
     assert target_name(GREEN, "2019-04", per="month") == "green_taxi_2019_04"
     assert months_between("2019-11", "2020-02") == ["2019-11", "2019-12", "2020-01", "2020-02"]
     assert len(months_between("2019-01", "2020-12")) == 24
+
+
+def test_merge_into_catalog_table_lists_only_selected_days(spark, scratch):
+    import io
+    from contextlib import redirect_stdout
+
+    name = "merge_catalog_target"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ensure_table(spark, name, target_schema(YELLOW), partition_by=[DAY], location=scratch("tbl"))
+    rows = [{YELLOW.pickup: datetime(2019, 6, d), "VendorID": 1} for d in range(1, 21)]
+    assert merge_new(spark, name, _batch(spark, rows), prune=(YELLOW.pickup, DAY), partition_by=[DAY],
+                     schema=target_schema(YELLOW)) == 20
+    more = [{YELLOW.pickup: datetime(2019, 6, d), "VendorID": 1} for d in range(15, 26)]
+    assert merge_new(spark, name, _batch(spark, more), prune=(YELLOW.pickup, DAY), partition_by=[DAY],
+                     schema=target_schema(YELLOW)) == 5
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 25
+    few = read_target(spark, name).where(F.col(DAY).between(F.to_date(F.lit("2019-06-03")),
+                                                            F.to_date(F.lit("2019-06-05"))))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        few.explain("formatted")
+    location = [ln for ln in buf.getvalue().splitlines() if ln.startswith("Location:")][0]
+    assert "2019-06-03" in location and "2 entries" in location  # 3 day folders listed, not 25
+    assert few.count() == 3 and spark.table(name).count() == 25
+    spark.sql(f"DROP TABLE {name}")
