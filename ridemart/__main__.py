@@ -57,7 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ridemart-{args.cmd}").getOrCreate()
-    from ridemart.session import ensure_checkpoint_dir
+    from ridemart.session import ensure_checkpoint_dir, pin_time_zone
+    pin_time_zone(spark)
     ensure_checkpoint_dir(spark)
 
     if args.cmd == "build":

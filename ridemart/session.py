@@ -58,6 +58,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def pin_time_zone(spark: SparkSession, default: str = "UTC") -> str:
+    """Keep the time zone named at submit time; otherwise use ``default``.
+
+    Row ids hash the timestamp text and the merge prunes by pickup day, so all
+    loads into one target must format timestamps in the same zone. A session
+    whose zone was left to the machine's clock setting gets ``default``.
+    """
+    key = "spark.sql.session.timeZone"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, default)
+    return spark.conf.get(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset."""
     base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()

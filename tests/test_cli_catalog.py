@@ -31,3 +31,9 @@ def test_cli_land_and_backfill(spark, scratch, capsys):
           "--raw-root", raw, "--target", target])
     again = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert again == {"1996-01": 0, "1996-02": 0}
+
+
+def test_time_zone_named_at_submit_is_kept(spark):
+    from ridemart.session import pin_time_zone
+    assert pin_time_zone(spark, default="America/New_York") == "UTC"  # the test session names UTC
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
