@@ -88,14 +88,14 @@ def day_column(ts_col: str) -> str:
     return f"{ts_col}_day"
 
 
-def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
-                cluster_by: list[str] | None = None, num_partitions: int | None = None) -> str | None:
-    """Create-or-replace a table from ``df`` (T3), partitioned by day (T4), clustered (T5).
+def layout_frame(df: DataFrame, day_of_col: str | None = None, cluster_by: list[str] | None = None,
+                 num_partitions: int | None = None) -> tuple[DataFrame, str | None]:
+    """The frame ``materialize`` writes, with its derived day column (or None).
 
     * ``day_of_col``: a timestamp column; a ``<col>_day`` DATE column is added
       and used as the directory partition, so date filters prune directories.
-      Without clustering the write is a ``REBALANCE`` on the day: AQE cuts
-      the shuffle output into advisory-sized tasks, so a hot day is split
+      Without clustering the rows go through a ``REBALANCE`` on the day: AQE
+      cuts the shuffle output into advisory-sized tasks, so a hot day is split
       over several tasks and small days share one.
     * ``cluster_by``: columns to cluster within each day. Rows are
       range-partitioned on (day, cluster..., row hash) into ``num_partitions``
@@ -109,14 +109,11 @@ def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
     is not a pure function of the row; after a lost executor Spark reruns
     such an indeterminate shuffle stage as a whole, so no row is lost or
     written twice.
-    Returns the derived day column name (or None).
     """
-    partition_by = None
     day = None
     if day_of_col:
         day = day_column(day_of_col)
         df = df.withColumn(day, day_of(day_of_col))
-        partition_by = [day]
     order = ([day] if day else []) + list(cluster_by or [])
     if cluster_by:
         cols = df.columns
@@ -130,7 +127,17 @@ def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
         df = df.sortWithinPartitions(*order).drop("_spread")
     elif day:
         df = df.hint("rebalance", day).sortWithinPartitions(day)
-    write_target(df, target, "overwrite", partition_by)
+    return df, day
+
+
+def materialize(df: DataFrame, target: str, day_of_col: str | None = None,
+                cluster_by: list[str] | None = None, num_partitions: int | None = None) -> str | None:
+    """Create-or-replace a table from ``df`` (T3), partitioned by day (T4), clustered (T5).
+
+    The layout is ``layout_frame``'s. Returns the derived day column name (or None).
+    """
+    out, day = layout_frame(df, day_of_col, cluster_by, num_partitions)
+    write_target(out, target, "overwrite", [day] if day else None)
     return day
 
 
