@@ -100,3 +100,16 @@ def test_plan_shapes(spark, scratch):
     assert day in q.columns
     scan = q._jdf.queryExecution().sparkPlan().toString()
     assert "PartitionFilters: [isnotnull" in scan and day in scan.split("PartitionFilters")[1][:200]
+
+
+def test_layout_write_plans(spark):
+    from ridemart.operators.tables import layout_frame
+
+    y = testbed.yellow(spark, SF_SMALL)
+    day_only, day = layout_frame(y, YELLOW.pickup)
+    plan = day_only._jdf.queryExecution().sparkPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and f"hashpartitioning({day}" in plan
+    clustered, _ = layout_frame(y, YELLOW.pickup, ["VendorID"], num_partitions=5)
+    plan = clustered._jdf.queryExecution().sparkPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and f"rangepartitioning({day}" in plan and "xxhash64(" in plan
+    assert clustered.rdd.getNumPartitions() == 5      # the requested ranges, not merged by AQE
