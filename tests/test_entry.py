@@ -12,7 +12,7 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(E.QUERIES) - set(E.oracle_sql())
     assert rows_only == {"tip_model_predict", "tip_model_explain", "tip_model_tuned", "score_instances"}
 
 
