@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import decontaminate, pii, repetition
+from ridemart.llm import decontaminate, merge_dropout, pii, repetition, shards
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
@@ -15,6 +15,10 @@ def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdict(repetition.repetition(table(spark, sf_dir, "documents")))
 
 
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.materialise_order(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"),
                                                             table(spark, sf_dir, "benchmark")))
@@ -24,6 +28,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.digest(merge_dropout.decode(merge_dropout.encode(table(spark, sf_dir, "documents"))))
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op9_pii that SQL on another engine can express."""
     return op9_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
@@ -31,7 +39,9 @@ def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repetition": op3_repetition,
+    "op4_shards": op4_shards,
     "op5_decontaminate": op5_decontaminate,
     "op9_pii": op9_pii,
+    "op10_merge_dropout": op10_merge_dropout,
     "pii_base": pii_base,
 }

@@ -210,3 +210,69 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     """list<kind> column from concatenated values and the number of them in each row."""
     off = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(values, kind))
+
+
+class Units:
+    """Texts cut before every run of spaces (and around line feeds): pieces that never share a token.
+
+    Every text is first given one leading space. ``index`` numbers the units
+    of the slice by distinct content; ``first`` gives each text's unit range.
+    """
+
+    def __init__(self, t: Texts, salt: np.ndarray | None = None):
+        n, m = len(t.data), t.n
+        doc = np.repeat(np.arange(m), np.diff(t.off))
+        buf = np.full(n + m, 0x20, np.uint8)
+        buf[np.arange(n) + doc + 1] = t.data
+        off = t.off + np.arange(m + 1)
+        cut = np.zeros(n + m + 1, bool)
+        space = buf == 0x20
+        cut[:-1] = space
+        cut[1:-1] &= ~space[:-1]
+        feed = np.flatnonzero(buf == 0x0A)
+        cut[feed] = cut[feed + 1] = True
+        cut[off] = True
+        edge = np.flatnonzero(cut)
+        self.buf, self.start, self.end = buf, edge[:-1], edge[1:]
+        self.first = np.searchsorted(self.start, off)
+        self.first[-1] = len(self.start)
+        h = SpanHash(buf)(self.start, self.end)
+        if salt is not None:                # texts with another salt get other units
+            h = mix(h ^ np.repeat(salt, np.diff(self.first)))
+        self.key, at, self.index = np.unique(h, return_index=True, return_inverse=True)
+        self.example = at
+
+    def content(self, i: int) -> bytes:
+        a = self.example[i]
+        return self.buf[self.start[a]:self.end[a]].tobytes()
+
+
+class Pieces:
+    """Texts cut before every single space between two other characters, where byte-level BPE always starts a piece."""
+
+    def __init__(self, t: Texts):
+        buf, n = t.data, len(t.data)
+        blank = np.isin(buf, np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], np.uint8)) | (buf >= 0x80)
+        cut = np.zeros(n + 1, bool)
+        if n > 2:       # next to a non-ASCII byte (it may be a wide blank) nothing is cut
+            cut[1:n - 1] = (buf[1:-1] == 0x20) & ~blank[:-2] & ~blank[2:]
+        cut[t.off] = True
+        edge = np.flatnonzero(cut)
+        self.buf, self.start, self.end = buf, edge[:-1], edge[1:]
+        if not n:
+            self.start = self.end = np.zeros(0, np.int64)
+        self.first = np.searchsorted(self.start, t.off)
+        self.first[t.off >= n] = len(self.start)
+        self.key, self.example, self.index = np.unique(SpanHash(buf)(self.start, self.end), return_index=True,
+                                                       return_inverse=True)
+
+    content = Units.content
+
+
+def gather(values: np.ndarray, off: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Concatenation of values[off[i]:off[i+1]] for i in index, and the length of each part."""
+    size = np.diff(off)[index]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total) + np.repeat(off[index] - (ends - size), size)
+    return values[at], size
