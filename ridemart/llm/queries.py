@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import decontaminate, merge_dropout, pii, repetition, shards
+from ridemart.llm import crf_language, decontaminate, merge_dropout, pii, repetition, shards
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_language.identify_all(table(spark, sf_dir, "documents"))
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdict(repetition.repetition(table(spark, sf_dir, "documents")))
 
@@ -38,6 +42,7 @@ def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_crf_language": op2_crf_language,
     "op3_repetition": op3_repetition,
     "op4_shards": op4_shards,
     "op5_decontaminate": op5_decontaminate,
