@@ -50,3 +50,10 @@ def slim(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def task_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th, doc_id, text): rows that agree on (id, th) are repeated rows and get equal results."""
+    return slim(docs, id_col, text_col).select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"))

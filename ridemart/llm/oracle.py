@@ -59,3 +59,21 @@ SELECT d.doc_id, """ + ", ".join(f"count(*) FILTER (kind = '{k[0]}') AS n_{k[0]}
        sha256(coalesce(string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, k), '')) AS base_sha256
 FROM documents d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
 """
+
+# Bytes are pairs of hexadecimal digits; a window's 800 digits are compared by their hash.
+ORACLE["op7_suffix_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+p AS (SELECT r, unnest(range(0, length(x) // 2 - 399)) AS i FROM d WHERE length(x) >= 800),
+w AS (SELECT r, i, md5_number(substr(x, 2 * i + 1, 800)) AS h FROM p JOIN d USING (r)),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS c FROM w) WHERE c > 1),
+edge AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -1000) + 400 AS fresh FROM hit),
+run AS (SELECT r, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY r ORDER BY i) AS g FROM edge),
+span AS (SELECT r, g, min(i) AS a, max(i) + 400 AS z FROM run GROUP BY r, g),
+gap AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS p FROM span),
+kept AS (SELECT r, string_agg(substr(x, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS front, max(z) AS z, sum(z - a) AS gone,
+                count(*) AS n FROM gap JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(x, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import crf_language, decontaminate, merge_dropout, pii, repetition, shards
+from ridemart.llm import crf_language, decontaminate, merge_dropout, pii, repetition, shards, suffix_dedup
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
@@ -28,6 +28,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                             table(spark, sf_dir, "benchmark")))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repetition": op3_repetition,
     "op4_shards": op4_shards,
     "op5_decontaminate": op5_decontaminate,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_pii": op9_pii,
     "op10_merge_dropout": op10_merge_dropout,
     "pii_base": pii_base,

@@ -59,8 +59,8 @@ LOWER[0x41:0x5B] += 32
 class Texts:
     """Some consecutive texts of a batch as one byte buffer; null counts as empty."""
 
-    def __init__(self, arr: pa.Array):
-        arr = arr.cast(pa.large_string())
+    def __init__(self, arr: pa.Array, binary: bool = False):
+        arr = arr.cast(pa.large_binary() if binary else pa.large_string())
         if arr.null_count:
             arr = arr.fill_null("")
         _, offs, data = arr.buffers()

@@ -80,3 +80,65 @@ def pii_base(text):
              for m in re.finditer(rx, t) if ok(m.group())]
     found.sort()
     return [sum(f[1] == k for f in found) for k in range(4)], sha(",".join(f"{n}:{b}:{e}" for b, _, e, n in found))
+
+
+def repeated_bytes(texts, size):
+    """n_bytes, n_removed, n_spans, kept hash of each text."""
+    raw = [(t or "").encode() for t in texts]
+    at = {}
+    for d, b in enumerate(raw):
+        for i in range(len(b) - size + 1):
+            at.setdefault(b[i:i + size], []).append((d, i))
+    gone = [[False] * len(b) for b in raw]
+    for places in at.values():
+        if len(places) > 1:
+            for d, i in places:
+                gone[d][i:i + size] = [True] * size
+    out = []
+    for b, g in zip(raw, gone):
+        spans = sum(x and not (i and g[i - 1]) for i, x in enumerate(g))
+        out.append((len(b), sum(g), spans, sha(bytes(c for c, x in zip(b, g) if not x))))
+    return out
+
+
+def earlier_windows(rows, size=13):
+    """n_words, n_removed, kept hash of each (doc_id, text) row; a null id comes after all others."""
+    key = lambda i: (i is None, i or 0)
+    first = {}
+    words = [BLANK.findall(t or "") for _, t in rows]
+    for (i, _), w in zip(rows, words):
+        for j in range(len(w) - size + 1):
+            x = tuple(w[j:j + size])
+            first[x] = min(first.get(x, key(i)), key(i))
+    out = []
+    for (i, _), w in zip(rows, words):
+        gone = set()
+        for j in range(len(w) - size + 1):
+            if first[tuple(w[j:j + size])] < key(i):
+                gone.update(range(j, j + size))
+        out.append((len(w), len(gone), sha(" ".join(x for j, x in enumerate(w) if j not in gone))))
+    return out
+
+
+def shingle_set(text, k=5):
+    w = BLANK.findall(lower_ascii(text or ""))
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def components(rows, percent=80):
+    """n_shingles and component id of each (doc_id, text) row."""
+    sets = [shingle_set(t) for _, t in rows]
+    label = list(range(len(rows)))
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                label[root(a)] = root(b)
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            low[root(i)] = min(low.get(root(i), d), d)
+    return [(len(s), low.get(root(i))) for i, s in enumerate(sets)]
