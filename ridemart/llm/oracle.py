@@ -77,3 +77,18 @@ SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0)
        sha256(unhex(coalesce(front, '') || substr(x, 2 * coalesce(z, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+ORACLE["op8_lz_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, doc_id, i, md5_number(array_to_string(w[i:i + 12], ' ')) AS h
+      FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+hit AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY h) AS least FROM g) WHERE least < doc_id),
+gone AS (SELECT DISTINCT r, i + j AS p FROM hit, range(0, 13) t(j)),
+word AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n FROM word ANTI JOIN gone USING (r, p) GROUP BY r),
+edge AS (SELECT r, i - coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -9) > 1 AS fresh FROM hit),
+runs AS (SELECT r, count(*) FILTER (fresh) AS f FROM edge GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256, CAST(coalesce(f, 0) AS BIGINT) AS n_factors
+FROM d LEFT JOIN kept USING (r) LEFT JOIN runs USING (r)
+"""

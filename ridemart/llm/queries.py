@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import crf_language, decontaminate, merge_dropout, pii, repetition, shards, suffix_dedup
+from ridemart.llm import crf_language, decontaminate, lz_dedup, merge_dropout, pii, repetition, shards, suffix_dedup
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
@@ -32,6 +32,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op8_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_dedup.digest(lz_dedup.remove_earlier(table(spark, sf_dir, "documents")))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
     "op5_decontaminate": op5_decontaminate,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_lz_dedup": op8_lz_dedup,
     "op9_pii": op9_pii,
     "op10_merge_dropout": op10_merge_dropout,
     "pii_base": pii_base,

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from ridemart.llm import suffix_dedup
+from ridemart.llm import lz_dedup, suffix_dedup
 from tests.llm import brute
 from tests.llm.test_narrow import awkward, frame, words
 
@@ -41,3 +41,30 @@ def test_byte_dedup_repeated_rows_and_ids(spark):
     want = brute.repeated_bytes(texts, 20)
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
     assert suffix_dedup.remove_repeats(frame(spark, texts).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [600, 1 << 20])
+def test_earlier_blocks_match_brute_force(spark, chunk):
+    rng = random.Random(chunk)
+    texts = copies(rng) + awkward() + [words(rng, 200, 3)] * 2
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    ids[3] = ids[40] = None
+    ids[5] = ids[6] = ids[7] = ids[20]
+    got = lz_dedup.digest(lz_dedup.remove_earlier(frame(spark, texts, ids).repartition(4), chunk_bytes=chunk, bucket_bytes=chunk)).collect()
+    want = brute.earlier_windows(list(zip(ids, texts)))
+    assert (sorted(((r.doc_id is None, r.doc_id or 0), r.n_words, r.n_removed, r.kept_sha256) for r in got)
+            == sorted(((i is None, i or 0), *w) for i, w in zip(ids, want)))
+
+
+def test_earlier_blocks_with_one_id_on_a_third_of_the_rows(spark):
+    rng = random.Random(3)
+    texts = copies(rng)
+    ids = [7 if i % 3 == 0 else i for i in range(len(texts))]
+    got = lz_dedup.remove_earlier(frame(spark, texts, ids), chunk_bytes=500, bucket_bytes=2_000)
+    want = brute.earlier_windows(list(zip(ids, texts)))
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in lz_dedup.digest(got).collect()) == sorted(
+        (i, *w) for i, w in zip(ids, want))
+    factors = [(r.n_words, f) for r in got.collect() for f in r.factors]
+    assert factors and all(f.length >= 13 and f.start + f.length <= n for n, f in factors)
+    assert lz_dedup.remove_earlier(frame(spark, texts).limit(0)).count() == 0
