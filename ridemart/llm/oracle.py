@@ -92,3 +92,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
        sha256(coalesce(k, '')) AS kept_sha256, CAST(coalesce(f, 0) AS BIGINT) AS n_factors
 FROM d LEFT JOIN kept USING (r) LEFT JOIN runs USING (r)
 """
+
+ORACLE["op6_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(min(y), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = d.doc_id GROUP BY d.doc_id, n
+"""
+
+# Candidates share a word of both prefixes (rarest words first); every candidate pair is then counted in full.
+ORACLE["op1_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
+           FROM (SELECT doc_id, unnest(p) AS line, unnest(range(1, len(p) + 1)) AS i
+                 FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL))),
+node AS (SELECT line, any_value(list_distinct(w)) AS w, min((doc_id, i)) AS first FROM l WHERE len(w) > 0 GROUP BY line),
+word AS (SELECT line, len(w) AS n, unnest(w) AS t FROM node),
+df AS (SELECT t, count(*) AS c FROM word GROUP BY t),
+pre AS (SELECT line, t FROM (SELECT line, n, t, row_number() OVER (PARTITION BY line ORDER BY c, t) AS r FROM word JOIN df USING (t))
+        WHERE r <= n - (4 * n + 4) // 5 + 1),
+cand AS (SELECT DISTINCT a.line AS x, b.line AS y FROM pre a JOIN pre b USING (t) WHERE a.line <> b.line),
+sim AS (SELECT y FROM cand JOIN node a ON a.line = x JOIN node b ON b.line = y
+        WHERE a.first < b.first AND 100 * len(list_intersect(a.w, b.w)) >= 80 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w)))),
+gone AS (SELECT doc_id, i FROM l JOIN node USING (line)
+         WHERE (doc_id, i) <> first OR line IN (SELECT y FROM sim)),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS k, count(*) AS n FROM l ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+total AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.n, 0) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM documents d LEFT JOIN total t USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import crf_language, decontaminate, lz_dedup, merge_dropout, pii, repetition, shards, suffix_dedup
+from ridemart.llm import crf_language, decontaminate, line_dedup, lz_dedup, merge_dropout, ngram_join, pii, repetition, shards, suffix_dedup
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_language.identify_all(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                             table(spark, sf_dir, "benchmark")))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(ngram_join.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -50,10 +58,12 @@ def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_crf_language": op2_crf_language,
     "op3_repetition": op3_repetition,
     "op4_shards": op4_shards,
     "op5_decontaminate": op5_decontaminate,
+    "op6_ngram_join": op6_ngram_join,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_lz_dedup": op8_lz_dedup,
     "op9_pii": op9_pii,

@@ -142,3 +142,21 @@ def components(rows, percent=80):
         if d is not None:
             low[root(i)] = min(low.get(root(i), d), d)
     return [(len(s), low.get(root(i))) for i, s in enumerate(sets)]
+
+
+def earlier_lines(rows, percent=80):
+    """Text of each (doc_id, text) row without the lines that match an earlier line; needs distinct doc_ids."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
+    seen, out = [], [None] * len(rows)
+    for i in order:
+        if rows[i][1] is None:
+            continue
+        keep = []
+        for line in rows[i][1].split("\n"):
+            s = set(BLANK.findall(line))
+            if not s or not any(100 * len(s & t) >= percent * len(s | t) for t in seen):
+                keep.append(line)
+            if s:
+                seen.append(s)
+        out[i] = "\n".join(keep)
+    return out

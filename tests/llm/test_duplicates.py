@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from ridemart.llm import lz_dedup, suffix_dedup
+from ridemart.llm import line_dedup, lz_dedup, ngram_join, suffix_dedup
 from tests.llm import brute
 from tests.llm.test_narrow import awkward, frame, words
 
@@ -68,3 +68,87 @@ def test_earlier_blocks_with_one_id_on_a_third_of_the_rows(spark):
     factors = [(r.n_words, f) for r in got.collect() for f in r.factors]
     assert factors and all(f.length >= 13 and f.start + f.length <= n for n, f in factors)
     assert lz_dedup.remove_earlier(frame(spark, texts).limit(0)).count() == 0
+
+
+def line_texts(rng):
+    lines = [words(rng, rng.randrange(1, 45), 3_000) for _ in range(60)]
+    out = []
+    for _ in range(40):
+        doc = []
+        for _ in range(rng.randrange(1, 9)):
+            x = rng.choice(lines).split()
+            for _ in range(rng.randrange(4) * rng.randrange(2)):
+                x[rng.randrange(len(x))] = words(rng, 1, 3_000)
+            if rng.random() < .3:
+                rng.shuffle(x)
+            doc.append("  ".join(x) if rng.random() < .2 else " ".join(x))
+        out.append("\n".join(doc))
+    variant = words(rng, 30, 3_000)
+    out += ["\n".join([variant + f" v{i}", "a b c", "b c a", "the same line here"]) for i in range(40)]
+    return out + [None, "", "\n\n \n", "x\r\nx\r\ny", "q" * 9_000]
+
+
+def test_line_dedup_matches_brute_force(spark):
+    rng = random.Random(12)
+    texts = line_texts(rng) + awkward()
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    ids[4] = None
+    df = frame(spark, texts, ids).withColumnRenamed("row", "_lines2")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(df).collect()}
+    want = brute.earlier_lines(list(zip(ids, texts)))
+    for i, t, w in zip(ids, texts, want):
+        assert got[i].text == w, (i, t)
+        assert got[i].kept == "x" and got[i].h == "z"
+        assert (got[i]._lines.n_removed == 0) == (w == t)
+
+
+def test_line_dedup_repeated_rows(spark):
+    rows = [(1, "one line here\nother line"), (1, "one line here\nother line"), (1, "one line here"), (2, "other line\nnew"), (2, None), (None, "new")]
+    df = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = sorted(((r.doc_id is None, r.doc_id or 0), "-" if r.text is None else r.text) for r in line_dedup.dedup_lines(df).collect())
+    one = {t for (null, i), t in got if not null and i == 1}
+    assert ((True, 0), "new") in got and ((False, 2), "-") in got and ((False, 2), "") in got
+    assert len(got) == 6 and one in ({"one line here\nother line", ""}, {"other line", "one line here"})
+    assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def near_copies(rng):
+    base = [words(rng, rng.randrange(1, 90), 5_000).split() for _ in range(25)]
+    rows = []
+    for _ in range(90):
+        x = list(rng.choice(base))
+        for _ in range(rng.randrange(5)):
+            x[rng.randrange(len(x))] = words(rng, 1, 5_000)
+        rows.append(" ".join(x[rng.randrange(3):]))
+    family = words(rng, 80, 5_000).split()
+    for i in range(60):                                  # more than a short list holds
+        x = list(family)
+        x[i % 80] = f"v{i}"
+        rows.append(" ".join(x))
+    for i in range(12):                                  # a chain whose ends do not link
+        family = family[4:] + words(rng, 4, 5_000).split()
+        rows.append(" ".join(family))
+    return rows + [None, "", "  ", "one", "One", "a b c d", "A b  c\nd", "same words " * 30, "same words " * 20]
+
+
+def test_near_duplicates_match_brute_force(spark):
+    rng = random.Random(21)
+    texts = near_copies(rng) + awkward()
+    ids = [3 * i for i in range(len(texts))]
+    rng.shuffle(ids)
+    ids[0] = None
+    ids[7] = ids[8] = ids[9]
+    got = ngram_join.digest(ngram_join.near_duplicates(frame(spark, texts, ids))).collect()
+    want = brute.components(list(zip(ids, texts)))
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(((i, *w) for i, w in zip(ids, want)), key=key)
+
+
+def test_near_duplicates_with_hot_lists(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_LIST", 20)
+    rng = random.Random(22)
+    texts = near_copies(rng)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.digest(ngram_join.near_duplicates(frame(spark, texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.components(list(enumerate(texts)))
+    assert ngram_join.near_duplicates(frame(spark, texts).limit(0)).count() == 0
