@@ -18,8 +18,9 @@ repeats in other surroundings go to the second round: one copy of each
 distinct run is fetched, all its starts are ranked by pairs (h bytes, h bytes
 further on) and compared with the others of the same sampled rank.
 
-Ranks are 64-bit hashes; they are grouped with map-side counting, so the
-strings of a very large group of copies cost a row for each task. The second
+Ranks are 64-bit hashes; what repeats inside a task's slice is settled there,
+and counts are added up on the map side, so a very large group of copies or a
+periodic text costs a row for each slice. The second
 round of a rank with very many distinct surroundings runs as a Spark
 aggregation of single starts instead of inside one task.
 
@@ -41,7 +42,7 @@ from ridemart.llm.frames import keyed, materialize
 THRESHOLD = 400
 HOT_RUNS = 5_000          # distinct surroundings of one rank that a task may hold
 
-RUNS = "id long, th long, rank long, body long, start int, n int"
+RUNS = "id long, th long, rank long, body long, start int, n int, times int"
 BLOCK = "rank long, hot boolean, single boolean, id long, th long, start int, block binary"
 SPANS = "id long, th long, start int, n int"
 
@@ -65,18 +66,39 @@ def sampled_runs(t: tk.Texts, size: int):
 
 
 def _find_runs(size: int):
+    """Runs of every text. What repeats inside a slice is settled there: its spans (``times`` 0, no rank) and,
+    for the others to compare with, one run with the number of times."""
     def run(batches):
         for b in batches:
             for lo, t in tk.slices(b.column(2)):
                 doc, start, n, rank, body = sampled_runs(t, size)
-                row = pa.array(doc + lo)
+                _, at, index, times = np.unique(body, return_index=True, return_inverse=True, return_counts=True)
+                many = np.flatnonzero(times[index] > 1)
+                d, s, k = _merged(doc[many], start[many], n[many])
+                none = pa.nulls(len(d), pa.int64())
+                row = pa.array(d + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(row), b.column(1).take(row), pa.array(tk.as_long(rank)), pa.array(tk.as_long(body)),
-                     pa.array(start, pa.int32()), pa.array(n, pa.int32())],
-                    names=["id", "th", "rank", "body", "start", "n"])
+                    [b.column(0).take(row), b.column(1).take(row), none, none, pa.array(s, pa.int32()), pa.array(k, pa.int32()),
+                     pa.array(np.zeros(len(d)), pa.int32())], names=_RUN_NAMES)
+                row = pa.array(doc[at] + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(row), b.column(1).take(row), pa.array(tk.as_long(rank[at])), pa.array(tk.as_long(body[at])),
+                     pa.array(start[at], pa.int32()), pa.array(n[at], pa.int32()), pa.array(times, pa.int32())], names=_RUN_NAMES)
     return run
 
 
+_RUN_NAMES = [f.split()[0] for f in RUNS.split(", ")]
+
+
+def _merged(doc: np.ndarray, start: np.ndarray, n: np.ndarray):
+    """Spans that follow one another in a text, as one."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    head = np.flatnonzero(new)
+    upto = np.concatenate([[0], np.cumsum(n)])
+    return doc[head], start[head], upto[np.concatenate([head[1:], [len(doc)]])] - upto[head] if len(doc) else n
+
+
 def _cut_blocks(size: int):
     """Bytes of the wanted runs of every text."""
     def run(batches):
@@ -213,12 +235,12 @@ def repeated_spans(docs: DataFrame, size: int, hot_runs: int = HOT_RUNS) -> Data
     """(id, th, start, n): starts of strings of ``size`` bytes that also start elsewhere; ``docs`` is keyed()."""
     texts = docs.select("id", "th", "text")
     found = materialize(texts.mapInArrow(_find_runs(size), RUNS), "runs")
-    again = found.groupBy("rank").count().where("count > 1").select("rank")
+    again = found.where("times > 0").groupBy("rank").agg(F.sum("times").alias("c")).where("c > 1").select("rank")
     alive = materialize(found.join(again, "rank", "left_semi"), "alive")
-    bodies = alive.groupBy("rank", "body").agg(F.count("*").alias("c"), F.min(F.struct("id", "th", "start", "n")).alias("one"))
+    bodies = alive.groupBy("rank", "body").agg(F.sum("times").alias("c"), F.min(F.struct("id", "th", "start", "n")).alias("one"))
     bodies = materialize(bodies, "bodies")
-    settled = (alive.join(bodies.where("c > 1").select("rank", "body"), ["rank", "body"], "left_semi")
-               .select("id", "th", "start", "n"))
+    settled = (alive.where("times = 1").join(bodies.where("c > 1").select("rank", "body"), ["rank", "body"], "left_semi")
+               .select("id", "th", "start", "n").union(found.where("times = 0").select("id", "th", "start", "n")))
     ranks = bodies.groupBy("rank").agg(F.count("*").alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1")
     wanted = (bodies.join(ranks, "rank")
               .select("one.id", "one.th", F.struct("rank", (F.col("k") > hot_runs).alias("hot"), (F.col("c") == 1).alias("single"),
