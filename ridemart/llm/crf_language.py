@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridemart.llm import tokens as tk
-from ridemart.llm.frames import slim
+from ridemart.llm.frames import ship, slim
 
 UNDETERMINED = "und"
 DOCS_PER_LABEL = 150
@@ -214,7 +215,7 @@ def fit(sample: list[tuple[str, str]], seed: int = 7) -> Model | None:
                 m = cur == i
                 x[t, m] = s[(at[i, m] + t) % len(s)]
         used, inv = np.unique(x.reshape(-1), return_inverse=True)
-        fid, cnt = tk.gather(ids, begin, used)
+        fid, cnt = tk.gather(ids, begin[:-1], count, used)
         e = emissions(w, fid, cnt)
         psi = np.exp(e - e.max(1, keepdims=True))[inv] + 1e-12
         g = np.empty_like(psi)
@@ -268,10 +269,11 @@ def _no_letter(t: tk.Texts, words: tk.Words) -> np.ndarray:
     return none
 
 
-def _predict(model: Model | None, runs: bool):
+def _predict(model: Model | None, keep: list[str], text_col: str, runs: bool):
     def rows(batches):
         for b in batches:
-            for lo, t in tk.slices(b.column(1), TASK_BYTES):
+            at_col = b.schema.get_field_index
+            for lo, t in tk.slices(b.column(at_col(text_col)), TASK_BYTES):
                 pred, score, spans = [UNDETERMINED] * t.n, np.zeros(t.n), [[] for _ in range(t.n)]
                 types = WordTypes(t)
                 n_words = types.words.count
@@ -296,8 +298,9 @@ def _predict(model: Model | None, runs: bool):
                                 cut = np.flatnonzero(np.diff(y)) + 1
                                 edge = np.concatenate([[0], cut, [len(y)]])
                                 spans[d] = [{"lang": model.labels[y[i]], "n_words": int(j - i)} for i, j in zip(edge[:-1], edge[1:])]
-                cols = [b.column(0).slice(lo, t.n), pa.array(pred), pa.array(score), pa.array(n_words.astype(np.int64))]
-                names = ["doc_id", "lang_pred", "score", "n_words"]
+                cols = [b.column(at_col(c)).slice(lo, t.n) for c in keep]
+                cols += [pa.array(pred), pa.array(score), pa.array(n_words.astype(np.int64))]
+                names = [*keep, "lang_pred", "score", "n_words"]
                 if runs:
                     cols.append(pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("n_words", pa.int32())]))))
                     names.append("runs")
@@ -305,24 +308,34 @@ def _predict(model: Model | None, runs: bool):
     return rows
 
 
-def _apply(docs: DataFrame, model: Model | None, id_col: str, text_col: str, runs: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)       # fixed size: 2^FEATURE_BITS weights a label
-    schema = "doc_id long, lang_pred string, score double, n_words long"
+def annotate(docs: DataFrame, model: Model | None, text_col: str = "text", runs: bool = False) -> DataFrame:
+    """The rows of ``docs`` with lang_pred, score and n_words (and ``runs``), in place of columns so named."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)                   # fixed size: 2^FEATURE_BITS weights a label
+    added = ["lang_pred", "score", "n_words"] + ["runs"] * runs
+    keep = [c for c in docs.columns if c not in added]
+    new = "lang_pred string, score double, n_words long" + ", runs array<struct<lang:string,n_words:int>>" * runs
+    schema = T.StructType(docs.select([f"`{c}`" for c in keep]).schema.fields + T.StructType.fromDDL(new).fields)
 
     def task(batches):
-        return _predict(shared.value, runs)(batches)
-    return slim(docs, id_col, text_col).mapInArrow(
-        task, schema + (", runs array<struct<lang:string,n_words:int>>" if runs else ""))
+        return _predict(shared.value, keep, text_col, runs)(batches)
+    return docs.select([f"`{c}`" for c in keep]).mapInArrow(task, schema)
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score, n_words."""
-    return _apply(docs, model, id_col, text_col, False)
+    return annotate(slim(docs, id_col, text_col), model).drop("text")
 
 
 def label_words(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The same with ``runs``: the languages of consecutive words, in order."""
-    return _apply(docs, model, id_col, text_col, True)
+    return annotate(slim(docs, id_col, text_col), model, runs=True).drop("text")
+
+
+def accepted(min_score: float = 0.5, short: int = 10) -> Column:
+    """Rows of :func:`annotate` with a language: texts of ``short`` words or more need ``min_score`` for it."""
+    return (F.col("lang_pred") != UNDETERMINED) & ((F.col("score") >= min_score) | (F.col("n_words") < short))
 
 
 def identify_all(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ a candidate taken from the agenda is skipped when the hash of (seed, variant,
 unit, position, piece) falls under the dropout rate. A text's variant is a
 hash of its doc_id, so equal words are segmented differently in different
 texts and under different seeds, while a unit's segmentation is a function of
-its key and can be kept: a task segments every distinct unit once.
+its key: distinct units are segmented once, many together, and kept by the
+worker. Units are told apart by 64-bit hashes; the digest checks the round trip.
 
 Decoding joins the pieces; a piece's space mark is a space, byte pieces are
 bytes. A literal space mark in the text is encoded by its bytes, so decoding
@@ -33,22 +34,29 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20_240
 VARIANTS = 4
-KEEP_UNITS = 400_000      # segmented units a worker keeps
 MARK = "▁"
 _LITERAL_MARK = "\ud800"  # stands for a literal mark inside a unit; no piece has it
 _MASK = (1 << 64) - 1
+_NEVER = 1 << 30
+KEEP_UNITS = 1_500_000    # segmented units a worker keeps (some 30 bytes each)
+WIDTHS = (6, 9, 12, 18, 32)     # length classes of units that are segmented together
+SHORT_UNIT = WIDTHS[-1]
 
 
 class Vocabulary:
-    """Scores and ids of the pieces, and the bytes of every id."""
+    """Merges and ids of the pieces, and the bytes of every id.
+
+    Symbols are numbered by their piece id; characters that only occur inside
+    pieces get numbers above, all others negative ones (they merge with nothing).
+    """
 
     def __init__(self, path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
-        self.score: dict[str, float] = {}
-        self.id: dict[str, int] = {}
         self.byte = [0] * 256
+        number: dict[str, int] = {}
+        score: dict[int, float] = {}
         raw = []
         for i in range(n):
             piece = sp.id_to_piece(i)
@@ -59,63 +67,251 @@ class Vocabulary:
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
                 raw.append(b"")
             else:
-                self.id[piece], self.score[piece] = i, sp.get_score(i)
+                number[piece], score[i] = i, sp.get_score(i)
                 raw.append(piece.replace(MARK, " ").encode())
+        self.n = n
         self.pool = np.frombuffer(b"".join(raw), np.uint8)
         self.pool_off = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+        pieces = list(number.items())
+        self.outside = []                    # characters with a number from n on
+        for piece, _ in pieces:
+            for c in piece:
+                if c not in number:
+                    number[c] = n + len(self.outside)
+                    self.outside.append(c)
+        self.char = {c: i for c, i in number.items() if len(c) == 1}
+        places = {x: r for r, x in enumerate(sorted(set(score.values()), reverse=True))}
+        self.rank = [places[score[i]] if i in score else 0 for i in range(n)]
+        self.merge = {}
+        for piece, i in pieces:
+            for cut in range(1, len(piece)):
+                left, right = number.get(piece[:cut]), number.get(piece[cut:])
+                if left is not None and right is not None:
+                    self.merge[left << 20 | right] = i
+
+        self.of_code = -1 - np.arange(0x110000, dtype=np.int32)
+        for c, i in self.char.items():
+            self.of_code[ord(c)] = i
+        self.of_code[ord(MARK)] = -1 - ord(_LITERAL_MARK)
+        self.of_code[0x20] = self.char[MARK]
+        self.ranks = np.array(self.rank, np.int32)
+        self._fill_pairs()
+
+    def _fill_pairs(self) -> None:
+        """The merges as an open-addressing table of arrays."""
+        self.bits = max(4, (2 * len(self.merge)).bit_length())
+        self.pair = np.full(1 << self.bits, -1, np.int64)
+        self.made = np.full(1 << self.bits, -1, np.int32)
+        keys, ids = np.array(list(self.merge), np.int64), np.array(list(self.merge.values()), np.int32)
+        at = self._slot(keys)
+        while len(keys):
+            free = self.pair[at] == -1
+            _, one = np.unique(np.where(free, at, -1 - np.arange(len(at))), return_index=True)
+            put = one[free[one]]
+            self.pair[at[put]], self.made[at[put]] = keys[put], ids[put]
+            left = np.ones(len(keys), bool)
+            left[put] = False
+            keys, ids, at = keys[left], ids[left], (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Piece that two symbols make, -1 if none."""
+        out = np.full(len(left), -1, np.int32)
+        todo = np.flatnonzero((left >= 0) & (right >= 0))
+        key = left[todo].astype(np.int64) << 20 | right[todo]
+        at = self._slot(key)
+        while len(todo):
+            there = self.pair[at]
+            same = there == key
+            out[todo[same]] = self.made[at[same]]
+            on = ~same & (there != -1)
+            todo, key, at = todo[on], key[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def symbols(self, unit: bytes) -> list[int]:
+        text = unit.decode("utf-8", "surrogateescape").replace(MARK, _LITERAL_MARK).replace(" ", MARK)
+        get = self.char.get
+        return [get(c, -1 - ord(c)) for c in text]
+
+    def ids(self, symbols: list[int]) -> list[int]:
+        if min(symbols) >= 0 and max(symbols) < self.n:
+            return symbols
+        out = []
+        for s in symbols:
+            if 0 <= s < self.n:
+                out.append(s)
+            else:
+                c = (chr(-1 - s) if s < 0 else self.outside[s - self.n]).replace(_LITERAL_MARK, MARK)
+                out.extend(self.byte[b] for b in c.encode("utf-8", "surrogateescape"))
+        return out
 
 
 def skipped(key: int, left: int, piece: int, threshold: int) -> bool:
-    """The keyed coin of one candidate merge."""
+    """The keyed coin of one candidate merge (``left``: its first character's place in the unit)."""
     x = (key ^ (left * 0x9E3779B97F4A7C15) ^ (piece * 0xC2B2AE3D27D4EB4F)) & _MASK
     x = ((x ^ (x >> 31)) * 0xBF58476D1CE4E5B9) & _MASK
-    x = ((x ^ (x >> 29)) * 0x94D049BB133111EB) & _MASK
-    return (x >> 32) < threshold
+    return ((x ^ (x >> 32)) & 0xFFFFFFFF) < threshold
 
 
 def segment(unit: bytes, v: Vocabulary, key: int = 0, threshold: int = 0) -> list[int]:
     """Ids of one unit; ``threshold`` is the dropout rate times 2^32."""
-    sym = list(unit.decode("utf-8", "surrogateescape").replace(MARK, _LITERAL_MARK).replace(" ", MARK))
+    return v.ids(_agenda(v.symbols(unit), v, key, threshold))
+
+
+def _coins(key: np.ndarray, left: np.ndarray, piece: np.ndarray, threshold: int) -> np.ndarray:
+    """:func:`skipped` for many candidates."""
+    x = key ^ (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (piece.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(32))) & np.uint64(0xFFFFFFFF)) < threshold
+
+
+def _many(sym: np.ndarray, size: np.ndarray, v: Vocabulary, key: np.ndarray, threshold: int) -> np.ndarray:
+    """Units of one length class, a row each: in every round each unit takes the head of its agenda.
+
+    ``sym`` is changed in place; the mask of the symbols that are left is returned.
+    """
+    n, width = sym.shape
+    col = np.arange(width)
+    alive = col < size[:, None]
+    nxt = np.broadcast_to(col + 1, sym.shape).astype(np.int16)
+    prev = np.broadcast_to(col - 1, sym.shape).astype(np.int16)
+    piece = np.full((n, width), -1, np.int32)
+    piece[:, :-1] = v.merged(np.where(alive[:, :-1], sym[:, :-1], -1).reshape(-1),
+                             np.where(alive[:, 1:], sym[:, 1:], -1).reshape(-1)).reshape(n, width - 1)
+    order = np.where(piece >= 0, v.ranks[piece], _NEVER)
+    rows = np.arange(n)
+    while len(rows):
+        i = order[rows].argmin(1)
+        some = order[rows, i] < _NEVER
+        rows, i = rows[some], i[some]
+        m = piece[rows, i]
+        order[rows, i] = _NEVER
+        if threshold:
+            go = ~_coins(key[rows], i, m, threshold)
+            r, i, m = rows[go], i[go], m[go]
+        else:
+            r = rows
+        j = nxt[r, i].astype(np.int64)
+        k = nxt[r, j].astype(np.int64)
+        sym[r, i], alive[r, j], nxt[r, i], order[r, j] = m, False, k, _NEVER
+        right = k < size[r]
+        prev[r[right], k[right]] = i[right]
+        p = prev[r, i].astype(np.int64)
+        left = p >= 0
+        for rr, a, b in ((r[right], i[right], k[right]), (r[left], p[left], i[left])):
+            x = v.merged(sym[rr, a], sym[rr, b])
+            piece[rr, a] = x
+            order[rr, a] = np.where(x >= 0, v.ranks[x], _NEVER)
+    return alive
+
+
+def segment_units(u: tk.Units, v: Vocabulary, threshold: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of some distinct units of a slice, one after the other, and their number for each unit."""
+    raw = u.buf.tobytes()
+    try:
+        code = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+        char = np.concatenate([[0], np.cumsum((u.buf & 0xC0) != 0x80)])
+    except UnicodeDecodeError:                       # not valid UTF-8: one unit at a time
+        code = None
+    start, end, key = u.start[u.example[which]], u.end[u.example[which]], u.key[which]
+    size = char[end] - char[start] if code is not None else np.full(len(start), SHORT_UNIT + 1)
+    parts, of = [], []
+    low = 0
+    for width in WIDTHS:
+        some = np.flatnonzero((size > low) & (size <= width))
+        low = width
+        for lo in range(0, len(some), 50_000):
+            unit = some[lo:lo + 50_000]
+            at = char[start[unit]][:, None] + np.arange(width)
+            sym = v.of_code[code[np.minimum(at, len(code) - 1)]]
+            alive = _many(sym, size[unit], v, key[unit], threshold)
+            parts.append(sym[alive])
+            of.append(np.repeat(unit, alive.sum(1)))
+    for i in np.flatnonzero(size > SHORT_UNIT):
+        x = _agenda(v.symbols(u.content(which[i])), v, int(key[i]), threshold)
+        parts.append(np.array(x, np.int32))
+        of.append(np.full(len(x), i))
+    values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    of = np.concatenate(of) if of else np.zeros(0, np.int64)
+    order = np.argsort(of, kind="stable")
+    values, of = values[order], of[order]
+    odd = np.unique(of[(values < 0) | (values >= v.n)])
+    if len(odd):                                     # characters without a piece become their bytes
+        edge = np.searchsorted(of, np.arange(len(start) + 1))
+        pieces, owners, done = [], [], 0
+        for i in odd:
+            x = np.array(v.ids(values[edge[i]:edge[i + 1]].tolist()), np.int32)
+            pieces += [values[done:edge[i]], x]
+            owners += [of[done:edge[i]], np.full(len(x), i)]
+            done = edge[i + 1]
+        values, of = np.concatenate([*pieces, values[done:]]), np.concatenate([*owners, of[done:]])
+    return values, np.bincount(of, minlength=len(start))
+
+
+class Segmented:
+    """What a worker has segmented so far: sorted unit keys with the place and number of their ids."""
+
+    def __init__(self):
+        self.key, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.values = np.zeros(0, np.int32)
+
+    def encode(self, u: tk.Units, v: Vocabulary, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units of a slice in order, and their number for each unit."""
+        if len(self.key) > KEEP_UNITS:
+            self.__init__()
+        new = np.flatnonzero(~np.isin(u.key, self.key, assume_unique=True))
+        values, size = segment_units(u, v, threshold, new)
+        at = np.searchsorted(self.key, u.key[new])
+        self.start = np.insert(self.start, at, len(self.values) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.key = np.insert(self.key, at, u.key[new])
+        self.values = np.concatenate([self.values, values])
+        at = np.searchsorted(self.key, u.key)
+        return tk.gather(self.values, self.start[at], self.size[at], u.index)
+
+
+def _agenda(sym: list[int], v: Vocabulary, key: int, threshold: int) -> list[int]:
+    """A unit of any length: the agenda is a heap of (rank, place, piece)."""
+    merge, rank = v.merge, v.rank
     n = len(sym)
-    score = v.score
+    alive = [True] * n
     prev, nxt = list(range(-1, n - 1)), list(range(1, n + 1))
-    agenda = []
+    heap = []
+
+    def propose(i):
+        j = nxt[i]
+        if j < n and sym[i] >= 0 and sym[j] >= 0:
+            m = merge.get(sym[i] << 20 | sym[j])
+            if m is not None:
+                heapq.heappush(heap, (rank[m], i, m, sym[i], sym[j]))
+
     for i in range(n - 1):
-        m = sym[i] + sym[i + 1]
-        if m in score:
-            agenda.append((-score[m], i, m))
-    heapq.heapify(agenda)
-    while agenda:
-        _, i, m = heapq.heappop(agenda)
+        propose(i)
+    while heap:
+        _, i, m, a, b = heapq.heappop(heap)
         j = nxt[i]
-        if j >= n or not sym[i] or sym[i] + sym[j] != m:
+        if not alive[i] or j >= n or sym[i] != a or sym[j] != b:
             continue
-        if threshold and skipped(key, i, v.id[m], threshold):
+        if threshold and skipped(key, i, m, threshold):
             continue
-        sym[i], sym[j] = m, ""
-        k = nxt[i] = nxt[j]
-        if k < n:
-            prev[k] = i
-            m2 = m + sym[k]
-            if m2 in score:
-                heapq.heappush(agenda, (-score[m2], i, m2))
-        h = prev[i]
-        if h >= 0:
-            m2 = sym[h] + m
-            if m2 in score:
-                heapq.heappush(agenda, (-score[m2], h, m2))
-    ids = []
-    for s in sym:
-        if s:
-            i = v.id.get(s)
-            if i is None:
-                ids.extend(v.byte[b] for b in s.replace(_LITERAL_MARK, MARK).encode("utf-8", "surrogateescape"))
-            else:
-                ids.append(i)
-    return ids
+        sym[i], alive[j] = m, False
+        nxt[i] = nxt[j]
+        if nxt[i] < n:
+            prev[nxt[i]] = i
+            propose(i)
+        if prev[i] >= 0:
+            propose(prev[i])
+    return [s for s, live in zip(sym, alive) if live]
 
 
 _loaded: dict[str, Vocabulary] = {}
+_kept: dict[tuple, Segmented] = {}       # of this worker, for each model and rate; seed and variant are in a unit's key
+
+
+def segmented(path: str, threshold: int) -> Segmented:
+    return _kept.setdefault((path, threshold), Segmented())
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -127,7 +323,6 @@ def vocabulary(path: str) -> Vocabulary:
 def _encode(path: str, dropout: float, seed: int, variants: int):
     def run(batches):
         v, threshold = vocabulary(path), int(dropout * 2**32)
-        kept: dict[int, np.ndarray] = {}
         for b in batches:
             ids_col, texts = b.column(0), b.column(1)
             ids = np.asarray(ids_col.fill_null(-1)).astype(np.int64).view(np.uint64)
@@ -135,16 +330,7 @@ def _encode(path: str, dropout: float, seed: int, variants: int):
             salt = tk.mix(variant * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
             for lo, t in tk.slices(texts):
                 u = tk.Units(t, salt[lo:lo + t.n])
-                if len(kept) > KEEP_UNITS:
-                    kept.clear()
-                parts = []
-                for i, k in enumerate(u.key.tolist()):
-                    x = kept.get(k)
-                    if x is None:
-                        x = kept[k] = np.array(segment(u.content(i), v, k, threshold), np.int32)
-                    parts.append(x)
-                off = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
-                values, size = tk.gather(np.concatenate(parts), off, u.index)
+                values, size = segmented(path, threshold).encode(u, v, threshold)
                 upto = np.concatenate([[0], np.cumsum(size)])
                 # the unit of an empty text is its leading space alone
                 empty = np.diff(t.off) == 0
@@ -178,7 +364,7 @@ def _decode(path: str, others: list[str], ids_col: str, out: str):
                 part = col.slice(lo, step)
                 counts = np.asarray(part.value_lengths().fill_null(0))
                 values = np.asarray(part.flatten())
-                raw, size = tk.gather(v.pool, v.pool_off, values)
+                raw, size = tk.gather(v.pool, v.pool_off[:-1], np.diff(v.pool_off), values)
                 upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
                 keep = np.ones(len(raw), bool)
                 keep[upto[:-1][counts > 0]] = False         # the leading space

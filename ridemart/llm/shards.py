@@ -1,6 +1,6 @@
 """Training-order materialisation: token sequences in a keyed order, as fixed-stride shard files.
 
-Texts become token ids (byte-level BPE, closed by an end token), written once
+Texts become token ids (SentencePiece BPE, closed by an end token), written once
 as a token table in which every row knows its offset inside its partition;
 the partition totals give the global offset, so the whole corpus is one
 stream cut into sequences of ``seq_len`` ids without padding (the last
@@ -21,7 +21,6 @@ alone; repeated rows are repeated texts; an empty table has no sequence.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 
 import numpy as np
@@ -32,28 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridemart.llm import tokens as tk
-from ridemart.llm.frames import slim
+from ridemart.llm.frames import slim, task_partitions
+from ridemart.llm.merge_dropout import MODEL, segmented, vocabulary
 from ridemart.session import scratch_path
 
-RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-END_TOKEN = 50256
+END_TOKEN = 2            # </s>; ids fit 16 bits
 SEQ_LEN = 1024
 SEQS_PER_SHARD = 4096
 KEY = 0x5EED
 ROUNDS = 6
-KEEP_UNITS = 400_000
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value of the vocabulary
-
-_encoders: dict = {}
-
-
-def encoder(path: str):
-    if path not in _encoders:
-        import tiktoken
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[path] = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[path]
 
 
 def feistel(index: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -77,27 +63,21 @@ def feistel(index: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.nda
     return out.astype(np.int64)
 
 
-def _tokenise(path: str):
+def _tokenise(model: str):
     def run(batches):
-        enc, pid, upto = encoder(path), TaskContext.get().partitionId(), 0
-        kept: dict[int, np.ndarray] = {}
+        v, pid, upto = vocabulary(model), TaskContext.get().partitionId(), 0
         for b in batches:
             for lo, t in tk.slices(b.column(1)):
-                u = tk.Pieces(t)
-                if len(kept) > KEEP_UNITS:
-                    kept.clear()
-                parts = []
-                for i, k in enumerate(u.key.tolist()):
-                    x = kept.get(k)
-                    if x is None:
-                        x = kept[k] = np.array(enc.encode_ordinary(u.content(i).decode("utf-8", "replace")), np.uint16)
-                    parts.append(x)
-                parts.append(np.array([END_TOKEN], np.uint16))
-                off = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
-                index = np.insert(u.index, u.first[1:], len(parts) - 1)     # the end token closes every text
-                values, size = tk.gather(np.concatenate(parts), off, index)
-                edge = np.concatenate([[0], np.cumsum(size)])[u.first + np.arange(t.n + 1)]
-                n = np.diff(edge)
+                u = tk.Units(t)
+                values, size = segmented(model, 0).encode(u, v, 0)
+                edge = np.concatenate([[0], np.cumsum(size)])[u.first]
+                some = np.diff(t.off) > 0                               # the unit of an empty text is its leading space alone
+                if not some.all():
+                    values = values[np.repeat(some, np.diff(edge))]
+                n = np.diff(edge) * some
+                values = np.insert(values, np.cumsum(n), END_TOKEN)     # closes every text
+                n += 1
+                edge = np.concatenate([[0], np.cumsum(n)])
                 tokens = pa.Array.from_buffers(pa.binary(), t.n, [None, pa.py_buffer((edge * 2).astype(np.int32)),
                                                                   pa.py_buffer(values.astype("<u2").tobytes())])
                 start = upto + edge[:-1]
@@ -108,25 +88,26 @@ def _tokenise(path: str):
     return run
 
 
-def _fragments(seq_len: int, n_seq: int, total: int, key: int):
-    """Cut every row's tokens at sequence borders; the last sequence's filling comes with the last row."""
+def _fragments(seq_len: int, n_seq: int, total: int, key: int, rows: int = 2_000):
+    """Cut every text's tokens at sequence borders, each fragment compressed by itself."""
     def run(batches):
-        for b in batches:
-            for start, n, blob in zip(b.column("at").to_pylist(), b.column("n_tokens").to_pylist(), b.column("tokens")):
-                data = np.frombuffer(blob.as_buffer(), "<u2")
-                if start + n == total:
-                    data = np.concatenate([data, np.full(n_seq * seq_len - total, END_TOKEN, np.uint16)])
-                first, last = start // seq_len, (start + len(data) - 1) // seq_len
-                for lo in range(first, last + 1, 4096):
-                    seqs = np.arange(lo, min(lo + 4096, last + 1))
-                    a = np.maximum(seqs * seq_len, start)
-                    z = np.minimum((seqs + 1) * seq_len, start + len(data))
-                    raw = data[a[0] - start:z[-1] - start].tobytes()
-                    off = (np.concatenate([a, z[-1:]]) - a[0]) * 2
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(feistel(seqs, n_seq, key)), pa.array(seqs), pa.array((a - seqs * seq_len).astype(np.int32)),
-                         pa.Array.from_buffers(pa.binary(), len(seqs), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(raw)])],
-                        names=["slot", "seq", "at", "tokens"])
+        codec = pa.Codec("zstd", compression_level=3)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                b = batch.slice(lo, rows)
+                start, n = np.asarray(b.column("at")), np.asarray(b.column("n_tokens"))
+                first = start // seq_len
+                count = (start + n - 1) // seq_len - first + 1
+                row = np.repeat(np.arange(len(n)), count)
+                seq = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
+                a, z = np.maximum(seq * seq_len, start[row]), np.minimum((seq + 1) * seq_len, (start + n)[row])
+                blobs = b.column("tokens")
+                raw = [blobs[i].as_buffer() for i in range(len(n))]
+                parts = [codec.compress(raw[r][x:y], asbytes=True)
+                         for r, x, y in zip(row.tolist(), ((a - start[row]) * 2).tolist(), ((z - start[row]) * 2).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(feistel(seq, n_seq, key)), pa.array(seq), pa.array(a - seq * seq_len, pa.int32()),
+                     pa.array(z - a, pa.int32()), pa.array(parts, pa.binary())], names=["slot", "seq", "at", "n", "tokens"])
     return run
 
 
@@ -134,16 +115,21 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def _write(folder: str, seq_len: int, per_shard: int):
+def _write(folder: str, seq_len: int, per_shard: int, n_seq: int):
     def run(batches):
         store, base = fs.FileSystem.from_uri(folder)
         me = f"{TaskContext.get().taskAttemptId()}"
+        codec = pa.Codec("zstd")
         shard, out, slot, seq, parts, rows = -1, None, -1, -1, [], []
+        end = np.uint16(END_TOKEN).tobytes()
 
         def close_slot():
             if slot >= 0:
                 record = b"".join(parts)
-                assert len(record) == 2 * seq_len, (slot, len(record))
+                if seq == n_seq - 1:                    # the last sequence is filled
+                    record += end * (seq_len - len(record) // 2)
+                if len(record) != 2 * seq_len:
+                    raise ValueError(f"slot {slot} holds {len(record)} bytes")
                 out.write(record)
                 rows.append((slot, seq, shard, slot % per_shard * 2 * seq_len, hashlib.sha256(record).hexdigest()))
 
@@ -159,7 +145,7 @@ def _write(folder: str, seq_len: int, per_shard: int):
             return got
 
         for b in batches:
-            for s, q, blob in zip(b.column("slot").to_pylist(), b.column("seq").to_pylist(), b.column("tokens").to_pylist()):
+            for s, q, n, blob in zip(*(b.column(c).to_pylist() for c in ("slot", "seq", "n", "tokens"))):
                 if s != slot:
                     close_slot()
                     if s // per_shard != shard:
@@ -167,7 +153,7 @@ def _write(folder: str, seq_len: int, per_shard: int):
                         shard = s // per_shard
                         out = store.open_output_stream(f"{base}/.{shard_name(shard)}.{me}")
                     slot, seq, parts = s, q, []
-                parts.append(blob)
+                parts.append(codec.decompress(blob, 2 * n, asbytes=True))
             if rows:
                 yield flush()
         close_slot()
@@ -178,7 +164,7 @@ def _write(folder: str, seq_len: int, per_shard: int):
 
 
 def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-                      ranks: str = RANKS, seq_len: int = SEQ_LEN, seqs_per_shard: int = SEQS_PER_SHARD,
+                      model: str = MODEL, seq_len: int = SEQ_LEN, seqs_per_shard: int = SEQS_PER_SHARD,
                       key: int = KEY) -> DataFrame:
     """Write the shards under ``folder``/shards and return the manifest: one row per sequence.
 
@@ -192,8 +178,8 @@ def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str =
         folder = folder.replace("file:/", "/", 1) if folder.startswith("file:/") else folder
         folder = f"file://{folder}"
     schema = "doc_id long, part int, start long, n_tokens long, tokens binary"
-    (slim(docs, id_col, text_col).mapInArrow(_tokenise(ranks), schema)
-     .write.option("compression", "zstd").parquet(f"{folder}/tokens"))
+    (slim(docs, id_col, text_col).mapInArrow(_tokenise(model), schema)
+     .write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").parquet(f"{folder}/tokens"))
     table = spark.read.schema(schema).parquet(f"{folder}/tokens")
     totals = table.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # a row per input split
     total = sum(r.n for r in totals)
@@ -207,9 +193,12 @@ def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str =
     store.create_dir(f"{path}/shards", recursive=True)
     placed = table.join(F.broadcast(bases), "part").select((F.col("base") + F.col("start")).alias("at"), "n_tokens", "tokens")
     n_shards = max(1, -(-n_seq // seqs_per_shard))
-    (placed.mapInArrow(_fragments(seq_len, n_seq, total, key), "slot long, seq long, at int, tokens binary")
-     .repartitionByRange(n_shards, F.expr(f"slot div {seqs_per_shard}")).sortWithinPartitions("slot", "at")
-     .mapInArrow(_write(f"{folder}/shards", seq_len, seqs_per_shard),
+    n_tasks = min(n_shards, task_partitions(spark))
+    # consecutive shards to each task; slots are a permutation, so their ranges are known without a sample
+    task = F.expr(f"cast((slot div {seqs_per_shard}) * {n_tasks} div {n_shards} as int)")
+    (placed.mapInArrow(_fragments(seq_len, n_seq, total, key), "slot long, seq long, at int, n int, tokens binary")
+     .repartitionById(n_tasks, task).sortWithinPartitions("slot", "at")
+     .mapInArrow(_write(f"{folder}/shards", seq_len, seqs_per_shard, n_seq),
                  "slot long, seq long, shard long, byte_offset long, sha256 string")
      .write.parquet(f"{folder}/manifest"))
     return spark.read.parquet(f"{folder}/manifest")

@@ -247,32 +247,10 @@ class Units:
         return self.buf[self.start[a]:self.end[a]].tobytes()
 
 
-class Pieces:
-    """Texts cut before every single space between two other characters, where byte-level BPE always starts a piece."""
-
-    def __init__(self, t: Texts):
-        buf, n = t.data, len(t.data)
-        blank = np.isin(buf, np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], np.uint8)) | (buf >= 0x80)
-        cut = np.zeros(n + 1, bool)
-        if n > 2:       # next to a non-ASCII byte (it may be a wide blank) nothing is cut
-            cut[1:n - 1] = (buf[1:-1] == 0x20) & ~blank[:-2] & ~blank[2:]
-        cut[t.off] = True
-        edge = np.flatnonzero(cut)
-        self.buf, self.start, self.end = buf, edge[:-1], edge[1:]
-        if not n:
-            self.start = self.end = np.zeros(0, np.int64)
-        self.first = np.searchsorted(self.start, t.off)
-        self.first[t.off >= n] = len(self.start)
-        self.key, self.example, self.index = np.unique(SpanHash(buf)(self.start, self.end), return_index=True,
-                                                       return_inverse=True)
-
-    content = Units.content
-
-
-def gather(values: np.ndarray, off: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenation of values[off[i]:off[i+1]] for i in index, and the length of each part."""
-    size = np.diff(off)[index]
+def gather(values: np.ndarray, start: np.ndarray, length: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Concatenation of the spans start[i], length[i] of ``values`` for i in index, and the length of each part."""
+    size = length[index]
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
-    at = np.arange(total) + np.repeat(off[index] - (ends - size), size)
+    at = np.arange(total) + np.repeat(start[index] - (ends - size), size)
     return values[at], size
