@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridemart.llm import tokens as tk
-from ridemart.llm.frames import materialize, slim
+from ridemart.llm.frames import keyed, materialize, slim
 
 WINDOW = 13
 GRAM = 5
 BITMAP_BITS = 24
 
 ITEM_SCHEMA = "item_id long, h long, length int, fp long"
-DOC_SCHEMA = "doc_id long, n_words long, start array<int>, length array<int>, h array<long>"
+DOC_SCHEMA = "doc_id long, id long, th long, n_words long, start array<int>, length array<int>, h array<long>"
 
 
 def _windows(w: tk.Words, window: int, gram: int):
@@ -74,7 +74,7 @@ def _doc_rows(bitmap: bytes, sizes: list[int], window: int, gram: int):
             return (bits[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
 
         for b in batches:
-            for lo, t in tk.slices(b.column(1)):
+            for lo, t in tk.slices(b.column(3)):
                 w = tk.Words(t, tk.ALNUM_WORDS, lower=True)
                 starts, at, g = _windows(w, window, gram)
                 keep = hit(g)[at] if len(at) else np.zeros(0, bool)
@@ -91,11 +91,11 @@ def _doc_rows(bitmap: bytes, sizes: list[int], window: int, gram: int):
                 counts = np.bincount(doc, minlength=t.n)
                 local = (s - w.first[doc])[order]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, t.n), pa.array(w.count.astype(np.int64)),
+                    [*(b.column(c).slice(lo, t.n) for c in range(3)), pa.array(w.count.astype(np.int64)),
                      tk.list_array(local.astype(np.int32), counts, pa.int32()),
                      tk.list_array(n[order].astype(np.int32), counts, pa.int32()),
                      tk.list_array(tk.as_long(h[order]), counts, pa.int64())],
-                    names=["doc_id", "n_words", "start", "length", "h"])
+                    names=["doc_id", "id", "th", "n_words", "start", "length", "h"])
     return run
 
 
@@ -114,12 +114,12 @@ def _bitmap(items: DataFrame) -> bytes:
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text",
                   window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """One row per document: n_words, n_hit, items (sorted ids as strings) and spans of hit words."""
+    """One row per document: n_words, n_hit, items (sorted ids as strings), spans of hit words, and its row key (id, th)."""
     items = materialize(slim(benchmark, item_col, item_text_col).withColumnRenamed("doc_id", "item_id")
                         .mapInArrow(_item_rows(window, gram), ITEM_SCHEMA), "items")
     sizes = sorted(r[0] for r in items.where(F.col("length") < window).select("length").distinct().collect())
     found = materialize(
-        slim(docs, id_col, text_col).mapInArrow(_doc_rows(_bitmap(items), sizes, window, gram), DOC_SCHEMA)
+        keyed(docs, id_col, text_col).select("doc_id", "id", "th", "text").mapInArrow(_doc_rows(_bitmap(items), sizes, window, gram), DOC_SCHEMA)
         .withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     hits = (found.where(F.size("h") > 0)
             .select("row", F.explode(F.arrays_zip("start", "length", "h")).alias("x"))
@@ -136,8 +136,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         lambda acc, x: F.struct(
             (acc["n"] + F.greatest(F.lit(0), x["start"] + x["length"] - F.greatest(acc["upto"], x["start"]))).alias("n"),
             F.greatest(acc["upto"], x["start"] + x["length"]).alias("upto")), lambda acc: acc["n"].cast("long"))
-    return (found.select("row", "doc_id", "n_words").join(spans, "row", "left").join(listed, "row", "left")
-            .select("doc_id", "n_words", F.coalesce(covered, F.lit(0).cast("long")).alias("n_hit"),
+    return (found.select("row", "doc_id", "id", "th", "n_words").join(spans, "row", "left").join(listed, "row", "left")
+            .select("doc_id", "id", "th", "n_words", F.coalesce(covered, F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans"))
 
 

@@ -7,7 +7,7 @@ import zipfile
 from pathlib import Path
 
 import ridemart
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridemart.session import scratch_path
@@ -52,8 +52,17 @@ def task_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """(id, th): what tells rows apart; a null doc_id has an id of its own."""
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"),
+            F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("th")]
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, id, th): every row as a struct beside its key, so that no column name can clash."""
+    return docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, doc_id, text): rows that agree on (id, th) are repeated rows and get equal results."""
-    return slim(docs, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return slim(docs, id_col, text_col).select(*row_key(), "doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -35,7 +35,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm.frames import materialize
+from ridemart.llm.frames import materialize, row_key, with_key
 
 PERCENT = 80
 CLASS_BITS = 16           # counters of the word frequency table
@@ -47,9 +47,7 @@ _WORDS = f"array_remove(split(line, r'{_BLANKS}'), '')"
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"),
-                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("th"),
-                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    return docs.select(*row_key(id_col, text_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -171,9 +169,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .where(F.col("gone") | (F.col("first") != F.struct("id", "th", "line_no")))
             .groupBy("id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("drop")))
     gone = materialize(gone, "drop")
-    key = docs.select(F.struct("*").alias("row")).select(
-        "row", F.coalesce(F.col(f"row.`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))).alias("th"))
+    key = with_key(docs, id_col, text_col)
     touched = F.expr(_bitmap(gone, "th").replace("{x}", "th"))
     n_lines = F.size(F.split(F.col(f"row.`{text_col}`"), "\n"))
     nothing = F.struct(F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed")).alias("_lines")

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ridemart.llm import tokens as tk
 from ridemart.llm.components import connected_components
-from ridemart.llm.frames import keyed, materialize
+from ridemart.llm.frames import keyed, materialize, with_key
 
 SHINGLE = 5
 PERCENT = 80
@@ -373,5 +373,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return linked.union(alone).withColumn("n", F.col("n").cast("long")).withColumnRenamed("n", "n_shingles")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` less all but one row of each component: the one of the smallest doc_id (null last).
+
+    Texts without a word link with nothing and all stay. A repeated row stays once.
+    """
+    found = near_duplicates(docs, id_col, text_col, shingle, percent).where("component is not null")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "id", "th")).alias("m")).select("m.id", "m.th")
+    rows = with_key(docs, id_col, text_col)
+    word = F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    chosen = rows.where(word).join(first, ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+    return chosen.select("row.*").union(rows.where(~word).select("row.*"))
+
+
 def digest(result: DataFrame) -> DataFrame:
     return result.select("doc_id", "n_shingles", "component_id")
