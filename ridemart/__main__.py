@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     for a in ("--service", "--src", "--raw-root"):
         ld.add_argument(a, required=True)
     ld.add_argument("--fmt", default="parquet"), ld.add_argument("--src-fmt", default="csv")
+    ld.add_argument("--month", default=None, help="the month this delivery is for; without it a history is split by pickup")
     st = sub.add_parser("stream")
     for a in ("--service", "--raw-root", "--target", "--checkpoint"):
         st.add_argument(a, required=True)
@@ -83,7 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "land":
         from ridemart.sources.files import land_raw
         s = spec(args.service)
-        print(land_raw(_read(spark, args.src, s, args.src_fmt), args.raw_root, s, fmt=args.fmt))
+        print(land_raw(_read(spark, args.src, s, args.src_fmt), args.raw_root, s, args.month, fmt=args.fmt))
     elif args.cmd == "stream":
         from ridemart.streaming.months import stream_months
         stream_months(spark, spec(args.service), args.raw_root, args.target, args.checkpoint).awaitTermination()

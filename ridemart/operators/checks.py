@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridemart.plans.joins import maybe_broadcast
 
 RESULT_SCHEMA = "model string, column_name string, check_name string, severity string, failures bigint"
 
@@ -40,7 +39,7 @@ def check_not_null(df: DataFrame, col: str, model: str, severity: str = "warn")
 def check_relationships(df: DataFrame, col: str, parent: DataFrame, parent_col: str, model: str,
                         severity: str = "warn") -> DataFrame:
     """Number of non-NULL child rows whose key is absent from the parent."""
-    keys = maybe_broadcast(parent.select(F.col(parent_col).alias("_pk")).distinct())
+    keys = parent.select(F.col(parent_col).alias("_pk")).distinct()     # AQE broadcasts it when it turns out small
     orphans = df.where(F.col(col).isNotNull()).join(keys, F.col(col) == F.col("_pk"), "left_anti")
     return _row(orphans.agg(F.count(F.lit(1)).alias("failures")), model, col, "relationships", severity)
 
@@ -51,6 +50,26 @@ def check_accepted_values(df: DataFrame, col: str, values: list, model: str, sev
     return _row(bad.agg(F.count(F.lit(1)).alias("failures")), model, col, "accepted_values", severity)
 
 
+def column_checks(df: DataFrame, model: str, not_null: dict[str, str] | None = None,
+                  accepted: dict[str, tuple[list, str]] | None = None) -> DataFrame:
+    """Not-null (column -> severity) and accepted-value (column -> values, severity) checks in one scan (Q2, Q4).
+
+    Value checks beyond the first cost an extra row per input row (several
+    distinct counts), so give columns with few bad values only.
+    """
+    aggs, rows = [], []
+    for c, severity in (not_null or {}).items():
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"f{len(aggs)}"))
+        rows.append((c, "not_null", severity))
+    for c, (values, severity) in (accepted or {}).items():
+        aggs.append(F.count_distinct(F.when(~F.col(c).isin(list(values)), F.col(c))).alias(f"f{len(aggs)}"))
+        rows.append((c, "accepted_values", severity))
+    parts = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"),
+                      F.lit(severity).alias("severity"), F.col(f"f{i}").cast(T.LongType()).alias("failures"))
+             for i, (c, kind, severity) in enumerate(rows)]
+    return df.agg(*aggs).select(F.inline(F.array(*parts)))
+
+
 def run_checks(checks: list[DataFrame], raise_on_error: bool = True) -> DataFrame:
     """Union check rows (Q5). Raises ``CheckFailed`` if an ``error`` check has failures.
 

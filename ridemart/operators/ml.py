@@ -149,7 +149,8 @@ def evaluate(pred: DataFrame, label: str = LABEL, prediction: str = PREDICTION)
     row = x.agg(
         F.avg(F.abs(err)).alias("mean_absolute_error"),
         F.avg(err * err).alias("mean_squared_error"),
-        F.avg(F.pow(F.log1p(p) - F.log1p(y), 2)).alias("mean_squared_log_error"),
+        # defined above -1 only: one row outside makes the whole metric NULL
+        F.when(F.min(F.least(p, y)) > -1, F.avg(F.pow(F.log1p(p) - F.log1p(y), 2))).alias("mean_squared_log_error"),
         F.percentile_approx(F.abs(err), 0.5, MEDIAN_ACCURACY).alias("median_absolute_error"),
         F.sum(err * err).alias("_ss_res"),
         F.var_pop(y).alias("_var_y"),
@@ -158,8 +159,9 @@ def evaluate(pred: DataFrame, label: str = LABEL, prediction: str = PREDICTION)
     )
     return row.select(
         "mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "median_absolute_error",
-        (F.lit(1.0) - F.col("_ss_res") / (F.col("_var_y") * F.col("_n"))).alias("r2_score"),
-        (F.lit(1.0) - F.col("_var_res") / F.col("_var_y")).alias("explained_variance"),
+        # a constant label has no variance to explain: NULL
+        (F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_var_y") * F.col("_n"))).alias("r2_score"),
+        (F.lit(1.0) - F.try_divide(F.col("_var_res"), F.col("_var_y"))).alias("explained_variance"),
     )
 
 

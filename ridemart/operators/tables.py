@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.functions import day_of, month_label, row_id
+from ridemart.session import scratch_path
 from ridemart.specs import ServiceSpec
 
 
@@ -65,11 +66,11 @@ def ensure_table(spark: SparkSession, target: str, schema: T.StructType,
         _writer(empty, "ignore", partition_by).saveAsTable(target)
 
 
-def truncate(spark: SparkSession, target: str) -> None:
-    """Remove all rows, keep the schema."""
+def truncate(spark: SparkSession, target: str, partition_by: list[str] | None = None) -> None:
+    """Remove all rows, keep the schema (T7); ``partition_by`` names a path target's partition columns."""
     if is_path(target):
         schema = spark.read.parquet(target).schema
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(target)
+        _writer(spark.createDataFrame([], schema), "overwrite", partition_by).save(target)
     else:
         spark.sql(f"TRUNCATE TABLE {target}")
 
@@ -88,6 +89,17 @@ def day_column(ts_col: str) -> str:
     return f"{ts_col}_day"
 
 
+#: Bytes of the plan's size estimate for one range of a clustered write, and the most ranges.
+RANGE_BYTES = 256 << 20
+MAX_RANGES = 200_000
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the frame (file sizes scaled by its projections); 0 where it knows nothing."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def layout_frame(df: DataFrame, day_of_col: str | None = None, cluster_by: list[str] | None = None,
                  num_partitions: int | None = None) -> tuple[DataFrame, str | None]:
     """The frame ``materialize`` writes, with its derived day column (or None).
@@ -99,16 +111,15 @@ def layout_frame(df: DataFrame, day_of_col: str | None = None, cluster_by: list[
       over several tasks and small days share one.
     * ``cluster_by``: columns to cluster within each day. Rows are
       range-partitioned on (day, cluster..., row hash) into ``num_partitions``
-      ranges (default ``spark.sql.shuffle.partitions``; size it to the data,
-      e.g. bytes / 256 MB) and sorted the same way inside each task, so each
-      file and row group covers a narrow range of the cluster columns and
-      Parquet min/max statistics skip the rest.
-
-    The trailing row hash and per-row id let the range partitioner split a
-    hot (day, cluster) group, identical rows included, across tasks. The id
-    is not a pure function of the row; after a lost executor Spark reruns
-    such an indeterminate shuffle stage as a whole, so no row is lost or
-    written twice.
+      ranges (default: the plan's size estimate / ``RANGE_BYTES``, at least
+      ``spark.sql.shuffle.partitions``) and sorted the same way inside each
+      task, so each file and row group covers a narrow range of the cluster
+      columns and Parquet min/max statistics skip the rest.
+
+    The trailing row hash lets the range partitioner split a hot (day,
+    cluster) group across tasks; it is a function of the row, so a task rerun
+    after a lost executor sends every row where it went before. Rows equal in
+    every column share a range.
     """
     day = None
     if day_of_col:
@@ -116,15 +127,13 @@ def layout_frame(df: DataFrame, day_of_col: str | None = None, cluster_by: list[
         df = df.withColumn(day, day_of(day_of_col))
     order = ([day] if day else []) + list(cluster_by or [])
     if cluster_by:
-        cols = df.columns
-        # row hash, then a per-row id so even identical rows of a hot group spread out
-        df = df.withColumn("_spread", F.monotonically_increasing_id())
-        keys: list[Column] = [F.col(c) for c in order] + [F.xxhash64(*[F.col(c) for c in cols]), F.col("_spread")]
+        keys: list[Column] = [F.col(c) for c in order] + [F.xxhash64(*[F.col(c) for c in df.columns])]
         # an explicit count: AQE would otherwise merge neighbouring ranges of a small
         # table into a couple of tasks, each writing thousands of day folders serially
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = num_partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                                  min(estimated_bytes(df) // RANGE_BYTES, MAX_RANGES))
         df = df.repartitionByRange(n, *keys)
-        df = df.sortWithinPartitions(*order).drop("_spread")
+        df = df.sortWithinPartitions(*order)
     elif day:
         df = df.hint("rebalance", day).sortWithinPartitions(day)
     return df, day
@@ -166,42 +175,56 @@ def stamp_rows(df: DataFrame, spec: ServiceSpec, filename: str | Column, variant
 
 def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "unique_row_id",
               prune: tuple[str, str] | None = None, partition_by: list[str] | None = None,
-              schema: T.StructType | None = None) -> int:
+              schema: T.StructType | None = None, count_by: tuple[str, list[str]] | None = None) -> int | dict[str, int]:
     """Insert-only MERGE: append the batch rows whose key is not in the target.
 
     Existing rows are never changed; duplicates inside the batch are all
     inserted when their key is new (no dedup of the batch); running the same
     batch twice inserts nothing. Only the key column of the target is read.
-    The batch must carry the target's columns (derived partition columns included).
+    The batch must carry the target's columns (derived partition columns
+    included); it is evaluated once, into shared scratch.
 
     ``prune=(batch_ts_col, target_day_col)``: the target is day-partitioned on
     the pickup timestamp. Equal row ids imply equal pickup text unless one
-    side's pickup is NULL, so when the batch has no NULL pickup the target is
-    restricted to the batch's day range plus NULL-day rows, and directory
-    pruning skips every other day. With NULL pickups in the batch the whole
-    target is compared. Like the row ids themselves (timestamp text), this
-    assumes every load runs in the same session time zone (UTC here).
-    Returns the number of rows inserted.
+    side's pickup is NULL, so timed batch rows are compared with the batch's
+    own days (a list of calendar days; a stray day adds that day only) plus
+    NULL-day rows, and directory pruning skips every other day. Batch rows
+    without a pickup are compared apart, with the whole target. Like the row
+    ids themselves (timestamp text), this assumes every load runs in the same
+    session time zone (UTC here).
+
+    Returns the number of rows inserted, or with ``count_by=(column, values)``
+    that number for each of these values of a batch column.
     """
+    path = scratch_path(spark, "merge_batch")
+    batch.write.parquet(path)
+    batch = spark.read.schema(batch.schema).parquet(path)
     existing = read_target(spark, target, schema)
     if prune is not None:
         ts_col, day_col = prune
-        lo, hi, nulls = batch.agg(F.min(day_of(ts_col)), F.max(day_of(ts_col)),
-                                  F.count_if(F.col(ts_col).isNull())).first()
-        if nulls == 0 and lo is not None:
-            existing = existing.where(F.col(day_col).between(lo, hi) | F.col(day_col).isNull())
-    new_rows = batch.join(existing.select(key), on=key, how="left_anti").select(*existing.columns)
+        days = [r[0] for r in batch.select(day_of(ts_col)).distinct().collect()]
+        near = existing.where(F.col(day_col).isin([d for d in days if d is not None]) | F.col(day_col).isNull())
+        new_rows = batch.where(F.col(ts_col).isNotNull()).join(near.select(key), on=key, how="left_anti")
+        if None in days:
+            new_rows = new_rows.unionByName(batch.where(F.col(ts_col).isNull()).join(existing.select(key), on=key, how="left_anti"))
+    else:
+        new_rows = batch.join(existing.select(key), on=key, how="left_anti")
+    obs = Observation()
+    counts = [F.count(F.lit(1)).alias("inserted")]
+    if count_by:
+        counts = [F.count_if(F.col(count_by[0]) == v).alias(v) for v in count_by[1]]
     if partition_by:
         # one writer per day instead of every task writing into every day it saw;
         # AQE still splits a hot day into several advisory-sized tasks
         new_rows = new_rows.hint("rebalance", *partition_by)
-    obs = Observation("merge_new")
-    new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("inserted"))
+    # above the shuffle: AQE drops an empty stage together with a metric inside it
+    new_rows = new_rows.observe(obs, *counts).select(*existing.columns)
     if is_path(target):
         _writer(new_rows, "append", partition_by).save(target)
     else:
         new_rows.write.insertInto(target)
-    return int(obs.get.get("inserted", 0))
+    got = obs.get
+    return {v: int(got.get(v, 0)) for v in count_by[1]} if count_by else int(got.get("inserted", 0))
 
 
 def target_name(spec: ServiceSpec, month: str, per: str = "year") -> str:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from ridemart.sources.testbed import ORACLE_CTES
 from ridemart.specs import (
+    CODE_COLUMNS,
+    COUNT_COLUMNS,
     GREEN,
     PAYMENT_TYPE_DESCRIPTIONS,
     PAYMENT_TYPE_OTHER,
@@ -128,21 +130,31 @@ RID5 = _rid(YELLOW.warehouse_id_columns)
 RID7 = _rid(YELLOW.database_id_columns)
 
 
-def _between(lo: str, hi: str) -> str:
-    return f"CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
-
-
+DAY = "CAST(tpep_pickup_datetime AS DATE)"
 MERGE = f"""
+bound AS (SELECT lo, hi, lo + CAST((hi - lo) // 3 AS INTEGER) AS a, lo + 2 * CAST((hi - lo) // 3 AS INTEGER) AS b
+          FROM (SELECT min({DAY}) AS lo, max({DAY}) AS hi FROM yellow)),
 b1 AS (SELECT {RID5} AS unique_row_id, 'batch_1.parquet' AS filename, {YCOLS}
-       FROM yellow WHERE {_between('1996-01-01', '1996-06-30')}
+       FROM yellow, bound WHERE {DAY} BETWEEN lo AND b
        UNION ALL
        SELECT {RID5} AS unique_row_id, 'batch_1.parquet' AS filename, {YCOLS}
-       FROM yellow WHERE {_between('1996-03-01', '1996-03-31')}),
+       FROM yellow, bound WHERE {DAY} BETWEEN lo AND a),
 b2 AS (SELECT {RID5} AS unique_row_id, 'batch_2.parquet' AS filename, {YCOLS}
-       FROM yellow WHERE {_between('1996-04-01', '1996-09-30')}),
+       FROM yellow, bound WHERE {DAY} BETWEEN a AND hi),
 b2_new AS (SELECT * FROM b2 WHERE unique_row_id NOT IN (SELECT unique_row_id FROM b1)),
 merged AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2_new)"""
 
+
+def _numeric_target() -> str:
+    kind = {f.name: f.dataType.simpleString() for f in YELLOW.raw_schema.fields}
+    out = []
+    for c in YELLOW.raw_columns:
+        to = ("VARCHAR" if c in CODE_COLUMNS else "BIGINT" if c in COUNT_COLUMNS
+              else "DECIMAL(38, 9)" if kind[c] == "double" else None)
+        out.append(f"CAST({c} AS {to}) AS {c}" if to else c)
+    return ", ".join(out)
+
+
 def _check(col: str, check: str, failures: str, severity: str = "warn") -> str:
     return (f"SELECT 'stg_green_tripdata' AS model, '{col}' AS column_name, '{check}' AS check_name, "
             f"'{severity}' AS severity, CAST(({failures}) AS BIGINT) AS failures")
@@ -275,16 +287,24 @@ SELECT unique_row_id, count(*) AS copies FROM merged GROUP BY unique_row_id HAVI
     "backfill_months": with_ctes() + f"""
 SELECT {RID5} AS unique_row_id,
        'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS}
-FROM yellow WHERE {_between('1996-01-01', '1996-03-31')}""",
+FROM yellow""",
     "load_month_database": with_ctes() + f"""
 SELECT {RID7} AS unique_row_id,
        'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.csv' AS filename, {YCOLS}
-FROM yellow WHERE {_between('1996-01-01', '1996-02-29')}""",
+FROM yellow""",
     "backfill_yearly": with_ctes() + f"""
 SELECT {RID5} AS unique_row_id,
        'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS},
        'yellow_' || strftime(tpep_pickup_datetime, '%Y') AS target_table
-FROM yellow WHERE {_between('1996-12-01', '1997-01-31')}""",
+FROM yellow""",
+    "load_numeric_target": with_ctes() + f"""
+SELECT {RID5} AS unique_row_id,
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {_numeric_target()}
+FROM yellow""",
+    "row_id_bytes": with_ctes() + f"\nSELECT {RID5} AS unique_row_id, "
+                    f"'yellow_tripdata_1996-01.parquet' AS filename, {YCOLS} FROM yellow",
+    "row_index_scan": with_ctes() + """
+SELECT count(*) AS row_count, count(*) AS different, CAST(0 AS BIGINT) AS lowest, count(*) - 1 AS highest FROM yellow""",
     "check_unique": with_ctes(STG) + "\n" + CHK_UNIQUE,
     "check_not_null": with_ctes(STG) + "\n" + CHK_NOT_NULL,
     "check_relationships": with_ctes(STG) + "\n" + CHK_REL,
@@ -294,9 +314,9 @@ FROM yellow WHERE {_between('1996-12-01', '1997-01-31')}""",
     "csv_roundtrip": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "gzip_scan": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "parquet_glob": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) = 1996",
-    "csv_glob_list": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) IN (1996, 1997)",
+    "csv_glob_list": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "raw_zone": with_ctes() + f"\nSELECT {YCOLS}, strftime(tpep_pickup_datetime, '%Y-%m') AS month FROM yellow",
-    "parquet_to_csv": with_ctes() + f"\nSELECT {YCOLS} FROM yellow WHERE year(tpep_pickup_datetime) = 1997",
+    "parquet_to_csv": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "csv_to_parquet": with_ctes() + f"\nSELECT {GCOLS} FROM green",
     "copy_in_columns": with_ctes() + f"""
 SELECT CAST(NULL AS VARCHAR) AS unique_row_id, CAST(NULL AS VARCHAR) AS filename, {YCOLS},

@@ -29,14 +29,39 @@ from ridemart.operators.tables import (
     write_target,
 )
 from ridemart.sources.files import copy_in, raw_month_path, read_trips_csv, read_trips_parquet
-from ridemart.specs import Config, ServiceSpec
+from ridemart.specs import CODE_COLUMNS, COUNT_COLUMNS, TARGETS, Config, ServiceSpec
 
 
-def target_schema(spec: ServiceSpec) -> T.StructType:
-    """Load target: row id and file name in front of the raw columns, plus the pickup day."""
-    head = [T.StructField("unique_row_id", T.StringType(), True), T.StructField("filename", T.StringType(), True)]
+def target_schema(spec: ServiceSpec, variant: str = "typed") -> T.StructType:
+    """Load target: row id and file name in front of the raw columns, plus the pickup day.
+
+    ``variant`` names the declared types (``specs.TARGETS``): as delivered
+    with a hex row id, NUMERIC amounts with text codes and a BYTES row id, or
+    text codes with double amounts.
+    """
+    kind = TARGETS[variant]
+
+    def declared(f: T.StructField) -> T.StructField:
+        amount = isinstance(f.dataType, T.DoubleType) and f.name not in COUNT_COLUMNS
+        new = kind.code if f.name in CODE_COLUMNS else kind.count if f.name in COUNT_COLUMNS else kind.amount if amount else None
+        return T.StructField(f.name, new or f.dataType, True)
+
+    head = [T.StructField("unique_row_id", kind.row_id, True), T.StructField("filename", T.StringType(), True)]
     tail = [T.StructField(day_column(spec.pickup), T.DateType(), True)]
-    return with_comments(T.StructType(head + list(spec.raw_schema.fields) + tail), spec.comments)
+    return with_comments(T.StructType(head + [declared(f) for f in spec.raw_schema.fields] + tail), spec.comments)
+
+
+def _as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Hard casts to the target's types; further columns are kept."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+
+def _from_first_month(batch: DataFrame) -> DataFrame:
+    """A row id that occurs in several months of a batch stays with the earliest, with all its copies there."""
+    seen = (batch.groupBy("unique_row_id").agg(F.min("_month").alias("_first"), F.max("_month").alias("_last"))
+            .where("_first < _last").select("unique_row_id", "_first"))
+    return batch.join(seen, "unique_row_id", "left").where("_first is null or _month = _first").drop("_first")
 
 
 def read_month(spark: SparkSession, spec: ServiceSpec, src: str, fmt: str = "parquet") -> DataFrame:
@@ -51,12 +76,31 @@ def load_month(spark: SparkSession, spec: ServiceSpec, month: str, src: str, tar
     column of the batch's days. Re-running a month inserts zero rows.
     Returns the number of rows inserted.
     """
+    return load_months(spark, spec, {month: src}, target, fmt, filename)[month]
+
+
+def load_months(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str], target: str,
+                fmt: str = "parquet", filename: str | None = None, variant: str = "typed") -> dict[str, int]:
+    """Load some months (month -> folder or file) with one merge; the result is that of loading them in order.
+
+    A row id that occurs in several of the months is taken from the earliest
+    one only, with all its copies there, as separate loads would have it.
+    Returns the rows inserted for each month.
+    """
     day = day_column(spec.pickup)
-    ensure_table(spark, target, target_schema(spec), partition_by=[day])
-    batch = stamp_rows(read_month(spark, spec, src, fmt), spec, filename or spec.file_name(month, fmt))
-    batch = batch.withColumn(day, day_of(spec.pickup))
-    return merge_new(spark, target, batch, prune=(spec.pickup, day), partition_by=[day],
-                     schema=target_schema(spec))
+    schema = target_schema(spec, variant)
+    ensure_table(spark, target, schema, partition_by=[day])
+    months = sorted(sources)
+    as_bytes = isinstance(schema["unique_row_id"].dataType, T.BinaryType)
+    parts = [stamp_rows(read_month(spark, spec, sources[m], fmt), spec, filename or spec.file_name(m, fmt), as_bytes=as_bytes)
+             .withColumn(day, day_of(spec.pickup)).withColumn("_month", F.lit(m)) for m in months]
+    batch = parts[0]
+    for x in parts[1:]:
+        batch = batch.unionByName(x)
+    if len(months) > 1:
+        batch = _from_first_month(batch)
+    return merge_new(spark, target, _as_declared(batch, schema), prune=(spec.pickup, day), partition_by=[day], schema=schema,
+                     count_by=("_month", months))
 
 
 def staging_schema(spec: ServiceSpec) -> T.StructType:
@@ -67,23 +111,36 @@ def staging_schema(spec: ServiceSpec) -> T.StructType:
 
 def load_month_staged(spark: SparkSession, spec: ServiceSpec, month: str, src_csv: str, staging: str,
                       target: str) -> int:
-    """Database-style monthly load.
+    """Database-style monthly load (N1, T7, S2, T8, T9), see :func:`load_months_staged`."""
+    return load_months_staged(spark, spec, {month: src_csv}, staging, target)[month]
+
+
+def load_months_staged(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str], staging: str,
+                       target: str) -> dict[str, int]:
+    """Database-style load of some months (month -> CSV) through one staging table.
 
-    Truncate the one staging table, COPY the month's CSV into it by column
-    list (other columns NULL), stamp every staging row with the seven-part
-    row id and the file name, then insert-only merge into the target. The
-    single staging table means months load one at a time, as in the flow
-    this follows.
+    Truncate the staging table, COPY each month's CSV into it by column list
+    (other columns NULL, the file name set), stamp every staging row with the
+    seven-part row id, then insert-only merge into the target. The single
+    staging table means loads run one at a time, as in the flow this follows.
+    Returns the rows inserted for each month.
     """
     day = day_column(spec.pickup)
     ensure_table(spark, staging, staging_schema(spec))
     ensure_table(spark, target, target_schema(spec), partition_by=[day])
     truncate(spark, staging)
-    copy_in(spark, src_csv, spec.raw_columns, staging_schema(spec)).write.mode("overwrite").parquet(staging)
+    names = {m: spec.file_name(m, "csv") for m in sorted(sources)}
+    copied = None
+    for m, name in names.items():
+        part = copy_in(spark, sources[m], spec.raw_columns, staging_schema(spec)).withColumn("filename", F.lit(name))
+        copied = part if copied is None else copied.unionByName(part)
+    write_target(copied, staging)
     staged = read_target(spark, staging, staging_schema(spec))
-    stamped = stamp_rows(staged, spec, spec.file_name(month, "csv"), "database", columns=spec.raw_columns)
-    return merge_new(spark, target, stamped.withColumn(day, day_of(spec.pickup)),
-                     prune=(spec.pickup, day), partition_by=[day], schema=target_schema(spec))
+    batch = stamp_rows(staged, spec, F.col("filename"), "database", columns=spec.raw_columns).withColumn(day, day_of(spec.pickup))
+    month = F.element_at(F.create_map(*[F.lit(x) for m, name in names.items() for x in (name, m)]), F.col("filename"))
+    batch = _from_first_month(batch.withColumn("_month", month))
+    return merge_new(spark, target, batch, prune=(spec.pickup, day), partition_by=[day], schema=target_schema(spec),
+                     count_by=("_month", list(names)))
 
 
 def months_between(start: str, end: str) -> list[str]:
@@ -98,18 +155,23 @@ def months_between(start: str, end: str) -> list[str]:
 
 
 def backfill(spark: SparkSession, spec: ServiceSpec, start: str, end: str, raw_root: str, target: str,
-             fmt: str = "parquet", per: str | None = None) -> dict[str, int]:
-    """Load a month range in order, one month at a time, from the raw zone.
+             fmt: str = "parquet", per: str | None = None, months_per_load: int = 12) -> dict[str, int]:
+    """Load a month range in order from the raw zone.
 
-    One writer per target: months are merged sequentially, as the single
-    staging table of the original flow required. With ``per='year'`` (or
-    ``'month'``) ``target`` is a root folder and each month goes to the
-    consolidated table named from it, e.g. ``<root>/yellow_1996``.
+    One writer per target. Up to ``months_per_load`` months share one merge
+    (:func:`load_months`, whose result does not depend on that number). With
+    ``per='year'`` (or ``'month'``) ``target`` is a root folder and each month
+    goes to the consolidated table named from it, e.g. ``<root>/yellow_1996``.
     """
     out = {}
+    todo: list[tuple[str, list[str]]] = []
     for m in months_between(start, end):
         dest = f"{target.rstrip('/')}/{target_name(spec, m, per)}" if per else target
-        out[m] = load_month(spark, spec, m, raw_month_path(raw_root, spec, m), dest, fmt)
+        if not todo or todo[-1][0] != dest or len(todo[-1][1]) >= months_per_load:
+            todo.append((dest, []))
+        todo[-1][1].append(m)
+    for dest, months in todo:
+        out.update(load_months(spark, spec, {m: raw_month_path(raw_root, spec, m) for m in months}, dest, fmt))
     return out
 
 
@@ -154,10 +216,9 @@ def model_checks(staged: dict[str, DataFrame], seed: DataFrame, mart: DataFrame,
         g, m = staged["Green"], "stg_green_tripdata"
         out += [
             Q.check_unique(g, "tripid", m, "warn"),
-            Q.check_not_null(g, "tripid", m, "warn"),
+            Q.column_checks(g, m, not_null={"tripid": "warn"}, accepted={"payment_type": (list(config.payment_type_values), "warn")}),
             Q.check_relationships(g, "pickup_locationid", seed, "locationid", m, "warn"),
             Q.check_relationships(g, "dropoff_locationid", seed, "locationid", m, "warn"),
-            Q.check_accepted_values(g, "payment_type", list(config.payment_type_values), m, "warn"),
         ]
     out.append(Q.check_not_null(mart, "revenue_monthly_total_amount", "dm_monthly_zone_revenue", "error"))
     return out

@@ -8,6 +8,7 @@ its work grows with the data. The matching DuckDB SQL lives in
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenu
 from ridemart.operators.staging import preview, stage_trips
 from ridemart.operators.tables import day_column, ensure_table, materialize, merge_new, partition_stats, stamp_rows
 from ridemart.operators.warehouse import count_trips, distinct_vendors, sql, trip_extent
-from ridemart.plans.pipeline import backfill, build, load_month_staged, target_schema
+from ridemart.plans.pipeline import backfill, build, load_months, load_months_staged, months_between, target_schema
 from ridemart.session import scratch_path
 from ridemart.sources import files as io
 from ridemart.sources import testbed
@@ -142,14 +143,11 @@ def q_zone_count(spark, sf_dir):
 
 # ---- monthly load: row ids, insert-only merge, backfill --------------------------------
 
-BATCH_1 = ("1996-01-01", "1996-06-30")
-BATCH_1_REPEAT = ("1996-03-01", "1996-03-31")
-BATCH_2 = ("1996-04-01", "1996-09-30")
-BACKFILL = ("1996-01", "1996-03")
 _RUNS: dict[tuple, object] = {}
 
 
 def _memo(spark, key, fn):
+    """Input files a query starts from (landed months, CSV copies) are written once a session; results never are."""
     k = (spark.sparkContext.applicationId,) + key
     if k not in _RUNS:
         _RUNS[k] = fn()
@@ -164,29 +162,29 @@ def q_row_id_database(spark, sf_dir):
     return stamp_rows(testbed.yellow(spark, sf_dir), YELLOW, YELLOW.file_name("1996-01", "csv"), "database")
 
 
-def _batch(spark, sf_dir, rng, name):
+def _batch(spark, sf_dir, lo, hi, name):
     day = day_column(PICKUP)
-    y = testbed.yellow(spark, sf_dir)
-    y = y.where(F.to_date(PICKUP).between(F.to_date(F.lit(rng[0])), F.to_date(F.lit(rng[1]))))
+    y = testbed.yellow(spark, sf_dir).where(F.to_date(PICKUP).between(F.lit(lo), F.lit(hi)))
     return stamp_rows(y, YELLOW, name).withColumn(day, F.to_date(PICKUP))
 
 
 def merge_runs(spark, sf_dir):
-    """Two overlapping batches merged into an empty target, then the first batch again."""
-    def run():
-        day = day_column(PICKUP)
-        target = scratch_path(spark, "merge_target")
-        ensure_table(spark, target, target_schema(YELLOW), partition_by=[day])
-        # batch 1 carries March twice (a month delivered in two files): every copy is inserted
-        b1 = (_batch(spark, sf_dir, BATCH_1, "batch_1.parquet")
-              .unionByName(_batch(spark, sf_dir, BATCH_1_REPEAT, "batch_1.parquet")))
-        b2 = _batch(spark, sf_dir, BATCH_2, "batch_2.parquet")
-        kw = dict(prune=(PICKUP, day), partition_by=[day], schema=target_schema(YELLOW))
-        n1 = merge_new(spark, target, b1, **kw)
-        n2 = merge_new(spark, target, b2, **kw)
-        n3 = merge_new(spark, target, b1, **kw)
-        return target, (n1, n2, n3)
-    return _memo(spark, ("merge", sf_dir), run)
+    """Two overlapping batches that cover the whole table merged into an empty target, then the first batch again.
+
+    The first batch holds the first two thirds of the days, its first third
+    twice (months delivered in two files: every copy is inserted); the second
+    batch holds the last two thirds.
+    """
+    lo, hi = testbed.yellow(spark, sf_dir).agg(F.min(F.to_date(PICKUP)), F.max(F.to_date(PICKUP))).first()
+    third = (hi - lo) / 3
+    a, b = lo + timedelta(days=third.days), lo + timedelta(days=2 * third.days)
+    day = day_column(PICKUP)
+    target = scratch_path(spark, "merge_target")
+    ensure_table(spark, target, target_schema(YELLOW), partition_by=[day])
+    b1 = (_batch(spark, sf_dir, lo, b, "batch_1.parquet").unionByName(_batch(spark, sf_dir, lo, a, "batch_1.parquet")))
+    b2 = _batch(spark, sf_dir, a, hi, "batch_2.parquet")
+    kw = dict(prune=(PICKUP, day), partition_by=[day], schema=target_schema(YELLOW))
+    return target, tuple(merge_new(spark, target, x, **kw) for x in (b1, b2, b1))
 
 
 def q_merge_new_rows(spark, sf_dir):
@@ -205,6 +203,12 @@ def q_merge_batch_duplicates(spark, sf_dir):
     return t.groupBy("unique_row_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+def months_of(spark, sf_dir) -> list[str]:
+    """First to last pickup month of the data."""
+    lo, hi = testbed.yellow(spark, sf_dir).agg(F.min(PICKUP), F.max(PICKUP)).first()
+    return months_between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m"))
+
+
 def raw_zone(spark, sf_dir, fmt="parquet"):
     """Yellow raw trips landed once per session in the raw zone, one folder per month."""
     def run():
@@ -214,37 +218,51 @@ def raw_zone(spark, sf_dir, fmt="parquet"):
     return _memo(spark, ("raw", sf_dir, fmt), run)
 
 
+def _loaded(spark, target, variant="typed"):
+    return spark.read.schema(target_schema(YELLOW, variant)).parquet(target).drop(day_column(PICKUP))
+
+
 def q_backfill_months(spark, sf_dir):
-    def run():
-        target = scratch_path(spark, "backfill_target")
-        backfill(spark, YELLOW, *BACKFILL, raw_zone(spark, sf_dir), target)
-        return target
-    target = _memo(spark, ("backfill", sf_dir), run)
-    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+    """Every month of the raw zone into one target."""
+    months, target = months_of(spark, sf_dir), scratch_path(spark, "backfill_target")
+    backfill(spark, YELLOW, months[0], months[-1], raw_zone(spark, sf_dir), target)
+    return _loaded(spark, target)
 
 
 def q_backfill_yearly(spark, sf_dir):
-    """Months across a year boundary into per-year consolidated targets."""
-    def run():
-        root = scratch_path(spark, "yearly")
-        backfill(spark, YELLOW, "1996-12", "1997-01", raw_zone(spark, sf_dir), root, per="year")
-        return root
-    root = _memo(spark, ("yearly", sf_dir), run)
-    parts = [spark.read.schema(target_schema(YELLOW)).parquet(f"{root}/yellow_{y}")
-             .drop(day_column(PICKUP)).withColumn("target_table", F.lit(f"yellow_{y}")) for y in (1996, 1997)]
-    return parts[0].unionByName(parts[1])
+    """Every month into the consolidated target of its year."""
+    months, root = months_of(spark, sf_dir), scratch_path(spark, "yearly")
+    backfill(spark, YELLOW, months[0], months[-1], raw_zone(spark, sf_dir), root, per="year")
+    out = None
+    for y in sorted({m[:4] for m in months}):
+        part = _loaded(spark, f"{root}/yellow_{y}").withColumn("target_table", F.lit(f"yellow_{y}"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_load_month_database(spark, sf_dir):
-    """Two months through the staging-table flow (COPY, 7-part id), the first month twice."""
-    def run():
-        root = raw_zone(spark, sf_dir, "csv")
-        staging, target = scratch_path(spark, "staging"), scratch_path(spark, "db_target")
-        for m in ("1996-01", "1996-02", "1996-01"):
-            load_month_staged(spark, YELLOW, m, f"{root}/yellow/month={m}", staging, target)
-        return target
-    target = _memo(spark, ("db_load", sf_dir), run)
-    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+    """Every month through the staging-table flow (COPY, 7-part id), a year at a time, the first year twice."""
+    root = raw_zone(spark, sf_dir, "csv")
+    staging, target = scratch_path(spark, "staging"), scratch_path(spark, "db_target")
+    years: dict[str, dict[str, str]] = {}
+    for m in months_of(spark, sf_dir):
+        years.setdefault(m[:4], {})[m] = f"{root}/yellow/month={m}"
+    for y in [*years, min(years)]:
+        load_months_staged(spark, YELLOW, years[y], staging, target)
+    return _loaded(spark, target)
+
+
+def q_load_numeric_target(spark, sf_dir):
+    """Every month into the target with NUMERIC amounts, text codes and a BYTES row id (shown as hex)."""
+    root, target = raw_zone(spark, sf_dir), scratch_path(spark, "numeric_target")
+    load_months(spark, YELLOW, {m: io.raw_month_path(root, YELLOW, m) for m in months_of(spark, sf_dir)}, target, variant="numeric")
+    return _loaded(spark, target, "numeric").withColumn("unique_row_id", F.lower(F.hex("unique_row_id")))
+
+
+def q_row_id_bytes(spark, sf_dir):
+    """The row id as bytes, compared as hex."""
+    return (stamp_rows(testbed.yellow(spark, sf_dir), YELLOW, YELLOW.file_name("1996-01", "parquet"), as_bytes=True)
+            .withColumn("unique_row_id", F.lower(F.hex("unique_row_id"))))
 
 
 # ---- data-quality checks ----------------------------------------------------------------
@@ -273,13 +291,9 @@ def q_check_accepted_values(spark, sf_dir):
 
 
 def q_run_checks(spark, sf_dir):
-    def run():
-        out = scratch_path(spark, "build")
-        b = build(spark, {GREEN: testbed.green(spark, sf_dir), YELLOW: testbed.yellow(spark, sf_dir)},
-                  testbed.zone_seed(spark, sf_dir), out, FULL)
-        return b.checks.collect()
-    rows = _memo(spark, ("build", sf_dir), run)
-    return spark.createDataFrame(rows, Q.RESULT_SCHEMA)
+    b = build(spark, {GREEN: testbed.green(spark, sf_dir), YELLOW: testbed.yellow(spark, sf_dir)},
+              testbed.zone_seed(spark, sf_dir), scratch_path(spark, "build"), FULL)
+    return b.checks
 
 
 # ---- scans, sinks, conversions ----------------------------------------------------------
@@ -305,12 +319,16 @@ def q_parquet_glob(spark, sf_dir):
 
 
 def q_csv_glob_list(spark, sf_dir):
+    """A list of globs, one for each year."""
     root = raw_zone(spark, sf_dir, "csv") + "/yellow"
-    return io.read_trips_csv(spark, [root + "/month=1996-*", root + "/month=1997-*"], YELLOW)
+    years = sorted({m[:4] for m in months_of(spark, sf_dir)})
+    return io.read_trips_csv(spark, [f"{root}/month={y}-*" for y in years], YELLOW)
 
 
 def q_parquet_to_csv(spark, sf_dir):
-    out = io.parquet_to_csv(spark, raw_zone(spark, sf_dir) + "/yellow/month=1997-*", scratch_path(spark, "to_csv"))
+    root = raw_zone(spark, sf_dir)
+    months = [io.raw_month_path(root, YELLOW, m) for m in months_of(spark, sf_dir)]
+    out = io.parquet_to_csv(spark, months, scratch_path(spark, "to_csv"))
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in YELLOW.raw_schema.fields])
 
 
@@ -334,6 +352,13 @@ def q_row_index(spark, sf_dir):
     return io.with_row_index(y, y.columns)
 
 
+def q_row_index_scan(spark, sf_dir):
+    """Scan-order index over a shuffled frame: as many different numbers as rows, from 0 on."""
+    x = io.with_row_index(testbed.yellow(spark, sf_dir).repartition(13, "PULocationID"))
+    return x.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("index").alias("different"),
+                 F.min("index").alias("lowest"), F.max("index").alias("highest"))
+
+
 def q_load_seed(spark, sf_dir):
     path = scratch_path(spark, "zone_seed_csv")
     testbed.zone_seed(spark, sf_dir).write.option("header", True).option("quoteAll", True).csv(path)
@@ -414,7 +439,7 @@ def q_explain_fixed_model(spark, sf_dir):
 
 
 def trained_model(spark, sf_dir):
-    return _memo(spark, ("model", sf_dir), lambda: ml.train_tip_model(features(spark, sf_dir)))
+    return ml.train_tip_model(features(spark, sf_dir))
 
 
 def q_tip_model_predict(spark, sf_dir):
@@ -457,14 +482,10 @@ def q_stream_months(spark, sf_dir):
     """Drain the landed raw zone through the file stream into a fresh target."""
     from ridemart.streaming.months import stream_months
 
-    def run():
-        target = scratch_path(spark, "stream_target")
-        q = stream_months(spark, YELLOW, raw_zone(spark, sf_dir), target, scratch_path(spark, "stream_ckpt"),
-                          files_per_trigger=256)
-        q.awaitTermination()
-        return target
-    target = _memo(spark, ("stream", sf_dir), run)
-    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+    target = scratch_path(spark, "stream_target")
+    q = stream_months(spark, YELLOW, raw_zone(spark, sf_dir), target, scratch_path(spark, "stream_ckpt"), files_per_trigger=24)
+    q.awaitTermination()
+    return _loaded(spark, target)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -490,6 +511,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_months": q_backfill_months,
     "load_month_database": q_load_month_database,
     "backfill_yearly": q_backfill_yearly,
+    "load_numeric_target": q_load_numeric_target,
+    "row_id_bytes": q_row_id_bytes,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "check_relationships": q_check_relationships,
@@ -504,6 +527,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_to_parquet": q_csv_to_parquet,
     "copy_in_columns": q_copy_in_columns,
     "row_index": q_row_index,
+    "row_index_scan": q_row_index_scan,
     "load_seed": q_load_seed,
     "ingest_table": q_ingest_table,
     "stg_green_dev_limit": q_stg_green_dev_limit,

@@ -48,7 +48,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "10g")
     )
     for k, v in session_conf(slots, shuffle_partitions).items():
         b = b.config(k, v)
@@ -72,9 +72,11 @@ def pin_time_zone(spark: SparkSession, default: str = "UTC") -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset."""
+    """Return the shared checkpoint folder; a local master without the setting gets a temporary one."""
     base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ridemart-ckpt-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, base)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.functions import month_label, to_ts
+from ridemart.session import scratch_path
 from ridemart.specs import ZONE_SEED, ServiceSpec
 
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 Paths = str | list[str]
+_CORRUPT = "_corrupt_record"
 
 
 def _as_text_schema(schema: T.StructType) -> T.StructType:
@@ -33,18 +35,28 @@ def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
     """CSV scan with the declared raw schema.
 
     Columns map by position, one header row is skipped, extra trailing
-    columns are dropped (PERMISSIVE), values are cast with ANSI casts.
+    values are dropped, values are cast with ANSI casts. A row with fewer
+    values than columns fails the job: PERMISSIVE mode hands such rows over
+    in ``_corrupt_record``, whose values are counted (quoted ones as one);
+    this needs whole rows parsed, so column pruning is off in the parser.
     ``path`` may be a file, a glob or a list of globs; ``.csv.gz`` is read
     through the codec picked from the extension. A gzip file cannot be
     split, so one large file is one scan task; with ``repartition='auto'``
-    gzip input is rebalanced right after the scan (a ``REBALANCE`` that AQE
-    cuts into advisory-sized partitions), so every later stage runs wide.
+    input that holds gzip files (as the scan lists them) is rebalanced right
+    after the scan (a ``REBALANCE`` that AQE cuts into advisory-sized
+    partitions), so every later stage runs wide.
     """
-    df = (spark.read.schema(_as_text_schema(spec.raw_schema))
-          .option("header", True).option("mode", "PERMISSIVE").csv(path))
-    paths = [path] if isinstance(path, str) else list(path)
+    schema = T.StructType([*_as_text_schema(spec.raw_schema).fields, T.StructField(_CORRUPT, T.StringType())])
+    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False).csv(path))
+    values = F.size(F.split(F.regexp_replace(_CORRUPT, '"[^"]*"', "q"), ","))
+    need = len(spec.raw_columns)
+    # (Spark refuses a query over the corrupt column alone, as a plain count would be: a data column comes along)
+    short = F.col(_CORRUPT).isNotNull() & (values < need) & (F.coalesce(F.length(spec.raw_columns[0]), F.lit(0)) >= 0)
+    df = df.where(F.when(short, F.raise_error(F.concat(F.lit(f"fewer than {need} values: "), F.col(_CORRUPT))).cast("boolean"))
+                  .otherwise(F.lit(True)))
     if repartition == "auto":
-        if any(".gz" in p for p in paths):
+        if any(f.endswith(".gz") for f in df.inputFiles()):
             df = df.hint("rebalance")
     elif repartition:
         df = df.repartition(int(repartition))
@@ -73,12 +85,14 @@ def read_csv_inferred(spark: SparkSession, path: Paths) -> DataFrame:
 
 
 def read_trips_parquet(spark: SparkSession, path: Paths, spec: ServiceSpec) -> DataFrame:
-    """Parquet scan (single file, glob or list of globs) cast to the spec's raw types."""
+    """Parquet scan (single file, glob or list of globs) with the declared raw schema.
+
+    The schema is declared, not taken from a footer: a file that lacks a
+    column gives NULL for its own rows only, and a file whose type cannot be
+    read as the declared one fails the scan.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
-    have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in spec.raw_schema.fields])
+    return spark.read.schema(spec.raw_schema).parquet(*paths)
 
 
 def load_seed(spark: SparkSession, path: str, schema: T.StructType = ZONE_SEED) -> DataFrame:
@@ -111,7 +125,8 @@ def csv_to_parquet(spark: SparkSession, src: Paths, dst: str,
 
 def parquet_to_csv(spark: SparkSession, src: Paths, dst: str) -> DataFrame:
     """Parquet -> CSV with header, no index column."""
-    write_csv(spark.read.parquet(src), dst)
+    paths = [src] if isinstance(src, str) else list(src)
+    write_csv(spark.read.parquet(*paths), dst)
     return spark.read.option("header", True).csv(dst)
 
 
@@ -119,15 +134,27 @@ def raw_month_path(root: str, spec: ServiceSpec, month: str) -> str:
     return f"{root.rstrip('/')}/{spec.name}/month={month_label(month)}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    p = jvm.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = None,
              fmt: str = "parquet") -> str:
     """Land trips in the raw zone under service/month.
 
-    With ``month`` the frame is one month and overwrites that month only.
-    Without it, all months are landed in one job, split by the pickup month
-    (dynamic partition overwrite: months not in ``df`` are left alone). Only
-    the landed months' folders are rewritten.
+    With ``month`` the frame is that month's delivery, whatever its pickup
+    times say: a stray trip or one without a pickup time stays in the month
+    that delivered it, and only that month's folder is overwritten.
+
+    Without it the frame is a history of several months, split by the pickup
+    month in one job; trips without a pickup time go to the earliest month.
+    Such a landing only creates months: if one of them has a folder already
+    nothing is written and ``FileExistsError`` names it.
     """
+    spark = df.sparkSession
     base = f"{root.rstrip('/')}/{spec.name}"
     if month is not None:
         path = raw_month_path(root, spec, month)
@@ -138,10 +165,16 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
             sized.write.mode("overwrite").parquet(path)
         return path
     x = df.withColumn("month", F.date_format(F.col(spec.pickup), "yyyy-MM"))
+    months = sorted(r[0] for r in x.select("month").distinct().collect() if r[0])       # a row a calendar month
+    if not months:
+        raise ValueError("no pickup time in the whole frame: name the month it was delivered for")
+    taken = [m for m in months if path_exists(spark, raw_month_path(root, spec, m))]
+    if taken:
+        raise FileExistsError(f"months landed before: {', '.join(taken)}; land each file as its month instead")
+    x = x.withColumn("month", F.coalesce("month", F.lit(months[0])))
     # REBALANCE: AQE sizes the write tasks from real data, splitting a hot
     # month over several tasks and packing small months into one file.
-    w = (x.hint("rebalance", "month")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month"))
+    w = x.hint("rebalance", "month").write.mode("append").partitionBy("month")
     if fmt == "csv":
         w.option("header", True).option("timestampFormat", CSV_TS_FORMAT).csv(base)
     else:
@@ -177,12 +210,13 @@ def ingest_table(df: DataFrame, target: str, ts_cols: tuple[str, ...] = (), mode
 def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str = "index") -> DataFrame:
     """Add a 0-based row index in ``order_by`` order, or in scan order when None.
 
-    Distributed: rows are range-partitioned and sorted, each partition counts
-    its rows, a running sum over the (few) partition counts gives each
-    partition's offset, and rows add their position inside the partition. No
-    single task ever sees all rows. The tie-break on every column makes the
-    order total, so a recomputed partition numbers its rows the same way.
+    Distributed: rows are range-partitioned and sorted (or taken as they come)
+    and written once to shared scratch with their partition and place in it;
+    a running sum over the partitions' counts gives each its offset. Counts
+    and rows come from those files, so both see the same evaluation of the
+    input. No single task ever sees all rows.
     """
+    spark = df.sparkSession
     x = df
     if order_by:
         rest = [c for c in df.columns if c not in order_by]
@@ -191,12 +225,15 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
         x = (x.repartitionByRange(*[F.col(c) for c in order_by], F.xxhash64(*[F.col(c) for c in df.columns]),
                                   F.col("_spread"))
               .sortWithinPartitions(*order_by, *rest).drop("_spread"))
-    x = x.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    x = x.withColumn("_mid", F.monotonically_increasing_id())
+    path = scratch_path(spark, "row_index")
+    x.write.parquet(path)
+    x = spark.read.schema(x.schema).parquet(path).withColumn("_pid", F.shiftright("_mid", 33))
     counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     # one row per partition: bounded by the partition count, safe to broadcast
     out = x.join(F.broadcast(offsets), "_pid")
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    pos = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
     return out.select((F.col("_off") + pos).alias(name), *df.columns)
 
 

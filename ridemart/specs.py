@@ -93,6 +93,24 @@ REVENUE_SUMS = [
 ]
 
 
+@dataclass(frozen=True)
+class TargetTypes:
+    """Declared types of a load target (T1): the same columns are loaded into three kinds of table."""
+    row_id: T.DataType             # hex text, or the 16 bytes of the hash
+    code: T.DataType | None        # vendor, rate, zone and trip-type codes; None: as delivered
+    amount: T.DataType | None      # distance and money
+    count: T.DataType | None       # passenger_count and payment_type
+
+
+CODE_COLUMNS = ("VendorID", "RatecodeID", "PULocationID", "DOLocationID", "trip_type")
+COUNT_COLUMNS = ("passenger_count", "payment_type")
+TARGETS = {
+    "typed": TargetTypes(_S, None, None, None),
+    "numeric": TargetTypes(T.BinaryType(), _S, MONEY, _L),
+    "text": TargetTypes(_S, _S, _D, T.IntegerType()),
+}
+
+
 @dataclass(frozen=True, eq=False)
 class ServiceSpec:
     name: str                      # lower-case service name: "green" / "yellow"
@@ -121,29 +139,40 @@ class ServiceSpec:
         return f"{self.name}_tripdata_{month}.{ext}"
 
 
+# What the engine does with each column, for table definitions.
 _COMMON_COMMENTS = {
-    "unique_row_id": "A unique identifier for the trip, generated by hashing key trip attributes.",
-    "filename": "The source filename from which the trip data was loaded.",
-    "VendorID": "A code indicating the provider that supplied the record.",
-    "store_and_fwd_flag": "Y if the record was held in vehicle memory before sending to the vendor.",
-    "RatecodeID": "The final rate code in effect at the end of the trip.",
-    "PULocationID": "Zone in which the meter was engaged.",
-    "DOLocationID": "Zone in which the meter was disengaged.",
-    "passenger_count": "The number of passengers in the vehicle, a driver-entered value.",
-    "trip_distance": "The elapsed trip distance in miles reported by the meter.",
-    "payment_type": "A numeric code signifying how the passenger paid for the trip.",
-    "fare_amount": "The time-and-distance fare calculated by the meter.",
-    "tip_amount": "Tip amount; credit card tips only.",
-    "total_amount": "The total amount charged to passengers, cash tips excluded.",
+    "unique_row_id": "Hex MD5 over the row-id columns; the insert-only merge compares this value.",
+    "filename": "Monthly delivery this row was loaded from, one value per load.",
+    "VendorID": "Provider code; cluster column of the clustered layout and first part of every row id.",
+    "store_and_fwd_flag": "Y or N text, passed through unchanged.",
+    "RatecodeID": "Rate code as delivered; staging casts it to an integer.",
+    "PULocationID": "Pickup zone number, joined to the zone lookup by the fact model.",
+    "DOLocationID": "Dropoff zone number, joined to the zone lookup by the fact model.",
+    "passenger_count": "Delivered as a float in newer files; staging rounds it to an integer.",
+    "trip_distance": "Miles; an input of the tip regression and a part of the seven-part row id.",
+    "payment_type": "Code 1 to 6, spelled out by payment_type_description; other codes count as EMPTY.",
+    "fare_amount": "Metered fare in dollars; zero-fare trips are left out of the feature table.",
+    "extra": "Further charges in dollars; summed by the monthly mart.",
+    "mta_tax": "Transit tax in dollars; summed by the monthly mart.",
+    "tip_amount": "Recorded tip in dollars; label of the tip regression.",
+    "tolls_amount": "Tolls in dollars; an input of the tip regression.",
+    "improvement_surcharge": "Surcharge per trip in dollars; summed by the monthly mart.",
+    "total_amount": "Amount billed in dollars; the mart's total must never be NULL.",
+    "congestion_surcharge": "Congestion charge in dollars; NULL in files from before it existed.",
 }
 
+
+def _service_comments(pickup: str, dropoff: str, **more: str) -> dict[str, str]:
+    return dict(_COMMON_COMMENTS, **{pickup: "Start of the trip; its date partitions the table.",
+                                     dropoff: "End of the trip."}, **more)
+
+
 YELLOW = ServiceSpec("yellow", "Yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime", YELLOW_RAW,
-                     dict(_COMMON_COMMENTS, tpep_pickup_datetime="Meter engaged time.",
-                          tpep_dropoff_datetime="Meter disengaged time."))
+                     _service_comments("tpep_pickup_datetime", "tpep_dropoff_datetime"))
 GREEN = ServiceSpec("green", "Green", "lpep_pickup_datetime", "lpep_dropoff_datetime", GREEN_RAW,
-                    dict(_COMMON_COMMENTS, lpep_pickup_datetime="Meter engaged time.",
-                         lpep_dropoff_datetime="Meter disengaged time.",
-                         trip_type="1 street-hail, 2 dispatch.", ehail_fee="E-hail fee."))
+                    _service_comments("lpep_pickup_datetime", "lpep_dropoff_datetime",
+                                      trip_type="Code 1 (hailed) or 2 (dispatched).",
+                                      ehail_fee="Fee of app-hailed trips; empty in most files, kept numeric."))
 
 SPECS = {"yellow": YELLOW, "green": GREEN}
 
@@ -159,6 +188,6 @@ def spec(name: str) -> ServiceSpec:
 @dataclass(frozen=True)
 class Config:
     """Run variables with their defaults."""
-    is_test_run: bool = True
+    is_test_run: bool = False    # opt in: development runs keep dev_limit rows a model
     payment_type_values: tuple[int, ...] = tuple(PAYMENT_TYPE_VALUES)
     dev_limit: int = DEV_LIMIT

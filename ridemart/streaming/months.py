@@ -1,13 +1,19 @@
 """Incremental pick-up of landed month files.
 
-A Structured Streaming file source watches the raw zone of one service; each
-micro-batch is stamped (row id + file name) and merged insert-only into the
-target with the same anti-join as the batch load. The stream's checkpoint
-records which files are done, so a restart continues where it stopped.
-
-Exactly-once: a micro-batch's append is one job commit, and the merge skips
-keys already in the target, so a micro-batch replayed after a failure
-inserts nothing twice.
+A Structured Streaming file source watches the raw zone of one service. The
+unit of loading is the month: a micro-batch only tells which months have new
+files, and each of these months is loaded from its whole folder with the same
+merge as the batch load. So the number of files a trigger takes changes the
+number of micro-batches, not the rows: copies of a trip in two files of one
+month are both inserted, as :func:`load_months` inserts them. Land a month
+completely before its folder shows up in the raw zone (a write job does).
+
+The stream's checkpoint records which files are done, so a restart continues
+where it stopped, and a month loaded again inserts nothing. An append into a
+day-partitioned Parquet target is not atomic: if the driver dies while a
+load's files are being committed, the repeated load skips every row id that
+already has a row, so copies of such an id that were not yet committed stay
+out. Delete the rows of that file name and load the month again in that case.
 """
 
 from __future__ import annotations
@@ -15,9 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.functions import day_of
-from ridemart.operators.tables import day_column, ensure_table, merge_new, stamp_rows
-from ridemart.plans.pipeline import target_schema
+from ridemart.operators.tables import day_column, ensure_table
+from ridemart.plans.pipeline import load_months, target_schema
+from ridemart.sources.files import raw_month_path
 from ridemart.specs import ServiceSpec
 
 MONTH_IN_PATH = r"month=([0-9]{4}-[0-9]{2})"
@@ -34,14 +40,15 @@ def stream_months(spark: SparkSession, spec: ServiceSpec, raw_root: str, target:
     ensure_table(spark, target, schema, partition_by=[day])
     src = (spark.readStream.schema(spec.raw_schema).option("maxFilesPerTrigger", files_per_trigger)
            .option("recursiveFileLookup", True).parquet(f"{raw_root.rstrip('/')}/{spec.name}"))
-    month = F.regexp_extract(F.input_file_name(), MONTH_IN_PATH, 1)
-    src = src.withColumn("_file", F.concat(F.lit(f"{spec.name}_tripdata_"), month, F.lit(".parquet")))
+    src = src.withColumn("_month", F.regexp_extract(F.input_file_name(), MONTH_IN_PATH, 1))
 
-    def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        stamped = stamp_rows(batch, spec, F.col("_file"), columns=spec.raw_columns)
-        merge_new(spark, target, stamped.withColumn(day, day_of(spec.pickup)),
-                  prune=(spec.pickup, day), partition_by=[day], schema=schema)
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        months = sorted(r[0] for r in batch.select("_month").distinct().collect())      # a row a calendar month
+        if "" in months:
+            raise ValueError(f"files outside a month folder under {raw_root}")
+        if months:
+            load_months(batch.sparkSession, spec, {m: raw_month_path(raw_root, spec, m) for m in months}, target)
 
-    w = src.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
+    w = src.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
