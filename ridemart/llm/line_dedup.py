@@ -1,30 +1,32 @@
-"""Near-duplicate line removal by an exact set-similarity join, in DataFrame expressions only.
+"""Near-duplicate line removal by an exact set-similarity join.
 
 A line's set holds its distinct words. A line is removed if an earlier line
 (by doc_id, then text hash, then line number) has a set with a Jaccard
 similarity of 0.8 or more; equal lines included, lines without a word never.
 
 1. Equal lines are one node, at its first place; later places are removed.
-2. Words are ordered from rare to frequent, by counts over all documents in a
-   table of fixed size (any fixed order keeps the join exact). The prefix of
-   this order is indexed by neighbouring words: a word of one set only breaks
-   at most two neighbour pairs of that set and one of the other, so two similar
-   sets share a pair among the first ``0.4 n + 1`` of each. Pairs are far
-   rarer than words, so almost only similar lines meet.
-3. Nodes that meet pass the length filter and the positional filter. Each is
-   verified against the earliest node of each list first; nodes that find no
-   earlier match there are verified against the other earlier nodes. A group
-   of any size costs one verification a line and list.
-4. Texts are put together again from the lines that stay.
-
-A very common line enters the index once: lines that make up more than one
-ten-thousandth of all places (so fewer than 10,000 lines) are known from a
-broadcast table; others are few by definition.
+2. A line's words are ordered from rare to frequent, by counts over all
+   documents in a sketch of fixed size (any fixed order keeps the join exact).
+   Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each;
+   these prefixes are indexed, packed by hash bucket.
+3. The lines of a word's list pass the length filter, the positional filter
+   (nothing before the first common word matches) and a parity filter: sets
+   that differ in d words differ in at most d bits of a 64-bit parity of their
+   words. What is left of a list is almost only similar lines, given as pairs,
+   or as members where a list holds a large family.
+4. Every later line is verified against one earlier candidate of its pairs and
+   the first few members of its families; those that found no match are
+   verified against all other earlier candidates. A family of any size costs
+   a few verifications a line.
+5. Texts are put together again from the lines that stay.
+
+Counting, joins, ordering and the new texts are DataFrame operations; words,
+prefixes, lists and the verification run in Arrow tasks.
 
 Defined results: null text stays null, an empty text empty; rows that share
 doc_id and text share the decisions, none of them earlier than the other; a
-null doc_id comes first; an empty table gives an empty result. Lines are equal
-when their 64-bit hashes are, words when 56 bits of theirs are.
+null doc_id comes first; an empty table gives an empty result. Lines and words
+are equal when their 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -32,156 +34,359 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridemart.llm.frames import materialize, row_key, with_key
+from ridemart.llm import tokens as tk
+from ridemart.llm.frames import keyed, materialize, with_key
 
 PERCENT = 80
-CLASS_BITS = 16           # counters of the word frequency table
-HOT_SHARE = 10_000        # a line is hot beyond this part of all lines
+SKETCH_BITS = 21          # counters of the word sketch (one byte each when broadcast)
+SHORT_LIST = 64           # lists up to which all members are compared by shifts
+DENSE_LIST = 64           # pairs of a list from which its members are given instead
+PIVOTS = 8
+BUCKET_BYTES = 8 << 20
 BITMAP_BITS = 22
-
-_BLANKS = r"[\x20\x09-\x0D]+"
-_WORDS = f"array_remove(split(line, r'{_BLANKS}'), '')"
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(*row_key(id_col, text_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-
-
-def _lines(rows: DataFrame) -> DataFrame:
-    """(id, th, line_no, line, h) of every line that holds a word."""
-    return (rows.select("id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("h", F.xxhash64("line")))
-
-
-def word_classes(rows: DataFrame) -> str:
-    """SQL literal: half-octave frequency class of every word counter."""
-    words = rows.select(F.explode(F.expr(f"split(text, r'{_BLANKS}')")).alias("w"))
-    count = (words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - CLASS_BITS).cast("int").alias("c")).count()
-             .collect())                                                     # 2^CLASS_BITS rows at most
-    out = [0] * (1 << CLASS_BITS)
-    for r in count:
-        out[r["c"]] = int(2 * math.log2(r["count"] + 1))
-    return f"from_json('{json.dumps(out, separators=(',', ':'))}', 'array<tinyint>')"
-
-
-def _tokens(classes: str) -> str:
-    """Distinct words as longs in the order rare to frequent: class in the upper byte, hash below."""
-    return (f"sort_array(array_distinct(transform({_WORDS}, w -> "
-            f"shiftleft(cast({classes}[cast(shiftrightunsigned(xxhash64(w), {64 - CLASS_BITS}) as int)] as bigint), 56) "
-            "| (xxhash64(w) & 72057594037927935L))))")
-
-
-def prefix_pairs(lines: DataFrame, classes: str) -> DataFrame:
-    """(k, r) rows: the hash of a neighbour pair in a line's prefix; node (40 bits), size and place packed in r."""
-    toks = lines.select("h", F.expr(_tokens(classes)).alias("toks"))
-    sized = toks.withColumn("n", F.size("toks"))
-    # three words or fewer are similar to equal sets only: their whole set is the signature
-    count = F.when(F.col("n") < 4, 1).otherwise(F.floor(F.col("n") * (100 - PERCENT) * 2 / 100).cast("int") + 1)
-    some = sized.withColumn("c", count).select(
-        "h", "n", F.when(F.col("n") < 4, F.array(F.struct(F.xxhash64("toks").alias("0"), F.col("n").cast("long").alias("1"))))
-        .otherwise(F.arrays_zip(F.slice("toks", 1, F.col("c")), F.slice("toks", 2, F.col("c")))).alias("pairs"))
-    each = some.select("h", "n", F.posexplode("pairs").alias("i", "p"))
-    return each.select(F.shiftrightunsigned(F.xxhash64("p.0", "p.1"), 16).alias("k"),
-                       F.expr("shiftleft(h & 1099511627775L, 24) | shiftleft(least(n, 65535), 8) | least(i, 255)").alias("r"))
-
-
-def _bitmap(df: DataFrame, col: str) -> str:
-    """SQL condition template ({x}) of a fixed-size bitmap of the column's hashes: false only for values not there."""
-    words = BITMAP_BITS - 6
-    rows = (df.select(F.shiftrightunsigned(F.xxhash64(col), 64 - BITMAP_BITS).alias("b"))
-            .groupBy(F.shiftright("b", 6).cast("int").alias("i"))
+_PART = 15
+
+LINES = "id long, th long, line_no int, h long, part int, counts binary"
+POSTINGS = "bucket int, k binary, h binary, parity binary, n binary, place binary"
+MEETINGS = "k long, a long, b long, n int, place int, parity long"
+
+
+class Lines:
+    """The lines of a slice that hold a word, and their distinct words."""
+
+    def __init__(self, t: tk.Texts, sets: bool = True):
+        w = tk.Words(t, tk.BLANK_WORDS, hashes=sets)
+        breaks = np.flatnonzero(t.data == 10)
+        starts = np.unique(np.concatenate([t.off[:-1][np.diff(t.off) > 0], breaks + 1]))
+        line = np.searchsorted(starts, w.start, "right") - 1
+        new = np.ones(len(line), bool)
+        new[1:] = line[1:] != line[:-1]
+        self.doc = w.doc[new]
+        self.start = starts[line[new]]
+        stop = np.concatenate([breaks, [len(t.data)]])
+        self.end = np.minimum(stop[np.searchsorted(stop, self.start)], t.off[1:][self.doc])
+        upto = np.searchsorted(breaks, self.start)
+        self.line_no = upto - np.searchsorted(breaks, t.off[:-1])[self.doc]
+        of_bytes = w.hash_of if sets else tk.SpanHash(t.data)
+        self.h = of_bytes(self.start, self.end)
+        if sets:
+            own = np.cumsum(new) - 1
+            order = np.lexsort((w.hash, own))
+            word, own = w.hash[order], own[order]
+            fresh = np.ones(len(word), bool)
+            fresh[1:] = (word[1:] != word[:-1]) | (own[1:] != own[:-1])
+            self.word, self.own = word[fresh], own[fresh]
+            self.n = np.bincount(self.own, minlength=len(self.h))
+
+
+def _counter(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _line_rows(batches):
+    sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+    names = [f.split()[0] for f in LINES.split(", ")]
+    for b in batches:
+        for lo, t in tk.slices(b.column(2)):
+            x = Lines(t)
+            sketch += np.bincount(_counter(x.word), minlength=len(sketch)).astype(np.uint32)
+            row = pa.array(x.doc + lo)
+            m = len(x.h)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(row), b.column(1).take(row), pa.array(x.line_no, pa.int32()), pa.array(tk.as_long(x.h)),
+                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+    parts = np.minimum(sketch, 65_535).astype(np.uint16).reshape(-1, 1 << _PART)
+    some = np.flatnonzero(parts.any(1))
+    if len(some):
+        long, int32 = pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [long, long, int32, long, pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())], names=names)
+
+
+def _add_counts(table: pa.Table) -> pa.Table:
+    total = np.zeros(1 << _PART, np.uint64)
+    for c in table.column("counts"):
+        total += np.frombuffer(c.as_buffer(), np.uint16)
+    return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def word_classes(found: DataFrame) -> tuple[np.ndarray, int]:
+    """Quarter-octave frequency class of every counter, and the number of distinct words of all lines together."""
+    rows = (found.where("part is not null").select("part", "counts").groupBy("part")
+            .applyInArrow(_add_counts, "part int, counts binary").collect())          # 2^SKETCH_BITS counters at most
+    total = np.zeros(1 << SKETCH_BITS, np.uint64)
+    for r in rows:
+        total[r.part << _PART:(r.part + 1) << _PART] = np.frombuffer(r.counts, np.uint64)
+    return np.floor(4 * np.log2(total + 1.0)).astype(np.uint8), int(total.sum())
+
+
+def _postings(shared, bits: int, percent: int):
+    def run(batches):
+        classes = shared.value
+        for b in batches:
+            seen, parts = np.zeros(0, np.uint64), []
+            for _, t in tk.slices(b.column(0)):
+                x = Lines(t)
+                _, at = np.unique(x.h, return_index=True)                 # equal lines once a batch
+                fresh = np.zeros(len(x.h), bool)
+                fresh[at] = True
+                fresh &= ~np.isin(x.h, seen)
+                seen = np.concatenate([seen, x.h[fresh]])
+                q = classes[_counter(x.word)]
+                order = np.lexsort((x.word, q, x.own))
+                word, own = x.word[order], x.own[order]
+                first = np.cumsum(x.n) - x.n
+                parity = np.bitwise_xor.reduceat(np.uint64(1) << (x.word >> np.uint64(58)), first) if len(first) else np.zeros(0, np.uint64)
+                place = np.arange(len(word)) - first[own]
+                keep = (place < (x.n - (x.n * percent + 99) // 100 + 1)[own]) & fresh[own]
+                own = own[keep]
+                parts.append((tk.mix(word[keep]), x.h[own], parity[own], x.n[own].astype(np.uint32), place[keep].astype(np.uint32)))
+            if not parts:
+                continue
+            cols = [np.concatenate(c) for c in zip(*parts)]
+            bucket = (cols[0] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(cols[0]), np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edge = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+            some = np.flatnonzero(np.diff(edge))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), *[pa.array([c[order[edge[i]:edge[i + 1]]].tobytes() for i in some], pa.binary()) for c in cols]],
+                names=[f.split()[0] for f in POSTINGS.split(", ")])
+    return run
+
+
+def may_link(nx, px, bx, ny, py, by, percent: int) -> np.ndarray:
+    """Length, positional (first common word) and parity filter for arrays of pairs."""
+    both = nx + ny
+    need = (percent * both + 99 + percent) // (100 + percent)             # least overlap, rounded up
+    ok = (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & (1 + np.minimum(nx - px - 1, ny - py - 1) >= need)
+    return ok & (np.bitwise_count(bx ^ by) <= both - 2 * need)
+
+
+def _meet(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        def col(name, kind):
+            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
+        k, h, parity = (col(c, np.uint64) for c in ("k", "h", "parity"))
+        n, place = col("n", np.uint32).astype(np.int64), col("place", np.uint32).astype(np.int64)
+        order = np.lexsort((h, k))
+        fresh = np.ones(len(k), bool)
+        ks, hs = k[order], h[order]
+        fresh[1:] = (ks[1:] != ks[:-1]) | (hs[1:] != hs[:-1])
+        order = order[fresh]
+        k, h, parity, n, place = (c[order] for c in (k, h, parity, n, place))
+        head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        size = np.diff(np.concatenate([head, [len(k)]]))
+        last = np.repeat(head + size, size)
+        length = np.repeat(size, size)
+
+        def test(i, j):
+            ok = may_link(n[i], place[i], parity[i], n[j], place[j], parity[j], percent)
+            return i[ok], j[ok]
+
+        left, right = [], []
+        base = np.flatnonzero((length > 1) & (length <= SHORT_LIST))
+        for step in range(1, SHORT_LIST):
+            base = base[base + step < last[base]]
+            if not len(base):
+                break
+            i, j = test(base, base + step)
+            left.append(i)
+            right.append(j)
+        for a, m in zip(head[size > SHORT_LIST], size[size > SHORT_LIST]):
+            for i in range(a, a + m):                                     # one member against the rest of its list
+                x, y = test(np.full(a + m - i - 1, i), np.arange(i + 1, a + m))
+                left.append(x)
+                right.append(y)
+        i = np.concatenate(left) if left else np.zeros(0, np.int64)
+        j = np.concatenate(right) if right else np.zeros(0, np.int64)
+        of = np.searchsorted(head, i, "right") - 1
+        dense = np.bincount(of, minlength=len(head)) > DENSE_LIST
+        alone = ~dense[of]
+        pairs = np.unique(np.stack([h[i[alone]], h[j[alone]]], 1), axis=0)
+        member = np.unique(np.concatenate([i[~alone], j[~alone]]))
+        p, m = len(pairs), len(member)
+
+        def both(first, second, kind):
+            return pa.concat_arrays([first, second]) if len(second) or len(first) else pa.array([], kind)
+        return pa.table([
+            both(pa.nulls(p, pa.int64()), pa.array(tk.as_long(k[member])), pa.int64()),
+            both(pa.array(tk.as_long(np.ascontiguousarray(pairs[:, 0]))), pa.array(tk.as_long(h[member])), pa.int64()),
+            both(pa.array(tk.as_long(np.ascontiguousarray(pairs[:, 1]))), pa.nulls(m, pa.int64()), pa.int64()),
+            both(pa.nulls(p, pa.int32()), pa.array(n[member], pa.int32()), pa.int32()),
+            both(pa.nulls(p, pa.int32()), pa.array(place[member], pa.int32()), pa.int32()),
+            both(pa.nulls(p, pa.int64()), pa.array(tk.as_long(parity[member])), pa.int64())],
+            names=[f.split()[0] for f in MEETINGS.split(", ")])
+    return run
+
+
+def _wanted_lines(bitmap):
+    """(h, line) of the lines whose hash is in the bitmap, once a batch."""
+    def run(batches):
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        for b in batches:
+            seen = np.zeros(0, np.uint64)
+            for _, t in tk.slices(b.column(0)):
+                x = Lines(t, sets=False)
+                i = (tk.mix(x.h) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                _, at = np.unique(x.h, return_index=True)
+                at = at[((bits[i[at] >> 3] >> (i[at] & 7).astype(np.uint8)) & 1 == 1) & ~np.isin(x.h[at], seen)]
+                seen = np.concatenate([seen, x.h[at]])
+                raw = t.data.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tk.as_long(x.h[at])), pa.array([raw[s:e] for s, e in zip(x.start[at], x.end[at])], pa.binary())],
+                    names=["h", "line"])
+    return run
+
+
+def _hash_bitmap(df: DataFrame, col: str) -> bytes:
+    """Fixed-size bitmap of the column's hashes (of ``tokens.mix`` of them), from one aggregation per task."""
+    def rows(batches):
+        bits = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+        for b in batches:
+            i = (tk.mix(np.asarray(b.column(0)).view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+            np.bitwise_or.at(bits, i >> 3, np.uint8(1) << (i & 7).astype(np.uint8))
+        words = bits.view(np.int64)
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(words[some])], names=["i", "v"])
+    got = df.select(col).mapInArrow(rows, "i int, v long").groupBy("i").agg(F.bit_or("v").alias("v")).collect()
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)                       # that many rows at most
+    for r in got:
+        out[r.i] = r.v
+    return out.tobytes()
+
+
+def _verify(percent: int):
+    def sets(col: pa.Array):
+        t = tk.Texts(col, binary=True)
+        w = tk.Words(t, tk.BLANK_WORDS)
+        order = np.lexsort((w.hash, w.doc))
+        word, doc = w.hash[order], w.doc[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
+        return word[new], doc[new], np.bincount(doc[new], minlength=t.n)
+
+    def run(batches):
+        for b in batches:
+            y, tx, ty = b.column(1), b.column(2).cast(pa.large_binary()), b.column(3).cast(pa.large_binary())
+            ends = np.cumsum(np.asarray(pc.binary_length(tx)) + np.asarray(pc.binary_length(ty)))
+            i = 0
+            while i < len(tx):
+                base = ends[i - 1] if i else 0
+                j = max(int(np.searchsorted(ends, base + 2 * tk.SLICE_BYTES, "right")), i + 1)
+                wx, dx, nx = sets(tx.slice(i, j - i))
+                wy, dy, ny = sets(ty.slice(i, j - i))
+                w, d = np.concatenate([wx, wy]), np.concatenate([dx, dy])
+                order = np.lexsort((w, d))
+                w, d = w[order], d[order]
+                common = np.bincount(d[1:][(w[1:] == w[:-1]) & (d[1:] == d[:-1])], minlength=j - i)
+                ok = np.flatnonzero(100 * common >= percent * (nx + ny - common)) + i
+                yield pa.RecordBatch.from_arrays([y.take(pa.array(np.unique(ok)))], names=["h"])
+                i = j
+    return run
+
+
+def _matched(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The later lines (h) of the (x, y) pairs that are similar."""
+    def side(c):
+        return texts.select(F.col("h").alias(c), F.col("line").alias(f"t{c}"))
+    return (pairs.select("x", "y").join(side("y"), "y").join(side("x"), "x").select("x", "y", "tx", "ty")
+            .mapInArrow(_verify(percent), "h long").distinct())
+
+
+def later_matches(found: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(h, first, count) of every distinct line, and the h of those with a similar earlier line.
+
+    ``found`` is the table of lines and word counts, ``texts`` has one column, the text.
+    """
+    spark: SparkSession = found.sparkSession
+    nodes = materialize(found.where("part is null").select("h", F.struct("id", "th", "line_no").alias("p"))
+                        .groupBy("h").agg(F.min("p").alias("first"), F.count("*").alias("count")), "nodes")
+    classes, total = word_classes(found)
+    shared = spark.sparkContext.broadcast(classes)                          # 2^SKETCH_BITS bytes
+    bits = max(0, math.ceil(math.log2(max(1.0, total * (100 - percent) / 100 * 32 / BUCKET_BYTES))))
+    met = materialize(texts.mapInArrow(_postings(shared, bits, percent), POSTINGS)
+                      .groupBy("bucket").applyInArrow(_meet(percent), MEETINGS), "met")
+
+    place = nodes.select("h", "first")
+    two = met.where("k is null").select("a", "b").distinct()
+    two = (two.join(place.select(F.col("h").alias("a"), F.col("first").alias("fa")), "a")
+           .join(place.select(F.col("h").alias("b"), F.col("first").alias("fb")), "b"))
+    a_first = F.col("fa") < F.col("fb")
+    two = materialize(two.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"), F.least("fa", "fb").alias("first"),
+                                 F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y")), "pairs")
+    many = materialize(met.where("k is not null").select("k", F.col("a").alias("h"), "n", "place", "parity").join(place, "h"), "families")
+
+    need = two.select(F.explode(F.array("x", "y")).alias("h")).union(many.select("h")).distinct()
+    bitmap = spark.sparkContext.broadcast(_hash_bitmap(need, "h"))
+    lines = materialize(texts.mapInArrow(_wanted_lines(bitmap), "h long, line binary").dropDuplicates(["h"]), "texts")
+
+    early = many.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("first"))).where(F.col("r") <= PIVOTS)
+    tries = (two.groupBy("y").agg(F.min_by("x", "first").alias("x")).select("x", "y")
+             .union(_earlier(early, many, percent)).distinct())
+    tries = materialize(tries, "tries")
+    hit = materialize(_matched(tries, lines, percent), "matched")
+    open_two = two.select("x", "y").join(hit.withColumnRenamed("h", "y"), "y", "left_anti")
+    open_many = many.join(hit, "h", "left_anti")
+    rest = (open_two.select("x", "y").union(_earlier(many, open_many, percent)).distinct()
+            .join(tries, ["x", "y"], "left_anti"))
+    return nodes, materialize(hit.union(_matched(materialize(rest, "rest"), lines, percent)), "later")
+
+
+def _earlier(xs: DataFrame, ys: DataFrame, percent: int) -> DataFrame:
+    """(x, y) pairs of a family's members, x earlier, that pass the filters."""
+    both = F.col("x.n") + F.col("y.n")
+    need = F.ceil(percent * both / (100 + percent))
+    return (xs.alias("x").join(ys.alias("y"), "k")
+            .where((F.col("x.first") < F.col("y.first")) & (F.col("x.h") != F.col("y.h"))
+                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                   & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= need)
+                   & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= both - 2 * need))
+            .select(F.col("x.h").alias("x"), F.col("y.h").alias("y")))
+
+
+def _th_bitmap(df: DataFrame) -> str:
+    """SQL condition on ``th``: false only for texts that are not in ``df`` (fixed size)."""
+    b = F.shiftrightunsigned(F.xxhash64("th"), 64 - BITMAP_BITS)
+    rows = (df.select(b.alias("b")).groupBy(F.shiftright("b", 6).cast("int").alias("i"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("v")).collect())   # 2^(BITMAP_BITS-6) rows at most
-    out = [0] * (1 << words)
+    out = [0] * (1 << (BITMAP_BITS - 6))
     for r in rows:
         out[r["i"]] = r["v"]
     table = f"from_json('{json.dumps(out, separators=(',', ':'))}', 'array<bigint>')"
-    at = f"shiftrightunsigned(xxhash64({{x}}), {64 - BITMAP_BITS})"
+    at = f"shiftrightunsigned(xxhash64(th), {64 - BITMAP_BITS})"
     return f"({table}[cast(shiftright({at}, 6) as int)] & shiftleft(1L, cast({at} & 63 as int))) <> 0"
 
 
-def _may_link(nx: str, ix: str, ny: str, iy: str, percent: int):
-    nx, ix, ny, iy = (F.col(c) for c in (nx, ix, ny, iy))
-    most = 1 + F.least(ix, iy) + F.least(nx - ix - 1, ny - iy - 1)
-    fine = (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * most >= percent * (nx + ny))
-    return fine | (F.greatest(nx, ny) >= 65_535) | (F.greatest(ix, iy) >= 255)        # packed values end there
-
-
-def _similar(pairs: DataFrame, toks: DataFrame, percent: int) -> DataFrame:
-    """The (x, y) pairs whose sets reach the similarity."""
-    a = toks.select(F.col("h").alias("x"), F.col("toks").alias("tx"))
-    b = toks.select(F.col("h").alias("y"), F.col("toks").alias("ty"))
-    both = F.size(F.array_intersect("tx", "ty"))
-    return (pairs.join(a, "x").join(b, "y").select("x", "y", both.alias("both"), (F.size("tx") + F.size("ty")).alias("all"))
-            .where(100 * F.col("both") >= percent * (F.col("all") - F.col("both"))).select("x", "y"))
-
-
-def later_matches(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(h, first, count) of every distinct line, and the h of those with a similar earlier line."""
-    spark: SparkSession = rows.sparkSession
-    lines = _lines(rows)
-    place = F.struct("id", "th", "line_no")
-    nodes = materialize(lines.select("h", place.alias("p")).groupBy("h").agg(F.min("p").alias("first"), F.count("*").alias("count")),
-                        "lines")
-    total = nodes.agg(F.sum("count")).first()[0] or 0
-    hot = nodes.where(F.col("count") > max(100, total // HOT_SHARE)).select("h", "first")      # under HOT_SHARE rows
-    classes = word_classes(rows)
-    # places of one row are equal in repeated rows too, so these enter several times, at most their number
-    once = (lines.join(F.broadcast(hot), "h", "left").where(F.col("first").isNull() | (F.col("first") == place))
-            .select("h", "line"))
-    index = prefix_pairs(once, classes)
-    node = F.shiftrightunsigned("r", 24)
-    met = (index.selectExpr("k", "r", "min(shiftrightunsigned(r, 24)) over (partition by k) as lo", "max(shiftrightunsigned(r, 24)) over (partition by k) as hi")
-           .where("lo <> hi").select("k", "r").distinct())
-    met = materialize(met, "met").select("k", node.alias("g"), F.expr("cast(shiftright(r, 8) & 65535 as int)").alias("n"),
-                                         F.expr("cast(r & 255 as int)").alias("i"))
-    short = nodes.select(F.expr("h & 1099511627775L").alias("g"), "h", "first")
-    met = materialize(met.join(short, "g").select("k", "h", "first", "n", "i"), "met-nodes")
-
-    wanted = met.select("h").distinct()
-    maybe = _bitmap(wanted, "h").replace("{x}", "h")
-    toks = (lines.where(F.expr(maybe)).select("h", "line").dropDuplicates(["h"]).join(wanted, "h", "left_semi")
-            .select("h", F.expr(_tokens(classes)).alias("toks")))
-    toks = materialize(toks, "tokens")
-
-    pivot = met.groupBy("k").agg(F.min(F.struct("first", "h", "n", "i")).alias("p"))
-    tries = (met.join(pivot, "k").where((F.col("h") != F.col("p.h")) & _may_link("p.n", "p.i", "n", "i", percent))
-             .select(F.col("p.h").alias("x"), F.col("h").alias("y")).distinct())
-    tries = materialize(tries, "pivots")
-    found = materialize(_similar(tries, toks, percent).select(F.col("y").alias("h")).distinct(), "found")
-    rest = met.join(found, "h", "left_anti")
-    more = (met.alias("a").join(rest.alias("b"), "k")
-            .where((F.col("a.first") < F.col("b.first")) & _may_link("a.n", "a.i", "b.n", "b.i", percent))
-            .select(F.col("a.h").alias("x"), F.col("b.h").alias("y")).distinct().join(tries, ["x", "y"], "left_anti"))
-    also = _similar(more, toks, percent).select(F.col("y").alias("h")).distinct()
-    return nodes, materialize(found.union(also), "later")
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with their text less the removed lines; n_lines and n_removed in struct ``_lines``."""
-    rows = _rows(docs, id_col, text_col)
-    nodes, later = later_matches(rows, percent)
-    cut = nodes.join(later.withColumn("gone", F.lit(True)), "h", "left").select("h", "first", F.coalesce("gone", F.lit(False)).alias("gone"), "count")
-    cut = cut.where("gone or count > 1").drop("count")
-    gone = (_lines(rows).select("h", "id", "th", "line_no").join(cut, "h")
+    rows = keyed(docs, id_col, text_col)
+    found = materialize(rows.select("id", "th", "text").mapInArrow(_line_rows, LINES), "lines")
+    nodes, later = later_matches(found, rows.select("text"), percent)
+    cut = (nodes.join(later.withColumn("gone", F.lit(True)), "h", "left")
+           .select("h", "first", F.coalesce("gone", F.lit(False)).alias("gone"), "count").where("gone or count > 1").drop("count"))
+    drop = (found.where("part is null").select("h", "id", "th", "line_no").join(cut, "h")
             .where(F.col("gone") | (F.col("first") != F.struct("id", "th", "line_no")))
             .groupBy("id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("drop")))
-    gone = materialize(gone, "drop")
+    drop = materialize(drop, "drop")
     key = with_key(docs, id_col, text_col)
-    touched = F.expr(_bitmap(gone, "th").replace("{x}", "th"))
+    touched = F.expr(_th_bitmap(drop))                  # other texts need no shuffle
     n_lines = F.size(F.split(F.col(f"row.`{text_col}`"), "\n"))
     nothing = F.struct(F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed")).alias("_lines")
     plain = key.where(~touched).select("row", nothing)
-    joined = key.where(touched).join(gone, ["id", "th"], "left")
-    parts = joined.select("row", "drop", F.split(F.col(f"row.`{text_col}`"), "\n").alias("part"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("part") - 1), "drop")
-    cut_rows = parts.withColumn("stay", F.when(F.col("drop").isNotNull(), stay))
+    parts = (key.where(touched).join(drop, ["id", "th"], "left")
+             .select("row", "drop", F.split(F.col(f"row.`{text_col}`"), "\n").alias("part")))
+    stay = parts.withColumn("stay", F.when(F.col("drop").isNotNull(),
+                                           F.array_except(F.sequence(F.lit(0), F.size("part") - 1), "drop")))
     text = F.when(F.col("drop").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.expr("array_join(transform(stay, i -> part[i]), '\n')"))
-    done = cut_rows.select(F.col("row").withField(text_col, text).alias("row"),
-                           F.struct(F.coalesce(F.size("part"), F.lit(0)).alias("n_lines"),
-                                    F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed")).alias("_lines"))
+    done = stay.select(F.col("row").withField(text_col, text).alias("row"),
+                       F.struct(F.coalesce(F.size("part"), F.lit(0)).alias("n_lines"),
+                                F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed")).alias("_lines"))
     return plain.union(done).select("row.*", "_lines")
 
 
