@@ -38,7 +38,9 @@ MARK = "▁"
 _LITERAL_MARK = "\ud800"  # stands for a literal mark inside a unit; no piece has it
 _MASK = (1 << 64) - 1
 _NEVER = 1 << 30
-KEEP_UNITS = 1_500_000    # segmented units a worker keeps (some 30 bytes each)
+KEEP_UNITS = 1_000_000    # segmented units a worker keeps (some 35 bytes each)
+UNITS_AT_ONCE = 16_384
+TASK_BYTES = 1 << 20      # text handled at once in a task
 WIDTHS = (6, 9, 12, 18, 32)     # length classes of units that are segmented together
 SHORT_UNIT = WIDTHS[-1]
 
@@ -50,7 +52,7 @@ class Vocabulary:
     pieces get numbers above, all others negative ones (they merge with nothing).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: bool = True):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
@@ -72,6 +74,8 @@ class Vocabulary:
         self.n = n
         self.pool = np.frombuffer(b"".join(raw), np.uint8)
         self.pool_off = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+        if not merges:                       # decoding needs no more
+            return
         pieces = list(number.items())
         self.outside = []                    # characters with a number from n on
         for piece, _ in pieces:
@@ -222,8 +226,8 @@ def segment_units(u: tk.Units, v: Vocabulary, threshold: int, which: np.ndarray)
     for width in WIDTHS:
         some = np.flatnonzero((size > low) & (size <= width))
         low = width
-        for lo in range(0, len(some), 50_000):
-            unit = some[lo:lo + 50_000]
+        for lo in range(0, len(some), UNITS_AT_ONCE):
+            unit = some[lo:lo + UNITS_AT_ONCE]
             at = char[start[unit]][:, None] + np.arange(width)
             sym = v.of_code[code[np.minimum(at, len(code) - 1)]]
             alive = _many(sym, size[unit], v, key[unit], threshold)
@@ -306,7 +310,7 @@ def _agenda(sym: list[int], v: Vocabulary, key: int, threshold: int) -> list[int
     return [s for s, live in zip(sym, alive) if live]
 
 
-_loaded: dict[str, Vocabulary] = {}
+_loaded: dict[tuple[str, bool], Vocabulary] = {}
 _kept: dict[tuple, Segmented] = {}       # of this worker, for each model and rate; seed and variant are in a unit's key
 
 
@@ -314,10 +318,10 @@ def segmented(path: str, threshold: int) -> Segmented:
     return _kept.setdefault((path, threshold), Segmented())
 
 
-def vocabulary(path: str) -> Vocabulary:
-    if path not in _loaded:
-        _loaded[path] = Vocabulary(path)
-    return _loaded[path]
+def vocabulary(path: str, merges: bool = True) -> Vocabulary:
+    if (path, merges) not in _loaded:
+        _loaded[path, merges] = Vocabulary(path, merges)
+    return _loaded[path, merges]
 
 
 def _encode(path: str, dropout: float, seed: int, variants: int):
@@ -328,7 +332,7 @@ def _encode(path: str, dropout: float, seed: int, variants: int):
             ids = np.asarray(ids_col.fill_null(-1)).astype(np.int64).view(np.uint64)
             variant = tk.mix(ids + np.uint64(seed)) % np.uint64(variants if threshold else 1)
             salt = tk.mix(variant * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-            for lo, t in tk.slices(texts):
+            for lo, t in tk.slices(texts, TASK_BYTES):
                 u = tk.Units(t, salt[lo:lo + t.n])
                 values, size = segmented(path, threshold).encode(u, v, threshold)
                 upto = np.concatenate([[0], np.cumsum(size)])
@@ -356,10 +360,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 def _decode(path: str, others: list[str], ids_col: str, out: str):
     def run(batches):
-        v = vocabulary(path)
+        v = vocabulary(path, merges=False)
         for b in batches:
             col = b.column(b.schema.get_field_index(ids_col))
-            step = max(1, int(len(col) * (1 << 20) // max(1, len(col.values) if len(col) else 1)))
+            step = max(1, int(len(col) * (TASK_BYTES // 4) // max(1, len(col.values) if len(col) else 1)))
             for lo in range(0, len(col), step):
                 part = col.slice(lo, step)
                 counts = np.asarray(part.value_lengths().fill_null(0))
