@@ -1,10 +1,10 @@
 """Tip-amount linear regression with ``pyspark.ml``.
 
-Feature table -> deterministic train/eval split -> Pipeline(StringIndexer,
-OneHotEncoder, Imputer, VectorAssembler, LinearRegression). Fitting with the
-normal-equation solver is one distributed pass that builds the (small) Gram
-matrix with a tree aggregate, then a driver-side solve over a few hundred
-coefficients. Feature info and evaluation are single aggregates; medians use
+Feature table -> deterministic train/eval split -> Imputer, StringIndexer,
+OneHotEncoder less a reference level, VectorAssembler, LinearRegression.
+Fitting with the normal-equation solver is one distributed pass that builds
+the (small) Gram matrix with a tree aggregate, then a driver-side solve over a
+few hundred coefficients. Feature info and evaluation are single aggregates; medians use
 ``percentile_approx`` so memory stays bounded on any row count. Explanations
 are plain column arithmetic over the fitted coefficients.
 """
@@ -12,19 +12,27 @@ are plain column arithmetic over the fitted coefficients.
 from __future__ import annotations
 
 import random
+from multiprocessing.pool import ThreadPool
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    ImputerModel,
+    OneHotEncoder,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+    VectorSlicer,
+)
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.functions import safe_int
+from ridemart.session import scratch_path
 
 LABEL = "tip_amount"
 NUMERIC = ["passenger_count", "trip_distance", "fare_amount", "tolls_amount"]
@@ -75,44 +83,70 @@ def auto_split(df: DataFrame, eval_fraction: float = 0.2) -> tuple[DataFrame, Da
     return df.where(b >= cut), df.where(b < cut)
 
 
-def tip_pipeline(reg_param: float = 0.0, elastic_net: float = 0.0, label: str = LABEL) -> Pipeline:
-    idx = [f"{c}_idx" for c in CATEGORICAL]
-    ohe = [f"{c}_vec" for c in CATEGORICAL]
-    imp = [f"{c}_imp" for c in NUMERIC]
-    return Pipeline(stages=[
-        StringIndexer(inputCols=CATEGORICAL, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False, handleInvalid="keep"),
-        Imputer(inputCols=NUMERIC, outputCols=imp, strategy="mean"),
-        VectorAssembler(inputCols=imp + ohe, outputCol="features", handleInvalid="keep"),
-        LinearRegression(featuresCol="features", labelCol=label, predictionCol=PREDICTION,
-                         regParam=reg_param, elasticNetParam=elastic_net, solver="auto"),
-    ])
-
-
 def _numeric_inputs(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(T.DoubleType()).alias(c) if c in NUMERIC else F.col(c)
                        for c in df.columns])
 
 
-def train_tip_model(df: DataFrame, reg_param: float = 0.0, elastic_net: float = 0.0,
-                    eval_fraction: float = 0.2) -> PipelineModel:
+def fit_features(train: DataFrame, numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> list:
+    """Fitted feature stages (M2): indexed and one-hot categories, mean-imputed numbers, one ``features`` vector.
+
+    The first category (in alphabetic order) of every categorical input is its
+    reference level and has no column, so that with the intercept no column is
+    a sum of others and the fit has one solution. A category unseen in
+    training, NULL included, counts as the reference level.
+    """
+    stages, names, keep = [], [], list(range(len(numeric)))
+    if numeric:
+        imputer = Imputer(inputCols=numeric, outputCols=[f"{c}_imp" for c in numeric], strategy="mean").fit(train)
+        stages.append(imputer)
+        names += [f"{c}_imp" for c in numeric]
+    if categorical:
+        index = StringIndexer(inputCols=categorical, outputCols=[f"{c}_idx" for c in categorical], handleInvalid="keep",
+                              stringOrderType="alphabetAsc").fit(train)
+        # the level kept for unseen categories is the last one, which dropLast leaves out
+        onehot = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_vec" for c in categorical],
+                               dropLast=True).fit(index.transform(train))
+        stages += [index, onehot]
+        names += [f"{c}_vec" for c in categorical]
+        at = len(numeric)
+        for labels in index.labelsArray:
+            keep += range(at + 1, at + len(labels))
+            at += len(labels)
+    stages.append(VectorAssembler(inputCols=names, outputCol="all_features", handleInvalid="keep"))
+    stages.append(VectorSlicer(inputCol="all_features", outputCol="features", indices=keep))
+    return stages
+
+
+def regression(reg_param: float = 0.0, elastic_net: float = 0.0, label: str = LABEL) -> LinearRegression:
+    """Least squares by the normal equations: one pass over the rows, at most 4,096 feature columns (else an error)."""
+    return LinearRegression(featuresCol="features", labelCol=label, predictionCol=PREDICTION,
+                            regParam=reg_param, elasticNetParam=elastic_net, solver="normal")
+
+
+def _to_scratch(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def train_tip_model(df: DataFrame, reg_param: float = 0.0, elastic_net: float = 0.0, eval_fraction: float = 0.2,
+                    numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> PipelineModel:
     """Fit on the train split of rows with a label (M2, M3).
 
-    The eight-column training projection is persisted for the few passes of
-    the fit (indexer, imputer, solver) and released afterwards; lost blocks
-    are recomputed from lineage.
+    The training projection is written to shared scratch once, for the few
+    passes of the fit (indexer, imputer, solver).
     """
-    train, _ = auto_split(_numeric_inputs(df.where(F.col(LABEL).isNotNull())), eval_fraction)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return tip_pipeline(reg_param, elastic_net).fit(train)
-    finally:
-        train.unpersist()
+    train, _ = auto_split(df.where(F.col(LABEL).isNotNull()), eval_fraction)
+    train = _to_scratch(_numeric_inputs(train), "ml_train")
+    stages = fit_features(train, numeric, categorical)
+    return PipelineModel([*stages, regression(reg_param, elastic_net).fit(PipelineModel(stages).transform(train))])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Input columns plus ``predicted_tip_amount`` (M6)."""
-    return model.transform(_numeric_inputs(df)).select(*df.columns, PREDICTION)
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    return model.transform(_numeric_inputs(df)).select(*own, PREDICTION)
 
 
 def feature_info(df: DataFrame, numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> DataFrame:
@@ -128,8 +162,11 @@ def feature_info(df: DataFrame, numeric: list[str] = NUMERIC, categorical: list[
                  F.percentile_approx(x, 0.5, MEDIAN_ACCURACY).alias(f"{c}__median"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.count_if(x.isNull()).alias(f"{c}__nulls")]
     for c in categorical:
-        aggs += [F.countDistinct(c).alias(f"{c}__cats"), F.count_if(F.col(c).isNull()).alias(f"{c}__nulls")]
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"))
     row = df.agg(*aggs)
+    for c in categorical:       # a small aggregate each: several distinct counts in one would multiply the rows
+        cats = df.groupBy(c).agg(F.lit(1).alias("one")).agg(F.count(c).alias(f"{c}__cats"))
+        row = row.join(F.broadcast(cats))       # one row each
     parts = []
     for c in numeric:
         parts += [f"'{c}'", f"`{c}__min`", f"`{c}__max`", f"`{c}__mean`", f"`{c}__median`", f"`{c}__stddev`",
@@ -187,37 +224,27 @@ class LinearTerms:
 def linear_terms(model: PipelineModel, train: DataFrame) -> LinearTerms:
     """Read the fitted pipeline as per-input linear terms.
 
-    Coefficient positions come from the assembled vector's attribute
-    metadata. Numeric means are the imputer's training means; a categorical
-    input's baseline is the average of its term over ``train``, computed in
-    one distributed aggregate. The category lookups hold one weight per
-    category seen in training (vocabulary-bounded, e.g. a few hundred zones).
+    Coefficients stand in the order of :func:`fit_features`. Numeric means
+    are the imputer's training means; a categorical input's baseline is the
+    average of its term over ``train``, computed in one distributed
+    aggregate. The category lookups hold one weight per category seen in
+    training, fewer than the 4,096 columns the fit admits.
     """
     lr = model.stages[-1]
-    imputer = model.stages[2]
     coef = lr.coefficients.toArray()
-    means = imputer.surrogateDF.first().asDict()
-    meta = model.transform(train.limit(1)).schema["features"].metadata["ml_attr"]["attrs"]
-    by_idx = {a["idx"]: a["name"] for group in meta.values() for a in group}
-    num: dict[str, tuple[float, float]] = {}
-    cat_w: dict[str, dict[str, float]] = {c: {} for c in CATEGORICAL}
-    unseen = {c: 0.0 for c in CATEGORICAL}
-    for i, name in sorted(by_idx.items()):
-        if name.endswith("_imp") and name[:-4] in NUMERIC:
-            c = name[:-4]
-            num[c] = (float(coef[i]), float(means[c]))
-            continue
-        for c in CATEGORICAL:
-            prefix = f"{c}_vec_"
-            if name.startswith(prefix):
-                label = name[len(prefix):]
-                if label == "__unknown":
-                    unseen[c] += float(coef[i])
-                else:
-                    cat_w[c][label] = float(coef[i])
-    terms = LinearTerms(float(lr.intercept), num, {c: (cat_w[c], 0.0, unseen[c]) for c in CATEGORICAL})
-    bases = train.agg(*[F.avg(_category_term(terms, c)).alias(c) for c in CATEGORICAL]).first().asDict()
-    terms.categorical = {c: (cat_w[c], float(bases[c] or 0.0), unseen[c]) for c in CATEGORICAL}
+    imputer = next((x for x in model.stages if isinstance(x, ImputerModel)), None)
+    index = next((x for x in model.stages if isinstance(x, StringIndexerModel)), None)
+    means = imputer.surrogateDF.first().asDict() if imputer else {}
+    num = {c: (float(w), float(means[c])) for c, w in zip(imputer.getInputCols() if imputer else [], coef)}
+    at = len(num)
+    cat_w: dict[str, dict[str, float]] = {}
+    for c, labels in zip(index.getInputCols() if index else [], index.labelsArray if index else []):
+        cat_w[c] = {label: float(coef[at + i]) for i, label in enumerate(labels[1:])}     # the first is the reference, 0
+        at += max(len(labels) - 1, 0)
+    terms = LinearTerms(float(lr.intercept), num, {c: (w, 0.0, 0.0) for c, w in cat_w.items()})
+    if cat_w:
+        bases = train.agg(*[F.avg(_category_term(terms, c)).alias(c) for c in cat_w]).first().asDict()
+        terms.categorical = {c: (w, float(bases[c] or 0.0), 0.0) for c, w in cat_w.items()}
     return terms
 
 
@@ -277,32 +304,36 @@ def to_spark_reg(l1: float, l2: float) -> tuple[float, float]:
 
 
 def tune_tip_model(df: DataFrame, num_trials: int = 5, max_parallel_trials: int = 2, seed: int = 42,
-                   train_ratio: float = 0.8):
-    """Hyper-parameter search with ``TrainValidationSplit`` (M8).
+                   eval_fraction: float = 0.2):
+    """Hyper-parameter search on the repeatable split of M3 (M8).
 
-    Returns ``(best PipelineModel, trials DataFrame)``; trials has one row per
-    trial with its l1/l2, Spark parameters, validation R² and the best flag.
+    The feature stages are fitted once on the train rows; only the regression
+    is fitted for each trial and judged by R² on the eval rows. Returns
+    ``(best PipelineModel, trials DataFrame)``; trials has one row per trial
+    with its l1/l2, Spark parameters, split sizes, R² and the best flag.
     """
-    data = _numeric_inputs(df.where(F.col(LABEL).isNotNull())).persist(StorageLevel.MEMORY_AND_DISK)
-    pipe = tip_pipeline()
-    lr = pipe.getStages()[-1]
+    train, held = (_numeric_inputs(x) for x in auto_split(df.where(F.col(LABEL).isNotNull()), eval_fraction))
+    train = _to_scratch(train, "ml_train")
+    stages = fit_features(train)
+    features = PipelineModel(stages)
+    train = _to_scratch(features.transform(train).select("features", LABEL), "ml_train_features")
+    held = _to_scratch(features.transform(held).select("features", LABEL), "ml_eval_features")
+    judge = RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName="r2")
     trials = sample_trials(num_trials, seed=seed)
-    grid = [{lr.regParam: to_spark_reg(l1, l2)[0], lr.elasticNetParam: to_spark_reg(l1, l2)[1]}
-            for l1, l2 in trials]
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
-                               evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION,
-                                                             metricName="r2"),
-                               trainRatio=train_ratio, parallelism=max_parallel_trials, seed=seed)
-    try:
-        fitted = tvs.fit(data)
-    finally:
-        data.unpersist()
-    best = max(range(len(trials)), key=lambda i: fitted.validationMetrics[i])
-    rows = [(i + 1, float(l1), float(l2), *map(float, to_spark_reg(l1, l2)), float(fitted.validationMetrics[i]),
-             i == best) for i, (l1, l2) in enumerate(trials)]
+
+    def run(trial: tuple[float, float]):
+        model = regression(*to_spark_reg(*trial)).fit(train)
+        return model, float(judge.evaluate(model.transform(held)))
+
+    with ThreadPool(max_parallel_trials) as pool:
+        fitted = pool.map(run, trials)
+    best = max(range(len(trials)), key=lambda i: fitted[i][1])
+    sizes = train.count(), held.count()
+    rows = [(i + 1, float(l1), float(l2), *map(float, to_spark_reg(l1, l2)), *sizes, fitted[i][1], i == best)
+            for i, (l1, l2) in enumerate(trials)]
     schema = ("trial_id int, l1_reg double, l2_reg double, reg_param double, elastic_net_param double, "
-              "r2_score double, is_optimal boolean")
-    return fitted.bestModel, df.sparkSession.createDataFrame(rows, schema)
+              "train_rows long, eval_rows long, r2_score double, is_optimal boolean")
+    return PipelineModel([*stages, fitted[best][0]]), df.sparkSession.createDataFrame(rows, schema)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

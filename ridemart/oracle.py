@@ -250,7 +250,27 @@ SELECT round(avg(abs(p - y)), {R}) AS mean_absolute_error,
        round(quantile_disc(abs(p - y), 0.5), {R}) AS median_absolute_error,
        round(1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)), {R}) AS r2_score,
        round(1 - var_pop(y - p) / var_pop(y), {R}) AS explained_variance
-FROM (SELECT predicted_tip_amount AS p, tip_amount AS y FROM fx)"""
+FROM (SELECT predicted_tip_amount AS p, tip_amount AS y FROM fx"""
+
+# Least squares on one categorical input: the mean of each category over the train rows. NULL, and categories
+# that the train rows lack, count as the first category.
+PAYMENT = f"""
+train AS (SELECT * FROM labelled WHERE {BUCKET} >= 2),
+one AS (SELECT min(payment_type) AS p FROM train),
+level AS (SELECT coalesce(payment_type, p) AS k, avg(tip_amount) AS m FROM train, one GROUP BY 1),
+fx AS (SELECT l.*, coalesce(v.m, f.m) AS predicted_tip_amount
+       FROM labelled l CROSS JOIN one JOIN level f ON f.k = one.p LEFT JOIN level v ON v.k = l.payment_type)"""
+PAYMENT_COLS = ", ".join(f"round({c}, {R}) AS {c}" if c in ("trip_distance", "fare_amount", "tolls_amount", "tip_amount") else c
+                         for c in FEATURE_COLS)
+PAYMENT_INPUTS = ", ".join(x for x in PAYMENT_COLS.split(", round(tip")[0:1])
+
+
+def _trials() -> str:
+    from ridemart.operators.ml import sample_trials, to_spark_reg
+    rows = [f"({i + 1}, {l1!r}, {l2!r}, {to_spark_reg(l1, l2)[0]!r}, {to_spark_reg(l1, l2)[1]!r})"
+            for i, (l1, l2) in enumerate(sample_trials(3))]
+    return ", ".join(rows)
+
 
 ORACLE: dict[str, str] = {
     "stg_green_trips": with_ctes(STG) + "\nSELECT * FROM stg_green",
@@ -337,13 +357,29 @@ SELECT round(regr_slope(tip_amount, trip_distance), 10) AS slope,
        round(regr_intercept(tip_amount, trip_distance), 10) AS intercept,
        round(regr_r2(tip_amount, trip_distance), 10) AS r2
 FROM labelled WHERE trip_distance IS NOT NULL""",
-    "evaluate_fixed_model": with_ctes(FEATURES, FIXED) + EVAL,
+    "evaluate_fixed_model": with_ctes(FEATURES, FIXED) + EVAL + ")",
     "explain_fixed_model": with_ctes(FEATURES, FIXED) + """
 SELECT fx.passenger_count, fx.trip_distance, fx.PULocationID, fx.DOLocationID, fx.payment_type,
        fx.fare_amount, fx.tolls_amount, fx.tip_amount, round(fx.predicted_tip_amount, 9) AS predicted_tip_amount,
        t.top1_feature, round(t.a1, 9) AS top1_attribution, t.top2_feature, round(t.a2, 9) AS top2_attribution,
        t.top3_feature, round(t.a3, 9) AS top3_attribution, round(""" + FX_BASELINE + """, 9) AS baseline_prediction_value
 FROM fx JOIN fx_top t USING (rid)""",
+    "tip_model_predict": with_ctes(FEATURES, PAYMENT) + f"""
+SELECT {PAYMENT_COLS}, round(predicted_tip_amount, {R}) AS predicted_tip_amount FROM fx""",
+    "score_instances": with_ctes(FEATURES, PAYMENT) + f"""
+SELECT {PAYMENT_INPUTS}, round(predicted_tip_amount, {R}) AS predicted_tip_amount FROM fx""",
+    "tip_model_evaluate": with_ctes(FEATURES, PAYMENT) + EVAL + f" WHERE {BUCKET} < 2)",
+    "tip_model_explain": with_ctes(FEATURES, PAYMENT) + f"""
+SELECT {PAYMENT_COLS}, round(predicted_tip_amount, {R}) AS predicted_tip_amount, 'payment_type' AS top_feature,
+       round(predicted_tip_amount - base, {R}) AS top_attribution, round(base, {R}) AS baseline_prediction_value
+FROM fx, (SELECT avg(predicted_tip_amount) AS base FROM fx WHERE {BUCKET} >= 2)""",
+    "tip_model_residuals": "SELECT " + ", ".join(f"CAST(0 AS DOUBLE) AS {c}" for c in
+                                                  ("intercept", "passenger_count", "trip_distance", "fare_amount", "tolls_amount")),
+    "tip_model_trials": with_ctes(FEATURES) + f"""
+SELECT CAST(trial_id AS INTEGER) AS trial_id, round(CAST(l1 AS DOUBLE), 9) AS l1_reg, round(CAST(l2 AS DOUBLE), 9) AS l2_reg,
+       round(CAST(reg AS DOUBLE), 9) AS reg_param, round(CAST(mixed AS DOUBLE), 9) AS elastic_net_param,
+       (SELECT count(*) FROM labelled WHERE {BUCKET} >= 2) AS train_rows, (SELECT count(*) FROM labelled WHERE {BUCKET} < 2) AS eval_rows
+FROM (VALUES {_trials()}) AS t(trial_id, l1, l2, reg, mixed)""",
     "stream_months": with_ctes() + f"""
 SELECT {RID5} AS unique_row_id,
        'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS}

@@ -438,25 +438,56 @@ def q_explain_fixed_model(spark, sf_dir):
     return round_doubles(e.select(*cols, "baseline_prediction_value"), 9)
 
 
-def trained_model(spark, sf_dir):
-    return ml.train_tip_model(features(spark, sf_dir))
+def labelled(spark, sf_dir):
+    return features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
+
+
+def payment_model(spark, sf_dir):
+    """The tip by payment type: with one categorical input least squares gives the mean of each category."""
+    return ml.train_tip_model(features(spark, sf_dir), numeric=[], categorical=["payment_type"])
 
 
 def q_tip_model_predict(spark, sf_dir):
-    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
-    return ml.predict(trained_model(spark, sf_dir), x)
+    return round_doubles(ml.predict(payment_model(spark, sf_dir), labelled(spark, sf_dir)))
+
+
+def q_tip_model_evaluate(spark, sf_dir):
+    """Metrics of the trained model on the rows it was not trained on."""
+    _, held = ml.auto_split(labelled(spark, sf_dir))
+    return round_doubles(ml.evaluate(ml.predict(payment_model(spark, sf_dir), held)))
 
 
 def q_tip_model_explain(spark, sf_dir):
-    x = features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
-    train, _ = ml.auto_split(ml._numeric_inputs(x))
-    terms = ml.linear_terms(trained_model(spark, sf_dir), train)
-    return ml.explain_predict(terms, x, top_k_features=3)
+    x = labelled(spark, sf_dir)
+    train, _ = ml.auto_split(x)
+    e = ml.explain_predict(ml.linear_terms(payment_model(spark, sf_dir), train), x, top_k_features=3)
+    top = F.col("top_feature_attributions")[0]
+    return round_doubles(e.select(*x.columns, ml.PREDICTION, top["feature"].alias("top_feature"),
+                                  top["attribution"].alias("top_attribution"), "baseline_prediction_value"))
+
+
+def q_tip_model_residuals(spark, sf_dir):
+    """The full model's residuals on its training rows, in total and against each number: zero up to rounding."""
+    model = ml.train_tip_model(features(spark, sf_dir))
+    train, _ = ml.auto_split(labelled(spark, sf_dir))
+    err = F.col(ml.PREDICTION) - F.col(ml.LABEL)
+    means = {c: m for c, (_, m) in ml.linear_terms(model, train).numeric.items()}
+    x = ml.predict(model, train).fillna(means)      # as the model imputes them
+    sums = [F.abs(F.sum(err) / F.sum(F.abs(F.col(ml.LABEL)) + 1)).alias("intercept")]
+    sums += [F.abs(F.sum(err * F.col(c)) / F.sum(F.abs(F.col(c)) * (F.abs(F.col(ml.LABEL)) + 1))).alias(c) for c in ml.NUMERIC]
+    return round_doubles(x.agg(*sums))
+
+
+def q_tip_model_trials(spark, sf_dir):
+    """The sampled trials and the split they are judged on."""
+    _, trials = ml.tune_tip_model(features(spark, sf_dir), num_trials=3, max_parallel_trials=2)
+    return round_doubles(trials.drop("r2_score", "is_optimal"), 9)
 
 
 def q_tip_model_tuned(spark, sf_dir):
-    _, trials = ml.tune_tip_model(features(spark, sf_dir), num_trials=5, max_parallel_trials=2)
-    return trials
+    """Predictions of the best tuned model (no SQL counterpart: its coefficients come from a penalised fit)."""
+    best, _ = ml.tune_tip_model(features(spark, sf_dir), num_trials=5, max_parallel_trials=2)
+    return ml.predict(best, labelled(spark, sf_dir))
 
 
 def requests(spark, sf_dir):
@@ -472,8 +503,8 @@ def q_read_instances(spark, sf_dir):
 
 def q_score_instances(spark, sf_dir):
     path = scratch_path(spark, "tip_model")
-    ml.save_model(trained_model(spark, sf_dir), path)
-    return ml.score_instances(ml.load_model(path), requests(spark, sf_dir), "request")
+    ml.save_model(payment_model(spark, sf_dir), path)
+    return round_doubles(ml.score_instances(ml.load_model(path), requests(spark, sf_dir), "request"))
 
 
 # ---- streaming -----------------------------------------------------------------------------
@@ -539,7 +570,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explain_fixed_model": q_explain_fixed_model,
     "read_instances": q_read_instances,
     "tip_model_predict": q_tip_model_predict,
+    "tip_model_evaluate": q_tip_model_evaluate,
     "tip_model_explain": q_tip_model_explain,
+    "tip_model_residuals": q_tip_model_residuals,
+    "tip_model_trials": q_tip_model_trials,
     "tip_model_tuned": q_tip_model_tuned,
     "score_instances": q_score_instances,
     "stream_months": q_stream_months,
