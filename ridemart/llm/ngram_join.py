@@ -10,18 +10,20 @@ the join stays exact). Linked sets share a shingle among the first
 1. Documents with the same set are one class; classes with the same prefix and
    size are one group. Only groups enter the inverted lists of prefix
    shingles, packed by hash bucket.
-2. Group pairs of a list pass the length and the positional filter. Every
-   group first meets one partner only, the pivot (the smallest group of a
-   list) it shares most lists with; members of these pairs are verified and
-   joined into components.
-3. Whatever candidate pairs still lie in different components are expanded to
+2. Group pairs of a list pass the length and the positional filter. In short
+   lists every group first meets one partner only, the pivot (the smallest
+   group of a list) it shares most lists with; in long lists a few pivots, the
+   same for all lists of a family, meet all others. Members of these pairs are
+   verified and joined into components; long lists that still hold several
+   components take further turns with other pivots, as long as pivots link
+   with a fair part of what they meet.
+3. Whatever candidate pairs then lie in different components are expanded to
    members and verified too. So every candidate pair is verified or already
    connected: no link between components is lost, while a group of thousands
-   of near copies costs one verification a member.
+   of near copies costs a few verifications a member.
 
-Lists of more than ``SMALL_LIST`` groups are kept as rows and paired only
-across components; a list that the sketch shows to be very long never enters
-one task, its pivot is found by an aggregation.
+Long lists (of more than ``SMALL_LIST`` groups) are kept as rows; a list that
+the sketch shows to be very long never enters one task as a whole.
 
 Defined results: null or empty text has the empty set, links with nothing and
 is its own component; texts of fewer than five words have one shingle;
@@ -37,7 +39,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridemart.llm import tokens as tk
@@ -48,6 +50,9 @@ SHINGLE = 5
 PERCENT = 80
 SKETCH_BITS = 21          # counters of the frequency sketch (one byte each when broadcast)
 SMALL_LIST = 16
+WORTH_A_TURN = 0.05       # further pivots are tried while this part of the tried pairs links
+PIVOTS = 8                # members of a long list that are tried against all others at first
+LATER_PIVOTS = 64         # members of its largest component that are tried against all outside in later turns
 HOT_LIST = 50_000
 BUCKET_BYTES = 8 << 20
 _SUM = np.uint64(0xA0761D6478BD642F)
@@ -303,15 +308,10 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
                                                          F.struct(F.col("c").alias("id"), F.col("d").alias("th")).alias("doc"))
     member = materialize(member.groupBy("gid", "cls", "n").agg(F.min("doc").alias("doc")), "members")
     group = member.groupBy("gid").agg(F.min("cls").alias("rep"))
-    hot_rows = found.where(F.col("kind") == HOT).select(F.col("a").alias("gid"), F.col("b").alias("h"), "n", "pos").distinct()
-    pivot = hot_rows.groupBy("h").agg(F.min(F.struct("gid", "n", "pos")).alias("p"))
-    hot_star = (hot_rows.join(pivot, "h").where("gid <> p.gid")
-                .where(_may_link("n", "pos", "p.n", "p.pos", percent))
-                .select(F.col("p.gid").alias("a"), F.col("gid").alias("b"), F.lit(1).cast("long").alias("c")))
-    star = (found.where(F.col("kind") == STAR).select("a", "b", "c").union(hot_star)
-            .groupBy("b", "a").agg(F.sum("c").alias("c"))
+    star = (found.where(F.col("kind") == STAR).select("a", "b", "c").groupBy("b", "a").agg(F.sum("c").alias("c"))
             .groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")))
-    lists = (found.where(F.col("kind").isin(LIST, HOT)).select(F.col("b").alias("h"), F.col("a").alias("gid"), "n", "pos").distinct())
+    lists = materialize(found.where(F.col("kind").isin(LIST, HOT))
+                        .select(F.col("b").alias("h"), F.col("a").alias("gid"), "n", "pos").distinct(), "lists")
     short = _ordered(found.where(F.col("kind") == PAIR))
 
     # one text for every class that may link with another
@@ -325,15 +325,26 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
 
     first = rep(rep(star, "a"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     inside = member.join(group, "gid").where("cls <> rep").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
-    tested = materialize(_ordered(first.union(inside)), "pivots")
+    alone = member.select("gid", "cls", F.col("cls").alias("comp"))
+    pairs = first.union(inside).union(_pivot_pairs(lists.join(alone, "gid"), 0, percent))
+    tested = materialize(_ordered(pairs), "pivots")
     links = materialize(verified(tested, texts, k, percent), "links")
-    comps = connected_components(links)
+    turn, tries, joined = 0, tested.count(), links.count()
+    while True:
+        comps = connected_components(links)
+        spread = materialize(member.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+                             .select("gid", "cls", F.coalesce("comp", "cls").alias("comp")), "spread")
+        at = lists.join(spread, "gid")
+        mixed = at.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
+        at = materialize(at.join(mixed, "h", "left_semi"), "open")
+        if joined <= tries * WORTH_A_TURN:
+            break
+        turn += 1
+        more = materialize(_ordered(_pivot_pairs(at, turn, percent)).join(tested, ["a", "b"], "left_anti"), "pivots")
+        new = materialize(verified(more, texts, k, percent), "links")
+        tested, links, tries, joined = tested.union(more), links.union(new), more.count(), new.count()
 
     # candidates still in different components
-    spread = (member.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-              .select("gid", "cls", F.coalesce("comp", "cls").alias("comp")))
-    spread = materialize(spread, "spread")
-
     def side(x: str) -> DataFrame:
         return spread.select(F.col("gid").alias(x), F.col("cls").alias(f"c{x}"), F.col("comp").alias(f"p{x}"))
 
@@ -342,9 +353,6 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     within = spread.join(mixed, "gid", "left_semi")
     within = (within.alias("x").join(within.alias("y"), "gid").where("x.comp < y.comp")
               .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
-    at = lists.join(spread, "gid")
-    open_lists = at.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-    at = materialize(at.join(open_lists, "h", "left_semi"), "open")
     far = (at.alias("x").join(at.alias("y"), "h")
            .where((F.col("x.comp") < F.col("y.comp")) & _may_link("x.n", "x.pos", "y.n", "y.pos", percent))
            .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
@@ -353,6 +361,26 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     return rows, connected_components(links.union(more)).withColumnRenamed("node", "cls")
 
 
+def _pivot_pairs(at: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of pivots and other classes of every list, in different components.
+
+    First ``PIVOTS`` classes of a list by a hash, with all others; in later
+    turns ``LATER_PIVOTS`` of the list's largest component, with all outside.
+    The hash is the same in all lists, so the many lists of one family share
+    their pivots.
+    """
+    order = Window.partitionBy("h").orderBy(F.xxhash64("cls", F.lit(turn)), "cls")
+    pool, most = at, PIVOTS
+    if turn:
+        large = (at.groupBy("h", "comp").agg(F.count("*").alias("c")).groupBy("h")
+                 .agg(F.max_by("comp", F.struct("c", "comp")).alias("comp")))
+        pool, most = at.join(large, ["h", "comp"], "left_semi"), LATER_PIVOTS
+    top = pool.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)
+    return (at.alias("x").join(top.alias("y"), "h")
+            .where((F.col("x.comp") != F.col("y.comp")) & _may_link("x.n", "x.pos", "y.n", "y.pos", percent))
+            .select(F.col("y.cls").alias("a"), F.col("x.cls").alias("b")))
+
+
 def _may_link(na: str, pa_: str, nb: str, pb: str, percent: int):
     n1, p1, n2, p2 = F.col(na), F.col(pa_), F.col(nb), F.col(pb)
     return ((100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
