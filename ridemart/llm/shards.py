@@ -91,7 +91,7 @@ def _tokenise(model: str):
 def _fragments(seq_len: int, n_seq: int, total: int, key: int, rows: int = 2_000):
     """Cut every text's tokens at sequence borders, each fragment compressed by itself."""
     def run(batches):
-        codec = pa.Codec("zstd", compression_level=3)
+        codec = pa.Codec("zstd", compression_level=5)
         for batch in batches:
             for lo in range(0, batch.num_rows, rows):
                 b = batch.slice(lo, rows)
@@ -179,7 +179,7 @@ def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str =
         folder = f"file://{folder}"
     schema = "doc_id long, part int, start long, n_tokens long, tokens binary"
     (slim(docs, id_col, text_col).mapInArrow(_tokenise(model), schema)
-     .write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").parquet(f"{folder}/tokens"))
+     .write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9").parquet(f"{folder}/tokens"))
     table = spark.read.schema(schema).parquet(f"{folder}/tokens")
     totals = table.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # a row per input split
     total = sum(r.n for r in totals)
@@ -200,7 +200,7 @@ def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str =
      .repartitionById(n_tasks, task).sortWithinPartitions("slot", "at")
      .mapInArrow(_write(f"{folder}/shards", seq_len, seqs_per_shard, n_seq),
                  "slot long, seq long, shard long, byte_offset long, sha256 string")
-     .write.parquet(f"{folder}/manifest"))
+     .write.option("compression", "zstd").parquet(f"{folder}/manifest"))
     return spark.read.parquet(f"{folder}/manifest")
 
 
