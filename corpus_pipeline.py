@@ -46,7 +46,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with merge-dropout, and whether they decode to the text (operator 10)."""
-    decoded = merge_dropout.decode(merge_dropout.encode(docs))
+    decoded = merge_dropout.round_trip(docs)
     return decoded.select("doc_id", "text", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
                           F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 

@@ -40,7 +40,7 @@ BATCH = 192
 STEPS = 150
 RATE = 0.3
 RIDGE = 1e-5
-TASK_BYTES = 4 << 20      # text handled at once in a task
+TASK_BYTES = 1 << 20      # text handled at once in a task
 
 #: Words: runs of ASCII letters and non-ASCII bytes.
 LETTERS = tk.byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -269,35 +269,41 @@ def _no_letter(t: tk.Texts, words: tk.Words) -> np.ndarray:
     return none
 
 
+def _judge(model: Model | None, t: tk.Texts, runs: bool):
+    """Language, score, number of words and runs of every text of a slice."""
+    pred, score, spans = [UNDETERMINED] * t.n, np.zeros(t.n), [[] for _ in range(t.n)]
+    types = WordTypes(t)
+    n_words = types.words.count
+    if model is None or not len(types.words):
+        return pred, score, n_words, spans
+    chain = Chain(n_words)
+    at = chain.rows(types.words.first[:t.n])
+    psi = model.potentials(types)[types.index[at]]
+    total = np.zeros((len(chain.order), len(model.labels)))
+    best = np.empty(len(at), np.int32) if runs else None
+    for step, g, _, _ in chain.marginals(psi, model.start, model.trans):
+        total[:len(g)] += g
+        if runs:
+            best[at[chain.off[step]:chain.off[step + 1]]] = g.argmax(1)
+    mean = total / chain.length[:, None]
+    und = _no_letter(t, types.words)
+    for r, d in enumerate(chain.order):
+        if not und[d]:
+            k = int(mean[r].argmax())
+            pred[d], score[d] = model.labels[k], min(1.0, float(mean[r, k]))
+            if runs:
+                y = best[types.words.first[d]:types.words.first[d + 1]]
+                edge = np.concatenate([[0], np.flatnonzero(np.diff(y)) + 1, [len(y)]])
+                spans[d] = [{"lang": model.labels[y[i]], "n_words": int(j - i)} for i, j in zip(edge[:-1], edge[1:])]
+    return pred, score, n_words, spans
+
+
 def _predict(model: Model | None, keep: list[str], text_col: str, runs: bool):
     def rows(batches):
         for b in batches:
             at_col = b.schema.get_field_index
             for lo, t in tk.slices(b.column(at_col(text_col)), TASK_BYTES):
-                pred, score, spans = [UNDETERMINED] * t.n, np.zeros(t.n), [[] for _ in range(t.n)]
-                types = WordTypes(t)
-                n_words = types.words.count
-                if model is not None and len(types.words):
-                    chain = Chain(n_words)
-                    at = chain.rows(types.words.first[:t.n])
-                    psi = model.potentials(types)[types.index[at]]
-                    total = np.zeros((len(chain.order), len(model.labels)))
-                    best = np.empty(len(at), np.int32) if runs else None
-                    for step, g, _, _ in chain.marginals(psi, model.start, model.trans):
-                        total[:len(g)] += g
-                        if runs:
-                            best[at[chain.off[step]:chain.off[step + 1]]] = g.argmax(1)
-                    mean = total / chain.length[:, None]
-                    und = _no_letter(t, types.words)
-                    for r, d in enumerate(chain.order):
-                        if not und[d]:
-                            k = int(mean[r].argmax())
-                            pred[d], score[d] = model.labels[k], min(1.0, float(mean[r, k]))
-                            if runs:
-                                y = best[types.words.first[d]:types.words.first[d + 1]]
-                                cut = np.flatnonzero(np.diff(y)) + 1
-                                edge = np.concatenate([[0], cut, [len(y)]])
-                                spans[d] = [{"lang": model.labels[y[i]], "n_words": int(j - i)} for i, j in zip(edge[:-1], edge[1:])]
+                pred, score, n_words, spans = _judge(model, t, runs)
                 cols = [b.column(at_col(c)).slice(lo, t.n) for c in keep]
                 cols += [pa.array(pred), pa.array(score), pa.array(n_words.astype(np.int64))]
                 names = [*keep, "lang_pred", "score", "n_words"]

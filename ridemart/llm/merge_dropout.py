@@ -86,12 +86,12 @@ class Vocabulary:
         self.char = {c: i for c, i in number.items() if len(c) == 1}
         places = {x: r for r, x in enumerate(sorted(set(score.values()), reverse=True))}
         self.rank = [places[score[i]] if i in score else 0 for i in range(n)]
-        self.merge = {}
+        merge: dict[int, int] = {}
         for piece, i in pieces:
             for cut in range(1, len(piece)):
                 left, right = number.get(piece[:cut]), number.get(piece[cut:])
                 if left is not None and right is not None:
-                    self.merge[left << 20 | right] = i
+                    merge[left << 20 | right] = i
 
         self.of_code = -1 - np.arange(0x110000, dtype=np.int32)
         for c, i in self.char.items():
@@ -99,14 +99,13 @@ class Vocabulary:
         self.of_code[ord(MARK)] = -1 - ord(_LITERAL_MARK)
         self.of_code[0x20] = self.char[MARK]
         self.ranks = np.array(self.rank, np.int32)
-        self._fill_pairs()
+        self._fill_pairs(np.array(list(merge), np.int64), np.array(list(merge.values()), np.int32))
 
-    def _fill_pairs(self) -> None:
+    def _fill_pairs(self, keys: np.ndarray, ids: np.ndarray) -> None:
         """The merges as an open-addressing table of arrays."""
-        self.bits = max(4, (2 * len(self.merge)).bit_length())
+        self.bits = max(4, (2 * len(keys)).bit_length())
         self.pair = np.full(1 << self.bits, -1, np.int64)
         self.made = np.full(1 << self.bits, -1, np.int32)
-        keys, ids = np.array(list(self.merge), np.int64), np.array(list(self.merge.values()), np.int32)
         at = self._slot(keys)
         while len(keys):
             free = self.pair[at] == -1
@@ -278,7 +277,7 @@ class Segmented:
 
 def _agenda(sym: list[int], v: Vocabulary, key: int, threshold: int) -> list[int]:
     """A unit of any length: the agenda is a heap of (rank, place, piece)."""
-    merge, rank = v.merge, v.rank
+    rank = v.rank
     n = len(sym)
     alive = [True] * n
     prev, nxt = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -286,13 +285,14 @@ def _agenda(sym: list[int], v: Vocabulary, key: int, threshold: int) -> list[int
 
     def propose(i):
         j = nxt[i]
-        if j < n and sym[i] >= 0 and sym[j] >= 0:
-            m = merge.get(sym[i] << 20 | sym[j])
-            if m is not None:
+        if j < n:
+            m = int(v.merged(np.array([sym[i]]), np.array([sym[j]]))[0])
+            if m >= 0:
                 heapq.heappush(heap, (rank[m], i, m, sym[i], sym[j]))
 
-    for i in range(n - 1):
-        propose(i)
+    made = v.merged(np.array(sym[:-1]), np.array(sym[1:])) if n > 1 else ()
+    heap = [(rank[m], i, m, sym[i], sym[i + 1]) for i, m in enumerate(np.asarray(made).tolist()) if m >= 0]
+    heapq.heapify(heap)
     while heap:
         _, i, m, a, b = heapq.heappop(heap)
         j = nxt[i]
@@ -392,6 +392,14 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", model
     return encoded.select(others).mapInArrow(_decode(model, others, ids_col, out), schema)
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
+               dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: doc_id, text, ids and decoded."""
+    encoder, decoder = _encode(model, dropout, seed, variants), _decode(model, ["doc_id", "text", "ids"], "ids", "decoded")
+    return slim(docs, id_col, text_col).mapInArrow(lambda batches: decoder(encoder(batches)),
+                                                   "doc_id long, text string, ids array<int>, decoded string")
+
+
 def digest(decoded: DataFrame) -> DataFrame:
     """Token counts, a hash of the ids, and whether decoding gave the text back."""
     return decoded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),

@@ -49,7 +49,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_dropout.digest(merge_dropout.decode(merge_dropout.encode(table(spark, sf_dir, "documents"))))
+    return merge_dropout.digest(merge_dropout.round_trip(table(spark, sf_dir, "documents")))
 
 
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:

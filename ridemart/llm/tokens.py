@@ -9,11 +9,14 @@ equal hashes.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+_libc = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 _M = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_M, -1, 2**64)
 _pow = np.ones(1, np.uint64)
@@ -71,6 +74,13 @@ class Texts:
         self.n = len(arr)
 
 
+def _trim() -> None:
+    """Give freed memory back to the system: idle workers would hold on to it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def slices(arr: pa.Array, max_bytes: int = SLICE_BYTES):
     """(first row, Texts) pieces of at most ``max_bytes`` each, one text at least."""
     if isinstance(arr, pa.ChunkedArray):
@@ -84,6 +94,7 @@ def slices(arr: pa.Array, max_bytes: int = SLICE_BYTES):
         j = max(int(np.searchsorted(ends, base + max_bytes, "right")), i + 1)
         yield i, Texts(arr.slice(i, j - i))
         i = j
+    _trim()
 
 
 class Words:

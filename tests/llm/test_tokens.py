@@ -32,6 +32,8 @@ def test_dropout_is_seeded_varied_and_lossless(spark):
     for i, t in enumerate(texts):
         assert rows[i].decoded == t and rows[i].text == t
     assert all(r.lossless for r in md.digest(md.decode(a)).collect())
+    whole = md.round_trip(df, dropout=0.3, seed=1)
+    assert {r.doc_id: r.ids for r in whole.collect()} == ids[0] and all(r.lossless for r in md.digest(whole).collect())
     assert md.digest(md.decode(md.encode(df.limit(0)))).count() == 0
 
 
