@@ -55,6 +55,7 @@ PIVOTS = 8                # members of a long list that are tried against all ot
 LATER_PIVOTS = 64         # members of its largest component that are tried against all outside in later turns
 HOT_LIST = 50_000
 BUCKET_BYTES = 8 << 20
+HELD_ENTRIES = 250_000    # list entries a task holds before it sends them on
 _SUM = np.uint64(0xA0761D6478BD642F)
 _PART = 15                # log2 of the counters in a row of the sketch
 
@@ -162,6 +163,12 @@ def _postings(shared, hot: int, bits: int, k: int, percent: int):
     def bucket_of(x):
         return (x >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
 
+    def flush(lists, members, hots):
+        yield emit(lists, bucket_of, PAIR, ("h", "gid", "n", "pos"))
+        yield emit(members, bucket_of, MEMBER, ("gid", "n", "extra"))
+        if hots:
+            yield emit(hots, lambda x: bucket_of(tk.mix(x + np.arange(len(x), dtype=np.uint64))), HOT, ("h", "gid", "n", "pos"))
+
     def run(batches):
         classes = shared.value
         for b in batches:
@@ -186,10 +193,11 @@ def _postings(shared, hot: int, bits: int, k: int, percent: int):
                 lists.append(tuple(c[~is_hot] for c in row))
                 if is_hot.any():
                     hots.append(tuple(c[is_hot] for c in row))
-            yield emit(lists, bucket_of, PAIR, ("h", "gid", "n", "pos"))
-            yield emit(members, bucket_of, MEMBER, ("gid", "n", "extra"))
-            if hots:
-                yield emit(hots, lambda x: bucket_of(tk.mix(x + np.arange(len(x), dtype=np.uint64))), HOT, ("h", "gid", "n", "pos"))
+                if sum(len(x[0]) for x in lists) > HELD_ENTRIES:
+                    yield from flush(lists, members, hots)
+                    lists, hots, members = [], [], []
+            if members:
+                yield from flush(lists, members, hots)
     return run
 
 
