@@ -2,12 +2,13 @@
 
 A text is cut into units no merge can cross (runs of spaces start a unit).
 Inside a unit an agenda holds the candidate merges by score, then position;
-a candidate taken from the agenda is skipped when the hash of (seed, variant,
-unit, position, piece) falls under the dropout rate. A text's variant is a
-hash of its doc_id, so equal words are segmented differently in different
-texts and under different seeds, while a unit's segmentation is a function of
-its key: distinct units are segmented once, many together, and kept by the
-worker. Units are told apart by 64-bit hashes; the digest checks the round trip.
+a candidate taken from the agenda is skipped when the hash of (seed, doc_id,
+text, the unit's place in the text, unit, position, piece) falls under the
+dropout rate. So every occurrence of a word has coins of its own, within a text
+and between texts, exact copies included; a rerun gives the same ids. All
+occurrences of a slice are segmented many together. Plain encoding (rate 0) has
+no coins: there distinct units are segmented once and kept by the worker, told
+apart by 64-bit hashes. The digest checks the round trip.
 
 Decoding joins the pieces; a piece's space mark is a space, byte pieces are
 bytes. A literal space mark in the text is encoded by its bytes, so decoding
@@ -33,7 +34,6 @@ from ridemart.llm.frames import ship, slim
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20_240
-VARIANTS = 4
 MARK = "▁"
 _LITERAL_MARK = "\ud800"  # stands for a literal mark inside a unit; no piece has it
 _MASK = (1 << 64) - 1
@@ -212,13 +212,18 @@ def _many(sym: np.ndarray, size: np.ndarray, v: Vocabulary, key: np.ndarray, thr
 
 def segment_units(u: tk.Units, v: Vocabulary, threshold: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of some distinct units of a slice, one after the other, and their number for each unit."""
-    raw = u.buf.tobytes()
+    return segment_spans(u.buf, u.start[u.example[which]], u.end[u.example[which]], u.key[which], v, threshold)
+
+
+def segment_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray, v: Vocabulary,
+                  threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the units at these places of a buffer, each with the key of its coins, and their number for each unit."""
+    raw = buf.tobytes()
     try:
         code = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
-        char = np.concatenate([[0], np.cumsum((u.buf & 0xC0) != 0x80)])
+        char = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
     except UnicodeDecodeError:                       # not valid UTF-8: one unit at a time
         code = None
-    start, end, key = u.start[u.example[which]], u.end[u.example[which]], u.key[which]
     size = char[end] - char[start] if code is not None else np.full(len(start), SHORT_UNIT + 1)
     parts, of = [], []
     low = 0
@@ -233,7 +238,7 @@ def segment_units(u: tk.Units, v: Vocabulary, threshold: int, which: np.ndarray)
             parts.append(sym[alive])
             of.append(np.repeat(unit, alive.sum(1)))
     for i in np.flatnonzero(size > SHORT_UNIT):
-        x = _agenda(v.symbols(u.content(which[i])), v, int(key[i]), threshold)
+        x = _agenda(v.symbols(raw[start[i]:end[i]]), v, int(key[i]), threshold)
         parts.append(np.array(x, np.int32))
         of.append(np.full(len(x), i))
     values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
@@ -311,30 +316,40 @@ def _agenda(sym: list[int], v: Vocabulary, key: int, threshold: int) -> list[int
 
 
 _loaded: dict[tuple[str, bool], Vocabulary] = {}
-_kept: dict[tuple, Segmented] = {}       # of this worker, for each model and rate; seed and variant are in a unit's key
+_kept: dict[tuple, Segmented] = {}       # of this worker, for each model and rate; plain encoding only
 
 
 def segmented(path: str, threshold: int) -> Segmented:
     return _kept.setdefault((path, threshold), Segmented())
 
 
+def coin_keys(u: tk.Units, salt: np.ndarray) -> np.ndarray:
+    """A key for every unit of a slice: of its text's salt, its place in the text and its content."""
+    count = np.diff(u.first)
+    place = (np.arange(len(u.start)) - np.repeat(u.first[:-1], count)).astype(np.uint64)
+    return tk.mix(u.key[u.index] ^ tk.mix(np.repeat(salt, count) + place * np.uint64(0x9E3779B97F4A7C15)))
+
+
 def vocabulary(path: str, merges: bool = True) -> Vocabulary:
     if (path, merges) not in _loaded:
         _loaded[path, merges] = Vocabulary(path, merges)
     return _loaded[path, merges]
 
 
-def _encode(path: str, dropout: float, seed: int, variants: int):
+def _encode(path: str, dropout: float, seed: int):
     def run(batches):
         v, threshold = vocabulary(path), int(dropout * 2**32)
         for b in batches:
             ids_col, texts = b.column(0), b.column(1)
             ids = np.asarray(ids_col.fill_null(-1)).astype(np.int64).view(np.uint64)
-            variant = tk.mix(ids + np.uint64(seed)) % np.uint64(variants if threshold else 1)
-            salt = tk.mix(variant * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+            salt = tk.mix(tk.mix(ids) + np.uint64(seed))
             for lo, t in tk.slices(texts, TASK_BYTES):
-                u = tk.Units(t, salt[lo:lo + t.n])
-                values, size = segmented(path, threshold).encode(u, v, threshold)
+                u = tk.Units(t)
+                if threshold:
+                    own = tk.mix(salt[lo:lo + t.n] ^ tk.SpanHash(t.data)(t.off[:-1], t.off[1:]))
+                    values, size = segment_spans(u.buf, u.start, u.end, coin_keys(u, own), v, threshold)
+                else:
+                    values, size = segmented(path, 0).encode(u, v, 0)
                 upto = np.concatenate([[0], np.cumsum(size)])
                 # the unit of an empty text is its leading space alone
                 empty = np.diff(t.off) == 0
@@ -352,9 +367,9 @@ def _encode(path: str, dropout: float, seed: int, variants: int):
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
-           dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+           dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, text and ids (array<int>) of every document; ``dropout`` 0 is the plain encoding."""
-    return slim(docs, id_col, text_col).mapInArrow(_encode(model, dropout, seed, variants),
+    return slim(docs, id_col, text_col).mapInArrow(_encode(model, dropout, seed),
                                                    "doc_id long, text string, ids array<int>")
 
 
@@ -393,9 +408,9 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", model
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
-               dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+               dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """:func:`encode` and :func:`decode` in one pass: doc_id, text, ids and decoded."""
-    encoder, decoder = _encode(model, dropout, seed, variants), _decode(model, ["doc_id", "text", "ids"], "ids", "decoded")
+    encoder, decoder = _encode(model, dropout, seed), _decode(model, ["doc_id", "text", "ids"], "ids", "decoded")
     return slim(docs, id_col, text_col).mapInArrow(lambda batches: decoder(encoder(batches)),
                                                    "doc_id long, text string, ids array<int>, decoded string")
 

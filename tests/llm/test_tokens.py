@@ -37,6 +37,29 @@ def test_dropout_is_seeded_varied_and_lossless(spark):
     assert md.digest(md.decode(md.encode(df.limit(0)))).count() == 0
 
 
+def test_every_occurrence_of_a_word_has_its_own_coins(spark):
+    word, times = "internationalisation", 300
+    texts = [" ".join([word] * times)] * 40
+    rows = {r.doc_id: r.ids for r in md.encode(frame(spark, texts)).collect()}
+    assert len({tuple(x) for x in rows.values()}) == len(texts)         # exact copies, no two alike
+    v = md.vocabulary(md.MODEL)
+    starts = {i for i, (a, b) in enumerate(zip(v.pool_off, v.pool_off[1:])) if b > a and v.pool[a] == 0x20}
+
+    def words(ids):
+        cuts = [i for i, x in enumerate(ids) if x in starts] + [len(ids)]
+        return [tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
+    assert all(len(words(x)) == times for x in rows.values())
+    assert all(len(set(words(x))) > 4 for x in rows.values())           # one text varies by itself
+    assert len({w for x in rows.values() for w in words(x)}) > 40
+
+
+def test_texts_that_share_an_id_have_their_own_coins(spark):
+    words = "internationalisation notwithstanding " * 60
+    df = spark.createDataFrame([(None, words + x) for x in "ab"] + [(7, words + x) for x in "ab"] + [(7, words + "a")], "doc_id long, text string")
+    rows = [(r.doc_id, r.text, tuple(r.ids)) for r in md.encode(df).collect()]
+    assert len(set(rows)) == 4 and len({x[2][:100] for x in rows}) == 4  # the repeated row has equal ids
+
+
 def test_units_together_and_alone_agree():
     v = md.vocabulary(md.MODEL)
     texts = [t for t in ODD + awkward() if t]
