@@ -13,11 +13,13 @@ similarity of 0.8 or more; equal lines included, lines without a word never.
    (nothing before the first common word matches) and a parity filter: sets
    that differ in d words differ in at most d bits of a 64-bit parity of their
    words. What is left of a list is almost only similar lines, given as pairs,
-   or as members where a list holds a large family.
+   or as members where a list holds a large family. Lists of more than
+   ``LONG_LIST`` lines are given as members untested; a list that the sketch
+   shows to be very long is dealt over all buckets, so no task holds it whole.
 4. Every later line is verified against one earlier candidate of its pairs and
    the first few members of its families; those that found no match are
    verified against all other earlier candidates. A family of any size costs
-   a few verifications a line.
+   a few verifications a line, if its first members are similar to the others.
 5. Texts are put together again from the lines that stay.
 
 Counting, joins, ordering and the new texts are DataFrame operations; words,
@@ -47,14 +49,17 @@ PERCENT = 80
 SKETCH_BITS = 21          # counters of the word sketch (one byte each when broadcast)
 SHORT_LIST = 64           # lists up to which all members are compared by shifts
 DENSE_LIST = 64           # pairs of a list from which its members are given instead
+LONG_LIST = 4_096         # lists from which members are given without testing them against each other
+HOT_LIST = 50_000         # lines of a word from which its list is dealt over all buckets
+SALTS = 32                # parts of an untested list that are joined apart
 PIVOTS = 8
 BUCKET_BYTES = 8 << 20
 BITMAP_BITS = 22
 _PART = 15
 
 LINES = "id long, th long, line_no int, h long, part int, counts binary"
-POSTINGS = "bucket int, k binary, h binary, parity binary, n binary, place binary"
-MEETINGS = "k long, a long, b long, n int, place int, parity long"
+POSTINGS = "bucket int, hot boolean, k binary, h binary, parity binary, n binary, place binary"
+MEETINGS = "k long, a long, b long, n int, place int, parity long, wide boolean"
 
 
 class Lines:
@@ -116,17 +121,22 @@ def _add_counts(table: pa.Table) -> pa.Table:
     return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def word_classes(found: DataFrame) -> tuple[np.ndarray, int]:
-    """Quarter-octave frequency class of every counter, and the number of distinct words of all lines together."""
+def word_classes(found: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Quarter-octave frequency class of every counter, the class from which lists are hot, and the number of
+    distinct words of all lines together."""
     rows = (found.where("part is not null").select("part", "counts").groupBy("part")
             .applyInArrow(_add_counts, "part int, counts binary").collect())          # 2^SKETCH_BITS counters at most
     total = np.zeros(1 << SKETCH_BITS, np.uint64)
     for r in rows:
         total[r.part << _PART:(r.part + 1) << _PART] = np.frombuffer(r.counts, np.uint64)
-    return np.floor(4 * np.log2(total + 1.0)).astype(np.uint8), int(total.sum())
+    hot = max(HOT_LIST, 4 * int(total.mean()))
+    return np.floor(4 * np.log2(total + 1.0)).astype(np.uint8), int(4 * math.log2(hot + 1)) + 1, int(total.sum())
 
 
-def _postings(shared, bits: int, percent: int):
+def _postings(shared, hot: int, bits: int, percent: int):
+    def bucket_of(x):
+        return (x >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
+
     def run(batches):
         classes = shared.value
         for b in batches:
@@ -146,16 +156,21 @@ def _postings(shared, bits: int, percent: int):
                 place = np.arange(len(word)) - first[own]
                 keep = (place < (x.n - (x.n * percent + 99) // 100 + 1)[own]) & fresh[own]
                 own = own[keep]
-                parts.append((tk.mix(word[keep]), x.h[own], parity[own], x.n[own].astype(np.uint32), place[keep].astype(np.uint32)))
+                parts.append((q[order][keep] >= hot, tk.mix(word[keep]), x.h[own], parity[own], x.n[own].astype(np.uint32), place[keep].astype(np.uint32)))
             if not parts:
                 continue
-            cols = [np.concatenate(c) for c in zip(*parts)]
-            bucket = (cols[0] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(cols[0]), np.int64)
+            is_hot, *cols = [np.concatenate(c) for c in zip(*parts)]
+            # a hot list is dealt by its lines as well; equal entries still meet
+            at = np.flatnonzero(is_hot)
+            bucket = bucket_of(cols[0])
+            bucket[at] = bucket_of(tk.mix(cols[0][at] ^ tk.mix(cols[1][at])))
+            bucket = bucket * 2 + is_hot
             order = np.argsort(bucket, kind="stable")
-            edge = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+            edge = np.searchsorted(bucket[order], np.arange((2 << bits) + 1))
             some = np.flatnonzero(np.diff(edge))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), *[pa.array([c[order[edge[i]:edge[i + 1]]].tobytes() for i in some], pa.binary()) for c in cols]],
+                [pa.array(some >> 1, pa.int32()), pa.array(some & 1 == 1),
+                 *[pa.array([c[order[edge[i]:edge[i + 1]]].tobytes() for i in some], pa.binary()) for c in cols]],
                 names=[f.split()[0] for f in POSTINGS.split(", ")])
     return run
 
@@ -168,29 +183,36 @@ def may_link(nx, px, bx, ny, py, by, percent: int) -> np.ndarray:
     return ok & (np.bitwise_count(bx ^ by) <= both - 2 * need)
 
 
-def _meet(percent: int):
+def _meet(percent: int, longest: int = LONG_LIST):
+    """The lists of a bucket: pairs of lists with few of them, members of the others.
+
+    Lists of more than ``longest`` lines and hot ones give all members, untested.
+    """
     def run(table: pa.Table) -> pa.Table:
         def col(name, kind):
             return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
         k, h, parity = (col(c, np.uint64) for c in ("k", "h", "parity"))
         n, place = col("n", np.uint32).astype(np.int64), col("place", np.uint32).astype(np.int64)
+        wide = np.repeat(np.asarray(table.column("hot")), np.asarray(pc.binary_length(table.column("k"))) // 8)
         order = np.lexsort((h, k))
         fresh = np.ones(len(k), bool)
         ks, hs = k[order], h[order]
         fresh[1:] = (ks[1:] != ks[:-1]) | (hs[1:] != hs[:-1])
         order = order[fresh]
-        k, h, parity, n, place = (c[order] for c in (k, h, parity, n, place))
+        k, h, parity, n, place, wide = (c[order] for c in (k, h, parity, n, place, wide))
         head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         size = np.diff(np.concatenate([head, [len(k)]]))
         last = np.repeat(head + size, size)
         length = np.repeat(size, size)
+        wide |= length > longest
+        family = wide.copy()
 
         def test(i, j):
             ok = may_link(n[i], place[i], parity[i], n[j], place[j], parity[j], percent)
             return i[ok], j[ok]
 
         left, right = [], []
-        base = np.flatnonzero((length > 1) & (length <= SHORT_LIST))
+        base = np.flatnonzero((length > 1) & (length <= SHORT_LIST) & ~wide)
         for step in range(1, SHORT_LIST):
             base = base[base + step < last[base]]
             if not len(base):
@@ -198,18 +220,30 @@ def _meet(percent: int):
             i, j = test(base, base + step)
             left.append(i)
             right.append(j)
-        for a, m in zip(head[size > SHORT_LIST], size[size > SHORT_LIST]):
-            for i in range(a, a + m):                                     # one member against the rest of its list
+        tested = (size > SHORT_LIST) & ~wide[head]
+        for a, m in zip(head[tested], size[tested]):
+            found, held, some = 0, [], np.zeros(m, bool)
+            for i in range(a, a + m - 1):                                 # one member against the rest of its list
                 x, y = test(np.full(a + m - i - 1, i), np.arange(i + 1, a + m))
-                left.append(x)
-                right.append(y)
+                if len(y):
+                    found += len(y)
+                    some[i - a] = True
+                    some[y - a] = True
+                    if found <= DENSE_LIST:                               # no more pairs than this are held
+                        held.append((x, y))
+            if found > DENSE_LIST:
+                family[a:a + m] = some
+            else:
+                left += [x for x, _ in held]
+                right += [y for _, y in held]
         i = np.concatenate(left) if left else np.zeros(0, np.int64)
         j = np.concatenate(right) if right else np.zeros(0, np.int64)
         of = np.searchsorted(head, i, "right") - 1
         dense = np.bincount(of, minlength=len(head)) > DENSE_LIST
         alone = ~dense[of]
         pairs = np.unique(np.stack([h[i[alone]], h[j[alone]]], 1), axis=0)
-        member = np.unique(np.concatenate([i[~alone], j[~alone]]))
+        family[i[~alone]] = family[j[~alone]] = True
+        member = np.flatnonzero(family)
         p, m = len(pairs), len(member)
 
         def both(first, second, kind):
@@ -220,7 +254,8 @@ def _meet(percent: int):
             both(pa.array(tk.as_long(np.ascontiguousarray(pairs[:, 1]))), pa.nulls(m, pa.int64()), pa.int64()),
             both(pa.nulls(p, pa.int32()), pa.array(n[member], pa.int32()), pa.int32()),
             both(pa.nulls(p, pa.int32()), pa.array(place[member], pa.int32()), pa.int32()),
-            both(pa.nulls(p, pa.int64()), pa.array(tk.as_long(parity[member])), pa.int64())],
+            both(pa.nulls(p, pa.int64()), pa.array(tk.as_long(parity[member])), pa.int64()),
+            both(pa.nulls(p, pa.bool_()), pa.array(wide[member]), pa.bool_())],
             names=[f.split()[0] for f in MEETINGS.split(", ")])
     return run
 
@@ -307,11 +342,11 @@ def later_matches(found: DataFrame, texts: DataFrame, percent: int) -> tuple[Dat
     spark: SparkSession = found.sparkSession
     nodes = materialize(found.where("part is null").select("h", F.struct("id", "th", "line_no").alias("p"))
                         .groupBy("h").agg(F.min("p").alias("first"), F.count("*").alias("count")), "nodes")
-    classes, total = word_classes(found)
+    classes, hot, total = word_classes(found)
     shared = spark.sparkContext.broadcast(classes)                          # 2^SKETCH_BITS bytes
     bits = max(0, math.ceil(math.log2(max(1.0, total * (100 - percent) / 100 * 32 / BUCKET_BYTES))))
-    met = materialize(texts.mapInArrow(_postings(shared, bits, percent), POSTINGS)
-                      .groupBy("bucket").applyInArrow(_meet(percent), MEETINGS), "met")
+    met = materialize(texts.mapInArrow(_postings(shared, hot, bits, percent), POSTINGS)
+                      .groupBy("bucket").applyInArrow(_meet(percent, LONG_LIST), MEETINGS), "met")
 
     place = nodes.select("h", "first")
     two = met.where("k is null").select("a", "b").distinct()
@@ -320,7 +355,7 @@ def later_matches(found: DataFrame, texts: DataFrame, percent: int) -> tuple[Dat
     a_first = F.col("fa") < F.col("fb")
     two = materialize(two.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"), F.least("fa", "fb").alias("first"),
                                  F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y")), "pairs")
-    many = materialize(met.where("k is not null").select("k", F.col("a").alias("h"), "n", "place", "parity").join(place, "h"), "families")
+    many = materialize(met.where("k is not null").select("k", F.col("a").alias("h"), "n", "place", "parity", "wide").join(place, "h"), "families")
 
     need = two.select(F.explode(F.array("x", "y")).alias("h")).union(many.select("h")).distinct()
     bitmap = spark.sparkContext.broadcast(_hash_bitmap(need, "h"))
@@ -339,10 +374,12 @@ def later_matches(found: DataFrame, texts: DataFrame, percent: int) -> tuple[Dat
 
 
 def _earlier(xs: DataFrame, ys: DataFrame, percent: int) -> DataFrame:
-    """(x, y) pairs of a family's members, x earlier, that pass the filters."""
+    """(x, y) pairs of a family's members, x earlier, that pass the filters; untested lists are joined in ``SALTS`` parts."""
+    xs = xs.withColumn("salt", F.explode(F.when(F.col("wide"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    ys = ys.withColumn("salt", F.when(F.col("wide"), F.pmod(F.xxhash64("h"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
     both = F.col("x.n") + F.col("y.n")
     need = F.ceil(percent * both / (100 + percent))
-    return (xs.alias("x").join(ys.alias("y"), "k")
+    return (xs.alias("x").join(ys.alias("y"), ["k", "salt"])
             .where((F.col("x.first") < F.col("y.first")) & (F.col("x.h") != F.col("y.h"))
                    & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
                    & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= need)

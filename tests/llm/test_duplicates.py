@@ -1,7 +1,10 @@
 """Deduplication operators against brute force."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ridemart.llm import line_dedup, lz_dedup, ngram_join, suffix_dedup
@@ -103,6 +106,55 @@ def test_line_dedup_matches_brute_force(spark):
         assert (got[i]._lines.n_removed == 0) == (w == t)
 
 
+def family_texts(rng):
+    """Template lines with one varying word, lines around a word they share, and others."""
+    template = words(rng, 10, 3_000).split()
+    lines = [" ".join(template[:-1] + [f"v{i}"]) for i in range(150)]
+    lines += [f"common {words(rng, rng.randrange(1, 4), 3_000)}" for _ in range(150)]
+    lines += [" ".join(x.split()[::-1]) for x in lines[::7]] + [words(rng, 12, 3_000) for _ in range(50)]
+    rng.shuffle(lines)
+    return ["\n".join(lines[i:i + 5]) for i in range(0, len(lines), 5)]
+
+
+@pytest.mark.parametrize("hot, long", [(20, 4_096), (50_000, 70), (100, 100)])
+def test_line_dedup_with_long_and_hot_lists(spark, monkeypatch, hot, long):
+    monkeypatch.setattr(line_dedup, "HOT_LIST", hot)
+    monkeypatch.setattr(line_dedup, "LONG_LIST", long)
+    monkeypatch.setattr(line_dedup, "BUCKET_BYTES", 4_000)
+    texts = family_texts(random.Random(31))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.earlier_lines(list(enumerate(texts)))
+
+
+def postings(m, hot):
+    """A list of m similar lines of ten words, as the packed row of a bucket."""
+    one = {"k": np.full(m, 5, np.uint64), "h": np.arange(m, dtype=np.uint64), "parity": np.zeros(m, np.uint64),
+           "n": np.full(m, 10, np.uint32), "place": np.zeros(m, np.uint32)}
+    return pa.table({"bucket": [0], "hot": [hot], **{c: pa.array([x.tobytes()], pa.binary()) for c, x in one.items()}})
+
+
+@pytest.mark.parametrize("m, hot", [(3_000, False), (20_000, False), (20_000, True)])
+def test_line_list_of_a_large_family_holds_no_pairs(m, hot):
+    tracemalloc.start()
+    met = line_dedup._meet(80)(postings(m, hot))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert met.num_rows == m and met.column("k").null_count == 0
+    assert peak < 2_000 * m                              # m * m / 2 pairs of 16 bytes would be 8,000 m and more
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_hot_line_list_is_dealt_over_buckets(hot):
+    class Shared:                                        # every word has class 9
+        value = np.full(1 << line_dedup.SKETCH_BITS, 9, np.uint8)
+    text = pa.array(["\n".join("same" + " " * (i + 1) for i in range(500))])      # 500 different lines, one word
+    run = line_dedup._postings(Shared, 9 if hot else 10, 4, 80)
+    rows = pa.Table.from_batches(run(iter([pa.RecordBatch.from_arrays([text], names=["text"])])))
+    sizes = [len(x) // 8 for x in rows.column("k").to_pylist()]
+    assert sum(sizes) == 500 and rows.column("hot").to_pylist() == [hot] * len(sizes)
+    assert max(sizes) < 100 if hot else sizes == [500]
+
+
 def test_line_dedup_repeated_rows(spark):
     rows = [(1, "one line here\nother line"), (1, "one line here\nother line"), (1, "one line here"), (2, "other line\nnew"), (2, None), (None, "new")]
     df = frame(spark, [t for _, t in rows], [i for i, _ in rows])
