@@ -1,11 +1,16 @@
-"""Exact substring removal by relative Lempel-Ziv parsing against earlier documents.
+"""Exact removal of word windows that earlier documents hold, by a join of window hashes.
 
 Every window of ``window`` consecutive words is a reference block; a block
-belongs to the smallest doc_id that holds it. Documents are parsed greedily
-into factors: the longest stretch of words all of whose blocks the index knows
-from an earlier document. Two factors may meet in the middle of a block that
-is itself known, so blocks across factor boundaries are looked up as well; a
-factor is at least ``window`` words long and its words are removed.
+belongs to the smallest doc_id that holds it. Every block of a document is
+looked up; a run of neighbouring blocks that are all known from earlier
+documents is reported as a factor, at least ``window`` words long, and its words
+are removed.
+
+This stands in for a relative Lempel-Ziv parse. The blocks of a run may come
+from different documents, so a run is not one longest match, no place in a
+reference text is kept, and there are no boundaries between matches to check.
+The words removed are those of all known blocks, which a parse with a boundary
+check has to give as well.
 
 The index is distributed. Documents are cut into chunks of a few megabytes by
 doc_id range; a chunk sends each of its distinct block hashes once, sorted and
