@@ -1,11 +1,13 @@
-"""Exact removal of repeated byte strings by distributed prefix doubling.
+"""Exact removal of repeated byte strings by sampled hashes and one pair step.
 
 A byte is removed if a string of ``threshold`` bytes covering it also starts
-anywhere else. Positions are ranked by their first h bytes, positions of a
-unique rank are dropped, and the rest is re-ranked by the pair (rank, rank h
-further on), which orders them by 2h bytes, until the threshold is reached.
+anywhere else. Of prefix doubling this keeps one step: positions are keyed by
+a hash of their first h = threshold / 2 bytes, those with a unique key are
+dropped, and the rest is keyed by the pair (key, key h further on), which covers
+the threshold. Nothing is sorted, and there are no further rounds.
 
-Ranking every position of a corpus would shuffle many times its size, so the
+Keying every position would send a hash and a position, 16 bytes before
+compression, for each byte of the corpus (a count, not a measurement), so the
 first round (h = threshold / 2) ranks sampled positions only: for every
 possible start s, the position with the smallest hash among the
 ``threshold - h + 1`` positions whose first h bytes lie inside the string.
