@@ -128,3 +128,12 @@ SELECT d.doc_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.n,
        sha256(coalesce(k, '')) AS kept_sha256
 FROM documents d LEFT JOIN total t USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLE["op12_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT page_id, n, sha256(h) AS d, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
