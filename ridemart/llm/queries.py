@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import crf_language, decontaminate, line_dedup, lz_dedup, merge_dropout, ngram_join, pii, repetition, shards, suffix_dedup, warc
+from ridemart.llm import align, crf_language, decontaminate, line_dedup, lz_dedup, merge_dropout, ngram_join, pii, repetition, shards, suffix_dedup, warc
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
@@ -56,6 +56,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages")))
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(align.align(table(spark, sf_dir, "documents")))
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op9_pii that SQL on another engine can express."""
     return op9_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
@@ -73,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_merge_dropout": op10_merge_dropout,
     "op12_warc": op12_warc,
+    "op13_align": op13_align,
     "pii_base": pii_base,
 }
