@@ -137,3 +137,41 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
 FROM f
 """
+
+# Counts all phrases of one to three words; the walk over edges whose inner nodes are unary gives path_words.
+ORACLE["op11_phrases"] = r"""
+WITH RECURSIVE t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS s FROM documents),
+p AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM t),
+o AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p WHERE len(w) > 0),
+g1 AS (SELECT lang, w[i] AS x, count(*) AS f FROM o GROUP BY ALL),
+g2 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM o WHERE i < len(w) GROUP BY ALL),
+g3 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM o WHERE i + 1 < len(w) GROUP BY ALL),
+e AS (SELECT * FROM g3 WHERE f >= 10),
+tot AS (SELECT lang, sum(f) AS n FROM g1 GROUP BY lang),
+mo AS (SELECT lang, x, y, max(f) AS m FROM e GROUP BY ALL),
+mi AS (SELECT lang, y AS x, z AS y, max(f) AS m FROM e GROUP BY ALL),
+nd AS (SELECT g2.*, coalesce(mo.m, 0) AS mo, coalesce(mi.m, 0) AS mi FROM g2 LEFT JOIN mo USING (lang, x, y) LEFT JOIN mi USING (lang, x, y) WHERE g2.f >= 10),
+un AS (SELECT lang, x, y FROM nd WHERE f = mo AND f = mi),
+wk AS (SELECT e.lang, e.x AS hx, e.y AS hy, e.z AS hz, e.x, e.y, e.z, 3 AS k FROM e ANTI JOIN un USING (lang, x, y)
+       UNION ALL
+       SELECT wk.lang, hx, hy, hz, e.x, e.y, e.z, k + 1 FROM wk JOIN un ON un.lang = wk.lang AND un.x = wk.y AND un.y = wk.z
+       JOIN e ON e.lang = wk.lang AND e.x = wk.y AND e.y = wk.z),
+pw AS (SELECT lang, x, y, z, max(k) OVER (PARTITION BY lang, hx, hy, hz) AS k FROM wk),
+c3 AS (SELECT e.lang, e.x || ' ' || e.y || ' ' || e.z AS phrase, e.f AS a, a1.f AS f1, b23.f AS f23, b12.f AS f12, a3.f AS f3, pw.k,
+         CAST(e.f AS HUGEINT) * e.f * 1000000 // (CAST(a1.f AS HUGEINT) * b23.f) AS s1,
+         CAST(e.f AS HUGEINT) * e.f * 1000000 // (CAST(b12.f AS HUGEINT) * a3.f) AS s2
+       FROM e JOIN g1 a1 ON a1.lang = e.lang AND a1.x = e.x JOIN g1 a3 ON a3.lang = e.lang AND a3.x = e.z
+       JOIN g2 b12 ON b12.lang = e.lang AND b12.x = e.x AND b12.y = e.y JOIN g2 b23 ON b23.lang = e.lang AND b23.x = e.y AND b23.y = e.z
+       JOIN pw ON pw.lang = e.lang AND pw.x = e.x AND pw.y = e.y AND pw.z = e.z),
+c AS (SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN f1 ELSE f12 END AS l, CASE WHEN s1 <= s2 THEN f23 ELSE f3 END AS r, least(s1, s2) AS score, k FROM c3
+      UNION ALL
+      SELECT nd.lang, nd.x || ' ' || nd.y, nd.f, a.f, b.f, CAST(nd.f AS HUGEINT) * nd.f * 1000000 // (CAST(a.f AS HUGEINT) * b.f), 2
+      FROM nd JOIN g1 a ON a.lang = nd.lang AND a.x = nd.x JOIN g1 b ON b.lang = nd.lang AND b.x = nd.y
+      WHERE 100 * greatest(mo, mi) < 50 * nd.f),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM c)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score, CAST(k AS BIGINT) AS path_words
+FROM r JOIN tot USING (lang) WHERE rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.llm import align, crf_language, decontaminate, line_dedup, lz_dedup, merge_dropout, ngram_join, pii, repetition, shards, suffix_dedup, warc
+from ridemart.llm import align, crf_language, decontaminate, line_dedup, lz_dedup, merge_dropout, ngram_join, phrases, pii, repetition, shards, suffix_dedup, warc
 from ridemart.llm.frames import table
 from ridemart.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
@@ -52,6 +52,10 @@ def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_dropout.digest(merge_dropout.round_trip(table(spark, sf_dir, "documents")))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages")))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lz_dedup": op8_lz_dedup,
     "op9_pii": op9_pii,
     "op10_merge_dropout": op10_merge_dropout,
+    "op11_phrases": op11_phrases,
     "op12_warc": op12_warc,
     "op13_align": op13_align,
     "pii_base": pii_base,
