@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.functions import day_of, month_label, row_id
+from ridemart.operators import ledger
 from ridemart.session import scratch_path
 from ridemart.specs import ServiceSpec
 
@@ -20,7 +21,10 @@ def is_path(target: str) -> bool:
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a target; with ``schema`` an empty (just created) path target reads as zero rows."""
+    """Read a target; with ``schema`` an empty (just created) path target reads as zero rows.
+
+    A reader beside a running load leaves its files out with ``ledger.finished``.
+    """
     if not is_path(target):
         return spark.table(target)
     return spark.read.schema(schema).parquet(target) if schema is not None else spark.read.parquet(target)
@@ -49,9 +53,14 @@ def with_comments(schema: T.StructType, comments: dict[str, str]) -> T.StructTyp
 
 
 def ensure_table(spark: SparkSession, target: str, schema: T.StructType,
-                 partition_by: list[str] | None = None, location: str | None = None) -> None:
+                 partition_by: list[str] | None = None, location: str | None = None,
+                 bucket_by: str | None = None, buckets: int = 0) -> None:
     """Create an empty typed table if it does not exist yet (T1). Existing data is kept.
 
+    A catalog table may be bucketed on the merge key (``bucket_by``, ``buckets``;
+    rows are sorted by it within a bucket file): a merge then reads the target's
+    keys bucket by bucket, without shuffling them.
+
     A catalog table (``target`` without '/') may be given a ``location``, e.g. a
     folder under the shared ``spark.checkpoint.dir``; its day partitions are
     then tracked by the catalog, so a day-restricted read (the merge) lists
@@ -59,11 +68,16 @@ def ensure_table(spark: SparkSession, target: str, schema: T.StructType,
     """
     empty = spark.createDataFrame([], schema)
     if is_path(target):
+        if buckets:
+            raise ValueError("only a catalog table can be bucketed")
         _writer(empty, "ignore", partition_by).save(target)
-    elif location:
-        _writer(empty, "ignore", partition_by).option("path", location).saveAsTable(target)
-    else:
-        _writer(empty, "ignore", partition_by).saveAsTable(target)
+        return
+    w = _writer(empty, "ignore", partition_by)
+    if buckets:
+        w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    if location:
+        w = w.option("path", location)
+    w.saveAsTable(target)
 
 
 def truncate(spark: SparkSession, target: str, partition_by: list[str] | None = None) -> None:
@@ -173,16 +187,48 @@ def stamp_rows(df: DataFrame, spec: ServiceSpec, filename: str | Column, variant
                      *(columns or df.columns))
 
 
+def evaluated(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to shared scratch and read back: one evaluation, whatever reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_rows(spark: SparkSession, target: str, batch: DataFrame, key: str = "unique_row_id",
+             prune: tuple[str, str] | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """The batch rows whose key is not in the target (J2), see :func:`merge_new`."""
+    if ledger.is_empty(spark, target):
+        return batch
+    existing = read_target(spark, target, schema)
+    table = ledger.described(spark, target)
+    if table.buckets and table.bucket_by == [key]:
+        # the batch moves into the target's buckets; the target's keys stay where they are
+        return (batch.repartition(table.buckets, key)
+                .join(existing.select(key).hint("merge"), on=key, how="left_anti"))
+    if prune is None:
+        return batch.join(existing.select(key), on=key, how="left_anti")
+    ts_col, day_col = prune
+    days = [r[0] for r in batch.select(day_of(ts_col)).distinct().collect()]
+    near = existing.where(F.col(day_col).isin([d for d in days if d is not None]) | F.col(day_col).isNull())
+    out = batch.where(F.col(ts_col).isNotNull()).join(near.select(key), on=key, how="left_anti")
+    if None in days:
+        out = out.unionByName(batch.where(F.col(ts_col).isNull()).join(existing.select(key), on=key, how="left_anti"))
+    return out
+
+
 def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "unique_row_id",
               prune: tuple[str, str] | None = None, partition_by: list[str] | None = None,
-              schema: T.StructType | None = None, count_by: tuple[str, list[str]] | None = None) -> int | dict[str, int]:
+              schema: T.StructType | None = None, count_by: tuple[str, list[str]] | None = None,
+              about: dict | None = None, in_scratch: bool = False) -> int | dict[str, int]:
     """Insert-only MERGE: append the batch rows whose key is not in the target.
 
     Existing rows are never changed; duplicates inside the batch are all
     inserted when their key is new (no dedup of the batch); running the same
-    batch twice inserts nothing. Only the key column of the target is read.
+    batch twice inserts nothing. Only the key column of the target is read,
+    and nothing of a target that is still empty.
     The batch must carry the target's columns (derived partition columns
-    included); it is evaluated once, into shared scratch.
+    included); it is evaluated once, into shared scratch (``in_scratch``: it
+    is there already).
 
     ``prune=(batch_ts_col, target_day_col)``: the target is day-partitioned on
     the pickup timestamp. Equal row ids imply equal pickup text unless one
@@ -193,38 +239,42 @@ def merge_new(spark: SparkSession, target: str, batch: DataFrame, key: str = "un
     ids themselves (timestamp text), this assumes every load runs in the same
     session time zone (UTC here).
 
+    A target bucketed on the key is compared bucket by bucket instead: only the
+    batch is shuffled.
+
+    The rows are appended through the load ledger (``ledger``): a driver lost
+    on the way leaves nothing that the next merge doesn't find and undo.
+    ``about`` is kept with the load's record.
+
     Returns the number of rows inserted, or with ``count_by=(column, values)``
     that number for each of these values of a batch column.
     """
-    path = scratch_path(spark, "merge_batch")
-    batch.write.parquet(path)
-    batch = spark.read.schema(batch.schema).parquet(path)
-    existing = read_target(spark, target, schema)
-    if prune is not None:
-        ts_col, day_col = prune
-        days = [r[0] for r in batch.select(day_of(ts_col)).distinct().collect()]
-        near = existing.where(F.col(day_col).isin([d for d in days if d is not None]) | F.col(day_col).isNull())
-        new_rows = batch.where(F.col(ts_col).isNotNull()).join(near.select(key), on=key, how="left_anti")
-        if None in days:
-            new_rows = new_rows.unionByName(batch.where(F.col(ts_col).isNull()).join(existing.select(key), on=key, how="left_anti"))
-    else:
-        new_rows = batch.join(existing.select(key), on=key, how="left_anti")
+    batch = batch if in_scratch else evaluated(batch, "merge_batch")
+    months = count_by[1] if count_by else []
+    for load in ledger.settle(spark, target, months):
+        raise ledger.Damaged(load)
+    table = ledger.described(spark, target)
+    rows = new_rows(spark, target, batch, key, prune, schema)
     obs = Observation()
     counts = [F.count(F.lit(1)).alias("inserted")]
     if count_by:
         counts = [F.count_if(F.col(count_by[0]) == v).alias(v) for v in count_by[1]]
-    if partition_by:
+    if partition_by and not table.buckets:
         # one writer per day instead of every task writing into every day it saw;
         # AQE still splits a hot day into several advisory-sized tasks
-        new_rows = new_rows.hint("rebalance", *partition_by)
+        rows = rows.hint("rebalance", *partition_by)
+    elif table.buckets and ledger.is_empty(spark, target):
+        rows = rows.repartition(table.buckets, *table.bucket_by)       # a file a bucket, not one a task and bucket
+    columns = read_target(spark, target, schema).columns if not (is_path(target) and schema is not None) else schema.fieldNames()
     # above the shuffle: AQE drops an empty stage together with a metric inside it
-    new_rows = new_rows.observe(obs, *counts).select(*existing.columns)
-    if is_path(target):
-        _writer(new_rows, "append", partition_by).save(target)
-    else:
-        new_rows.write.insertInto(target)
-    got = obs.get
-    return {v: int(got.get(v, 0)) for v in count_by[1]} if count_by else int(got.get("inserted", 0))
+    rows = rows.observe(obs, *counts).select(*columns)
+
+    def counted() -> dict[str, int]:
+        got = obs.get
+        return {v: int(got.get(v, 0)) for v in (count_by[1] if count_by else ["inserted"])}
+
+    inserted = ledger.append(spark, target, rows, partition_by, months, about or {}, counted)
+    return inserted if count_by else inserted["inserted"]
 
 
 def target_name(spec: ServiceSpec, month: str, per: str = "year") -> str:

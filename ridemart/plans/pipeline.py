@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 
 from ridemart.functions import day_of
 from ridemart.operators import checks as Q
+from ridemart.operators import ledger
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue
 from ridemart.operators.staging import stage_trips
 from ridemart.operators.tables import (
     day_column,
     ensure_table,
+    evaluated,
     merge_new,
     read_target,
     stamp_rows,
@@ -58,10 +60,17 @@ def _as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _from_first_month(batch: DataFrame) -> DataFrame:
-    """A row id that occurs in several months of a batch stays with the earliest, with all its copies there."""
+    """A row id that occurs in several months of a batch stays with the earliest, with all its copies there.
+
+    ``batch`` lies in scratch. Usually no id does, and the batch is returned as it is.
+    """
     seen = (batch.groupBy("unique_row_id").agg(F.min("_month").alias("_first"), F.max("_month").alias("_last"))
             .where("_first < _last").select("unique_row_id", "_first"))
-    return batch.join(seen, "unique_row_id", "left").where("_first is null or _month = _first").drop("_first")
+    seen = evaluated(seen, "repeated_ids")
+    if seen.isEmpty():
+        return batch
+    later = batch.join(seen, "unique_row_id", "left")       # AQE broadcasts the few ids, or splits a hot one
+    return later.where("_first is null or _month = _first").drop("_first")
 
 
 def read_month(spark: SparkSession, spec: ServiceSpec, src: str, fmt: str = "parquet") -> DataFrame:
@@ -85,22 +94,27 @@ def load_months(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str],
 
     A row id that occurs in several of the months is taken from the earliest
     one only, with all its copies there, as separate loads would have it.
-    Returns the rows inserted for each month.
+    A load that lost its driver or its files before is undone first, and loaded
+    again (``operators.ledger``). Returns the rows inserted for each month.
     """
     day = day_column(spec.pickup)
     schema = target_schema(spec, variant)
     ensure_table(spark, target, schema, partition_by=[day])
     months = sorted(sources)
+    about = {"sources": sources, "fmt": fmt, "filename": filename, "variant": variant}
+    for load in ledger.settle(spark, target, months):       # finished, but some files are gone: load it again first
+        load_months(spark, spec, load.about["sources"], target, load.about["fmt"], load.about["filename"], load.about["variant"])
     as_bytes = isinstance(schema["unique_row_id"].dataType, T.BinaryType)
     parts = [stamp_rows(read_month(spark, spec, sources[m], fmt), spec, filename or spec.file_name(m, fmt), as_bytes=as_bytes)
              .withColumn(day, day_of(spec.pickup)).withColumn("_month", F.lit(m)) for m in months]
     batch = parts[0]
     for x in parts[1:]:
         batch = batch.unionByName(x)
+    batch = evaluated(_as_declared(batch, schema), "load_batch")
     if len(months) > 1:
         batch = _from_first_month(batch)
-    return merge_new(spark, target, _as_declared(batch, schema), prune=(spec.pickup, day), partition_by=[day], schema=schema,
-                     count_by=("_month", months))
+    return merge_new(spark, target, batch, prune=(spec.pickup, day), partition_by=[day], schema=schema,
+                     count_by=("_month", months), about=about, in_scratch=True)
 
 
 def staging_schema(spec: ServiceSpec) -> T.StructType:
@@ -116,18 +130,25 @@ def load_month_staged(spark: SparkSession, spec: ServiceSpec, month: str, src_cs
 
 
 def load_months_staged(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str], staging: str,
-                       target: str) -> dict[str, int]:
+                       target: str, buckets: int = 0, location: str | None = None) -> dict[str, int]:
     """Database-style load of some months (month -> CSV) through one staging table.
 
     Truncate the staging table, COPY each month's CSV into it by column list
     (other columns NULL, the file name set), stamp every staging row with the
     seven-part row id, then insert-only merge into the target. The single
     staging table means loads run one at a time, as in the flow this follows.
-    Returns the rows inserted for each month.
+    With ``buckets`` the target is a catalog table (at ``location``) without day
+    folders, as that flow's table is, bucketed on the row id: merges into it
+    shuffle the batch only. Returns the rows inserted for each month.
     """
     day = day_column(spec.pickup)
     ensure_table(spark, staging, staging_schema(spec))
-    ensure_table(spark, target, target_schema(spec), partition_by=[day])
+    if buckets:
+        ensure_table(spark, target, target_schema(spec), location=location, bucket_by="unique_row_id", buckets=buckets)
+    else:
+        ensure_table(spark, target, target_schema(spec), partition_by=[day])
+    for load in ledger.settle(spark, target, sorted(sources)):
+        load_months_staged(spark, spec, load.about["sources"], staging, target, buckets, location)
     truncate(spark, staging)
     names = {m: spec.file_name(m, "csv") for m in sorted(sources)}
     copied = None
@@ -138,9 +159,9 @@ def load_months_staged(spark: SparkSession, spec: ServiceSpec, sources: dict[str
     staged = read_target(spark, staging, staging_schema(spec))
     batch = stamp_rows(staged, spec, F.col("filename"), "database", columns=spec.raw_columns).withColumn(day, day_of(spec.pickup))
     month = F.element_at(F.create_map(*[F.lit(x) for m, name in names.items() for x in (name, m)]), F.col("filename"))
-    batch = _from_first_month(batch.withColumn("_month", month))
-    return merge_new(spark, target, batch, prune=(spec.pickup, day), partition_by=[day], schema=target_schema(spec),
-                     count_by=("_month", list(names)))
+    batch = _from_first_month(evaluated(batch.withColumn("_month", month), "load_batch"))
+    return merge_new(spark, target, batch, prune=None if buckets else (spec.pickup, day), partition_by=None if buckets else [day],
+                     schema=target_schema(spec), count_by=("_month", list(names)), about={"sources": sources}, in_scratch=True)
 
 
 def months_between(start: str, end: str) -> list[str]:

@@ -178,18 +178,27 @@ def merge_runs(spark, sf_dir):
     lo, hi = testbed.yellow(spark, sf_dir).agg(F.min(F.to_date(PICKUP)), F.max(F.to_date(PICKUP))).first()
     third = (hi - lo) / 3
     a, b = lo + timedelta(days=third.days), lo + timedelta(days=2 * third.days)
-    day = day_column(PICKUP)
-    target = scratch_path(spark, "merge_target")
-    ensure_table(spark, target, target_schema(YELLOW), partition_by=[day])
+    target = _bucketed_target(spark, "merge_target")
     b1 = (_batch(spark, sf_dir, lo, b, "batch_1.parquet").unionByName(_batch(spark, sf_dir, lo, a, "batch_1.parquet")))
     b2 = _batch(spark, sf_dir, a, hi, "batch_2.parquet")
-    kw = dict(prune=(PICKUP, day), partition_by=[day], schema=target_schema(YELLOW))
-    return target, tuple(merge_new(spark, target, x, **kw) for x in (b1, b2, b1))
+    return target, tuple(merge_new(spark, target, x, schema=target_schema(YELLOW)) for x in (b1, b2, b1))
+
+
+def _bucketed_target(spark, name):
+    """An empty catalog table of loaded trips, bucketed on the row id, with its files in shared scratch."""
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    ensure_table(spark, table, target_schema(YELLOW), location=path, bucket_by="unique_row_id", buckets=_buckets(spark))
+    return table
+
+
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def q_merge_new_rows(spark, sf_dir):
     target, _ = merge_runs(spark, sf_dir)
-    return spark.read.schema(target_schema(YELLOW)).parquet(target).drop(day_column(PICKUP))
+    return spark.table(target).drop(day_column(PICKUP))
 
 
 def q_merge_rerun_count(spark, sf_dir):
@@ -199,7 +208,7 @@ def q_merge_rerun_count(spark, sf_dir):
 
 def q_merge_batch_duplicates(spark, sf_dir):
     target, _ = merge_runs(spark, sf_dir)
-    t = spark.read.schema(target_schema(YELLOW)).parquet(target)
+    t = spark.table(target)         # bucketed on the id: counted without a shuffle
     return t.groupBy("unique_row_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
@@ -243,13 +252,13 @@ def q_backfill_yearly(spark, sf_dir):
 def q_load_month_database(spark, sf_dir):
     """Every month through the staging-table flow (COPY, 7-part id), a year at a time, the first year twice."""
     root = raw_zone(spark, sf_dir, "csv")
-    staging, target = scratch_path(spark, "staging"), scratch_path(spark, "db_target")
+    staging, target = scratch_path(spark, "staging"), _bucketed_target(spark, "db_target")
     years: dict[str, dict[str, str]] = {}
     for m in months_of(spark, sf_dir):
         years.setdefault(m[:4], {})[m] = f"{root}/yellow/month={m}"
     for y in [*years, min(years)]:
-        load_months_staged(spark, YELLOW, years[y], staging, target)
-    return _loaded(spark, target)
+        load_months_staged(spark, YELLOW, years[y], staging, target, buckets=_buckets(spark))
+    return spark.table(target).drop(day_column(PICKUP))
 
 
 def q_load_numeric_target(spark, sf_dir):

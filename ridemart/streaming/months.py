@@ -9,11 +9,10 @@ month are both inserted, as :func:`load_months` inserts them. Land a month
 completely before its folder shows up in the raw zone (a write job does).
 
 The stream's checkpoint records which files are done, so a restart continues
-where it stopped, and a month loaded again inserts nothing. An append into a
-day-partitioned Parquet target is not atomic: if the driver dies while a
-load's files are being committed, the repeated load skips every row id that
-already has a row, so copies of such an id that were not yet committed stay
-out. Delete the rows of that file name and load the month again in that case.
+where it stopped, and a month loaded again inserts nothing. Appends go through
+the load ledger: if the driver dies while a load's files are being committed,
+the repeated micro-batch finds the unfinished load, undoes it and loads the
+month anew.
 """
 
 from __future__ import annotations
