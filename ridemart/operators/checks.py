@@ -70,6 +70,56 @@ def column_checks(df: DataFrame, model: str, not_null: dict[str, str] | None = N
     return df.agg(*aggs).select(F.inline(F.array(*parts)))
 
 
+def table_checks(df: DataFrame, model: str, unique: dict[str, str] | None = None, not_null: dict[str, str] | None = None,
+                 accepted: dict[str, tuple[list, str]] | None = None,
+                 relationships: dict[str, tuple[DataFrame, str, str]] | None = None) -> DataFrame:
+    """All declared checks of a table from one scan (Q1-Q4).
+
+    Column -> severity; for ``accepted`` (values, severity), for
+    ``relationships`` (parent, parent column, severity). Every checked column
+    is a grouping set of one aggregate, which yields each of its values with a
+    count. These are folded on the spot to what the checks ask for: a row for
+    the unique columns, and the different values of the others, which alone
+    meet the parents.
+    """
+    unique, not_null, accepted, relationships = unique or {}, not_null or {}, accepted or {}, relationships or {}
+    names = list(dict.fromkeys([*unique, *not_null, *accepted, *relationships]))
+    sets = df.select(*names).groupingSets([[F.col(c)] for c in names], *[F.col(c) for c in names]).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
+    # in grouping_id a bit is set for every column that is not in the set, the first column's highest
+    of = {c: F.col("_g") == (1 << len(names)) - 1 - (1 << (len(names) - 1 - i)) for i, c in enumerate(names)}
+    keep = [c for c in names if c in accepted or c in relationships]
+    values = [F.when(of[c], F.col(c)).alias(c) for c in keep]
+    which = F.coalesce(*[F.when(of[c], F.lit(i)) for i, c in enumerate(names)]).alias("_c")
+    folded = sets.groupBy(which, *values).agg(
+        F.sum("_n").alias("_n"),
+        F.count_if(F.coalesce(*[F.when(of[c], F.col(c)) for c in unique], F.lit(None)).isNotNull() & (F.col("_n") > 1)).alias("_twice")
+        if unique else F.lit(0).alias("_twice"),
+        F.sum(F.when(F.coalesce(*[F.when(of[c], F.col(c).isNull()) for c in names]), F.col("_n"))).alias("_nulls"))
+    at = {c: F.col("_c") == i for i, c in enumerate(names)}
+    for c, (parent, parent_col, _) in relationships.items():
+        keys = parent.select(F.col(parent_col).alias(f"_pk_{c}")).distinct().withColumn(f"_known_{c}", F.lit(True))
+        folded = folded.join(keys, F.col(c) == F.col(f"_pk_{c}"), "left")
+    aggs, rows = [], []
+
+    def declare(c: str, check: str, severity: str, failures) -> None:
+        aggs.append(F.coalesce(failures, F.lit(0)).alias(f"f{len(aggs)}"))
+        rows.append((c, check, severity))
+
+    for c, severity in unique.items():
+        declare(c, "unique", severity, F.sum(F.when(at[c], F.col("_twice"))))
+    for c, severity in not_null.items():
+        declare(c, "not_null", severity, F.sum(F.when(at[c], F.col("_nulls"))))
+    for c, (vals, severity) in accepted.items():
+        declare(c, "accepted_values", severity, F.count_if(at[c] & ~F.col(c).isin(list(vals))))
+    for c, (_, _, severity) in relationships.items():
+        declare(c, "relationships", severity, F.sum(F.when(at[c] & F.col(c).isNotNull() & F.col(f"_known_{c}").isNull(), F.col("_n"))))
+    parts = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"),
+                      F.lit(severity).alias("severity"), F.col(f"f{i}").cast(T.LongType()).alias("failures"))
+             for i, (c, kind, severity) in enumerate(rows)]
+    return folded.agg(*aggs).select(F.inline(F.array(*parts)))
+
+
 def run_checks(checks: list[DataFrame], raise_on_error: bool = True) -> DataFrame:
     """Union check rows (Q5). Raises ``CheckFailed`` if an ``error`` check has failures.
 

@@ -4,9 +4,10 @@ Feature table -> deterministic train/eval split -> Imputer, StringIndexer,
 OneHotEncoder less a reference level, VectorAssembler, LinearRegression.
 Fitting with the normal-equation solver is one distributed pass that builds
 the (small) Gram matrix with a tree aggregate, then a driver-side solve over a
-few hundred coefficients. Feature info and evaluation are single aggregates; medians use
-``percentile_approx`` so memory stays bounded on any row count. Explanations
-are plain column arithmetic over the fitted coefficients.
+few hundred coefficients. Feature info and evaluation are single aggregates; their
+medians are exact, by distributed selection (``quantiles``). Explanations are
+plain column arithmetic over the fitted coefficients. A penalised fit is checked
+by the optimality conditions of its objective (``optimality``).
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.functions import safe_int
+from ridemart.operators.quantiles import exact_quantiles
 from ridemart.session import scratch_path
 
 LABEL = "tip_amount"
@@ -40,7 +43,6 @@ CATEGORICAL = ["PULocationID", "DOLocationID", "payment_type"]
 FEATURES = ["passenger_count", "trip_distance", "PULocationID", "DOLocationID", "payment_type",
             "fare_amount", "tolls_amount"]
 PREDICTION = f"predicted_{LABEL}"
-MEDIAN_ACCURACY = 100_000  # rank error <= rows / 100000
 
 FEATURE_SCHEMA = T.StructType([
     T.StructField("passenger_count", T.LongType()), T.StructField("trip_distance", T.DoubleType()),
@@ -153,13 +155,14 @@ def feature_info(df: DataFrame, numeric: list[str] = NUMERIC, categorical: list[
     """Per input: min, max, mean, median, stddev, category_count, null_count (M4).
 
     One aggregate pass over the table, then ``stack`` turns the single row
-    into one row per input.
+    into one row per input. Medians are exact (a few more passes over the numbers).
     """
+    medians = exact_quantiles(df, {c: F.col(c) for c in numeric})
     aggs = []
     for c in numeric:
         x = F.col(c).cast(T.DoubleType())
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), F.avg(x).alias(f"{c}__mean"),
-                 F.percentile_approx(x, 0.5, MEDIAN_ACCURACY).alias(f"{c}__median"),
+                 F.max(F.lit(medians[c]).cast(T.DoubleType())).alias(f"{c}__median"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.count_if(x.isNull()).alias(f"{c}__nulls")]
     for c in categorical:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"))
@@ -179,16 +182,21 @@ def feature_info(df: DataFrame, numeric: list[str] = NUMERIC, categorical: list[
 
 
 def evaluate(pred: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
-    """Regression metrics in one aggregate (M5)."""
-    y, p = F.col(label).cast(T.DoubleType()), F.col(prediction).cast(T.DoubleType())
-    x = pred.where(y.isNotNull() & p.isNotNull())
+    """Regression metrics in one aggregate (M5); the median is exact.
+
+    The pairs (label, prediction) are written to scratch once, for the passes of the median.
+    """
+    y, p = F.col("y"), F.col("p")
+    x = _to_scratch(pred.select(F.col(label).cast(T.DoubleType()).alias("y"), F.col(prediction).cast(T.DoubleType()).alias("p"))
+                    .where(y.isNotNull() & p.isNotNull()), "ml_pairs")
     err = p - y
+    median = exact_quantiles(x, {"e": F.abs(err)})["e"]
     row = x.agg(
         F.avg(F.abs(err)).alias("mean_absolute_error"),
         F.avg(err * err).alias("mean_squared_error"),
         # defined above -1 only: one row outside makes the whole metric NULL
         F.when(F.min(F.least(p, y)) > -1, F.avg(F.pow(F.log1p(p) - F.log1p(y), 2))).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(err), 0.5, MEDIAN_ACCURACY).alias("median_absolute_error"),
+        F.max(F.lit(median).cast(T.DoubleType())).alias("median_absolute_error"),
         F.sum(err * err).alias("_ss_res"),
         F.var_pop(y).alias("_var_y"),
         F.var_pop(y - p).alias("_var_res"),
@@ -303,14 +311,61 @@ def to_spark_reg(l1: float, l2: float) -> tuple[float, float]:
     return (total, l1 / total) if total > 0 else (0.0, 0.0)
 
 
+def optimality(model: LinearRegressionModel, rows: DataFrame, label: str = LABEL) -> dict[str, float]:
+    """How far a penalised fit is from the solution of its objective: 0 is optimal (M8).
+
+    The objective is convex, so a point is its solution exactly where every
+    coefficient's gradient equals the subgradient of its penalty. With
+    residuals r, standard deviations s of the columns and t of the label,
+    the fit minimises mean(r^2) / 2 + l1 * sum(s |w|) + l2 / (2 t) * sum(s^2 w^2).
+    So mean(x r) = l1 s sign(w) + l2 / t s^2 w where w is not 0,
+    |mean(x r)| <= l1 s where it is, and mean(r) = 0 for the intercept.
+    All of it is two summaries of the rows ``features`` and ``label``; what
+    reaches the driver is a few numbers a feature column (4,096 at most).
+
+    Returns ``violation``, the largest deviation over columns relative to
+    (s t), ``intercept`` (mean residual over t) and ``nonzero``, the number of
+    coefficients that are not 0.
+    """
+    reg, mix = model.getOrDefault(model.regParam), model.getOrDefault(model.elasticNetParam)
+    l1, l2 = reg * mix, reg * (1 - mix)
+    r = F.col(label).cast(T.DoubleType()) - F.col(PREDICTION)
+    x = model.transform(rows).select("features", r.alias("r"), F.col(label).cast(T.DoubleType()).alias("y"))
+    total = Summarizer.metrics("sum")       # weights have to be positive: one sum for each sign, 1 added to both
+    one = x.agg(Summarizer.metrics("std").summary(F.col("features")).alias("all"),
+                total.summary(F.col("features"), 1 + F.greatest("r", F.lit(0.0))).alias("over"),
+                total.summary(F.col("features"), 1 + F.greatest(-F.col("r"), F.lit(0.0))).alias("under"),
+                F.avg("r").alias("mean"), F.stddev_pop("y").alias("t"), F.count("*").alias("n")).first()
+    n, t = one.n, one.t or 0.0
+    if not n or not t:
+        return {"violation": 0.0, "intercept": abs(one["mean"] or 0.0), "nonzero": 0}
+    worst, nonzero = 0.0, 0
+    for w, s, over, under in zip(model.coefficients.toArray(), one["all"].std.toArray(), one.over.sum.toArray(), one.under.sum.toArray()):
+        s = float(s) * ((n - 1) / n) ** 0.5
+        if s == 0.0:
+            continue                                         # a constant column takes no part
+        g = float(over - under) / n
+        if w:
+            nonzero += 1
+            off = abs(g - (l1 * s if w > 0 else -l1 * s) - l2 / t * s * s * w)
+        else:
+            off = max(0.0, abs(g) - l1 * s)
+        worst = max(worst, off / (s * t))
+    return {"violation": float(worst), "intercept": abs(one["mean"]) / t, "nonzero": nonzero}
+
+
+R2_TIE = 1e-9       # trials closer than that are equally good: the first of them is chosen
+
+
 def tune_tip_model(df: DataFrame, num_trials: int = 5, max_parallel_trials: int = 2, seed: int = 42,
-                   eval_fraction: float = 0.2):
+                   eval_fraction: float = 0.2, l1_range: tuple[float, float] = (0.0, 20.0)):
     """Hyper-parameter search on the repeatable split of M3 (M8).
 
     The feature stages are fitted once on the train rows; only the regression
     is fitted for each trial and judged by R² on the eval rows. Returns
     ``(best PipelineModel, trials DataFrame)``; trials has one row per trial
-    with its l1/l2, Spark parameters, split sizes, R² and the best flag.
+    with its l1/l2, Spark parameters, split sizes, R², the best flag and the
+    certificate of its fit (:func:`optimality`).
     """
     train, held = (_numeric_inputs(x) for x in auto_split(df.where(F.col(LABEL).isNotNull()), eval_fraction))
     train = _to_scratch(train, "ml_train")
@@ -319,20 +374,23 @@ def tune_tip_model(df: DataFrame, num_trials: int = 5, max_parallel_trials: int
     train = _to_scratch(features.transform(train).select("features", LABEL), "ml_train_features")
     held = _to_scratch(features.transform(held).select("features", LABEL), "ml_eval_features")
     judge = RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName="r2")
-    trials = sample_trials(num_trials, seed=seed)
+    trials = sample_trials(num_trials, l1_range, seed=seed)
 
     def run(trial: tuple[float, float]):
         model = regression(*to_spark_reg(*trial)).fit(train)
-        return model, float(judge.evaluate(model.transform(held)))
+        return model, float(judge.evaluate(model.transform(held))), optimality(model, train)
 
     with ThreadPool(max_parallel_trials) as pool:
         fitted = pool.map(run, trials)
-    best = max(range(len(trials)), key=lambda i: fitted[i][1])
+    top = max(r2 for _, r2, _ in fitted)
+    best = next(i for i, (_, r2, _) in enumerate(fitted) if r2 >= top - R2_TIE)
     sizes = train.count(), held.count()
-    rows = [(i + 1, float(l1), float(l2), *map(float, to_spark_reg(l1, l2)), *sizes, fitted[i][1], i == best)
+    rows = [(i + 1, float(l1), float(l2), *map(float, to_spark_reg(l1, l2)), *sizes, fitted[i][1], i == best,
+             fitted[i][2]["violation"], fitted[i][2]["intercept"], fitted[i][2]["nonzero"])
             for i, (l1, l2) in enumerate(trials)]
     schema = ("trial_id int, l1_reg double, l2_reg double, reg_param double, elastic_net_param double, "
-              "train_rows long, eval_rows long, r2_score double, is_optimal boolean")
+              "train_rows long, eval_rows long, r2_score double, is_optimal boolean, "
+              "violation double, intercept_violation double, nonzero int")
     return PipelineModel([*stages, fitted[best][0]]), df.sparkSession.createDataFrame(rows, schema)
 
 
@@ -349,3 +407,20 @@ def score_instances(model: PipelineModel, requests: DataFrame, col: str = "reque
     """Score JSON requests ``{"instances": [...]}`` in batch."""
     from ridemart.sources.files import read_instances
     return predict(model, read_instances(requests, col, FEATURE_SCHEMA))
+
+
+def stream_scores(model: PipelineModel, requests_path: str, out: str, checkpoint: str, spark,
+                  files_per_trigger: int = 100, available_now: bool = True):
+    """Score JSON request files as they arrive (M10): a text file stream through the model into Parquet.
+
+    Every line of a file is a request ``{"instances": [...]}``. The stages of
+    the model are row by row, so the stream has no state but its checkpoint:
+    a restart goes on after the last file, and the file sink's log keeps a
+    replayed batch from adding its rows again (read ``out`` with Spark).
+    Returns the ``StreamingQuery``.
+    """
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(requests_path)
+    w = (score_instances(model, lines, "value").writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).option("path", out))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

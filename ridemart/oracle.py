@@ -20,6 +20,7 @@ from ridemart.specs import (
 
 D = "DECIMAL(38,9)"
 R = 6  # digits for DOUBLE results
+FINE_L1 = (0.0, 0.0005)     # as in the registry
 
 
 def with_ctes(*extra: str) -> str:
@@ -145,12 +146,11 @@ b2_new AS (SELECT * FROM b2 WHERE unique_row_id NOT IN (SELECT unique_row_id FRO
 merged AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2_new)"""
 
 
-def _numeric_target() -> str:
+def _typed_target(amount: str, count: str) -> str:
     kind = {f.name: f.dataType.simpleString() for f in YELLOW.raw_schema.fields}
     out = []
     for c in YELLOW.raw_columns:
-        to = ("VARCHAR" if c in CODE_COLUMNS else "BIGINT" if c in COUNT_COLUMNS
-              else "DECIMAL(38, 9)" if kind[c] == "double" else None)
+        to = "VARCHAR" if c in CODE_COLUMNS else count if c in COUNT_COLUMNS else amount if kind[c] == "double" else None
         out.append(f"CAST({c} AS {to}) AS {c}" if to else c)
     return ", ".join(out)
 
@@ -265,13 +265,30 @@ PAYMENT_COLS = ", ".join(f"round({c}, {R}) AS {c}" if c in ("trip_distance", "fa
 PAYMENT_INPUTS = ", ".join(x for x in PAYMENT_COLS.split(", round(tip")[0:1])
 
 
-def _trials() -> str:
+def _trials(**kw) -> str:
     from ridemart.operators.ml import sample_trials, to_spark_reg
     rows = [f"({i + 1}, {l1!r}, {l2!r}, {to_spark_reg(l1, l2)[0]!r}, {to_spark_reg(l1, l2)[1]!r})"
-            for i, (l1, l2) in enumerate(sample_trials(3))]
+            for i, (l1, l2) in enumerate(sample_trials(5, **kw))]
     return ", ".join(rows)
 
 
+# Where an l1 penalty is at least the label's standard deviation no column's covariance can exceed it (Cauchy-Schwarz):
+# all coefficients 0 is the optimum, whatever the l2, and the prediction is the mean of the train labels.
+CERTIFICATE = f"""
+train AS (SELECT * FROM labelled WHERE {BUCKET} >= 2),
+held AS (SELECT * FROM labelled WHERE {BUCKET} < 2),
+base AS (SELECT avg(tip_amount) AS m, stddev_pop(tip_amount) AS t, count(*) AS n FROM train),
+judged AS (SELECT 1 - sum((tip_amount - m) ** 2) / (var_pop(tip_amount) * count(*)) AS r2 FROM held, base),
+trial AS (SELECT * FROM (VALUES {_trials()}) AS x(trial_id, l1, l2, reg, mixed))"""
+# A column stands at an l1 penalty if its covariance with the label exceeds the penalty times its deviation.
+STRENGTH = "strength AS (" + " UNION ALL ".join(
+    [f"SELECT abs(covar_pop(coalesce({c}, m), tip_amount)) / stddev_pop(coalesce({c}, m)) AS s FROM train, "
+     f"(SELECT avg({c}) AS m FROM train)" for c in ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")] +
+    [f"SELECT abs(k * 1.0 / n * (y - m)) / sqrt(k * 1.0 / n * (1 - k * 1.0 / n)) FROM base, "
+     f"(SELECT {c}, count(*) AS k, avg(tip_amount) AS y FROM train WHERE {c} > (SELECT min({c}) FROM train) GROUP BY 1)"
+     for c in ("PULocationID", "DOLocationID", "payment_type")]) + ")"
+
+
 ORACLE: dict[str, str] = {
     "stg_green_trips": with_ctes(STG) + "\nSELECT * FROM stg_green",
     "stg_yellow_trips": with_ctes(STG) + "\nSELECT * FROM stg_yellow",
@@ -292,6 +309,12 @@ FROM yellow GROUP BY 2 ORDER BY total_rows DESC, partition_id""",
     "trip_extent": with_ctes() + """
 SELECT max(tpep_pickup_datetime) AS max_pickup, min(tpep_pickup_datetime) AS min_pickup,
        max(total_amount) AS max_total_amount FROM yellow""",
+    "trip_extent_scan": with_ctes() + """
+SELECT max(tpep_pickup_datetime) AS max_pickup, min(tpep_pickup_datetime) AS min_pickup,
+       max(total_amount) AS max_total_amount FROM yellow""",
+    "staging_views": with_ctes(STG) + """
+SELECT 'Green' AS service_type, count(*) AS trips, count(payment_type) AS with_payment_type FROM stg_green
+UNION ALL SELECT 'Yellow', count(*), count(payment_type) FROM stg_yellow""",
     "zone_count": with_ctes() + "\nSELECT count(1) AS row_count FROM zones",
     "row_id_warehouse": with_ctes() + f"\nSELECT {RID5} AS unique_row_id, "
                         f"'yellow_tripdata_1996-01.parquet' AS filename, {YCOLS} FROM yellow",
@@ -319,7 +342,11 @@ SELECT {RID5} AS unique_row_id,
 FROM yellow""",
     "load_numeric_target": with_ctes() + f"""
 SELECT {RID5} AS unique_row_id,
-       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {_numeric_target()}
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {_typed_target("DECIMAL(38, 9)", "BIGINT")}
+FROM yellow""",
+    "load_text_target": with_ctes() + f"""
+SELECT {RID5} AS unique_row_id,
+       'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {_typed_target("DOUBLE", "INTEGER")}
 FROM yellow""",
     "row_id_bytes": with_ctes() + f"\nSELECT {RID5} AS unique_row_id, "
                     f"'yellow_tripdata_1996-01.parquet' AS filename, {YCOLS} FROM yellow",
@@ -347,6 +374,9 @@ SELECT CAST(NULL AS VARCHAR) AS unique_row_id, CAST(NULL AS VARCHAR) AS filename
     "load_seed": with_ctes() + "\nSELECT * FROM zones",
     "ingest_table": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "stg_green_dev_limit": with_ctes(STG) + "\nSELECT * FROM stg_green ORDER BY tripid LIMIT 100",
+    "feature_columns": with_ctes() + """
+SELECT passenger_count, trip_distance, PULocationID, DOLocationID, payment_type, fare_amount, tolls_amount, tip_amount
+FROM yellow WHERE fare_amount != 0""",
     "ml_feature_table": with_ctes(FEATURES) + "\nSELECT * FROM features",
     "feature_info": with_ctes(FEATURES) + "\n" + FEATURE_INFO,
     "auto_split_counts": with_ctes(FEATURES) + f"""
@@ -380,6 +410,19 @@ SELECT CAST(trial_id AS INTEGER) AS trial_id, round(CAST(l1 AS DOUBLE), 9) AS l1
        round(CAST(reg AS DOUBLE), 9) AS reg_param, round(CAST(mixed AS DOUBLE), 9) AS elastic_net_param,
        (SELECT count(*) FROM labelled WHERE {BUCKET} >= 2) AS train_rows, (SELECT count(*) FROM labelled WHERE {BUCKET} < 2) AS eval_rows
 FROM (VALUES {_trials()}) AS t(trial_id, l1, l2, reg, mixed)""",
+    "tip_model_certificate": with_ctes(FEATURES, CERTIFICATE) + f"""
+SELECT CAST(trial_id AS INTEGER) AS trial_id, CAST(0 AS DOUBLE) AS violation, CAST(0 AS DOUBLE) AS intercept_violation,
+       CAST(CASE WHEN l1 >= t THEN 0 END AS INTEGER) AS nonzero, CASE WHEN l1 >= t THEN round(r2, {R}) END AS r2_score,
+       trial_id = (SELECT min(trial_id) FROM trial) AS is_optimal
+FROM trial, base, judged""",
+    "tip_model_certificate_fine": with_ctes(FEATURES, CERTIFICATE, STRENGTH) + f"""
+SELECT CAST(trial_id AS INTEGER) AS trial_id, round(CAST(l1 AS DOUBLE), 9) AS l1_reg, (SELECT max(s) FROM strength) > l1 AS stands,
+       CAST(0 AS DOUBLE) AS violation, CAST(0 AS DOUBLE) AS intercept_violation
+FROM (VALUES {_trials(l1_range=FINE_L1)}) AS x(trial_id, l1, l2, reg, mixed)""",
+    "tip_model_tuned": with_ctes(FEATURES, CERTIFICATE) + f"""
+SELECT {PAYMENT_COLS}, round(m, {R}) AS predicted_tip_amount FROM labelled, base""",
+    "stream_scores": with_ctes(FEATURES, PAYMENT) + f"""
+SELECT {PAYMENT_INPUTS}, round(predicted_tip_amount, {R}) AS predicted_tip_amount FROM fx""",
     "stream_months": with_ctes() + f"""
 SELECT {RID5} AS unique_row_id,
        'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS filename, {YCOLS}

@@ -18,8 +18,9 @@ from ridemart.operators import checks as Q
 from ridemart.operators import ml
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import preview, stage_trips
-from ridemart.operators.tables import day_column, ensure_table, materialize, merge_new, partition_stats, stamp_rows
+from ridemart.operators.tables import as_view, day_column, ensure_table, materialize, merge_new, register_external, stamp_rows
 from ridemart.operators.warehouse import count_trips, distinct_vendors, sql, trip_extent
+from ridemart.plans import footers
 from ridemart.plans.pipeline import backfill, build, load_months, load_months_staged, months_between, target_schema
 from ridemart.session import scratch_path
 from ridemart.sources import files as io
@@ -110,9 +111,14 @@ def q_distinct_vendors_partitioned(spark, sf_dir):
     return distinct_vendors(df, PICKUP, *JUNE)
 
 
+def layout_path(spark, sf_dir, day_of_col=None, cluster_by=()) -> tuple[str, str | None]:
+    yellow_layout(spark, sf_dir, day_of_col, cluster_by)
+    return _LAYOUTS[spark.sparkContext.applicationId, sf_dir, day_of_col, cluster_by]
+
+
 def q_partition_stats(spark, sf_dir):
-    df, day = yellow_layout(spark, sf_dir, PICKUP)
-    return partition_stats(df, day, "yellow_tripdata_partitioned")
+    """Rows of every day of the partitioned table, from the footers of its files."""
+    return footers.partition_counts(spark, *layout_path(spark, sf_dir, PICKUP), "yellow_tripdata_partitioned")
 
 
 def q_count_trips_vendor_range(spark, sf_dir):
@@ -131,14 +137,36 @@ def q_dropoff_clustered_count(spark, sf_dir):
 
 
 def q_trip_extent(spark, sf_dir):
+    """Global extent of the partitioned table: footers, folder names and two days of rows."""
+    path, day = layout_path(spark, sf_dir, PICKUP)
+    return footers.extent(spark, path, PICKUP, day)
+
+
+def q_trip_extent_scan(spark, sf_dir):
+    """The same over the raw trips, which have no such metadata."""
     return trip_extent(testbed.yellow(spark, sf_dir), PICKUP)
 
 
 def q_zone_count(spark, sf_dir):
-    """count(1) over the named zone source, through SQL."""
+    """count(1) over an external table of the named zone source, through SQL."""
     from ridemart.sources.catalog import testbed_sources
-    testbed_sources(sf_dir).register_views(spark)
-    return sql(spark, "SELECT count(1) AS row_count FROM taxi_zone_lookup")
+
+    def run():
+        path = scratch_path(spark, "zones")
+        testbed_sources(sf_dir).get(spark, "taxi_zone_lookup").write.parquet(path)
+        return path
+    table = footers.footers(spark, _memo(spark, ("zones", sf_dir), run))
+    register_external(table, "taxi_zone_lookup")
+    return sql(table.sparkSession, "SELECT count(1) AS row_count FROM taxi_zone_lookup")
+
+
+def q_staging_views(spark, sf_dir):
+    """Staging models as views, counted by service through SQL."""
+    for spec in (GREEN, YELLOW):
+        as_view(staged(spark, sf_dir)[spec.label], f"stg_{spec.name}_tripdata")
+    return sql(spark, """
+        SELECT 'Green' AS service_type, count(*) AS trips, count(payment_type) AS with_payment_type FROM stg_green_tripdata
+        UNION ALL SELECT 'Yellow', count(*), count(payment_type) FROM stg_yellow_tripdata""")
 
 
 # ---- monthly load: row ids, insert-only merge, backfill --------------------------------
@@ -268,6 +296,13 @@ def q_load_numeric_target(spark, sf_dir):
     return _loaded(spark, target, "numeric").withColumn("unique_row_id", F.lower(F.hex("unique_row_id")))
 
 
+def q_load_text_target(spark, sf_dir):
+    """Every month into the target with text codes and double amounts."""
+    root, target = raw_zone(spark, sf_dir), scratch_path(spark, "text_target")
+    load_months(spark, YELLOW, {m: io.raw_month_path(root, YELLOW, m) for m in months_of(spark, sf_dir)}, target, variant="text")
+    return _loaded(spark, target, "text")
+
+
 def q_row_id_bytes(spark, sf_dir):
     """The row id as bytes, compared as hex."""
     return (stamp_rows(testbed.yellow(spark, sf_dir), YELLOW, YELLOW.file_name("1996-01", "parquet"), as_bytes=True)
@@ -393,6 +428,11 @@ def features(spark, sf_dir):
     return ml.ml_table(testbed.yellow(spark, sf_dir))
 
 
+def q_feature_columns(spark, sf_dir):
+    """The model's columns as delivered."""
+    return ml.select_features(testbed.yellow(spark, sf_dir))
+
+
 def q_ml_feature_table(spark, sf_dir):
     return features(spark, sf_dir)
 
@@ -487,16 +527,37 @@ def q_tip_model_residuals(spark, sf_dir):
     return round_doubles(x.agg(*sums))
 
 
+def tuned(spark, sf_dir, **kw):
+    return ml.tune_tip_model(features(spark, sf_dir), num_trials=5, max_parallel_trials=2, **kw)
+
+
 def q_tip_model_trials(spark, sf_dir):
-    """The sampled trials and the split they are judged on."""
-    _, trials = ml.tune_tip_model(features(spark, sf_dir), num_trials=3, max_parallel_trials=2)
-    return round_doubles(trials.drop("r2_score", "is_optimal"), 9)
+    """The five sampled trials and the split they are judged on."""
+    _, trials = tuned(spark, sf_dir)
+    return round_doubles(trials.select("trial_id", "l1_reg", "l2_reg", "reg_param", "elastic_net_param", "train_rows", "eval_rows"), 9)
+
+
+def q_tip_model_certificate(spark, sf_dir):
+    """What each trial's fit comes to, how far it is from its optimum, and which trial is chosen."""
+    _, trials = tuned(spark, sf_dir)
+    return round_doubles(trials.select("trial_id", "violation", "intercept_violation", "nonzero", "r2_score", "is_optimal"))
+
+
+#: Penalties small enough for the test tables that some coefficients stay and some vanish.
+FINE_L1 = (0.0, 0.0005)
+
+
+def q_tip_model_certificate_fine(spark, sf_dir):
+    """The certificate where penalties leave coefficients standing (l2 of 0 and more among the trials)."""
+    _, trials = tuned(spark, sf_dir, l1_range=FINE_L1)
+    return trials.select("trial_id", F.round("l1_reg", 9).alias("l1_reg"), (F.col("nonzero") > 0).alias("stands"),
+                         F.round("violation", 5).alias("violation"), F.round("intercept_violation", 5).alias("intercept_violation"))
 
 
 def q_tip_model_tuned(spark, sf_dir):
-    """Predictions of the best tuned model (no SQL counterpart: its coefficients come from a penalised fit)."""
-    best, _ = ml.tune_tip_model(features(spark, sf_dir), num_trials=5, max_parallel_trials=2)
-    return ml.predict(best, labelled(spark, sf_dir))
+    """Predictions of the chosen tuned model."""
+    best, _ = tuned(spark, sf_dir)
+    return round_doubles(ml.predict(best, labelled(spark, sf_dir)))
 
 
 def requests(spark, sf_dir):
@@ -516,6 +577,15 @@ def q_score_instances(spark, sf_dir):
     return round_doubles(ml.score_instances(ml.load_model(path), requests(spark, sf_dir), "request"))
 
 
+def q_stream_scores(spark, sf_dir):
+    """The same requests as files, scored by a drained file stream."""
+    files = scratch_path(spark, "request_files")
+    requests(spark, sf_dir).repartition(16).write.text(files)
+    out = scratch_path(spark, "scores")
+    ml.stream_scores(payment_model(spark, sf_dir), files, out, scratch_path(spark, "scores_ckpt"), spark, files_per_trigger=6).awaitTermination()
+    return round_doubles(spark.read.parquet(out))
+
+
 # ---- streaming -----------------------------------------------------------------------------
 
 def q_stream_months(spark, sf_dir):
@@ -542,7 +612,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_count": q_clustered_count,
     "dropoff_clustered_count": q_dropoff_clustered_count,
     "trip_extent": q_trip_extent,
+    "trip_extent_scan": q_trip_extent_scan,
     "zone_count": q_zone_count,
+    "staging_views": q_staging_views,
     "row_id_warehouse": q_row_id_warehouse,
     "row_id_database": q_row_id_database,
     "merge_new_rows": q_merge_new_rows,
@@ -552,6 +624,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_month_database": q_load_month_database,
     "backfill_yearly": q_backfill_yearly,
     "load_numeric_target": q_load_numeric_target,
+    "load_text_target": q_load_text_target,
     "row_id_bytes": q_row_id_bytes,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
@@ -571,6 +644,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_seed": q_load_seed,
     "ingest_table": q_ingest_table,
     "stg_green_dev_limit": q_stg_green_dev_limit,
+    "feature_columns": q_feature_columns,
     "ml_feature_table": q_ml_feature_table,
     "feature_info": q_feature_info,
     "auto_split_counts": q_auto_split_counts,
@@ -583,7 +657,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tip_model_explain": q_tip_model_explain,
     "tip_model_residuals": q_tip_model_residuals,
     "tip_model_trials": q_tip_model_trials,
+    "tip_model_certificate": q_tip_model_certificate,
+    "tip_model_certificate_fine": q_tip_model_certificate_fine,
     "tip_model_tuned": q_tip_model_tuned,
     "score_instances": q_score_instances,
+    "stream_scores": q_stream_scores,
     "stream_months": q_stream_months,
 }

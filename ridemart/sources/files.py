@@ -30,15 +30,46 @@ def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def values_in_line(line: Column, escape: str = "\\") -> Column:
+    """Number of values in a raw CSV line, read character by character as the parser does.
+
+    A value that begins with a quote runs to the closing one; delimiters in it
+    do not count. ``escape`` makes the next character of a quoted value plain;
+    with the quote itself as escape a doubled quote stands for one. After a
+    quote that neither closes the value nor is escaped, the value runs to the
+    next delimiter.
+    """
+    begin, plain, quoted, quote, escaped = range(5)
+    doubled = escape == '"'
+
+    def step(state: Column, c: Column) -> Column:
+        at = state["at"]
+        cut = (c == ",") & at.isin(begin, plain, quote)
+        next_ = (F.when(cut, begin)
+                 .when(at == begin, F.when(c == '"', quoted).otherwise(plain))
+                 .when(at == plain, plain)
+                 .when(at == escaped, quoted)
+                 .when(at == quoted, F.when(c == '"', quote).when(F.lit(not doubled) & (c == escape), escaped).otherwise(quoted))
+                 .when((c == '"') & F.lit(doubled), quoted)
+                 .when(c.isin(" ", "\t"), quote)
+                 .otherwise(plain))
+        return F.struct((state["n"] + cut.cast("int")).alias("n"), next_.cast("int").alias("at"))
+
+    start = F.struct(F.lit(1).alias("n"), F.lit(begin).alias("at"))
+    return F.aggregate(F.split(line, ""), start, step, lambda s: s["n"])
+
+
 def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
-                   repartition: int | str | None = "auto") -> DataFrame:
+                   repartition: int | str | None = "auto", escape: str = "\\") -> DataFrame:
     """CSV scan with the declared raw schema.
 
     Columns map by position, one header row is skipped, extra trailing
     values are dropped, values are cast with ANSI casts. A row with fewer
-    values than columns fails the job: PERMISSIVE mode hands such rows over
-    in ``_corrupt_record``, whose values are counted (quoted ones as one);
-    this needs whole rows parsed, so column pruning is off in the parser.
+    values than columns fails the job: PERMISSIVE mode hands rows of another
+    width over in ``_corrupt_record``, and :func:`values_in_line` counts the
+    values of those alone, quotes and escapes observed; this needs whole rows
+    parsed, so column pruning is off in the parser. ``escape`` is the character
+    that escapes a quote in a quoted value (the quote itself: doubled quotes).
     ``path`` may be a file, a glob or a list of globs; ``.csv.gz`` is read
     through the codec picked from the extension. A gzip file cannot be
     split, so one large file is one scan task; with ``repartition='auto'``
@@ -47,12 +78,12 @@ def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
     partitions), so every later stage runs wide.
     """
     schema = T.StructType([*_as_text_schema(spec.raw_schema).fields, T.StructField(_CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("escape", escape)
           .option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False).csv(path))
-    values = F.size(F.split(F.regexp_replace(_CORRUPT, '"[^"]*"', "q"), ","))
     need = len(spec.raw_columns)
     # (Spark refuses a query over the corrupt column alone, as a plain count would be: a data column comes along)
-    short = F.col(_CORRUPT).isNotNull() & (values < need) & (F.coalesce(F.length(spec.raw_columns[0]), F.lit(0)) >= 0)
+    short = F.when(F.col(_CORRUPT).isNotNull(), values_in_line(F.col(_CORRUPT), escape) < need).otherwise(F.lit(False))
+    short = short & (F.coalesce(F.length(spec.raw_columns[0]), F.lit(0)) >= 0)
     df = df.where(F.when(short, F.raise_error(F.concat(F.lit(f"fewer than {need} values: "), F.col(_CORRUPT))).cast("boolean"))
                   .otherwise(F.lit(True)))
     if repartition == "auto":
