@@ -135,11 +135,13 @@ def _staged(load_id: str) -> str:
     return f"{FOLDER}/{load_id}/rows"
 
 
-def stage(spark: SparkSession, table: Table, rows: DataFrame, load_id: str, partition_by: list[str] | None) -> list[str]:
+def stage(spark: SparkSession, table: Table, rows: DataFrame, load_id: str, partition_by: list[str] | None,
+          options: dict[str, str] | None = None) -> list[str]:
     """Step one: write the rows aside, laid out as the target is; their files, relative to the target."""
     path = f"{table.root}/{_staged(load_id)}"
     # nobody reads this folder before it is complete: tasks may commit straight into it
     w = rows.write.format("parquet").mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    w = w.options(**(options or {}))
     parts = partition_by or table.partition_by
     if parts:
         w = w.partitionBy(*parts)

@@ -305,6 +305,8 @@ SELECT 'yellow_tripdata_partitioned' AS table_name,
 FROM yellow GROUP BY 2 ORDER BY total_rows DESC, partition_id""",
     "count_trips_vendor_range": with_ctes() + "\n" + COUNT_V1,
     "clustered_count": with_ctes() + "\n" + COUNT_V1,
+    "compacted_count": with_ctes() + "\n" + COUNT_V1,
+    "compacted_trips": with_ctes() + f"\nSELECT {YCOLS} FROM yellow",
     "dropoff_clustered_count": with_ctes() + "\n" + COUNT_V1,
     "trip_extent": with_ctes() + """
 SELECT max(tpep_pickup_datetime) AS max_pickup, min(tpep_pickup_datetime) AS min_pickup,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.operators import checks as Q
-from ridemart.operators import ml
+from ridemart.operators import compaction, ml
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import preview, stage_trips
 from ridemart.operators.tables import as_view, day_column, ensure_table, materialize, merge_new, register_external, stamp_rows
@@ -131,6 +131,30 @@ def q_clustered_count(spark, sf_dir):
     return count_trips(df, PICKUP, *LONG_RANGE, vendor=1)
 
 
+# A few thousand trips a row group on tables whose days have but a few hundred.
+TEST_BIN_ROWS, TEST_ROW_GROUP_ROWS = 20_000, 4_000
+
+
+def yellow_compacted(spark, sf_dir) -> str:
+    """Yellow raw trips by day, written and compacted once per session."""
+    def run():
+        path = scratch_path(spark, "yellow_bins")
+        compaction.write_bins(testbed.yellow(spark, sf_dir), path, PICKUP)
+        compaction.compact(spark, path, PICKUP, ["VendorID"], TEST_BIN_ROWS, TEST_ROW_GROUP_ROWS)
+        return path
+    return _memo(spark, ("bins", sf_dir), run)
+
+
+def q_compacted_count(spark, sf_dir):
+    """The vendor count on the compacted table (T4, T5)."""
+    return count_trips(compaction.read_bins(spark, yellow_compacted(spark, sf_dir)), PICKUP, *LONG_RANGE, vendor=1)
+
+
+def q_compacted_trips(spark, sf_dir):
+    """Every row is still there after compaction."""
+    return compaction.read_bins(spark, yellow_compacted(spark, sf_dir)).drop(f"{PICKUP}_bin")
+
+
 def q_dropoff_clustered_count(spark, sf_dir):
     df, _ = yellow_layout(spark, sf_dir, YELLOW.dropoff, ("VendorID",))
     return count_trips(df, PICKUP, *LONG_RANGE, vendor=1)
@@ -610,6 +634,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_stats": q_partition_stats,
     "count_trips_vendor_range": q_count_trips_vendor_range,
     "clustered_count": q_clustered_count,
+    "compacted_count": q_compacted_count,
+    "compacted_trips": q_compacted_trips,
     "dropoff_clustered_count": q_dropoff_clustered_count,
     "trip_extent": q_trip_extent,
     "trip_extent_scan": q_trip_extent_scan,
