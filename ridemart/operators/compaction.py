@@ -76,11 +76,8 @@ def read_bins(spark: SparkSession, path: str) -> DataFrame:
 
 def _finish(files: Files, name: str, record: dict) -> None:
     """Remove what a marked compaction has replaced, then its record."""
-    for f in record["replaces"]:
-        files.delete(f)
     kept = {f.rpartition("/")[0] for f in record["files"]}
-    for folder in {f.rpartition("/")[0] for f in record["replaces"]} - kept:
-        files.delete(folder)
+    files.each(files.delete, {f if (folder := f.rpartition("/")[0]) in kept else folder for f in record["replaces"]})
     files.delete(f"{FOLDER}/{name}")
     files.delete(f"{FOLDER}/{name}.json")
     files.delete(f"{FOLDER}/{name}.done")

@@ -24,6 +24,7 @@ import json
 import re
 import uuid
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +37,12 @@ class Files:
 
     def __init__(self, spark: SparkSession, root: str):
         self.jvm = spark._jvm
+        self.new_path = self.jvm.org.apache.hadoop.fs.Path         # looked up once, not at every call
         self.root = root.rstrip("/")
         self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return self.new_path(f"{self.root}/{name}" if name else self.root)
 
     def exists(self, name: str) -> bool:
         return self.fs.exists(self.path(name))
@@ -49,9 +51,19 @@ class Files:
         """Names in a folder; they come over as one text, however many there are."""
         if not self.exists(name):
             return set()
-        paths = self.jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self.fs.listStatus(self.path(name)))
+        return {p.rsplit("/", 1)[-1] for p in self._listed(self.fs.listStatus(self.path(name)))}
+
+    def under(self, name: str, depth: int) -> list[str]:
+        """Data files ``depth`` folders below a folder, relative to it."""
+        found = self._listed(self.fs.globStatus(self.path(f"{name}/{'*/' * depth}part-*")))
+        return sorted("/".join(p.split("/")[-1 - depth:]) for p in found)
+
+    def _listed(self, statuses) -> list[str]:
+        if statuses is None:
+            return []
+        paths = self.jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
         listed = self.jvm.scala.runtime.ScalaRunTime.stringOf(paths)
-        return {p.rsplit("/", 1)[-1] for p in listed.removeprefix("Array(").removesuffix(")").split(", ") if p}
+        return [p for p in listed.removeprefix("Array(").removesuffix(")").split(", ") if p]
 
     def delete(self, name: str) -> None:
         self.fs.delete(self.path(name), True)
@@ -60,6 +72,11 @@ class Files:
         if not self.fs.rename(self.path(src), self.path(dst)):
             raise OSError(f"{self.root}/{src} can't be moved to {dst}")
 
+    def each(self, do, items) -> None:
+        """Some calls at a time: they wait for the file system, not for this process."""
+        with ThreadPool(8) as pool:
+            pool.map(do, list(items))
+
     def make(self, name: str) -> None:
         self.fs.mkdirs(self.path(name))
 
@@ -154,8 +171,7 @@ def stage(spark: SparkSession, table: Table, rows: DataFrame, load_id: str, part
         spark.sql(f"DROP TABLE {aside}")        # its files stay: the location is named
     else:
         w.save(path)
-    at = f"/{_staged(load_id)}/"
-    return sorted(f.split(at, 1)[1] for f in spark.read.schema(rows.schema).parquet(path).inputFiles())
+    return Files(spark, table.root).under(_staged(load_id), len(parts or []))
 
 
 def publish(spark: SparkSession, table: Table, load: Load) -> None:
@@ -168,14 +184,17 @@ def publish(spark: SparkSession, table: Table, load: Load) -> None:
         for f in load.files:
             folder, _, name = f.rpartition("/")
             folders.setdefault(folder, []).append(name)
-        for folder, names in folders.items():
+
+        def place(folder: str) -> None:
             if folder and "/" not in folder and folder not in there:        # a new day: the folder moves as one
                 files.move(f"{_staged(load.id)}/{folder}", folder)
-                continue
+                return
             if folder and "/" in folder:
                 files.make(folder)
-            for name in names:
+            for name in folders[folder]:
                 files.move(f"{_staged(load.id)}/{folder}/{name}" if folder else f"{_staged(load.id)}/{name}", f"{folder}/{name}" if folder else name)
+
+        files.each(place, folders)
         if table.name and table.partition_by:
             for lo in range(0, len(folders), 500):
                 specs = " ".join(f"PARTITION ({_partition(x)})" for x in list(folders)[lo:lo + 500])
@@ -213,8 +232,7 @@ def loads(spark: SparkSession, target: str) -> list[tuple[Load, bool]]:
 
 
 def _undo(spark: SparkSession, files: Files, load: Load) -> None:
-    for f in load.files:
-        files.delete(f)
+    files.each(files.delete, load.files)
     files.delete(f"{FOLDER}/{load.id}.done")
     files.delete(f"{FOLDER}/{load.id}")
     files.delete(f"{FOLDER}/{load.id}.json")        # last: until then the load can be found and undone again

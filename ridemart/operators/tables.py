@@ -70,7 +70,8 @@ def ensure_table(spark: SparkSession, target: str, schema: T.StructType,
     if is_path(target):
         if buckets:
             raise ValueError("only a catalog table can be bucketed")
-        _writer(empty, "ignore", partition_by).save(target)
+        if not ledger.Files(spark, target).exists(""):
+            _writer(empty, "ignore", partition_by).save(target)
         return
     w = _writer(empty, "ignore", partition_by)
     if buckets:
@@ -209,6 +210,9 @@ def new_rows(spark: SparkSession, target: str, batch: DataFrame, key: str = "uni
         return batch.join(existing.select(key), on=key, how="left_anti")
     ts_col, day_col = prune
     days = [r[0] for r in batch.select(day_of(ts_col)).distinct().collect()]
+    held = ledger.Files(spark, table.root).names()
+    if None not in days and not held & {f"{day_col}={d}" for d in (*days, "__HIVE_DEFAULT_PARTITION__")}:
+        return batch            # days the target has no folder for: nothing to compare with
     near = existing.where(F.col(day_col).isin([d for d in days if d is not None]) | F.col(day_col).isNull())
     out = batch.where(F.col(ts_col).isNotNull()).join(near.select(key), on=key, how="left_anti")
     if None in days:

@@ -6,10 +6,11 @@ months (a bounded, ordered list) and over the declared checks.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,8 +74,31 @@ def _from_first_month(batch: DataFrame) -> DataFrame:
     return later.where("_first is null or _month = _first").drop("_first")
 
 
-def read_month(spark: SparkSession, spec: ServiceSpec, src: str, fmt: str = "parquet") -> DataFrame:
-    return read_trips_csv(spark, src, spec) if fmt == "csv" else read_trips_parquet(spark, src, spec)
+#: The month that a raw-zone folder is named by.
+MONTH_IN_PATH = r"/month=([0-9]{4}-[0-9]{2})/"
+
+
+def read_month(spark: SparkSession, spec: ServiceSpec, src: str | list[str], fmt: str = "parquet", keep: Column | None = None) -> DataFrame:
+    return read_trips_csv(spark, src, spec, keep=keep) if fmt == "csv" else read_trips_parquet(spark, src, spec, keep=keep)
+
+
+def _of_month(values: dict[str, str]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("_month"))
+
+
+def read_months(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """The raw trips of some months with their month in ``_month``: one scan if the folders are named by month.
+
+    A plan with a scan for each of many months costs more to prepare than the months to read.
+    """
+    if len(sources) > 1 and all(re.search(rf"/month={m}/?$", src) for m, src in sources.items()):
+        month = F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_PATH, 1).alias("_month")
+        return read_month(spark, spec, [sources[m] for m in sorted(sources)], fmt, keep=month)
+    parts = [read_month(spark, spec, sources[m], fmt).withColumn("_month", F.lit(m)) for m in sorted(sources)]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 def load_month(spark: SparkSession, spec: ServiceSpec, month: str, src: str, target: str,
@@ -105,11 +129,9 @@ def load_months(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str],
     for load in ledger.settle(spark, target, months):       # finished, but some files are gone: load it again first
         load_months(spark, spec, load.about["sources"], target, load.about["fmt"], load.about["filename"], load.about["variant"])
     as_bytes = isinstance(schema["unique_row_id"].dataType, T.BinaryType)
-    parts = [stamp_rows(read_month(spark, spec, sources[m], fmt), spec, filename or spec.file_name(m, fmt), as_bytes=as_bytes)
-             .withColumn(day, day_of(spec.pickup)).withColumn("_month", F.lit(m)) for m in months]
-    batch = parts[0]
-    for x in parts[1:]:
-        batch = batch.unionByName(x)
+    raw = read_months(spark, spec, sources, fmt)
+    name = _of_month({m: filename or spec.file_name(m, fmt) for m in months})
+    batch = stamp_rows(raw, spec, name, as_bytes=as_bytes, columns=[*spec.raw_columns, "_month"]).withColumn(day, day_of(spec.pickup))
     batch = evaluated(_as_declared(batch, schema), "load_batch")
     if len(months) > 1:
         batch = _from_first_month(batch)
@@ -176,7 +198,7 @@ def months_between(start: str, end: str) -> list[str]:
 
 
 def backfill(spark: SparkSession, spec: ServiceSpec, start: str, end: str, raw_root: str, target: str,
-             fmt: str = "parquet", per: str | None = None, months_per_load: int = 12) -> dict[str, int]:
+             fmt: str = "parquet", per: str | None = None, months_per_load: int = 48) -> dict[str, int]:
     """Load a month range in order from the raw zone.
 
     One writer per target. Up to ``months_per_load`` months share one merge

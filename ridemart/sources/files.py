@@ -8,7 +8,7 @@ the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +25,9 @@ def _as_text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
-def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+def _cast_to(df: DataFrame, schema: T.StructType, keep: list[str] = ()) -> DataFrame:
     """Hard casts (ANSI): a value that does not parse fails the job instead of turning NULL."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *keep)
 
 
 def values_in_line(line: Column, escape: str = "\\") -> Column:
@@ -60,7 +60,7 @@ def values_in_line(line: Column, escape: str = "\\") -> Column:
 
 
 def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
-                   repartition: int | str | None = "auto", escape: str = "\\") -> DataFrame:
+                   repartition: int | str | None = "auto", escape: str = "\\", keep: Column | None = None) -> DataFrame:
     """CSV scan with the declared raw schema.
 
     Columns map by position, one header row is skipped, extra trailing
@@ -75,7 +75,8 @@ def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
     split, so one large file is one scan task; with ``repartition='auto'``
     input that holds gzip files (as the scan lists them) is rebalanced right
     after the scan (a ``REBALANCE`` that AQE cuts into advisory-sized
-    partitions), so every later stage runs wide.
+    partitions), so every later stage runs wide. ``keep`` adds a column, e.g.
+    one of the scan's ``_metadata``.
     """
     schema = T.StructType([*_as_text_schema(spec.raw_schema).fields, T.StructField(_CORRUPT, T.StringType())])
     df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("escape", escape)
@@ -86,12 +87,14 @@ def read_trips_csv(spark: SparkSession, path: Paths, spec: ServiceSpec,
     short = short & (F.coalesce(F.length(spec.raw_columns[0]), F.lit(0)) >= 0)
     df = df.where(F.when(short, F.raise_error(F.concat(F.lit(f"fewer than {need} values: "), F.col(_CORRUPT))).cast("boolean"))
                   .otherwise(F.lit(True)))
-    if repartition == "auto":
-        if any(f.endswith(".gz") for f in df.inputFiles()):
-            df = df.hint("rebalance")
-    elif repartition:
+    packed = repartition == "auto" and any(f.endswith(".gz") for f in df.inputFiles())
+    if keep is not None:
+        df = df.select("*", keep)       # (a scan's metadata has to be taken before an exchange)
+    if packed:
+        df = df.hint("rebalance")
+    elif repartition and repartition != "auto":
         df = df.repartition(int(repartition))
-    return _cast_to(df, spec.raw_schema)
+    return _cast_to(df, spec.raw_schema, [c for c in df.columns if c not in schema.fieldNames()])
 
 
 def copy_in(spark: SparkSession, path: Paths, columns: list[str], target_schema: T.StructType) -> DataFrame:
@@ -115,15 +118,16 @@ def read_csv_inferred(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_trips_parquet(spark: SparkSession, path: Paths, spec: ServiceSpec) -> DataFrame:
+def read_trips_parquet(spark: SparkSession, path: Paths, spec: ServiceSpec, keep: Column | None = None) -> DataFrame:
     """Parquet scan (single file, glob or list of globs) with the declared raw schema.
 
     The schema is declared, not taken from a footer: a file that lacks a
     column gives NULL for its own rows only, and a file whose type cannot be
-    read as the declared one fails the scan.
+    read as the declared one fails the scan. ``keep`` adds a column.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(spec.raw_schema).parquet(*paths)
+    df = spark.read.schema(spec.raw_schema).parquet(*paths)
+    return df if keep is None else df.select(*spec.raw_columns, keep)
 
 
 def load_seed(spark: SparkSession, path: str, schema: T.StructType = ZONE_SEED) -> DataFrame:

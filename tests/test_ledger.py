@@ -62,6 +62,7 @@ def test_driver_lost_while_files_are_moved(spark, scratch, landed, monkeypatch,
         return move(self, src, dst)
 
     monkeypatch.setattr(ledger.Files, "move", dies)
+    monkeypatch.setattr(ledger.Files, "each", lambda self, do, items: [do(x) for x in items])
     with pytest.raises(KeyboardInterrupt):
         load_months(spark, YELLOW, sources, target)
     monkeypatch.undo()
@@ -118,6 +119,7 @@ def test_the_same_through_the_stream(spark, scratch, landed, monkeypatch):
         return move(self, src, dst)
 
     monkeypatch.setattr(ledger.Files, "move", dies)
+    monkeypatch.setattr(ledger.Files, "each", lambda self, do, items: [do(x) for x in items])
     query = stream_months(spark, YELLOW, root, target, ckpt)
     with pytest.raises(Exception, match="driver is lost"):
         query.awaitTermination()
