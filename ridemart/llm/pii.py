@@ -9,7 +9,8 @@ shuffled, and texts without the characters a pattern needs skip its work.
 Positions are code points, end exclusive. They come from splitting the text at
 the pattern: the lengths of the pieces and of the matches add up. Patterns are
 written without backtracking (possessive) where the leftmost longest match
-allows it, so long digit runs or long words cost linear time.
+allows it, so long digit runs or long words cost linear time, and a text's
+matches are walked in time close to linear in their number.
 
 Defined results: null text counts as empty and has no spans; every row is
 judged on its own; an empty table gives an empty result.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 CONTEXT_CHARS = 40
 CONTEXT_BONUS = 0.25
 REPORT_SCORE = 0.5
+BLOCK = 128             # matches walked with one growing array
+AHEAD = 2 * CONTEXT_CHARS // 4 + 1      # pieces that can lie within the context behind a match (of 4 characters at least)
 
 _DIGITS = "regexp_replace({m}, '[^0-9]', '')"
 _LUHN = (f"aggregate(sequence(1, length({_DIGITS})), 0, (s, i) -> s + "
@@ -72,21 +75,43 @@ _SPAN = "struct<b:int,k:int,e:int,kind:string,score:double>"
 
 
 def _spans(i: int, k: Kind) -> str:
-    """SQL for the array of confirmed spans of one kind in t (pieces are walked once, left to right)."""
-    b, e = "acc.p + length(x.`0`)", "acc.p + length(x.`0`) + length(x.`1`)"
-    near = (f"lower(substr(t, greatest({b} - {CONTEXT_CHARS}, 0) + 1, "
-            f"length(x.`1`) + 2 * {CONTEXT_CHARS})) rlike '{k.context}'")
+    """SQL for the array of confirmed spans of one kind in t.
+
+    The pieces between the matches and the matches are z; they are walked
+    once, left to right, in blocks of ``BLOCK``. A first walk gives each block
+    its position and the text's last ``CONTEXT_CHARS`` before it. The context
+    of a match comes from these, the piece before it and the few pieces and
+    matches after it, so that nothing is looked up in t again; spans are
+    gathered by block, so that no growing array is copied match by match.
+    """
+    x = "element_at(z, j)"
+    before = f"right(concat(acc.tail, {x}.`0`), {CONTEXT_CHARS})"
+    b, e = f"acc.p + length({x}.`0`)", f"acc.p + length({x}.`0`) + length({x}.`1`)"
+    ahead = (f"array_join(transform(slice(z, j + 1, {AHEAD}), n -> concat(left(n.`0`, {2 * CONTEXT_CHARS}), "
+             f"left(coalesce(n.`1`, ''), {2 * CONTEXT_CHARS}))), '')")
+    # near the text's begin, what is missing before the match is added behind it
+    near = f"lower(concat({before}, {x}.`1`, left({ahead}, {2 * CONTEXT_CHARS} - length({before})))) rlike '{k.context}'"
     score = f"least(1.0D, {k.score}D + if({near}, {CONTEXT_BONUS}D, 0D))"
-    valid = k.valid.replace("{m}", "x.`1`")
-    if k.score < REPORT_SCORE:
-        valid = f"{valid} and {score} >= {REPORT_SCORE}"
+    valid = k.valid.replace("{m}", f"{x}.`1`")
     span = f"named_struct('b', {b}, 'k', {i}, 'e', {e}, 'kind', '{k.name}', 'score', {score})"
-    walk = (f"aggregate(arrays_zip(split(t, r'{k.pattern}', -1), regexp_extract_all(t, r'{k.pattern}', 0)), "
-            f"named_struct('p', 0, 'a', cast(array() as array<{_SPAN}>)), "
-            f"(acc, x) -> named_struct('p', acc.p + length(x.`0`) + coalesce(length(x.`1`), 0), "
-            f"'a', case when x.`1` is null then acc.a when {valid} then concat(acc.a, array({span})) else acc.a end), "
-            "acc -> acc.a)")
-    return f"case when {k.needs} then {walk} else cast(array() as array<{_SPAN}>) end"
+    block = f"slice(z, n * {BLOCK} + 1, {BLOCK})"
+    begins = (f"aggregate(sequence(0, (size(z) - 1) div {BLOCK}), "
+              f"named_struct('p', 0, 'tail', '', 'a', cast(array() as array<struct<n:int,p:int,tail:string>>)), "
+              f"(acc, n) -> named_struct("
+              f"'p', acc.p + aggregate({block}, 0, (l, y) -> l + length(y.`0`) + coalesce(length(y.`1`), 0)), "
+              f"'tail', right(concat(acc.tail, array_join(transform({block}, y -> concat(y.`0`, coalesce(y.`1`, ''))), '')), {CONTEXT_CHARS}), "
+              f"'a', concat(acc.a, array(named_struct('n', cast(n as int), 'p', acc.p, 'tail', acc.tail)))), acc -> acc.a)")
+    walk = (f"flatten(transform({begins}, s -> aggregate(sequence(s.n * {BLOCK} + 1, least((s.n + 1) * {BLOCK}, size(z))), "
+            f"named_struct('p', s.p, 'tail', s.tail, 'a', cast(array() as array<{_SPAN}>)), "
+            f"(acc, j) -> named_struct('p', acc.p + length({x}.`0`) + coalesce(length({x}.`1`), 0), "
+            f"'tail', right(concat({before}, coalesce({x}.`1`, '')), {CONTEXT_CHARS}), "
+            f"'a', case when {x}.`1` is null then acc.a when {valid} then concat(acc.a, array({span})) else acc.a end), "
+            "acc -> acc.a)))")
+    if k.score < REPORT_SCORE:      # too weak without a context word
+        walk = f"filter({walk}, y -> y.score >= {REPORT_SCORE})"
+    pieces = f"arrays_zip(split(t, r'{k.pattern}', -1), regexp_extract_all(t, r'{k.pattern}', 0))"
+    # a one-element array binds z, so that the text is split once
+    return f"case when {k.needs} then transform(array({pieces}), z -> {walk})[0] else cast(array() as array<{_SPAN}>) end"
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,8 @@
 """Operators judged text by text: repetition rules, personal data, decontamination."""
 
 import random
+import re
+import time
 
 from pyspark.sql import types as T
 
@@ -72,6 +74,37 @@ def test_personal_data_added_kinds_and_scores(spark):
     assert (rows[0].found[0].b, rows[0].found[0].e) == (5, 32)
 
 
+def test_context_windows_match_brute_force(spark):
+    """Scores of every span against the plain window of 40 characters on each side, wherever matches crowd."""
+    rng = random.Random(8)
+    bits = ["a@b.co", "mail", "10.0.0.1", "host", "é", " ", "  ", "card", "4111 1111 1111 1111", "+49 30 1234567", "call", "x" * 35, "123-45-6789", "ssn", "日本語 text "]
+    texts = ["a@b.co" + " " * gap + "mail" for gap in range(30, 90)] + ["mail" + " " * gap + "a@b.co" for gap in range(30, 50)]
+    texts += [rng.choice(["", " "]).join(rng.choice(bits) for _ in range(rng.randrange(1, 400))) for _ in range(150)]
+    rows = pii.find_personal_data(frame(spark, texts)).collect()
+    kinds = {k.name: k for k in pii.KINDS}
+    seen = 0
+    for r in rows:
+        t = texts[r.doc_id]
+        for s in r.found:
+            at = max(s.b - 40, 0)
+            near = re.search(kinds[s.kind].context, t[at:at + s.e - s.b + 80].lower())
+            assert abs(s.score - min(1.0, kinds[s.kind].score + (0.25 if near else 0))) < 1e-9, (r.doc_id, s)
+            seen += 1
+    assert seen > 2000
+
+
+def test_many_matches_cost_linear_time(spark):
+    took = {}
+    for n in (10_000, 40_000):
+        df = frame(spark, ["ab@cd.ef " * n])
+        pii.find_personal_data(frame(spark, ["ab@cd.ef " * 500])).collect()
+        t = time.time()
+        row = pii.find_personal_data(df).selectExpr("size(found) as n", "found[size(found) - 1].e as e").first()
+        took[n] = time.time() - t
+        assert (row.n, row.e) == (n, 9 * n - 1)
+    assert took[40_000] <= 5 * took[10_000] + 1
+
+
 def bench(spark, items):
     return spark.createDataFrame(items, "item_id long, text string")
 
