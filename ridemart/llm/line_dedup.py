@@ -33,13 +33,12 @@ are equal when their 64-bit hashes are.
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridemart.llm import tokens as tk
@@ -387,21 +386,31 @@ def _earlier(xs: DataFrame, ys: DataFrame, percent: int) -> DataFrame:
             .select(F.col("x.h").alias("x"), F.col("y.h").alias("y")))
 
 
-def _th_bitmap(df: DataFrame) -> str:
-    """SQL condition on ``th``: false only for texts that are not in ``df`` (fixed size)."""
+def _th_bitmap(df: DataFrame) -> Column:
+    """Condition on ``th``: false only for texts that are not in ``df`` (fixed size).
+
+    The bits are a scalar subquery: as a literal they would stand in every plan that is printed or kept.
+    """
     b = F.shiftrightunsigned(F.xxhash64("th"), 64 - BITMAP_BITS)
     rows = (df.select(b.alias("b")).groupBy(F.shiftright("b", 6).cast("int").alias("i"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("v")).collect())   # 2^(BITMAP_BITS-6) rows at most
     out = [0] * (1 << (BITMAP_BITS - 6))
     for r in rows:
         out[r["i"]] = r["v"]
-    table = f"from_json('{json.dumps(out, separators=(',', ':'))}', 'array<bigint>')"
-    at = f"shiftrightunsigned(xxhash64(th), {64 - BITMAP_BITS})"
-    return f"({table}[cast(shiftright({at}, 6) as int)] & shiftleft(1L, cast({at} & 63 as int))) <> 0"
+    bits = df.sparkSession.createDataFrame([(out,)], "bits array<bigint>").scalar()
+    word = F.get(bits, F.shiftright(b, 6).cast("int"))
+    return word.bitwiseAND(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(th), {64 - BITMAP_BITS}) & 63 as int))")) != 0
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with their text less the removed lines; n_lines and n_removed in struct ``_lines``."""
+_WORD = r"[^\x20\x09-\x0D]"
+
+
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(row, lines): the rows of ``docs`` as structs, their text less the removed lines.
+
+    ``lines`` has n_lines, n_removed and ``emptied``: whether the text had a word and has none left, that is
+    whether all of it repeats earlier lines. No column name of ``docs`` can clash.
+    """
     rows = keyed(docs, id_col, text_col)
     found = materialize(rows.select("id", "th", "text").mapInArrow(_line_rows, LINES), "lines")
     nodes, later = later_matches(found, rows.select("text"), percent)
@@ -412,19 +421,30 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy("id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("drop")))
     drop = materialize(drop, "drop")
     key = with_key(docs, id_col, text_col)
-    touched = F.expr(_th_bitmap(drop))                  # other texts need no shuffle
-    n_lines = F.size(F.split(F.col(f"row.`{text_col}`"), "\n"))
-    nothing = F.struct(F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed")).alias("_lines")
+    touched = _th_bitmap(drop)                          # other texts need no shuffle
+    own = F.col("row").getField(text_col)
+    n_lines = F.size(F.split(own, "\n"))
+    nothing = F.struct(F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed"), F.lit(False).alias("emptied")).alias("lines")
     plain = key.where(~touched).select("row", nothing)
     parts = (key.where(touched).join(drop, ["id", "th"], "left")
-             .select("row", "drop", F.split(F.col(f"row.`{text_col}`"), "\n").alias("part")))
+             .select("row", "drop", F.split(own, "\n").alias("part")))
     stay = parts.withColumn("stay", F.when(F.col("drop").isNotNull(),
                                            F.array_except(F.sequence(F.lit(0), F.size("part") - 1), "drop")))
-    text = F.when(F.col("drop").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.expr("array_join(transform(stay, i -> part[i]), '\n')"))
-    done = stay.select(F.col("row").withField(text_col, text).alias("row"),
+    text = F.when(F.col("drop").isNull(), own).otherwise(F.expr("array_join(transform(stay, i -> part[i]), '\n')"))
+    emptied = F.col("drop").isNotNull() & own.rlike(_WORD) & ~text.rlike(_WORD)
+    done = stay.select(F.col("row").withField(f"`{text_col}`", text).alias("row"),
                        F.struct(F.coalesce(F.size("part"), F.lit(0)).alias("n_lines"),
-                                F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed")).alias("_lines"))
-    return plain.union(done).select("row.*", "_lines")
+                                F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed"),
+                                F.coalesce(emptied, F.lit(False)).alias("emptied")).alias("lines"))
+    return plain.union(done)
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with their text less the removed lines, and struct ``_lines`` (in place of a column so named)."""
+    rows = dedup_rows(docs, id_col, text_col, percent)
+    if "_lines" in docs.columns:
+        rows = rows.withColumn("row", F.col("row").dropFields("_lines"))
+    return rows.select("row.*", F.col("lines").alias("_lines"))
 
 
 def digest(result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

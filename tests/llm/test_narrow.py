@@ -45,6 +45,35 @@ def test_repetition_matches_brute_force(spark):
         assert r.base_failed == base and not (r.kept and base)
 
 
+def test_each_limit_rejects_a_text_of_its_own(spark):
+    rng = random.Random(6)
+    fresh = iter("u%d" % i for i in range(100_000))
+    own = lambda n: [next(fresh) for _ in range(n)]
+    repeat = own(60)
+    covered = repeat + own(180) + repeat + own(150)             # 120 of 450 words (27 percent) in a repeat of 60
+    passage = own(130)
+    longest = passage + own(3000) + passage                     # 8 percent, but 130 words at a stretch
+    fine = own(50) + (few := own(40)) + own(400) + few + own(50)
+    base = [rng.choice("ab") for _ in range(300)]
+    rows = {r.doc_id: r for r in repetition.verdict(repetition.repetition(frame(spark, [" ".join(x) for x in (covered, longest, fine, base)]))).collect()}
+    assert [(rows[i].base_failed, rows[i].kept) for i in range(4)] == [(False, False), (False, False), (False, True), (True, False)]
+    assert rows[0].longest_repeat == 60 and rows[0].n_covered == 120 and rows[1].longest_repeat == 130 and rows[1].n_covered == 260
+
+
+def test_verdict_matches_brute_force(spark):
+    rng = random.Random(12)
+    texts = awkward() + [" ".join(("w%d" % rng.randrange(3000) for _ in range(400))) + " " + " ".join(["a b c d e f g h i j k l"] * rng.randrange(0, 14)) for _ in range(60)]
+    rows = {r.doc_id: r for r in repetition.verdict(repetition.repetition(frame(spark, texts))).collect()}
+    verdicts = []
+    for i, t in enumerate(texts):
+        n, _, _, _, again, longest = brute.repetition(t)
+        base = n < 20 or 100 * again > 30 * n
+        want = not base and again <= 0.24 * n and longest <= 100
+        assert rows[i].kept == want, i
+        verdicts.append((base, want))
+    assert len(set(verdicts)) == 3
+
+
 def test_repetition_repeated_rows_and_empty_table(spark):
     df = frame(spark, ["a b", "a b", None], [1, 1, None])
     assert repetition.repetition(df).count() == 3
