@@ -5,7 +5,10 @@ kept, and returns the columns of ``documents`` (the last one the encoded
 texts). :func:`run` writes each stage's rows as Parquet and reads them again
 for the next. What a null, an empty text, a repeated row or an empty table
 becomes is each operator's own definition; no stage drops a row for any other
-reason than the one it is there for.
+reason than the one it is there for. Line removal comes before the near
+duplicates, so an exact copy (and a near copy that differs inside its lines
+only) has no line left by then and goes with its last line; what near copies
+keep are lines that no earlier document has.
 """
 
 from __future__ import annotations
@@ -23,13 +26,24 @@ ORACLE_SQL = None
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and longer texts of which no language holds half (operator 2)."""
     model = crf_language.train(docs, keep=~crf_language.held_out())
-    return crf_language.annotate(docs, model).where(crf_language.accepted()).select(docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    # the other columns travel as one struct: none of their names can clash with what the operator adds
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), "text")
+    kept = crf_language.annotate(rows, model).where(crf_language.accepted())
+    return kept.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out that match an earlier line (operator 1); every document stays."""
-    return (line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-            .select(docs.columns))
+    """Takes lines out that match an earlier line (operator 1).
+
+    A document that had words and keeps none repeats earlier documents line by
+    line: it is a copy and goes as a whole. Documents without a word stay.
+    """
+    rows = line_dedup.dedup_rows(docs).where(~F.col("lines.emptied")).select("row")
+    if "n_chars" in docs.columns:
+        chars = F.length(F.col("row").getField("text")).cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("row", F.col("row").withField("n_chars", chars))
+    return rows.select("row.*")
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
