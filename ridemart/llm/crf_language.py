@@ -6,9 +6,10 @@ gives each word's marginal distribution. A text's language is the one with
 the largest mean marginal, its score that mean. Code-switched text is thus
 labelled word by word, see :func:`label_words`.
 
-Training uses a bounded sample of labelled rows, at most ``DOCS_PER_LABEL``
-texts and ``WORDS_PER_LABEL`` words for each label, chosen by a hash of the
-doc_id. From it, sequences that switch between labels are put together, so
+Training uses a bounded sample of labelled rows: at most ``DOCS_PER_LABEL``
+texts for each label, chosen by a hash of the doc_id, and of each of them a
+stretch of ``STRETCH_CHARS`` characters from a hashed place, cut in the tasks,
+so that every sampled text counts and what is collected is bounded in bytes. From it, sequences that switch between labels are put together, so
 that transitions are learned as well. The model is a few arrays of fixed
 size (``2^FEATURE_BITS`` weights a label), fitted by AdaGrad on the driver;
 everything that reads the corpus runs in tasks, one pass, no shuffle but the
@@ -32,7 +33,7 @@ from ridemart.llm.frames import ship, slim
 
 UNDETERMINED = "und"
 DOCS_PER_LABEL = 150
-WORDS_PER_LABEL = 60_000
+STRETCH_CHARS = 2_500       # of every sampled text: about 400 words, 60,000 a label
 FEATURE_BITS = 16
 LEXICON = 400             # frequent words kept for each label
 SEQUENCE = 48             # words of a training sequence
@@ -169,7 +170,7 @@ def _softmax(x):
 
 
 def fit(sample: list[tuple[str, str]], seed: int = 7) -> Model | None:
-    """Model from (label, text) rows; None without a word to learn from."""
+    """Model from (label, text) rows, learned in the order given; None without a word to learn from."""
     rng = np.random.default_rng(seed)
     labels = sorted({l for l, _ in sample})
     if not labels:
@@ -180,7 +181,7 @@ def fit(sample: list[tuple[str, str]], seed: int = 7) -> Model | None:
     word_label = doc_label[types.words.doc]
     streams, lexicon = [], []
     for i in range(len(labels)):
-        s = types.index[word_label == i][:WORDS_PER_LABEL]
+        s = types.index[word_label == i]
         if len(s):
             n = np.bincount(s, minlength=types.n)
             top = np.argsort(-n, kind="stable")[:LEXICON]
@@ -253,11 +254,25 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     rows = docs.where(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
     if keep is not None:
         rows = rows.where(keep)
-    rows = rows.select(F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{text_col}`").alias("text"),
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = rows.select(F.col(f"`{label_col}`").cast("string").alias("label"), text.alias("text"),
                        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(11)).alias("pick"))
-    first = Window.partitionBy("label").orderBy("pick", "text")
+    first = Window.partitionBy("label").orderBy("pick", F.xxhash64("text"))
+    # cut before the ranking, so that no task ever sorts or sends whole texts
+    rows = rows.select("label", "pick", stretch(F.col("text"), F.xxhash64("pick", "text")).alias("text"))
     picked = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= docs_per_label)
-    return fit(sorted((r.label, r.text) for r in picked.select("label", "text").collect()))
+    # docs_per_label stretches of STRETCH_CHARS a label at most, in the order of their hash
+    got = sorted((r.label, r.pick, r.text) for r in picked.select("label", "pick", "text").collect())
+    return fit([(label, t) for label, _, t in got])
+
+
+def stretch(text: Column, pick: Column, chars: int = STRETCH_CHARS) -> Column:
+    """At most ``chars`` characters of a text from a place that ``pick`` chooses, without the words cut at its ends."""
+    spare = F.greatest(F.length(text) - chars, F.lit(0))
+    at = F.pmod(pick, spare + 1)
+    piece = F.substr(text, at.cast("int") + 1, F.lit(chars))
+    piece = F.when(at > 0, F.regexp_replace(piece, r"^[^\x20\x09-\x0D]+(?=[\x20\x09-\x0D])", "")).otherwise(piece)
+    return F.when(at < spare, F.regexp_replace(piece, r"(?<=[\x20\x09-\x0D])[^\x20\x09-\x0D]+$", "")).otherwise(piece)
 
 
 def _no_letter(t: tk.Texts, words: tk.Words) -> np.ndarray:

@@ -13,7 +13,10 @@ the task and streamed into shard files of ``seqs_per_shard`` records of
 
 A shard is written under a task's own name and renamed when complete: a
 rerun writes the same bytes again. The folder is on storage that all
-executors share (any path pyarrow's file systems open).
+executors share; without a scheme it belongs to Hadoop's default file system
+(``storage``). The order is keyed by the texts' place in the input: another
+split of the input files numbers them otherwise, and so gives another order
+under the same key.
 
 Defined results: null text counts as empty; an empty text is its end token
 alone; repeated rows are repeated texts; an empty table has no sequence.
@@ -25,14 +28,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridemart.llm import tokens as tk
 from ridemart.llm.frames import slim, task_partitions
 from ridemart.llm.merge_dropout import MODEL, segmented, vocabulary
+from ridemart.llm.storage import opened, qualified
+from ridemart.plans.joins import maybe_broadcast
 from ridemart.session import scratch_path
 
 END_TOKEN = 2            # </s>; ids fit 16 bits
@@ -117,7 +121,7 @@ def shard_name(shard: int) -> str:
 
 def _write(folder: str, seq_len: int, per_shard: int, n_seq: int):
     def run(batches):
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = opened(folder)
         me = f"{TaskContext.get().taskAttemptId()}"
         codec = pa.Codec("zstd")
         shard, out, slot, seq, parts, rows = -1, None, -1, -1, [], []
@@ -173,25 +177,18 @@ def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str =
     table (doc_id, part, start, n_tokens, tokens); ``folder`` is new or empty.
     """
     spark = docs.sparkSession
-    folder = folder or scratch_path(spark, "llm-shards")
-    if "://" not in folder:
-        folder = folder.replace("file:/", "/", 1) if folder.startswith("file:/") else folder
-        folder = f"file://{folder}"
+    folder = qualified(spark, folder or scratch_path(spark, "llm-shards"))
     schema = "doc_id long, part int, start long, n_tokens long, tokens binary"
     (slim(docs, id_col, text_col).mapInArrow(_tokenise(model), schema)
      .write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9").parquet(f"{folder}/tokens"))
     table = spark.read.schema(schema).parquet(f"{folder}/tokens")
-    totals = table.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # a row per input split
-    total = sum(r.n for r in totals)
+    totals = table.groupBy("part").agg(F.sum("n_tokens").alias("n"))            # a row per input split
+    bases = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
+    total = totals.agg(F.sum("n")).first()[0] or 0
     n_seq = -(-total // seq_len)
-    base, upto = [], 0
-    for r in totals:
-        base.append((r.part, upto))
-        upto += r.n
-    bases = spark.createDataFrame(base, "part int, base long")
-    store, path = fs.FileSystem.from_uri(folder)
+    store, path = opened(folder)
     store.create_dir(f"{path}/shards", recursive=True)
-    placed = table.join(F.broadcast(bases), "part").select((F.col("base") + F.col("start")).alias("at"), "n_tokens", "tokens")
+    placed = table.join(maybe_broadcast(bases), "part").select((F.col("base") + F.col("start")).alias("at"), "n_tokens", "tokens")
     n_shards = max(1, -(-n_seq // seqs_per_shard))
     n_tasks = min(n_shards, task_partitions(spark))
     # consecutive shards to each task; slots are a permutation, so their ranges are known without a sample
@@ -207,7 +204,7 @@ def materialise_order(docs: DataFrame, folder: str | None = None, id_col: str =
 def read_slots(folder: str, first_slot: int, count: int, seq_len: int = SEQ_LEN,
                seqs_per_shard: int = SEQS_PER_SHARD) -> np.ndarray:
     """``count`` sequences from ``first_slot`` on, read sequentially (a resumed reader's view)."""
-    store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    store, base = opened(folder if ":" in folder else f"file://{folder}")
     got, slot = [], first_slot
     while slot < first_slot + count:
         shard, rec = divmod(slot, seqs_per_shard)

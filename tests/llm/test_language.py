@@ -49,3 +49,17 @@ def test_undetermined_and_empty(spark):
     none = crf.identify_all(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in none} == {"und"}
     assert crf.identify_all(docs.limit(0)).count() == 0
+
+
+def test_every_sampled_text_gives_a_bounded_stretch(spark):
+    texts = ["aa " * 40_000, "bb cc", "é" * 9_000, " ".join("w%d" % i for i in range(5_000)), "", "x\n" * 3_000]
+    rows = frame(spark, texts).select("text", crf.stretch(F.col("text"), F.xxhash64("doc_id", "text")).alias("s")).collect()
+    for r in rows:
+        assert len(r.s) <= crf.STRETCH_CHARS and r.s in r.text and (len(r.text) > crf.STRETCH_CHARS or r.s == r.text)
+        assert set(r.s.split()) <= set(r.text.split()) or len(r.text.split()) == 1
+        assert len(r.s) > crf.STRETCH_CHARS - 20 or r.s == r.text or len(r.text.split()) == 1
+    # one very long text and many short ones of a label: words of all of them are learned
+    own = [("z%sz y%sy " % (chr(97 + i), chr(97 + i))) * 30 for i in range(20)]
+    docs = frame(spark, ["aa " * 100_000, *own]).withColumn("lang", F.lit("xx"))
+    model = crf.train(docs)
+    assert model.labels == ["xx"] and len(model.lexicon) >= 41
