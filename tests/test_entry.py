@@ -13,7 +13,7 @@ def test_entry_smoke(spark):
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
     rows_only = set(E.QUERIES) - set(E.oracle_sql())
-    assert rows_only == {"tip_model_tuned"}
+    assert rows_only == set()
 
 
 def test_model_explanations_sum_to_prediction(spark):
