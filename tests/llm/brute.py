@@ -160,3 +160,27 @@ def earlier_lines(rows, percent=80):
                 seen.append(s)
         out[i] = "\n".join(keep)
     return out
+
+
+def greedy_factors(rows, k=13):
+    """Factors (start, length, reference doc_id, reference word) of each (doc_id, text); doc_ids differ."""
+    docs = {i: BLANK.findall(t or "") for i, t in rows}
+    first = {}
+    for i in sorted(docs):
+        for p in range(len(docs[i]) - k + 1):
+            first.setdefault(tuple(docs[i][p:p + k]), (i, p))
+    out = {}
+    for i, w in docs.items():
+        ref = [first[tuple(w[p:p + k])] for p in range(len(w) - k + 1)]
+        p, out[i] = 0, []
+        while p < len(ref):
+            r, q = ref[p]
+            if r == i:
+                p += 1
+                continue
+            n = 1
+            while p + n < len(ref) and ref[p + n] == (r, q + n):
+                n += 1
+            out[i].append((p, n - 1 + k, r, q))
+            p += n - 1 + k
+    return out

@@ -6,6 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ridemart.llm import line_dedup, lz_dedup, ngram_join, suffix_dedup
 from tests.llm import brute
@@ -73,6 +74,49 @@ def test_earlier_blocks_with_one_id_on_a_third_of_the_rows(spark):
     assert lz_dedup.remove_earlier(frame(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [700, 1 << 20])
+def test_factors_are_greedy_copies_of_their_references(spark, chunk):
+    rng = random.Random(chunk)
+    texts = copies(rng) + [" ".join(words(rng, 40, 900) for _ in range(3))] + [words(rng, 300, 2)] * 2
+    texts += [" ".join(a.split()[:20] + b.split()[10:40] + a.split()[15:]) for a, b in zip(texts[:5], texts[1:6])]
+    ids = [5 * i - 40 for i in range(len(texts))]
+    rng.shuffle(ids)
+    got = lz_dedup.remove_earlier(frame(spark, texts, ids), chunk_bytes=chunk, bucket_bytes=3_000).collect()
+    want = brute.greedy_factors(list(zip(ids, texts)))
+    assert {r.doc_id: [tuple(f) for f in r.factors] for r in got} == want
+    word = {i: brute.BLANK.findall(t or "") for i, t in zip(ids, texts)}
+    over = 0
+    for r in got:
+        inside = set()
+        for f in r.factors:
+            assert f.ref_doc < r.doc_id
+            assert word[r.doc_id][f.start:f.start + f.length] == word[f.ref_doc][f.ref_start:f.ref_start + f.length]
+            assert not inside & set(range(f.start, f.start + f.length))
+            inside |= set(range(f.start, f.start + f.length))
+        spans = {p for x in r.spans for p in range(x.start, x.start + x.length)}
+        assert inside <= spans and len(spans) == r.n_removed
+        over += len(spans - inside)
+    assert over                                          # some words only the check at boundaries finds
+
+
+def test_chunks_are_cut_by_bytes(spark):
+    rng = random.Random(8)
+    texts = [words(rng, 20, 500) for _ in range(500)] + [words(rng, 4_000, 500) for _ in range(40)]
+    size = sum(map(len, texts))
+    rows = frame(spark, texts).selectExpr("doc_id AS id", "xxhash64(text) AS th", "text")
+    per = [r.n for r in lz_dedup.chunked(rows, 10, size // 10).groupBy("chunk").agg(F.sum(F.octet_length("text")).alias("n")).collect()]
+    assert len(per) >= 8 and max(per) < size / 10 + 2 * max(map(len, texts))
+
+
+def test_earlier_blocks_in_long_texts(spark):
+    rng = random.Random(9)
+    long = words(rng, 60_000, 2_000).split()
+    texts = [" ".join(long), " ".join(long[:30_000] + ["x"] + long[30_000:]), words(rng, 50, 2_000), None, ""]
+    got = sorted(tuple(r)[:4] for r in lz_dedup.digest(lz_dedup.remove_earlier(frame(spark, texts), chunk_bytes=100_000)).collect())
+    want = brute.earlier_windows(list(enumerate(texts)))
+    assert min(len(texts[0]), len(texts[1])) > 100_000 and got == [(i, *w) for i, w in enumerate(want)]
+
+
 def line_texts(rng):
     lines = [words(rng, rng.randrange(1, 45), 3_000) for _ in range(60)]
     out = []
