@@ -263,7 +263,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     picked = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= docs_per_label)
     # docs_per_label stretches of STRETCH_CHARS a label at most, in the order of their hash
     got = sorted((r.label, r.pick, r.text) for r in picked.select("label", "pick", "text").collect())
-    return fit([(label, t) for label, _, t in got])
+    model = fit([(label, t) for label, _, t in got])
+    tk.trim()                      # the driver would hold on to what the features took
+    return model
 
 
 def stretch(text: Column, pick: Column, chars: int = STRETCH_CHARS) -> Column:

@@ -74,7 +74,7 @@ class Texts:
         self.n = len(arr)
 
 
-def _trim() -> None:
+def trim() -> None:
     """Give freed memory back to the system: idle workers would hold on to it otherwise."""
     pa.default_memory_pool().release_unused()
     if _libc is not None:
@@ -94,7 +94,7 @@ def slices(arr: pa.Array, max_bytes: int = SLICE_BYTES):
         j = max(int(np.searchsorted(ends, base + max_bytes, "right")), i + 1)
         yield i, Texts(arr.slice(i, j - i))
         i = j
-    _trim()
+    trim()
 
 
 class Words:
