@@ -26,6 +26,13 @@ periodic text costs a row for each slice. The second
 round of a rank with very many distinct surroundings runs as a Spark
 aggregation of single starts instead of inside one task.
 
+:func:`doubled_starts` is prefix doubling in full, as rows of Spark: every
+position is ranked by its first bytes, (position, rank) rows are sorted
+together with those ``h`` bytes further on, pairs of ranks become the ranks of
+twice the length, and unique positions are dropped, until the threshold is
+reached. It gives the same spans (``remove_repeats(..., doubling=True)``) at
+some rows for each byte of text; README has the figures of both.
+
 Defined results: null counts as the empty text; repeated rows repeat each
 other and are removed like any copy; an empty table gives an empty result.
 """
@@ -42,6 +49,8 @@ from ridemart.llm import tokens as tk
 from ridemart.llm.frames import keyed, materialize
 
 THRESHOLD = 400
+FIRST_BYTES = 25          # length of the first ranks of prefix doubling
+STARTS = 1 << 16          # positions a batch of rows holds
 HOT_RUNS = 5_000          # distinct surroundings of one rank that a task may hold
 
 RUNS = "id long, th long, rank long, body long, start int, n int, times int"
@@ -259,11 +268,55 @@ def repeated_spans(docs: DataFrame, size: int, hot_runs: int = HOT_RUNS) -> Data
     return settled.unionByName(few).unionByName(many)
 
 
+def _all_starts(h: int):
+    """Every position with h bytes after it, ranked by their hash."""
+    def run(batches):
+        for b in batches:
+            col = b.schema.get_field_index
+            for lo, t in tk.slices(b.column(col("text"))):
+                at = tk.whole_starts(np.diff(t.off), t.off, h)
+                rank = tk.SpanHash(t.data).fixed(h)[at] if len(at) else np.zeros(0, np.uint64)
+                doc = np.searchsorted(t.off, at, "right") - 1
+                for i in range(0, len(at), STARTS):
+                    part = slice(i, i + STARTS)
+                    row = pa.array(doc[part] + lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(col(c)).take(row) for c in ("id", "th", "times")]
+                        + [pa.array(at[part] - t.off[doc[part]], pa.int32()), pa.array(tk.as_long(rank[part]))],
+                        names=["id", "th", "times", "start", "rank"])
+    return run
+
+
+def _not_unique(ranked: DataFrame) -> DataFrame:
+    """Positions whose rank another position has too; counts are added up before the shuffle."""
+    again = ranked.groupBy("rank").agg(F.sum("times").alias("c")).where("c > 1").select("rank")
+    return materialize(ranked.join(again, "rank", "left_semi").select("id", "th", "times", "start", "rank"), "ranks")
+
+
+def doubled_starts(docs: DataFrame, size: int, first: int = FIRST_BYTES) -> DataFrame:
+    """(id, th, start, n) of every string of ``size`` bytes that also starts elsewhere, by prefix doubling; ``docs`` is keyed().
+
+    Repeated rows are ranked once and count as often as they occur. A position with a unique rank has no equal at
+    any greater length, nor has a position whose pair holds it, so an inner join drops both.
+    """
+    h = min(first, size)
+    texts = docs.groupBy("id", "th").agg(F.count("*").alias("times"), F.first("text").alias("text"))
+    alive = _not_unique(texts.mapInArrow(_all_starts(h), "id long, th long, times long, start int, rank long"))
+    while h < size:
+        step = min(h, size - h)
+        ahead = alive.select("id", "th", (F.col("start") - step).alias("start"), F.col("rank").alias("ahead"))
+        pairs = alive.join(ahead.hint("merge"), ["id", "th", "start"])
+        alive = _not_unique(pairs.select("id", "th", "times", "start", F.xxhash64("rank", "ahead").alias("rank")))
+        h += step
+    return alive.select("id", "th", "start", F.lit(1).alias("n"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
-                   hot_runs: int = HOT_RUNS) -> DataFrame:
+                   hot_runs: int = HOT_RUNS, doubling: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, kept (the remaining bytes) and the removed spans [start, stop)."""
     rows = keyed(docs, id_col, text_col)
-    hits = repeated_spans(rows, threshold, hot_runs).groupBy("id", "th").agg(F.collect_set(F.struct("start", "n")).alias("hits"))
+    spans = doubled_starts(rows, threshold) if doubling else repeated_spans(rows, threshold, hot_runs)
+    hits = spans.groupBy("id", "th").agg(F.collect_set(F.struct("start", "n")).alias("hits"))
     return (rows.join(hits, ["id", "th"], "left").select("doc_id", "text", "hits")
             .mapInArrow(_remove(threshold), "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,stop:long>>"))
 

@@ -38,10 +38,22 @@ def test_byte_dedup_matches_brute_force(spark, size, hot):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want, i
 
 
-def test_byte_dedup_repeated_rows_and_ids(spark):
+@pytest.mark.parametrize("size", [16, 41, 70])
+def test_prefix_doubling_matches_brute_force(spark, size):
+    rng = random.Random(size)
+    texts = copies(rng) + [words(rng, 200, 3)]
+    got = {r.doc_id: r for r in suffix_dedup.digest(
+        suffix_dedup.remove_repeats(frame(spark, texts).repartition(5), threshold=size, doubling=True)).collect()}
+    for i, want in enumerate(brute.repeated_bytes(texts, size)):
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want, i
+
+
+@pytest.mark.parametrize("doubling", [False, True])
+def test_byte_dedup_repeated_rows_and_ids(spark, doubling):
     texts = ["x%d" % i * 30 for i in range(3)] * 2 + [None, "q" * 50]
     ids = [1, 1, None, 1, 2, None, None, 5]
-    got = suffix_dedup.digest(suffix_dedup.remove_repeats(frame(spark, texts, ids), threshold=20)).collect()
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(frame(spark, texts, ids), threshold=20, doubling=doubling)).collect()
     want = brute.repeated_bytes(texts, 20)
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
     assert suffix_dedup.remove_repeats(frame(spark, texts).limit(0)).count() == 0
