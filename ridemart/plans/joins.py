@@ -26,6 +26,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
+def fits_count(df: DataFrame, max_rows: int) -> bool:
+    """The same for a plain table of files: its footers hold the count, and nothing but the count is fetched."""
+    return df.count() <= max_rows
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint when the side is proven small, else the frame unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
