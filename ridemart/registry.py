@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ridemart.operators import checks as Q
 from ridemart.operators import compaction, ml
+from ridemart.operators.ledger import Files
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import preview, stage_trips
 from ridemart.operators.tables import as_view, day_column, ensure_table, materialize, merge_new, register_external, stamp_rows
@@ -264,10 +265,10 @@ def q_merge_batch_duplicates(spark, sf_dir):
     return t.groupBy("unique_row_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def months_of(spark, sf_dir) -> list[str]:
-    """First to last pickup month of the data."""
-    lo, hi = testbed.yellow(spark, sf_dir).agg(F.min(PICKUP), F.max(PICKUP)).first()
-    return months_between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m"))
+def months_of(spark, sf_dir, fmt="parquet") -> list[str]:
+    """First to last pickup month of the data, by the folders of the raw zone."""
+    months = [n.removeprefix("month=") for n in Files(spark, raw_zone(spark, sf_dir, fmt)).names(YELLOW.name) if n.startswith("month=")]
+    return months_between(min(months), max(months))
 
 
 def raw_zone(spark, sf_dir, fmt="parquet"):
@@ -306,7 +307,7 @@ def q_load_month_database(spark, sf_dir):
     root = raw_zone(spark, sf_dir, "csv")
     staging, target = scratch_path(spark, "staging"), _bucketed_target(spark, "db_target")
     years: dict[str, dict[str, str]] = {}
-    for m in months_of(spark, sf_dir):
+    for m in months_of(spark, sf_dir, "csv"):
         years.setdefault(m[:4], {})[m] = f"{root}/yellow/month={m}"
     for y in [*years, min(years)]:
         load_months_staged(spark, YELLOW, years[y], staging, target, buckets=_buckets(spark))
@@ -389,7 +390,7 @@ def q_parquet_glob(spark, sf_dir):
 def q_csv_glob_list(spark, sf_dir):
     """A list of globs, one for each year."""
     root = raw_zone(spark, sf_dir, "csv") + "/yellow"
-    years = sorted({m[:4] for m in months_of(spark, sf_dir)})
+    years = sorted({m[:4] for m in months_of(spark, sf_dir, "csv")})
     return io.read_trips_csv(spark, [f"{root}/month={y}-*" for y in years], YELLOW)
 
 

@@ -8,11 +8,14 @@ the scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.functions import month_label, to_ts
+from ridemart.operators.ledger import Files
 from ridemart.session import scratch_path
 from ridemart.specs import ZONE_SEED, ServiceSpec
 
@@ -187,7 +190,9 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
     Without it the frame is a history of several months, split by the pickup
     month in one job; trips without a pickup time go to the earliest month.
     Such a landing only creates months: if one of them has a folder already
-    nothing is written and ``FileExistsError`` names it.
+    nothing is landed and ``FileExistsError`` names it. The frame is evaluated
+    once: its rows are written aside, and the months they turn out to hold are
+    then moved into the raw zone.
     """
     spark = df.sparkSession
     base = f"{root.rstrip('/')}/{spec.name}"
@@ -200,20 +205,29 @@ def land_raw(df: DataFrame, root: str, spec: ServiceSpec, month: str | None = No
             sized.write.mode("overwrite").parquet(path)
         return path
     x = df.withColumn("month", F.date_format(F.col(spec.pickup), "yyyy-MM"))
-    months = sorted(r[0] for r in x.select("month").distinct().collect() if r[0])       # a row a calendar month
-    if not months:
-        raise ValueError("no pickup time in the whole frame: name the month it was delivered for")
-    taken = [m for m in months if path_exists(spark, raw_month_path(root, spec, m))]
-    if taken:
-        raise FileExistsError(f"months landed before: {', '.join(taken)}; land each file as its month instead")
-    x = x.withColumn("month", F.coalesce("month", F.lit(months[0])))
     # REBALANCE: AQE sizes the write tasks from real data, splitting a hot
     # month over several tasks and packing small months into one file.
-    w = x.hint("rebalance", "month").write.mode("append").partitionBy("month")
-    if fmt == "csv":
-        w.option("header", True).option("timestampFormat", CSV_TS_FORMAT).csv(base)
-    else:
-        w.parquet(base)
+    w = x.hint("rebalance", "month").write.partitionBy("month")
+    files, aside = Files(spark, root), f"_landing_{spec.name}_{uuid.uuid4().hex[:12]}"
+    try:
+        if fmt == "csv":
+            w.option("header", True).option("timestampFormat", CSV_TS_FORMAT).csv(f"{files.root}/{aside}")
+        else:
+            w.parquet(f"{files.root}/{aside}")
+        undated = f"{aside}/month=__HIVE_DEFAULT_PARTITION__"
+        months = sorted(n for n in files.names(aside) if n.startswith("month=") and not undated.endswith(n))
+        if not months:
+            raise ValueError("no pickup time in the whole frame: name the month it was delivered for")
+        taken = [m.removeprefix("month=") for m in months if files.exists(f"{spec.name}/{m}")]
+        if taken:
+            raise FileExistsError(f"months landed before: {', '.join(taken)}; land each file as its month instead")
+        for n in sorted(files.names(undated)):      # a task names its files alike in every folder
+            if n.startswith("part-"):
+                files.move(f"{undated}/{n}", f"{aside}/{months[0]}/{n.replace('part-', 'part-undated-', 1)}")
+        files.make(spec.name)
+        files.each(lambda m: files.move(f"{aside}/{m}", f"{spec.name}/{m}"), months)
+    finally:
+        files.delete(aside)
     return base
 
 
