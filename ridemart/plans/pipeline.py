@@ -60,12 +60,21 @@ def _as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
-def _from_first_month(batch: DataFrame) -> DataFrame:
+def _from_first_month(batch: DataFrame, day: str) -> DataFrame:
     """A row id that occurs in several months of a batch stays with the earliest, with all its copies there.
 
     ``batch`` lies in scratch. Usually no id does, and the batch is returned as it is.
+    Equal row ids imply equal pickups unless one side's pickup is NULL (see
+    ``tables.merge_new``): without such trips only the ids of days that occur in
+    several months are compared.
     """
-    seen = (batch.groupBy("unique_row_id").agg(F.min("_month").alias("_first"), F.max("_month").alias("_last"))
+    spans = batch.groupBy(day).agg(F.min("_month").alias("_first"), F.max("_month").alias("_last"))
+    days = [r[0] for r in spans.where(F.col("_first") < F.col("_last")).select(day)
+            .unionByName(spans.where(F.col(day).isNull()).select(day)).collect()]       # a row a calendar day
+    if not days:
+        return batch
+    near = batch if None in days else batch.where(F.col(day).isin(days))
+    seen = (near.groupBy("unique_row_id").agg(F.min("_month").alias("_first"), F.max("_month").alias("_last"))
             .where("_first < _last").select("unique_row_id", "_first"))
     seen = evaluated(seen, "repeated_ids")
     if seen.isEmpty():
@@ -134,7 +143,7 @@ def load_months(spark: SparkSession, spec: ServiceSpec, sources: dict[str, str],
     batch = stamp_rows(raw, spec, name, as_bytes=as_bytes, columns=[*spec.raw_columns, "_month"]).withColumn(day, day_of(spec.pickup))
     batch = evaluated(_as_declared(batch, schema), "load_batch")
     if len(months) > 1:
-        batch = _from_first_month(batch)
+        batch = _from_first_month(batch, day)
     return merge_new(spark, target, batch, prune=(spec.pickup, day), partition_by=[day], schema=schema,
                      count_by=("_month", months), about=about, in_scratch=True)
 
@@ -181,7 +190,7 @@ def load_months_staged(spark: SparkSession, spec: ServiceSpec, sources: dict[str
     staged = read_target(spark, staging, staging_schema(spec))
     batch = stamp_rows(staged, spec, F.col("filename"), "database", columns=spec.raw_columns).withColumn(day, day_of(spec.pickup))
     month = F.element_at(F.create_map(*[F.lit(x) for m, name in names.items() for x in (name, m)]), F.col("filename"))
-    batch = _from_first_month(evaluated(batch.withColumn("_month", month), "load_batch"))
+    batch = _from_first_month(evaluated(batch.withColumn("_month", month), "load_batch"), day)
     return merge_new(spark, target, batch, prune=None if buckets else (spec.pickup, day), partition_by=None if buckets else [day],
                      schema=target_schema(spec), count_by=("_month", list(names)), about={"sources": sources}, in_scratch=True)
 
