@@ -19,7 +19,7 @@ from ridemart.operators import compaction, ml
 from ridemart.operators.ledger import Files
 from ridemart.operators.models import dim_zones, fact_trips, monthly_zone_revenue, union_services
 from ridemart.operators.staging import preview, stage_trips
-from ridemart.operators.tables import as_view, day_column, ensure_table, materialize, merge_new, register_external, stamp_rows
+from ridemart.operators.tables import as_view, day_column, ensure_table, evaluated, materialize, merge_new, register_external, stamp_rows
 from ridemart.operators.warehouse import count_trips, distinct_vendors, sql, trip_extent
 from ridemart.plans import footers
 from ridemart.plans.pipeline import backfill, build, load_months, load_months_staged, months_between, target_schema
@@ -215,7 +215,7 @@ def q_row_id_database(spark, sf_dir):
     return stamp_rows(testbed.yellow(spark, sf_dir), YELLOW, YELLOW.file_name("1996-01", "csv"), "database")
 
 
-def _batch(spark, sf_dir, lo, hi, name):
+def _batch(trips, lo, hi, name):
     day = day_column(PICKUP)
     y = testbed.yellow(spark, sf_dir).where(F.to_date(PICKUP).between(F.lit(lo), F.lit(hi)))
     return stamp_rows(y, YELLOW, name).withColumn(day, F.to_date(PICKUP))
@@ -226,15 +226,17 @@ def merge_runs(spark, sf_dir):
 
     The first batch holds the first two thirds of the days, its first third
     twice (months delivered in two files: every copy is inserted); the second
-    batch holds the last two thirds.
+    batch holds the last two thirds. The trips are written to scratch once, and
+    the batch that is merged twice is too.
     """
-    lo, hi = testbed.yellow(spark, sf_dir).agg(F.min(F.to_date(PICKUP)), F.max(F.to_date(PICKUP))).first()
+    trips = evaluated(testbed.yellow(spark, sf_dir), "merge_trips")
+    lo, hi = trips.agg(F.min(F.to_date(PICKUP)), F.max(F.to_date(PICKUP))).first()
     third = (hi - lo) / 3
     a, b = lo + timedelta(days=third.days), lo + timedelta(days=2 * third.days)
     target = _bucketed_target(spark, "merge_target")
-    b1 = (_batch(spark, sf_dir, lo, b, "batch_1.parquet").unionByName(_batch(spark, sf_dir, lo, a, "batch_1.parquet")))
-    b2 = _batch(spark, sf_dir, a, hi, "batch_2.parquet")
-    return target, tuple(merge_new(spark, target, x, schema=target_schema(YELLOW)) for x in (b1, b2, b1))
+    b1 = _batch(trips, lo, b, "batch_1.parquet").unionByName(_batch(trips, lo, a, "batch_1.parquet"))
+    b1, b2 = evaluated(b1, "merge_batch"), evaluated(_batch(trips, a, hi, "batch_2.parquet"), "merge_batch")
+    return target, tuple(merge_new(spark, target, x, schema=target_schema(YELLOW), in_scratch=True) for x in (b1, b2, b1))
 
 
 def _bucketed_target(spark, name):
