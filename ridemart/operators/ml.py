@@ -155,8 +155,10 @@ def feature_info(df: DataFrame, numeric: list[str] = NUMERIC, categorical: list[
     """Per input: min, max, mean, median, stddev, category_count, null_count (M4).
 
     One aggregate pass over the table, then ``stack`` turns the single row
-    into one row per input. Medians are exact (a few more passes over the numbers).
+    into one row per input. Medians are exact (a few more passes over the numbers);
+    the inputs are written to scratch once, for all these passes.
     """
+    df = _to_scratch(df.select(*numeric, *categorical), "ml_inputs")
     medians = exact_quantiles(df, {c: F.col(c) for c in numeric})
     aggs = []
     for c in numeric:
