@@ -217,7 +217,7 @@ def q_row_id_database(spark, sf_dir):
 
 def _batch(trips, lo, hi, name):
     day = day_column(PICKUP)
-    y = testbed.yellow(spark, sf_dir).where(F.to_date(PICKUP).between(F.lit(lo), F.lit(hi)))
+    y = trips.where(F.to_date(PICKUP).between(F.lit(lo), F.lit(hi)))
     return stamp_rows(y, YELLOW, name).withColumn(day, F.to_date(PICKUP))
 
 
@@ -518,25 +518,32 @@ def labelled(spark, sf_dir):
     return features(spark, sf_dir).where(F.col(ml.LABEL).isNotNull())
 
 
-def payment_model(spark, sf_dir):
+def labelled_once(spark, sf_dir):
+    """The labelled trips written to scratch once, for queries that train on them and then go over them again."""
+    return evaluated(labelled(spark, sf_dir), "ml_labelled")
+
+
+def payment_model(x):
     """The tip by payment type: with one categorical input least squares gives the mean of each category."""
-    return ml.train_tip_model(features(spark, sf_dir), numeric=[], categorical=["payment_type"])
+    return ml.train_tip_model(x, numeric=[], categorical=["payment_type"])
 
 
 def q_tip_model_predict(spark, sf_dir):
-    return round_doubles(ml.predict(payment_model(spark, sf_dir), labelled(spark, sf_dir)))
+    x = labelled_once(spark, sf_dir)
+    return round_doubles(ml.predict(payment_model(x), x))
 
 
 def q_tip_model_evaluate(spark, sf_dir):
     """Metrics of the trained model on the rows it was not trained on."""
-    _, held = ml.auto_split(labelled(spark, sf_dir))
-    return round_doubles(ml.evaluate(ml.predict(payment_model(spark, sf_dir), held)))
+    x = labelled_once(spark, sf_dir)
+    _, held = ml.auto_split(x)
+    return round_doubles(ml.evaluate(ml.predict(payment_model(x), held)))
 
 
 def q_tip_model_explain(spark, sf_dir):
-    x = labelled(spark, sf_dir)
+    x = labelled_once(spark, sf_dir)
     train, _ = ml.auto_split(x)
-    e = ml.explain_predict(ml.linear_terms(payment_model(spark, sf_dir), train), x, top_k_features=3)
+    e = ml.explain_predict(ml.linear_terms(payment_model(x), train), x, top_k_features=3)
     top = F.col("top_feature_attributions")[0]
     return round_doubles(e.select(*x.columns, ml.PREDICTION, top["feature"].alias("top_feature"),
                                   top["attribution"].alias("top_attribution"), "baseline_prediction_value"))
@@ -544,8 +551,9 @@ def q_tip_model_explain(spark, sf_dir):
 
 def q_tip_model_residuals(spark, sf_dir):
     """The full model's residuals on its training rows, in total and against each number: zero up to rounding."""
-    model = ml.train_tip_model(features(spark, sf_dir))
-    train, _ = ml.auto_split(labelled(spark, sf_dir))
+    x = labelled_once(spark, sf_dir)
+    model = ml.train_tip_model(x)
+    train, _ = ml.auto_split(x)
     err = F.col(ml.PREDICTION) - F.col(ml.LABEL)
     means = {c: m for c, (_, m) in ml.linear_terms(model, train).numeric.items()}
     x = ml.predict(model, train).fillna(means)      # as the model imputes them
@@ -600,7 +608,7 @@ def q_read_instances(spark, sf_dir):
 
 def q_score_instances(spark, sf_dir):
     path = scratch_path(spark, "tip_model")
-    ml.save_model(payment_model(spark, sf_dir), path)
+    ml.save_model(payment_model(features(spark, sf_dir)), path)
     return round_doubles(ml.score_instances(ml.load_model(path), requests(spark, sf_dir), "request"))
 
 
@@ -609,7 +617,7 @@ def q_stream_scores(spark, sf_dir):
     files = scratch_path(spark, "request_files")
     requests(spark, sf_dir).repartition(16).write.text(files)
     out = scratch_path(spark, "scores")
-    ml.stream_scores(payment_model(spark, sf_dir), files, out, scratch_path(spark, "scores_ckpt"), spark, files_per_trigger=6).awaitTermination()
+    ml.stream_scores(payment_model(features(spark, sf_dir)), files, out, scratch_path(spark, "scores_ckpt"), spark, files_per_trigger=6).awaitTermination()
     return round_doubles(spark.read.parquet(out))
 
 
