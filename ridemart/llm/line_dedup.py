@@ -8,22 +8,23 @@ similarity of 0.8 or more; equal lines included, lines without a word never.
 2. A line's words are ordered from rare to frequent, by counts over all
    documents in a sketch of fixed size (any fixed order keeps the join exact).
    Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each;
-   these prefixes are indexed, packed by hash bucket.
-3. The lines of a word's list pass the length filter, the positional filter
-   (nothing before the first common word matches) and a parity filter: sets
-   that differ in d words differ in at most d bits of a 64-bit parity of their
-   words. What is left of a list is almost only similar lines, given as pairs,
-   or as members where a list holds a large family. Lists of more than
-   ``LONG_LIST`` lines are given as members untested; a list that the sketch
-   shows to be very long is dealt over all buckets, so no task holds it whole.
-4. Every later line is verified against one earlier candidate of its pairs and
-   the first few members of its families; those that found no match are
-   verified against all other earlier candidates. A family of any size costs
-   a few verifications a line, if its first members are similar to the others.
+   these prefixes are indexed, without words that occur once.
+3. The first ``FIRST`` lines of a word's list are joined with its others under
+   the length filter, the positional filter (nothing before the first common
+   word matches) and a parity filter: sets that differ in d words differ in at
+   most d bits of a 64-bit parity of their words.
+4. Every later line is verified against its earliest candidate; those that
+   found no match are verified against all other candidates, and in longer
+   lists against the earlier members past the first ones. A family of any size
+   costs a few verifications a line, if its first members are similar to the
+   others.
 5. Texts are put together again from the lines that stay.
 
-Counting, joins, ordering and the new texts are DataFrame operations; words,
-prefixes, lists and the verification run in Arrow tasks.
+All of this is DataFrame operations (:func:`similar_earlier`). With ``packed``
+the words, prefixes, lists and the verification run in Arrow tasks instead
+(:func:`later_matches`): prefixes packed by hash bucket, a list of a very
+frequent word dealt over all buckets, every pair of a short list tested where
+it meets. Both give the same rows.
 
 Defined results: null text stays null, an empty text empty; rows that share
 doc_id and text share the decisions, none of them earlier than the other; a
@@ -52,6 +53,7 @@ LONG_LIST = 4_096         # lists from which members are given without testing t
 HOT_LIST = 50_000         # lines of a word from which its list is dealt over all buckets
 SALTS = 32                # parts of an untested list that are joined apart
 PIVOTS = 8
+FIRST = 32                # members of a list that are compared with all its others at once
 BUCKET_BYTES = 8 << 20
 BITMAP_BITS = 22
 _PART = 15
@@ -386,12 +388,12 @@ def _earlier(xs: DataFrame, ys: DataFrame, percent: int) -> DataFrame:
             .select(F.col("x.h").alias("x"), F.col("y.h").alias("y")))
 
 
-def _th_bitmap(df: DataFrame) -> Column:
-    """Condition on ``th``: false only for texts that are not in ``df`` (fixed size).
+def _bitmap(df: DataFrame, col: str) -> Column:
+    """Condition on ``col``: false only for values that are not in ``df`` (fixed size).
 
     The bits are a scalar subquery: as a literal they would stand in every plan that is printed or kept.
     """
-    b = F.shiftrightunsigned(F.xxhash64("th"), 64 - BITMAP_BITS)
+    b = F.shiftrightunsigned(F.xxhash64(col), 64 - BITMAP_BITS)
     rows = (df.select(b.alias("b")).groupBy(F.shiftright("b", 6).cast("int").alias("i"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("v")).collect())   # 2^(BITMAP_BITS-6) rows at most
     out = [0] * (1 << (BITMAP_BITS - 6))
@@ -399,29 +401,146 @@ def _th_bitmap(df: DataFrame) -> Column:
         out[r["i"]] = r["v"]
     bits = df.sparkSession.createDataFrame([(out,)], "bits array<bigint>").scalar()
     word = F.get(bits, F.shiftright(b, 6).cast("int"))
-    return word.bitwiseAND(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(th), {64 - BITMAP_BITS}) & 63 as int))")) != 0
+    return word.bitwiseAND(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({col}), {64 - BITMAP_BITS}) & 63 as int))")) != 0
 
 
 _WORD = r"[^\x20\x09-\x0D]"
+_BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def _lines(rows: DataFrame) -> DataFrame:
+    """(id, th, line_no, line, h) of every line that holds a word."""
+    return (rows.select("id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+            .where(F.col("line").rlike(_WORD)).withColumn("h", F.xxhash64("line")))
+
+
+def _word_hashes(line: str | Column) -> Column:
+    return F.transform(F.array_remove(F.split(line, _BLANKS), ""), lambda w: F.xxhash64(w))
+
+
+def _classes(rows: DataFrame) -> Column:
+    """Half-octave frequency class of every counter of the words, as one array (2^SKETCH_BITS bytes)."""
+    spark = rows.sparkSession
+    words = rows.select(F.explode(F.split("text", _BLANKS)).alias("w")).where("w <> ''")
+    count = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - SKETCH_BITS).alias("id")).count()
+    half = F.least(F.floor(2 * F.log2(F.coalesce("count", F.lit(0)) + 1)), F.lit(63)).cast("byte")
+    parts = (spark.range(1 << SKETCH_BITS).join(count, "id", "left").select(F.shiftright("id", _PART).alias("part"), F.struct("id", half.alias("c")).alias("e"))
+             .groupBy("part").agg(F.sort_array(F.collect_list("e")).getField("c").alias("c")))
+    one = parts.groupBy().agg(F.flatten(F.sort_array(F.collect_list(F.struct("part", "c"))).getField("c")).alias("c"))
+    return materialize(one, "classes").scalar()
+
+
+def prefixes(rows: DataFrame, percent: int) -> DataFrame:
+    """(k, h, id, n, place, parity): the prefix words of every line.
+
+    A token is a word's class in the upper bits and 57 bits of its hash below, so tokens sort from rare to
+    frequent. Words of a counter of one are in one line only and lead nowhere.
+    """
+    # the classes enter as a column of their own, since no subquery may be written inside a function of words;
+    # the optimizer puts both selects together
+    lines = _lines(rows).select("h", "id", "line", _classes(rows).alias("classes"))
+    token = F.transform(F.array_distinct(_word_hashes("line")), lambda w: F.shiftleft(
+        F.get("classes", F.shiftrightunsigned(w, 64 - SKETCH_BITS).cast("int")).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(w, 7)))
+    bit = F.expr("aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
+    own = lines.select("h", "id", F.sort_array(token).alias("t"))
+    own = own.select("h", "id", F.size("t").alias("n"), bit.alias("parity"),
+                     F.expr(f"slice(t, 1, size(t) - cast((size(t) * {percent}L + 99) div 100 as int) + 1)").alias("t"))
+    return (own.select("h", "id", "n", "parity", F.posexplode_outer("t").alias("place", "w")).where(F.shiftright("w", 57) > 2)
+            .select(F.xxhash64("w").bitwiseAND(0x7FFFFFFF).cast("int").alias("k"), "h", "id", "n", "place", "parity"))
+
+
+def _can_link(x: str, y: str, percent: int) -> Column:
+    """:func:`may_link` of the columns of x and y."""
+    def least(c):
+        return F.least(F.col(f"{x}.n") - F.col(f"{x}.{c}"), F.col(f"{y}.n") - F.col(f"{y}.{c}"))
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    need = F.expr(f"({percent}L * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent}")
+    return ((100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n")) & (least("place") >= need)
+            & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) <= both - 2 * need))
+
+
+def _ranked(entries: DataFrame) -> DataFrame:
+    """The members of lists of two and more, once each, with their place r in the list (by id) and its size."""
+    own, whole = Window.partitionBy("k").orderBy("id", "h"), Window.partitionBy("k")
+    once = entries.repartition("k").groupBy("k", "h", "n", "place", "parity").agg(F.min("id").alias("id"))
+    return (once.withColumn("r", F.row_number().over(own)).withColumn("size", F.count("*").over(whole)).where("size > 1")
+            .select("k", "h", "n", "place", "parity", "r", "size"))
+
+
+def _pairs(ranked: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of every list's first members with the others that pass the filters."""
+    x, y = ranked.where(F.col("r") <= FIRST).alias("x"), ranked.alias("y")
+    return (x.join(y.hint("merge"), F.col("x.k") == F.col("y.k"))
+            .where((F.col("x.r") < F.col("y.r")) & (F.col("x.h") != F.col("y.h")) & _can_link("x", "y", percent))
+            .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct())
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The later lines (h) of the (x, y) pairs whose sets reach the similarity."""
+    def side(c):
+        return texts.select(F.col("h").alias(c), F.col("line").alias(f"t{c}"))
+    sets = (pairs.select("x", "y").join(side("y"), "y").join(side("x"), "x")
+            .select("y", F.array_distinct(_word_hashes("tx")).alias("wx"), F.array_distinct(_word_hashes("ty")).alias("wy")))
+    both = sets.select("y", F.size(F.array_intersect("wx", "wy")).alias("both"), (F.size("wx") + F.size("wy")).alias("all"))
+    return both.where(100 * F.col("both") >= percent * (F.col("all") - F.col("both"))).select(F.col("y").alias("h")).distinct()
+
+
+def similar_earlier(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The h of the lines with a similar earlier line; ``nodes`` has the first place of every distinct line."""
+    lines = _lines(rows)
+    met = materialize(_ranked(prefixes(rows, percent)), "met")
+    place = nodes.select("h", "first")
+    two = (_pairs(met, percent).join(place.select(F.col("h").alias("a"), F.col("first").alias("fa")), "a")
+           .join(place.select(F.col("h").alias("b"), F.col("first").alias("fb")), "b"))
+    a_first = F.col("fa") < F.col("fb")
+    two = materialize(two.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"), F.least("fa", "fb").alias("first"),
+                                 F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y")), "pairs")
+    # the pairs of a longer list's first members are known; its other members are compared below
+    longer = met.where(F.col("size") > FIRST + 1).select("k", "h", "n", "place", "parity", (F.col("size") > LONG_LIST).alias("wide"))
+    many = materialize(longer.join(place, "h"), "families")
+
+    need = two.select(F.explode(F.array("x", "y")).alias("h")).union(many.select("h"))
+    wanted = lines.where(_bitmap(need, "h")).select("h", "line").dropDuplicates(["h"])
+    texts = materialize(wanted, "texts")
+
+    tries = materialize(two.groupBy("y").agg(F.min_by("x", "first").alias("x")).select("x", "y"), "tries")
+    hit = materialize(_similar(tries, texts, percent), "matched")
+    open_two = two.select("x", "y").join(hit.withColumnRenamed("h", "y"), "y", "left_anti")
+    open_many = many.join(hit, "h", "left_anti")
+    rest = (open_two.select("x", "y").union(_earlier(many, open_many, percent)).distinct()
+            .join(tries, ["x", "y"], "left_anti"))
+    return materialize(hit.union(_similar(materialize(rest, "rest"), texts, percent)), "later")
+
+
+def _places(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, th, line_no, h) of every line with a word; (h, first, count) of every distinct one."""
+    found = materialize(_lines(rows).select("id", "th", "line_no", "h"), "lines")
+    nodes = found.select("h", F.struct("id", "th", "line_no").alias("p")).groupBy("h").agg(F.min("p").alias("first"), F.count("*").alias("count"))
+    return found, materialize(nodes, "nodes")
+
+
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, packed: bool = False) -> DataFrame:
     """(row, lines): the rows of ``docs`` as structs, their text less the removed lines.
 
     ``lines`` has n_lines, n_removed and ``emptied``: whether the text had a word and has none left, that is
     whether all of it repeats earlier lines. No column name of ``docs`` can clash.
     """
     rows = keyed(docs, id_col, text_col)
-    found = materialize(rows.select("id", "th", "text").mapInArrow(_line_rows, LINES), "lines")
-    nodes, later = later_matches(found, rows.select("text"), percent)
+    if packed:
+        found = materialize(rows.select("id", "th", "text").mapInArrow(_line_rows, LINES), "lines")
+        nodes, later = later_matches(found, rows.select("text"), percent)
+        found = found.where("part is null")
+    else:
+        found, nodes = _places(rows)
+        later = similar_earlier(rows, nodes, percent)
     cut = (nodes.join(later.withColumn("gone", F.lit(True)), "h", "left")
            .select("h", "first", F.coalesce("gone", F.lit(False)).alias("gone"), "count").where("gone or count > 1").drop("count"))
-    drop = (found.where("part is null").select("h", "id", "th", "line_no").join(cut, "h")
+    drop = (found.select("h", "id", "th", "line_no").join(cut, "h")
             .where(F.col("gone") | (F.col("first") != F.struct("id", "th", "line_no")))
             .groupBy("id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("drop")))
     drop = materialize(drop, "drop")
     key = with_key(docs, id_col, text_col)
-    touched = _th_bitmap(drop)                          # other texts need no shuffle
+    touched = _bitmap(drop, "th")                        # other texts need no shuffle
     own = F.col("row").getField(text_col)
     n_lines = F.size(F.split(own, "\n"))
     nothing = F.struct(F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed"), F.lit(False).alias("emptied")).alias("lines")
@@ -439,9 +558,9 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return plain.union(done)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, packed: bool = False) -> DataFrame:
     """The rows of ``docs`` with their text less the removed lines, and struct ``_lines`` (in place of a column so named)."""
-    rows = dedup_rows(docs, id_col, text_col, percent)
+    rows = dedup_rows(docs, id_col, text_col, percent, packed)
     if "_lines" in docs.columns:
         rows = rows.withColumn("row", F.col("row").dropFields("_lines"))
     return rows.select("row.*", F.col("lines").alias("_lines"))

@@ -182,6 +182,34 @@ def test_line_dedup_with_long_and_hot_lists(spark, monkeypatch, hot, long):
     assert [got[i] for i in range(len(texts))] == brute.earlier_lines(list(enumerate(texts)))
 
 
+def test_line_dedup_runs_dataframe_operations_only(spark, monkeypatch):
+    rng = random.Random(40)
+    texts = line_texts(rng) + family_texts(rng) + awkward()
+    df = frame(spark, texts)
+    packed = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, packed=True).collect()}
+
+    def python(*a, **b):
+        raise AssertionError("Python on the executors")
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(df), name, python)
+    for name in ("applyInArrow", "applyInPandas"):
+        monkeypatch.setattr(type(df.groupBy("doc_id")), name, python)
+    monkeypatch.setattr(line_dedup, "FIRST", 3)          # most lists are longer
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.earlier_lines(list(enumerate(texts)))
+    assert got == packed
+
+
+def test_line_lists_give_pairs_of_their_first_members_only(spark):
+    template = words(random.Random(41), 10, 3_000)
+    texts = ["\n".join(f"{template} v{i + j}" for j in range(10)) for i in range(0, 400, 10)]
+    rows = frame(spark, texts).selectExpr("doc_id AS id", "xxhash64(text) AS th", "text")
+    met = line_dedup._ranked(line_dedup.prefixes(rows, 80)).cache()
+    assert met.agg(F.max("size")).first()[0] == 400
+    assert line_dedup._pairs(met, 80).count() <= 400 * line_dedup.FIRST * met.select("k").distinct().count()
+    met.unpersist()
+
+
 def postings(m, hot):
     """A list of m similar lines of ten words, as the packed row of a bucket."""
     one = {"k": np.full(m, 5, np.uint64), "h": np.arange(m, dtype=np.uint64), "parity": np.zeros(m, np.uint64),
