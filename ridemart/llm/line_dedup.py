@@ -8,23 +8,25 @@ similarity of 0.8 or more; equal lines included, lines without a word never.
 2. A line's words are ordered from rare to frequent, by counts over all
    documents in a sketch of fixed size (any fixed order keeps the join exact).
    Similar sets share a word among the first ``n - ceil(0.8 n) + 1`` of each;
-   these prefixes are indexed, without words that occur once.
-3. The first ``FIRST`` lines of a word's list are joined with its others under
-   the length filter, the positional filter (nothing before the first common
-   word matches) and a parity filter: sets that differ in d words differ in at
-   most d bits of a 64-bit parity of their words.
-4. Every later line is verified against its earliest candidate; those that
-   found no match are verified against all other candidates, and in longer
-   lists against the earlier members past the first ones. A family of any size
-   costs a few verifications a line, if its first members are similar to the
-   others.
+   these prefixes are indexed, packed by hash bucket.
+3. The lines of a word's list pass the length filter, the positional filter
+   (nothing before the first common word matches) and a parity filter: sets
+   that differ in d words differ in at most d bits of a 64-bit parity of their
+   words. What is left of a list is almost only similar lines, given as pairs,
+   or as members where a list holds a large family. Lists of more than
+   ``LONG_LIST`` lines are given as members untested; a list that the sketch
+   shows to be very long is dealt over all buckets, so no task holds it whole.
+4. Every later line is verified against one earlier candidate of its pairs and
+   the first few members of its families; those that found no match are
+   verified against all other earlier candidates. A family of any size costs
+   a few verifications a line, if its first members are similar to the others.
 5. Texts are put together again from the lines that stay.
 
-All of this is DataFrame operations (:func:`similar_earlier`). With ``packed``
-the words, prefixes, lists and the verification run in Arrow tasks instead
-(:func:`later_matches`): prefixes packed by hash bucket, a list of a very
-frequent word dealt over all buckets, every pair of a short list tested where
-it meets. Both give the same rows.
+Counting, joins, ordering and the new texts are DataFrame operations; words,
+prefixes, lists and the verification run in Arrow tasks. Without ``packed``
+these are DataFrame operations too (:func:`similar_earlier`), with the same
+rows but more disk and CPU: prefixes are rows, without words that occur once,
+and the first ``FIRST`` lines of a list are joined with its others at once.
 
 Defined results: null text stays null, an empty text empty; rows that share
 doc_id and text share the decisions, none of them earlier than the other; a
@@ -476,9 +478,9 @@ def _pairs(ranked: DataFrame, percent: int) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The later lines (h) of the (x, y) pairs whose sets reach the similarity."""
+    """The later lines (h) of the (x, y) pairs whose sets reach the similarity; no other texts are shuffled."""
     def side(c):
-        return texts.select(F.col("h").alias(c), F.col("line").alias(f"t{c}"))
+        return texts.where(_bitmap(pairs.select(F.col(c).alias("h")), "h")).select(F.col("h").alias(c), F.col("line").alias(f"t{c}"))
     sets = (pairs.select("x", "y").join(side("y"), "y").join(side("x"), "x")
             .select("y", F.array_distinct(_word_hashes("tx")).alias("wx"), F.array_distinct(_word_hashes("ty")).alias("wy")))
     both = sets.select("y", F.size(F.array_intersect("wx", "wy")).alias("both"), (F.size("wx") + F.size("wy")).alias("all"))
@@ -488,16 +490,21 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def similar_earlier(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The h of the lines with a similar earlier line; ``nodes`` has the first place of every distinct line."""
     lines = _lines(rows)
-    met = materialize(_ranked(prefixes(rows, percent)), "met")
+    # one exchange of the prefixes serves both sides of the pairs and the longer lists, if all want the same rows of it
+    ranked = _ranked(materialize(prefixes(rows, percent), "prefixes")
+                     .where("k is not null and h is not null and id is not null and n is not null and place is not null and parity is not null"))
+    pairs = _pairs(ranked, percent).selectExpr("int(null) as k", "a", "b", "int(null) as n", "int(null) as place", "bigint(null) as parity",
+                                               "boolean(null) as wide")
+    # the pairs of a longer list's first members are known; its other members are compared below
+    longer = ranked.where((F.col("size") > FIRST + 1) & (F.col("r") > 0))
+    met = materialize(pairs.union(longer.select("k", "h", F.lit(None).cast("long"), "n", "place", "parity", F.col("size") > LONG_LIST)), "met")
     place = nodes.select("h", "first")
-    two = (_pairs(met, percent).join(place.select(F.col("h").alias("a"), F.col("first").alias("fa")), "a")
+    two = (met.where("k is null").select("a", "b").join(place.select(F.col("h").alias("a"), F.col("first").alias("fa")), "a")
            .join(place.select(F.col("h").alias("b"), F.col("first").alias("fb")), "b"))
     a_first = F.col("fa") < F.col("fb")
     two = materialize(two.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"), F.least("fa", "fb").alias("first"),
                                  F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y")), "pairs")
-    # the pairs of a longer list's first members are known; its other members are compared below
-    longer = met.where(F.col("size") > FIRST + 1).select("k", "h", "n", "place", "parity", (F.col("size") > LONG_LIST).alias("wide"))
-    many = materialize(longer.join(place, "h"), "families")
+    many = materialize(met.where("k is not null").select("k", F.col("a").alias("h"), "n", "place", "parity", "wide").join(place, "h"), "families")
 
     need = two.select(F.explode(F.array("x", "y")).alias("h")).union(many.select("h"))
     wanted = lines.where(_bitmap(need, "h")).select("h", "line").dropDuplicates(["h"])
@@ -519,7 +526,7 @@ def _places(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found, materialize(nodes, "nodes")
 
 
-def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, packed: bool = False) -> DataFrame:
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, packed: bool = True) -> DataFrame:
     """(row, lines): the rows of ``docs`` as structs, their text less the removed lines.
 
     ``lines`` has n_lines, n_removed and ``emptied``: whether the text had a word and has none left, that is
@@ -558,7 +565,7 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return plain.union(done)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, packed: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, packed: bool = True) -> DataFrame:
     """The rows of ``docs`` with their text less the removed lines, and struct ``_lines`` (in place of a column so named)."""
     rows = dedup_rows(docs, id_col, text_col, percent, packed)
     if "_lines" in docs.columns:

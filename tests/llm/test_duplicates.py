@@ -182,11 +182,11 @@ def test_line_dedup_with_long_and_hot_lists(spark, monkeypatch, hot, long):
     assert [got[i] for i in range(len(texts))] == brute.earlier_lines(list(enumerate(texts)))
 
 
-def test_line_dedup_runs_dataframe_operations_only(spark, monkeypatch):
+def test_line_dedup_unpacked_runs_dataframe_operations_only(spark, monkeypatch):
     rng = random.Random(40)
     texts = line_texts(rng) + family_texts(rng) + awkward()
     df = frame(spark, texts)
-    packed = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, packed=True).collect()}
+    packed = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
 
     def python(*a, **b):
         raise AssertionError("Python on the executors")
@@ -195,9 +195,10 @@ def test_line_dedup_runs_dataframe_operations_only(spark, monkeypatch):
     for name in ("applyInArrow", "applyInPandas"):
         monkeypatch.setattr(type(df.groupBy("doc_id")), name, python)
     monkeypatch.setattr(line_dedup, "FIRST", 3)          # most lists are longer
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, packed=False).collect()}
     assert [got[i] for i in range(len(texts))] == brute.earlier_lines(list(enumerate(texts)))
     assert got == packed
+    assert line_dedup.dedup_lines(df.limit(0), packed=False).count() == 0
 
 
 def test_line_lists_give_pairs_of_their_first_members_only(spark):
